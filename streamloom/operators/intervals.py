@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from streamloom.operators.scan import block_of, carried, with_next
-from streamloom.operators.shared import OWN
+from streamloom.operators.scan import BLOCK, END, HEAD, KEY, LATEST, START, block_of, headed, joined, packed, unpacked
+from streamloom.operators.shared import OWN, require_columns, write_and_read
 
 #: Milliseconds of a time block: the unit over which a hot key is spread.
 BLOCK_MS = 600_000
@@ -17,9 +17,7 @@ def millis(seconds: Column) -> Column:
     return F.when(~F.isnan(seconds), F.round(seconds * 1000).cast("long"))
 
 
-def periods_and_gaps(
-    df: DataFrame, keys: list[str], start: str, end: str, block_ms: int = BLOCK_MS
-) -> DataFrame:
+def periods_and_gaps(df: DataFrame, keys: list[str], start: str, end: str, block_ms: int = BLOCK_MS) -> DataFrame:
     """Maximal covered periods of each key, and the gaps between them.
 
     Input: `start` and `end` in whole milliseconds. Rows with a null bound, or
@@ -30,45 +28,20 @@ def periods_and_gaps(
     Output: keys, piece ("period" or "gap"), start_ms, end_ms; a gap lies between
     two successive periods only.
 
-    Spark's session_window merges overlapping rows inside (key, time block): its
-    gap is each row's own duration. What a block hands over to later blocks is
-    joined from one summary row per block, so no task ever holds a whole key.
+    Spark's session_window merges the rows inside (key, time block); its gap is
+    each row's own duration, and rows that touch merge too. The few sessions left
+    are written to the shared folder once; those that overlap or touch over block
+    edges are joined from block summaries, so no task ever holds a whole key. A
+    gap is read off each period's head: it runs from the latest end before it.
     """
-    s, e, b = f"{OWN}s", f"{OWN}e", f"{OWN}b"
-    named = {k: f"{OWN}k{n}" for n, k in enumerate(keys)}
-    ks = list(named.values())
-    rows = df.select(*[F.col(k).alias(v) for k, v in named.items()], F.col(start).cast("long").alias(s), F.col(end).cast("long").alias(e)).where(F.col(e) > F.col(s))
-    rows = rows.withColumn(b, block_of(F.col(s), block_ms)).withColumn(f"{OWN}t", F.timestamp_millis(s))
-    window = F.session_window(f"{OWN}t", F.concat((F.col(e) - F.col(s)).cast("string"), F.lit(" milliseconds")))
-    local = (
-        rows.groupBy(*ks, b, window.alias(f"{OWN}w"))
-        .agg(F.min(s).alias(s), F.max(e).alias(e))
-        .drop(f"{OWN}w")
-    )
-    # Touching periods, within a block or over its edge, are joined here.
-    local = carried(local, ks, b, F.max(e), "max", f"{OWN}c")
-    local = _joined(local, ks, b, s, e)
-    periods = local.groupBy(*ks, f"{OWN}h").agg(F.max(e).alias(e)).withColumn(b, block_of(F.col(f"{OWN}h"), block_ms))
-    periods = with_next(periods, ks, b, f"{OWN}h", f"{OWN}n")
-    pieces = F.array(
-        F.struct(F.lit("period").alias("piece"), F.col(f"{OWN}h").alias("start_ms"), F.col(e).alias("end_ms")),
-        F.struct(F.lit("gap").alias("piece"), F.col(e).alias("start_ms"), F.col(f"{OWN}n").alias("end_ms")),
-    )
-    return (
-        periods.select(*ks, F.explode(pieces).alias(f"{OWN}p"))
-        .where(F.col(f"{OWN}p.end_ms").isNotNull())
-        .select(*[F.col(v).alias(k) for k, v in named.items()], F.col(f"{OWN}p.piece").alias("piece"), F.col(f"{OWN}p.start_ms").alias("start_ms"), F.col(f"{OWN}p.end_ms").alias("end_ms"))
-    )
-
-
-def _joined(local: DataFrame, ks: list[str], b: str, s: str, e: str) -> DataFrame:
-    """Adds the head (first start) of the period each local period belongs to."""
-    from pyspark.sql import Window
-
-    inside = Window.partitionBy(*ks, b).orderBy(s).rowsBetween(Window.unboundedPreceding, -1)
-    latest = F.greatest(F.max(e).over(inside), F.col(f"{OWN}c"))
-    local = local.withColumn(f"{OWN}l", latest)
-    local = local.withColumn(f"{OWN}hd", F.when(F.col(f"{OWN}l").isNull() | (F.col(s) > F.col(f"{OWN}l")), F.col(s)))
-    local = carried(local, ks, b, F.max(f"{OWN}hd"), "last", f"{OWN}bh")
-    upto = Window.partitionBy(*ks, b).orderBy(s).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    return local.withColumn(f"{OWN}h", F.coalesce(F.max(f"{OWN}hd").over(upto), F.col(f"{OWN}bh")))
+    require_columns(df, [*keys, start, end], "periods_and_gaps")
+    t = f"{OWN}t"
+    rows = df.select(packed(keys), F.col(start).cast("long").alias(START), F.col(end).cast("long").alias(END)).where(F.col(END) > F.col(START))
+    rows = rows.withColumn(BLOCK, block_of(F.col(START), block_ms)).withColumn(t, F.timestamp_millis(START))
+    window = F.session_window(t, F.concat((F.col(END) - F.col(START)).cast("string"), F.lit(" milliseconds")))
+    local = rows.groupBy(KEY, BLOCK, window.alias(t)).agg(F.min(START).alias(START), F.max(END).alias(END)).drop(t)
+    local = write_and_read(local, "periods")
+    periods = joined(local, 0, []).select(*unpacked(keys), F.lit("period").alias("piece"), F.col(START).alias("start_ms"), F.col(END).alias("end_ms"))
+    gaps = headed(local, 0).where(F.col(HEAD).isNotNull() & F.col(LATEST).isNotNull())
+    gaps = gaps.select(*unpacked(keys), F.lit("gap").alias("piece"), F.col(LATEST).alias("start_ms"), F.col(START).alias("end_ms"))
+    return periods.unionByName(gaps)

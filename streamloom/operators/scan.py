@@ -6,6 +6,9 @@ time). Rows are scanned inside (key, block); one small row per block is scanned
 per key; and what the earlier blocks carry over is joined back to the rows. A
 key that holds a third of the table is thus spread over as many tasks as it has
 blocks, and only block summaries meet in one place.
+
+All keys travel as one struct column, so null keys equal each other and a join
+on (KEY, block) reuses the partitioning of the rows.
 """
 
 from __future__ import annotations
@@ -15,64 +18,61 @@ from pyspark.sql import functions as F
 
 from streamloom.operators.shared import OWN
 
+KEY = f"{OWN}key"
+BLOCK = f"{OWN}block"
+START, END, HEAD, LATEST = f"{OWN}s", f"{OWN}e", f"{OWN}h", f"{OWN}l"
+
 
 def block_of(order: Column, size: int) -> Column:
     """The block of a position or of a time: floor(order / size)."""
     return F.floor(order / F.lit(size)).cast("long")
 
 
-def _join_back(df: DataFrame, small: DataFrame, on: list[str]) -> DataFrame:
-    """Left join on null-safe keys; both sides meet partitioned by (keys, block)."""
-    renamed = small.select(*[F.col(c).alias(f"{OWN}r_{c}") for c in on], *[c for c in small.columns if c not in on])
-    cond = None
-    for c in on:
-        eq = F.col(c).eqNullSafe(F.col(f"{OWN}r_{c}"))
-        cond = eq if cond is None else cond & eq
-    return df.join(renamed, cond, "left").drop(*[f"{OWN}r_{c}" for c in on])
+def packed(keys: list[str]) -> Column:
+    return F.struct(*[F.col(k).alias(f"k{n}") for n, k in enumerate(keys)]).alias(KEY)
+
+
+def unpacked(keys: list[str]) -> list[Column]:
+    return [F.col(f"{KEY}.k{n}").alias(k) for n, k in enumerate(keys)]
 
 
-def carried(df: DataFrame, keys: list[str], block: str, value: Column, how: str, name: str) -> DataFrame:
+def carried(df: DataFrame, value: Column, how: str, name: str) -> DataFrame:
     """Adds `name`: what the blocks before a row's own block hand over.
 
-    how: "max" or "sum" of `value` over all earlier blocks, "last" non-null
-    block value before, or "next", the first non-null block value after. For
-    "last" and "next" `value` must be an aggregate giving the block's value;
-    so it is for "max" and "sum".
+    `value` is an aggregate that gives a block's value; how: "max" or "sum" of it
+    over all earlier blocks, "last" non-null one before, or "next" non-null one
+    after. df is read twice; it should be a scan or cheap to compute.
     """
-    per_block = df.groupBy(*keys, block).agg(value.alias(f"{OWN}v"))
-    before = Window.partitionBy(*keys).orderBy(block).rowsBetween(Window.unboundedPreceding, -1)
-    after = Window.partitionBy(*keys).orderBy(block).rowsBetween(1, Window.unboundedFollowing)
-    v = F.col(f"{OWN}v")
+    v = f"{OWN}v"
+    per_block = df.groupBy(KEY, BLOCK).agg(value.alias(v))
+    before = Window.partitionBy(KEY).orderBy(BLOCK).rowsBetween(Window.unboundedPreceding, -1)
+    after = Window.partitionBy(KEY).orderBy(BLOCK).rowsBetween(1, Window.unboundedFollowing)
     over = {
-        "max": lambda: F.max(v).over(before),
-        "sum": lambda: F.sum(v).over(before),
-        "last": lambda: F.last(v, ignorenulls=True).over(before),
-        "next": lambda: F.first(v, ignorenulls=True).over(after),
-    }[how]()
-    return _join_back(df, per_block.withColumn(name, over).drop(f"{OWN}v"), [*keys, block])
+        "max": F.max(v).over(before),
+        "sum": F.sum(v).over(before),
+        "last": F.last(v, ignorenulls=True).over(before),
+        "next": F.first(v, ignorenulls=True).over(after),
+    }[how]
+    return df.join(per_block.select(KEY, BLOCK, over.alias(name)), [KEY, BLOCK], "left")
 
 
-def with_heads(df: DataFrame, keys: list[str], block: str, start: str, end: str, gap: int, out: str) -> DataFrame:
-    """Adds `out`: the start of the island each interval belongs to.
+def headed(local: DataFrame, gap: int) -> DataFrame:
+    """Marks which of each block's sessions begin a session of the whole key.
 
-    A new island begins where an interval starts more than `gap` after the
-    latest end of all intervals before it (in order of start, over all blocks).
-    `start` and `end` are whole numbers without nulls; `block` must rise with
-    `start`. Equal starts belong together whatever their order.
+    local: (KEY, BLOCK, START, END, ...), whose sessions are more than `gap` apart
+    inside a block. Adds HEAD (its own start, or null where it continues an
+    earlier one) and LATEST (the latest end before it, null at the first).
     """
-    inside = Window.partitionBy(*keys, block).orderBy(start).rangeBetween(Window.unboundedPreceding, -1)
-    df = carried(df, keys, block, F.max(end), "max", f"{OWN}carry")
-    latest = F.greatest(F.max(end).over(inside), F.col(f"{OWN}carry"))
-    df = df.withColumn(f"{OWN}latest", latest)
-    head = F.when(F.col(f"{OWN}latest").isNull() | (F.col(start) > F.col(f"{OWN}latest") + F.lit(gap)), F.col(start))
-    df = df.withColumn(f"{OWN}head", head).drop(f"{OWN}carry", f"{OWN}latest")
-    df = carried(df, keys, block, F.max(f"{OWN}head"), "last", f"{OWN}before")
-    upto = Window.partitionBy(*keys, block).orderBy(start).rangeBetween(Window.unboundedPreceding, Window.currentRow)
-    return df.withColumn(out, F.coalesce(F.max(f"{OWN}head").over(upto), F.col(f"{OWN}before"))).drop(f"{OWN}head", f"{OWN}before")
-
-
-def with_next(df: DataFrame, keys: list[str], block: str, order: str, out: str) -> DataFrame:
-    """Adds `out`: the next larger value of `order` in the key (distinct values), over block edges."""
-    df = carried(df, keys, block, F.min(order), "next", f"{OWN}nb")
-    w = Window.partitionBy(*keys, block).orderBy(order)
-    return df.withColumn(out, F.coalesce(F.lead(order).over(w), F.col(f"{OWN}nb"))).drop(f"{OWN}nb")
+    df = carried(local, F.max(END), "max", f"{OWN}c")
+    inside = Window.partitionBy(KEY, BLOCK).orderBy(START)
+    df = df.withColumn(LATEST, F.greatest(F.lag(END).over(inside), F.col(f"{OWN}c")))
+    begins = F.col(LATEST).isNull() | (F.col(START) > F.col(LATEST) + F.lit(gap))
+    return df.withColumn(HEAD, F.when(begins, F.col(START))).drop(f"{OWN}c")
+
+
+def joined(local: DataFrame, gap: int, aggregates: list[Column]) -> DataFrame:
+    """Sessions of the whole key from block sessions: (KEY, START, END, aggregates)."""
+    df = carried(headed(local, gap), F.max(HEAD), "last", f"{OWN}bh")
+    inside = Window.partitionBy(KEY, BLOCK).orderBy(START).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    df = df.withColumn(HEAD, F.coalesce(F.max(HEAD).over(inside), F.col(f"{OWN}bh")))
+    return df.groupBy(KEY, HEAD).agg(F.max(END).alias(END), *aggregates).withColumnRenamed(HEAD, START)

@@ -4,12 +4,12 @@ from __future__ import annotations
 
 import json
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from streamloom.operators.intervals import BLOCK_MS
-from streamloom.operators.scan import block_of, with_heads
-from streamloom.operators.shared import OWN, require_columns, shared_dir
+from streamloom.operators.scan import BLOCK, END, HEAD, KEY, START, block_of, joined, packed, unpacked
+from streamloom.operators.shared import OWN, require_columns, shared_dir, write_and_read
 
 
 def sessions(df: DataFrame, keys: list[str], start: str, end: str, gap: int, measures: dict[str, str], block_ms: int = BLOCK_MS) -> DataFrame:
@@ -19,19 +19,25 @@ def sessions(df: DataFrame, keys: list[str], start: str, end: str, gap: int, mea
     are left out. measures: column to "min", "max" or "sum". Repeated rows count
     as often as they stand. Null keys form a group. Other columns are ignored;
     an empty table gives no session. Output: keys, start, end, measures.
+
+    Rows are first folded to sessions inside (key, time block), and only those,
+    written once, are joined over block edges.
     """
     require_columns(df, [*keys, start, end, *measures], "sessions")
-    cols = [*keys, start, end, *measures]
-    rows = df.select(*cols).where(F.col(end) >= F.col(start))
-    rows = rows.withColumn(f"{OWN}b", block_of(F.col(start), block_ms))
-    rows = with_heads(rows, keys, f"{OWN}b", start, end, gap, f"{OWN}h")
     how = {"min": F.min, "max": F.max, "sum": F.sum}
-    return (
-        rows.groupBy(*keys, f"{OWN}h")
-        .agg(F.max(end).alias(end), *[how[m](c).alias(c) for c, m in measures.items()])
-        .withColumnRenamed(f"{OWN}h", start)
-        .select(*cols)
-    )
+    named = {c: f"{OWN}m{n}" for n, c in enumerate(measures)}
+    rows = df.select(packed(keys), F.col(start).alias(START), F.col(end).alias(END), *[F.col(c).alias(m) for c, m in named.items()]).where(F.col(END) >= F.col(START))
+    rows = rows.withColumn(BLOCK, block_of(F.col(START), block_ms))
+    before = Window.partitionBy(KEY, BLOCK).orderBy(START, END).rowsBetween(Window.unboundedPreceding, -1)
+    upto = Window.partitionBy(KEY, BLOCK).orderBy(START, END).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    latest = F.max(END).over(before)
+    rows = rows.withColumn(HEAD, F.when(latest.isNull() | (F.col(START) > latest + F.lit(gap)), F.col(START)))
+    rows = rows.withColumn(HEAD, F.max(HEAD).over(upto))
+    folded = [how[measures[c]](m).alias(m) for c, m in named.items()]
+    local = rows.groupBy(KEY, BLOCK, HEAD).agg(F.max(END).alias(END), *folded).withColumnRenamed(HEAD, START)
+    local = write_and_read(local, "sessions")
+    out = joined(local, gap, folded)
+    return out.select(*unpacked(keys), F.col(START).alias(start), F.col(END).alias(end), *[F.col(m).alias(c) for c, m in named.items()])
 
 
 class SessionTable:
@@ -97,9 +103,12 @@ class SessionTable:
             return self.spark.createDataFrame([], self._schema).select(*cols)
         return self.spark.read.schema(self._schema).parquet(*paths).select(*cols)
 
-    def batches(self, events: DataFrame, arrival: str, n: int) -> list[DataFrame]:
-        """`events` landed in the shared folder in n parts by time of arrival (null: the last)."""
-        lo, hi = events.agg(F.min(arrival), F.max(arrival)).first() if n > 1 else (None, None)
+    def batches(self, events: DataFrame, arrival: str, n: int, span: DataFrame | None = None) -> list[DataFrame]:
+        """`events` landed in the shared folder in n parts by time of arrival (null: the last).
+
+        span: a cheaper table with the same arrival times, for their first and last.
+        """
+        lo, hi = (events if span is None else span).agg(F.min(arrival), F.max(arrival)).first() if n > 1 else (None, None)
         if lo is None or lo == hi:
             part, n = F.lit(0), 1
         else:
@@ -117,9 +126,7 @@ class SessionTable:
         self._schema = fresh.schema
         manifest = self._manifest()
         if manifest["files"]:
-            path = shared_dir(self.spark, "fresh")
-            fresh.write.parquet(path)
-            fresh = self.spark.read.schema(self._schema).parquet(path)
+            fresh = write_and_read(fresh, "fresh")
             stored = self.read()
             touched = fresh.select(*self.keys).distinct()
             cond = None

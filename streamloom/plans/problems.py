@@ -49,7 +49,7 @@ def p5_found(spark: SparkSession, sf_dir: str) -> DataFrame:
         spark, keys=["rec_id"], start="start_ms", end="end_ms", gap=2000,
         measures={"first_i": "min", "last_i": "max", "n_words": "sum", "n_sentences": "sum"},
     )
-    for batch in table.batches(events, "loaded_at", 3):
+    for batch in table.batches(events, "loaded_at", 3, span=load(spark, sf_dir, "words")):
         table.merge(batch)
     return table.read().select(
         "rec_id", F.col("first_i").cast("int"), F.col("last_i").cast("int"), "start_ms", "end_ms",
