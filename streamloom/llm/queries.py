@@ -6,10 +6,21 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from streamloom.llm.nearest_time import nearest_in_time
+from streamloom.llm.transcript_turns import speaker_turns
 from streamloom.operators.intervals import millis
 from streamloom.plans.tables import load, timed_words
 
 
+def p1_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Clean speaker turns of every recording that has any speaker label."""
+    return speaker_turns(load(spark, sf_dir, "words"), load(spark, sf_dir, "speaker_map"))
+
+
+def p1_turn_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The clean turns with their spoken words."""
+    return speaker_turns(load(spark, sf_dir, "words"), load(spark, sf_dir, "speaker_map"), with_text=True)
+
+
 def p3_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     """For each edge of a valid speaker turn the nearest word edge of the recording within 400 ms."""
     turns = load(spark, sf_dir, "speaker_turns").select("rec_id", "turn_ord", millis(F.col("start_s")).alias("s"), millis(F.col("end_s")).alias("e"))
@@ -35,5 +46,5 @@ m as (select p.rec_id, p.turn_ord, p.edge, q.i, row_number() over (partition by
 select rec_id, turn_ord, edge, i from m where rn = 1
 """
 
-QUERIES = {"p3_found": p3_found}
+QUERIES = {"p1_found": p1_found, "p1_turn_texts": p1_turn_texts, "p3_found": p3_found}
 SQL = {"p3_found": P3_FOUND_SQL}
