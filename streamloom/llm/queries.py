@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from streamloom.llm.nearest_time import nearest_in_time
+from streamloom.llm.personal_data import in_texts, in_words
 from streamloom.llm.transcript_turns import speaker_turns
 from streamloom.operators.intervals import millis
 from streamloom.plans.tables import load, timed_words
@@ -46,5 +47,22 @@ m as (select p.rec_id, p.turn_ord, p.edge, q.i, row_number() over (partition by
 select rec_id, turn_ord, edge, i from m where rn = 1
 """
 
-QUERIES = {"p1_found": p1_found, "p1_turn_texts": p1_turn_texts, "p3_found": p3_found}
+
+
+def p4_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Personal data in the words of each recording and in its text."""
+    words = in_words(load(spark, sf_dir, "words")).withColumn("place", F.lit("word"))
+    texts = load(spark, sf_dir, "recordings").where(F.col("rec_id").isNotNull()).select("rec_id", "text").dropDuplicates()
+    records = in_texts(texts).distinct().withColumn("place", F.lit("record"))
+    out = words.unionByName(records)
+    return out.select("rec_id", "place", "kind", F.col("first_pos").cast("int"), F.col("last_pos").cast("int"))
+
+
+def p4_redacted(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The text of each recording with typed placeholders for personal data."""
+    texts = load(spark, sf_dir, "recordings").select("rec_id", "text").dropDuplicates()
+    return in_texts(texts, redact=True)
+
+
+QUERIES = {"p1_found": p1_found, "p1_turn_texts": p1_turn_texts, "p3_found": p3_found, "p4_found": p4_found, "p4_redacted": p4_redacted}
 SQL = {"p3_found": P3_FOUND_SQL}
