@@ -56,7 +56,8 @@ DIGIT_WORDS = "zero oh one two three four five six seven eight nine".split()
 ID_CUES = ["social", "passport", "card number", "student number", "your number", "id number", "identity number", "insurance number", "licence number", "license number"]
 PHONE_CUES = ["cell", "phone", "call", "reach", "mobile", "dial", "telephone", "ring", "contact"]
 NOT_PERSONAL = "file sheet lists job grant page trial slide catalogue catalog entry version revision section block ratio lane room chapter count".split()
-NOT_PERSON = "effect hall room campus street court study reader task theorem test bridge library college university scale paradigm road".split()
+PLACE_AFTER = "hall room campus street court library college university road building".split()
+EFFECT_AFTER = "effect task theorem test scale paradigm reader study bridge reading equation".split()
 TOP_LEVEL = "com org net edu gov info io co uk us de fr es eu ca example test invalid".split()
 #: Words that begin like a hesitation; slips of the recogniser put them in anywhere.
 SLIPS = "human umbrella ahead era errand umber ermine".split()
@@ -64,7 +65,8 @@ SLIPS = "human umbrella ahead era errand umber ermine".split()
 
 _FAMILY = {a + b for a in FAMILY_FRONT for b in FAMILY_BACK}
 _GIVEN, _TITLES, _STREETS, _UNITS, _DIGITS = set(GIVEN), set(TITLES), set(STREETS), set(UNITS), set(DIGIT_WORDS)
-_NUMBERS, _STOP, _NOT_PERSONAL, _NOT_PERSON, _TLD, _SLIPS = set(NUMBER_WORDS), set(NOT_IN_STREET), set(NOT_PERSONAL), set(NOT_PERSON), set(TOP_LEVEL), set(SLIPS)
+_NUMBERS, _STOP, _NOT_PERSONAL, _TLD, _SLIPS = set(NUMBER_WORDS), set(NOT_IN_STREET), set(NOT_PERSONAL), set(TOP_LEVEL), set(SLIPS)
+_PLACE, _EFFECT = set(PLACE_AFTER), set(EFFECT_AFTER)
 _NOT_LOCAL = set("me it us them him her you look is was are were be site page online hosted available arrive here there and or to by we i stay meet".split())
 
 _EDGE = re.compile(r"^[^\w+@#(]+|[^\w)]+$")
@@ -92,14 +94,29 @@ _DASHED_ID = re.compile(r"\d{3}-\d{2}-\d{4}")
 _INITIAL = re.compile(r"[A-Z]\.")
 
 
+_FORMS: dict[str, tuple[str, str, str, bool, bool]] = {}
+
+
+def _form(t: str) -> tuple[str, str, str, bool, bool]:
+    """A token bare of edge signs, that in lower case, that without possessive ending; whether parsers see it; whether it may repeat."""
+    if len(_FORMS) > 200_000:
+        _FORMS.clear()
+    bare = _EDGE.sub("", t)
+    low = bare.lower()
+    seen = bool(t) and not _SINGLE.fullmatch(t) and not t.endswith("-") and low not in _SLIPS
+    _FORMS[t] = out = (bare, low, _OWNED.sub("", low), seen, low in _DIGITS or any(c.isdigit() for c in t))
+    return out
+
+
 class _Tokens:
     """The tokens parsers see: text, core in lower case, and each one's place in the source."""
 
     def __init__(self, texts: list[str], places: list[int]):
         self.text, self.place = texts, places
-        self.bare = [_EDGE.sub("", t) for t in texts]
-        self.low = [b.lower() for b in self.bare]
-        self.word = [_OWNED.sub("", w) for w in self.low]
+        forms = [_FORMS.get(t) or _form(t) for t in texts]
+        self.bare = [f[0] for f in forms]
+        self.low = [f[1] for f in forms]
+        self.word = [f[2] for f in forms]
 
     def __len__(self) -> int:
         return len(self.text)
@@ -269,8 +286,10 @@ def _name(x: _Tokens, j: int) -> tuple[int, int] | None:
             b = a + 1
     else:
         return None
-    if not ends(b) and b + 1 < len(x) and x.low[b + 1] in _NOT_PERSON:
-        return None
+    if not title and not ends(b) and b + 1 < len(x):
+        after = x.low[b + 1]
+        if after in _PLACE or (after in _EFFECT and j and x.low[j - 1] in ("the", "a", "an", "this", "that")):
+            return None
     return a, b
 
 
@@ -322,8 +341,8 @@ def mentions(texts: list[str], places: list[int]) -> list[tuple[str, int, int]]:
 
 def _visible(values: list[str], ids: np.ndarray, tags: np.ndarray) -> np.ndarray:
     """Which tokens the parsers see: spoken, whole, and the last of repeats."""
-    plain = np.array([bool(v) and not _SINGLE.fullmatch(v) and not v.endswith("-") and _EDGE.sub("", v).lower() not in _SLIPS for v in values])
-    may_repeat = np.array([_EDGE.sub("", v or "").lower() in _DIGITS or any(c.isdigit() for c in v or "") for v in values])
+    forms = [_FORMS.get(v) or _form(v) for v in values]
+    plain, may_repeat = np.array([f[3] for f in forms], bool), np.array([f[4] for f in forms], bool)
     rows = np.flatnonzero(((tags == SPEECH) & plain[ids]) | (tags == SPEAKER))
     keep = np.ones(len(rows), bool)
     if len(rows) > 1:
@@ -394,38 +413,52 @@ def in_words(words: DataFrame, key: str = "rec_id", order: str = "i", text: str
 _PIECE = re.compile(r"[\[(<*][^\[\](<>)*\n]{1,40}[\])>*]:?|>>\s?\w+ \d+:|\S+")
 
 
-def in_text(text: str | None) -> list[tuple[str, int, int]]:
-    """(kind, first, last) of the mentions in a text; 0-based places of their first and last letter or digit."""
-    if not text:
-        return []
-    found = [(m.group(), m.start()) for m in _PIECE.finditer(text)]
-    if not found:
-        return []
-    pieces = [p for p, _ in found]
+def in_many(texts: list[str | None]) -> list[list[tuple[str, int, int]]]:
+    """For each text (kind, first, last) of its mentions; 0-based places of their first and last letter or digit."""
     distinct: dict[str, int] = {}
-    ids = np.array([distinct.setdefault(p, len(distinct)) for p in pieces])
-    values = list(distinct)
-    tags = viterbi(emissions(values)[ids], np.zeros(1, np.int64), _model()[1])
-    rows = _visible(values, ids, tags).tolist()
-    out = []
-    for what, p, q in mentions([pieces[r] if tags[r] == SPEECH else "|" for r in rows], rows):
-        a, b = found[p][1], found[q][1] + len(pieces[q]) - 1
-        while not text[a].isalnum():
-            a += 1
-        while not text[b].isalnum():
-            b -= 1
-        if what == "name" and text[b] in "sS" and text[b - 1] in "'’":
-            b -= 2
-        out.append((what, a, b))
+    ids: list[int] = []
+    place: list[int] = []
+    cuts = [0]
+    for t in texts:
+        for m in _PIECE.finditer(t or ""):
+            ids.append(distinct.setdefault(m.group(), len(distinct)))
+            place.append(m.start())
+        cuts.append(len(ids))
+    out: list[list[tuple[str, int, int]]] = [[] for _ in texts]
+    if not ids:
+        return out
+    values, coded = list(distinct), np.array(ids)
+    first = np.unique(np.array(cuts[:-1]))
+    tags = viterbi(emissions(values)[coded], first[first < len(ids)], _model()[1])
+    spoken = (tags == SPEECH).tolist()
+    for n, text in enumerate(texts):
+        lo, hi = cuts[n], cuts[n + 1]
+        if lo == hi:
+            continue
+        rows = (_visible(values, coded[lo:hi], tags[lo:hi]) + lo).tolist()
+        for what, p, q in mentions([values[ids[r]] if spoken[r] else "|" for r in rows], rows):
+            a, b = place[p], place[q] + len(values[ids[q]]) - 1
+            while not text[a].isalnum():
+                a += 1
+            while not text[b].isalnum():
+                b -= 1
+            if what == "name" and text[b] in "sS" and text[b - 1] in "'’":
+                b -= 2
+            out[n].append((what, a, b))
     return out
 
 
-def redacted(text: str | None) -> str | None:
+def in_text(text: str | None) -> list[tuple[str, int, int]]:
+    """The mentions in one text."""
+    return in_many([text])[0]
+
+
+def redacted(text: str | None, found: list[tuple[str, int, int]] | None = None) -> str | None:
     """The text with a typed placeholder, such as [EMAIL], for each mention."""
     if not text:
         return text
     parts, done = [], 0
-    for what, a, b in in_text(text):
+    for what, a, b in in_text(text) if found is None else found:
         while a > done and text[a - 1] in "+(":
             a -= 1
         parts += [text[done:a], f"[{what.upper()}]"]
@@ -446,8 +479,8 @@ def in_texts(texts: DataFrame, key: str = "rec_id", text: str = "text", redact:
     def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             at, got = [], []
-            for n, t in enumerate(batch["t"].to_pylist()):
-                for m in in_text(t):
+            for n, found in enumerate(in_many(batch["t"].to_pylist())):
+                for m in found:
                     at.append(n)
                     got.append(m)
             k = batch["k"].take(pa.array(at, pa.int64()))
@@ -455,7 +488,8 @@ def in_texts(texts: DataFrame, key: str = "rec_id", text: str = "text", redact:
 
     def replace(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            yield pa.RecordBatch.from_arrays([batch["k"], pa.array([redacted(t) for t in batch["t"].to_pylist()], pa.string())], ["k", "t"])
+            texts = batch["t"].to_pylist()
+            yield pa.RecordBatch.from_arrays([batch["k"], pa.array([redacted(t, m) for t, m in zip(texts, in_many(texts))], pa.string())], ["k", "t"])
 
     kind = rows.schema["k"].dataType.simpleString()
     if redact:
