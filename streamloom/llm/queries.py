@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from streamloom.llm.leaked_tests import leaked_tests
 from streamloom.llm.nearest_time import nearest_in_time
 from streamloom.llm.personal_data import in_texts, in_words
 from streamloom.llm.transcript_turns import speaker_turns
@@ -64,5 +65,16 @@ def p4_redacted(spark: SparkSession, sf_dir: str) -> DataFrame:
     return in_texts(texts, redact=True)
 
 
-QUERIES = {"p1_found": p1_found, "p1_turn_texts": p1_turn_texts, "p3_found": p3_found, "p4_found": p4_found, "p4_redacted": p4_redacted}
+def p6_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents with 12 or more successive words of a held-out passage."""
+    return leaked_tests(load(spark, sf_dir, "documents"), load(spark, sf_dir, "eval_passages")).select("doc_id", "item_id")
+
+
+def p6_coverage(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same pairs with tiles and the share of the passage they cover; `whole` from half of it on."""
+    pairs = leaked_tests(load(spark, sf_dir, "documents"), load(spark, sf_dir, "eval_passages"))
+    return pairs.withColumn("share", F.round(F.col("covered") / F.col("item_words"), 4)).withColumn("whole", F.col("share") >= 0.5)
+
+
+QUERIES = {"p1_found": p1_found, "p1_turn_texts": p1_turn_texts, "p3_found": p3_found, "p4_found": p4_found, "p4_redacted": p4_redacted, "p6_found": p6_found, "p6_coverage": p6_coverage}
 SQL = {"p3_found": P3_FOUND_SQL}
