@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from streamloom.llm.content_scores import found_kinds, rates, score_content
 from streamloom.llm.leaked_tests import leaked_tests
 from streamloom.llm.nearest_time import nearest_in_time
 from streamloom.llm.personal_data import in_texts, in_words
@@ -76,5 +77,20 @@ def p6_coverage(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pairs.withColumn("share", F.round(F.col("covered") / F.col("item_words"), 4)).withColumn("whole", F.col("share") >= 0.5)
 
 
-QUERIES = {"p1_found": p1_found, "p1_turn_texts": p1_turn_texts, "p3_found": p3_found, "p4_found": p4_found, "p4_redacted": p4_redacted, "p6_found": p6_found, "p6_coverage": p6_coverage}
+def p8_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents with abusive, hateful or sexual content, a row for each kind."""
+    return found_kinds(score_content(load(spark, sf_dir, "documents"))).select("doc_id", "kind")
+
+
+def p8_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The three scores of every document."""
+    return score_content(load(spark, sf_dir, "documents"))
+
+
+def p8_rates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rates of each kind per source."""
+    return rates(score_content(load(spark, sf_dir, "documents"), keep=["source"]))
+
+
+QUERIES = {"p1_found": p1_found, "p1_turn_texts": p1_turn_texts, "p3_found": p3_found, "p4_found": p4_found, "p4_redacted": p4_redacted, "p6_found": p6_found, "p6_coverage": p6_coverage, "p8_found": p8_found, "p8_scores": p8_scores, "p8_rates": p8_rates}
 SQL = {"p3_found": P3_FOUND_SQL}
