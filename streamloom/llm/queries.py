@@ -9,6 +9,7 @@ from streamloom.llm.content_scores import found_kinds, rates, score_content
 from streamloom.llm.leaked_tests import leaked_tests
 from streamloom.llm.nearest_time import nearest_in_time
 from streamloom.llm.personal_data import in_texts, in_words
+from streamloom.llm.source_mixing import mix_sources
 from streamloom.llm.transcript_turns import speaker_turns
 from streamloom.operators.intervals import millis
 from streamloom.plans.tables import load, timed_words
@@ -77,6 +78,16 @@ def p6_coverage(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pairs.withColumn("share", F.round(F.col("covered") / F.col("item_words"), 4)).withColumn("whole", F.col("share") >= 0.5)
 
 
+def p7_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The mixed corpus: a row for each time a document is taken."""
+    return mix_sources(load(spark, sf_dir, "documents"), load(spark, sf_dir, "mix_targets"))[0]
+
+
+def p7_shares(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Targets, repeats and the actual shares of the mix."""
+    return mix_sources(load(spark, sf_dir, "documents"), load(spark, sf_dir, "mix_targets"))[1]
+
+
 def p8_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents with abusive, hateful or sexual content, a row for each kind."""
     return found_kinds(score_content(load(spark, sf_dir, "documents"))).select("doc_id", "kind")
@@ -92,5 +103,5 @@ def p8_rates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rates(score_content(load(spark, sf_dir, "documents"), keep=["source"]))
 
 
-QUERIES = {"p1_found": p1_found, "p1_turn_texts": p1_turn_texts, "p3_found": p3_found, "p4_found": p4_found, "p4_redacted": p4_redacted, "p6_found": p6_found, "p6_coverage": p6_coverage, "p8_found": p8_found, "p8_scores": p8_scores, "p8_rates": p8_rates}
+QUERIES = {"p1_found": p1_found, "p1_turn_texts": p1_turn_texts, "p3_found": p3_found, "p4_found": p4_found, "p4_redacted": p4_redacted, "p6_found": p6_found, "p6_coverage": p6_coverage, "p7_mix": p7_mix, "p7_shares": p7_shares, "p8_found": p8_found, "p8_scores": p8_scores, "p8_rates": p8_rates}
 SQL = {"p3_found": P3_FOUND_SQL}
