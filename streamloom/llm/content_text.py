@@ -5,7 +5,7 @@ from __future__ import annotations
 import re
 import unicodedata
 import zlib
-from itertools import islice
+from itertools import repeat
 
 import numpy as np
 
@@ -62,9 +62,11 @@ def letters(word: str) -> list[int]:
 
 
 class Vocabulary:
-    """Numbers for folded tokens, kept over batches; `single` marks one-letter tokens, which may be a word spelled out."""
+    """Numbers for folded tokens, kept over batches. One-letter tokens have codes of their own, as they may spell a word."""
 
-    DROPPED, BREAK = -1, -2
+    DROPPED, UNKNOWN = -1, -2
+    #: The code of the k-th letter is LETTER - 2 k, less 1 if a stop follows it.
+    LETTER = -10
 
     def __init__(self, most: int = 100_000):
         self.most = most
@@ -73,8 +75,9 @@ class Vocabulary:
     def clear(self) -> None:
         self.number: dict[str, int] = {}
         self.raw: dict[str, int] = {}
-        self.raw_letter: dict[int, str] = {}
         self.words: list[str] = []
+        self.letters: list[str] = []
+        self.letter_word = np.zeros(0, np.int64)
 
     def of(self, word: str) -> int:
         n = self.number.get(word)
@@ -84,25 +87,33 @@ class Vocabulary:
         return n
 
     def _raw(self, token: str) -> int:
-        word = fold(token)
         bare = _EDGE.sub("", token)
         if len(bare) == 1 and (bare.isalnum() or bare in "@$"):
-            # A letter on its own: >= 0 numbers are words, codes from -10 down letters (the sign tells a stop behind it).
-            code = -(10 + 2 * ord(bare) + (token[-1:] in ".,;:!?"))
-            self.raw_letter[code] = bare
-            self.raw[token] = code
-            return code
-        self.raw[token] = n = self.DROPPED if word is None else self.of(word)
+            if bare not in self.letters:
+                self.letters.append(bare)
+                own = self.of(fold(bare) or bare.lower()) if bare.isalpha() else self.DROPPED
+                self.letter_word = np.r_[self.letter_word, own]
+            n = self.LETTER - 2 * self.letters.index(bare) - (token[-1:] in ".,;:!?")
+        else:
+            word = fold(token)
+            n = self.DROPPED if word is None else self.of(word)
+        self.raw[token] = n
         return n
 
     def encode(self, text: str | None) -> np.ndarray:
         """Word numbers of a text; three or more letters in a row are put together to one word."""
         if not text:
             return np.zeros(0, np.int64)
-        get, make = self.raw.get, self._raw
-        ids = np.array([n if (n := get(t)) is not None else make(t) for t in text.split()], np.int64)
-        if (ids <= -10).any():
-            ids = self._put_together(ids)
+        tokens = text.split()
+        ids = np.fromiter(map(self.raw.get, tokens, repeat(self.UNKNOWN)), np.int64, len(tokens))
+        for k in np.flatnonzero(ids == self.UNKNOWN).tolist():
+            ids[k] = self._raw(tokens[k])
+        letter = ids <= self.LETTER
+        if letter.any():
+            if (letter[:-2] & letter[1:-1] & letter[2:]).any():
+                ids = self._put_together(ids)
+            else:
+                ids[letter] = self.letter_word[(self.LETTER - ids[letter]) // 2]
         return ids[ids >= 0]
 
     def _put_together(self, ids: np.ndarray) -> np.ndarray:
@@ -110,28 +121,18 @@ class Vocabulary:
         run: list[int] = []
 
         def close() -> None:
-            word = "".join(self.raw_letter[c] for c in run)
-            if len(run) >= 3:
-                w = fold(word)
-                if w:
-                    out.append(self.of(w))
-            else:
-                out.extend(self.of(self.raw_letter[c].lower()) for c in run if self.raw_letter[c].isalpha())
+            which = [(self.LETTER - c) // 2 for c in run]
+            word = fold("".join(self.letters[k] for k in which)) if len(run) >= 3 else None
+            out.extend([self.of(word)] if word else [int(self.letter_word[k]) for k in which])
             run.clear()
 
         for n in ids.tolist():
-            if n <= -10:
+            if n <= self.LETTER:
                 run.append(n)
-                if (-n - 10) % 2:
+                if (self.LETTER - n) % 2:
                     close()
             else:
                 close()
                 out.append(n)
         close()
         return np.array(out, np.int64)
-
-
-def chunks(items: list, size: int):
-    it = iter(items)
-    while part := list(islice(it, size)):
-        yield part
