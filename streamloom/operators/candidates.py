@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from streamloom.functions import tokens as tk
+from streamloom.operators.shared import write_and_read
 from streamloom.operators.stream import PAUSE_S, rec
 
 # -- fixed values: thresholds, word lists and class order of the two versions ------------
@@ -195,6 +196,7 @@ def candidates(st: DataFrame, hits: DataFrame, turns: DataFrame, version: int =
         parts.append(clause_cues(p))
     out = reduce(DataFrame.unionByName, parts)
     if version == 2:
+        out = write_and_read(out, "windows")  # read twice below
         out = out.unionByName(pairs(p, out))
     rank = F.array_position(F.array(*[F.lit(c) for c in ORDER[version]]), F.col("class"))
     out = out.withColumn("id", F.row_number().over(Window.partitionBy("rec_id").orderBy("a", "b", rank, "at")))
