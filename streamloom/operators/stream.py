@@ -151,7 +151,7 @@ def stretches(words: DataFrame) -> DataFrame:
 
 def stream(words: DataFrame, turns: DataFrame, names: DataFrame | None = None) -> DataFrame:
     """words -> spoken -> assigned -> smoothed -> (named) -> sentences and stretches."""
-    w = spoken(words_once(words)).drop("speaker")
+    w = spoken(words_once(words)).withColumnRenamed("speaker", "asr_speaker")
     w = smoothed(assigned(w, turns_once(turns)))
     if names is not None:
         w = named(w, names)

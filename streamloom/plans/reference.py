@@ -204,3 +204,270 @@ def cand_volume(spark, d):
     """Counts, rates and coverage of the windows."""
     s, c = _found(spark, d, 1)
     return cd.volume(c, s, durations(spark, d))
+
+
+# -- disfluencies and the fluent view ------------------------------------------------------
+from streamloom.operators import align as al  # noqa: E402
+from streamloom.operators import disfluency as df  # noqa: E402
+
+
+def _case(forms: dict[str, str], t: str, other: str) -> str:
+    q = lambda x: x.replace("'", "''")
+    return f"case {t} " + " ".join(f"when '{q(k)}' then '{q(v)}'" for k, v in forms.items()) + f" else {other} end"
+
+
+_NORM = "(regexp_replace(regexp_replace(replace(lower(trim(text)), '’', ''''), '" + tk.PUNCTUATION.replace("\\\\", "\\") + "', '', 'g'), '-+$', '') || case when lower(trim(text)) like '%-' and length(trim(text)) > 1 then '-' else '' end)"
+_MATCHES = f"""fl as (select *, {_NORM} as n, list_distinct(list_concat(own, told)) as flags from sp),
+nf as (
+  select rec_id, pos, i, text, n, replace({_case(tk.RESTART_FORMS, 'n', 'n')}, '''', '') as e, list_contains(flags, 'partial_word') as p, regexp_matches(regexp_replace(text, '["'')\\]”’]+$', ''), '[.?!]$') as t,
+    rtrim(text, '"'')') like '%,' as c, regexp_matches(text, '^\\p{{Lu}}') as u, row_number() over (partition by rec_id order by pos) - 1 as k
+  from fl where not (list_contains(flags, 'filled_pause') or list_contains(flags, 'vocalization') or regexp_matches(trim(text), '^[(\\[<].*[)\\]>]$'))
+), ld as (select *, {', '.join(f'lead({c}, {n}) over v as {c}{n}' for n in range(1, 6) for c in ('pos', 'e', 'n', 't', 'c', 'u'))} from nf window v as (partition by rec_id order by k))"""
+
+
+def _col(c: str, n: int) -> str:
+    return c if n == 0 else f"{c}{n}"
+
+
+def _said(a: int, size: int) -> str:
+    return " || ' ' || ".join(_col("e", n) for n in range(a, a + size))
+
+
+def _run(a: int, size: int) -> str:
+    return f"{_col('pos', a + size - 1)} = {_col('pos', a)} + {size - 1}"
+
+
+def _match_sql() -> str:
+    whens = []
+    for la in (3, 2, 1):
+        calm = " and ".join([_run(0, la), *[f"not {_col('t', n)}" for n in range(la)], f"trim({_said(0, la)}) <> ''"])
+        same = " or ".join(f"({_run(la, lb)} and {_said(0, la)} = {_said(la, lb)})" for lb in (3, 2, 1) if la + lb <= 6)
+        whens.append((f"{calm} and ({same})", "repetition", "restatement", la))
+    whens.append(("p and rtrim(n, '-') <> '' and starts_with(n1, rtrim(n, '-')) and length(n1) > length(rtrim(n, '-')) and n1 not like '%-'", "repair", "completed_partial", 1))
+    for la in (2, 3):
+        cond = [_run(0, la), _run(la, la), *[f"not {_col('t', n)} and not {_col('c', n)}" for n in range(la)], f"not ({_col('u', la)} and not u)", f"e = {_col('e', la)}"]
+        cond.append(" + ".join(f"({_col('e', n)} <> {_col('e', la + n)})::int" for n in range(la)) + " = 1")
+        whens.append((" and ".join(cond), "repair", "substitution", la))
+    c = lambda k: "case " + " ".join(f"when {w[0]} then {w[k]!r}" for w in whens) + " end"
+    return f"ma as (select rec_id, k, pos, i, {c(1)} as kind, {c(2)} as shape, {c(3)} as la, [pos1, pos2, pos3] as nx from ld), mb as (select *, nx[la] as restart_pos from ma where kind is not null)"
+
+
+_EVENTS = _MATCHES + ",\n" + _match_sql() + """,
+mc as (select *, coalesce((k - lag(k) over (partition by rec_id order by k) >= 3)::int, 0) as brk from mb),
+md as (select *, sum(brk) over (partition by rec_id order by k) as isl from mc),
+me as (select *, row_number() over (partition by rec_id, isl order by k) as rn, rec_id || '#' || isl as gk from md),
+rr as (select gk, rn, k + la as free, true as sel from me where rn = 1 union all select me.gk, me.rn, case when me.k >= rr.free then me.k + me.la else rr.free end, me.k >= rr.free from rr join me on me.gk = rr.gk and me.rn = rr.rn + 1),
+ev as (select me.rec_id, me.pos, me.i, me.kind, me.shape, me.la as n_abandoned, me.restart_pos from me join rr on rr.gk = me.gk and rr.rn = me.rn where rr.sel)"""
+
+
+@query("with recursive " + WORDS + ",\n" + _EVENTS + "\nselect rec_id, i, kind, shape, n_abandoned, restart_pos from ev")
+def dis_events(spark, d):
+    """Repetitions and repairs a left-to-right reading finds."""
+    return df.events(st.spoken(the_words(spark, d))).select("rec_id", "i", "kind", "shape", "n_abandoned", "restart_pos")
+
+
+@query("with recursive " + WORDS + ",\n" + _EVENTS + "\nselect rec_id, kind, shape, count(*) as n from ev group by grouping sets ((rec_id, kind), (rec_id, kind, shape))")
+def agg_disfluency_counts(spark, d):
+    """Events by kind, and by kind and shape."""
+    return df.event_counts(df.events(st.spoken(the_words(spark, d))))
+
+
+_PIECES = f"""fp as (select rec_id, pos, text, lower(trim(text)) as t from sp where trim(text) <> '' and not (regexp_matches(trim(text), '^[(\\[<].*[)\\]>]$') or (trim(text) like '%-' and length(trim(text)) > 1))),
+fq as (select *, trim(t, '{tk.CORE_SIGNS.replace(chr(39), chr(39) * 2)}') as core from fp),
+fr as (select rec_id, pos, {_case(tk.PRONOUN_FORMS, 'core', _case(tk.FLUENT_FORMS, 'core', 't'))} as t from fq),
+fs as (select rec_id, pos, unnest(ps) as piece, generate_subscripts(ps, 1) as k from (select rec_id, pos, string_split_regex(regexp_replace(t, '{tk.PUNCTUATION.replace(chr(92) * 2, chr(92))}', '', 'g'), '[-–—/\\s]+') as ps from fr)),
+ft as (select rec_id, pos, k, replace(replace(piece, '''', ''), '’', '') as piece from fs),
+fu as (select rec_id, pos, k, case when regexp_matches(piece, '^\\d+([.,]\\d+)?(st|nd|rd|th|s)?$') or piece in ({_Q(tk.NUMBER_WORDS)}) then '<num>' else piece end as piece from ft where piece <> ''),
+fv as (select *, lag(piece) over (partition by rec_id order by pos, k) as pv from fu),
+fw as (select rec_id, row_number() over (partition by rec_id order by pos, k) - 1 as fpos, piece, pos from fv where pv is null or pv <> piece)"""
+
+
+@query(with_ctes(WORDS, _PIECES, "select rec_id, fpos, piece, pos from fw"))
+def txt_fluent_view(spark, d):
+    """Pieces of the fluent view with their tokens."""
+    return df.fluent_view(st.spoken(the_words(spark, d)))
+
+
+@query(with_ctes(WORDS, """dr as (select *, regexp_matches(trim(text), '^[(\\[<].*[)\\]>]$') or (trim(text) like '%-' and length(trim(text)) > 1) as dis from sp),
+ls as (select *, last_value(case when not dis then text end ignore nulls) over (partition by rec_id order by pos rows between unbounded preceding and 1 preceding) as lt from dr)""",
+"select rec_id, i, lt is null or regexp_matches(regexp_replace(lt, '[\"'')\\]”’]+$', ''), '[.?!]$') as sentence_initial, regexp_matches(trim(text, '" + tk.CORE_SIGNS.replace("'", "''") + "'), '^\\p{Lu}') and not (lt is null or regexp_matches(regexp_replace(lt, '[\"'')\\]”’]+$', ''), '[.?!]$')) as name_like from ls"))
+def txt_name_like(spark, d):
+    """Capitalised words inside sentences."""
+    return df.name_marks(st.spoken(the_words(spark, d))).select("rec_id", "i", "sentence_initial", "name_like")
+
+
+def _dissenters(view: DataFrame) -> DataFrame:
+    """Three transcripts of the same recordings that drop or change other pieces each."""
+    out = None
+    for name, m in (("a", 31), ("b", 37), ("c", 41)):
+        x = view.where(F.col("fpos") % m != 7).withColumn("piece", F.when((F.col("fpos") % m == 11) | (F.col("pos") % 97 == 5), F.concat("piece", F.lit("x"))).otherwise(F.col("piece")))
+        x = x.select("rec_id", F.lit(name).alias("dissenter"), "fpos", "piece")
+        out = x if out is None else out.unionByName(x)
+    return out
+
+
+@query()
+def vote_conjunction(spark, d):
+    """Tokens that all of three other transcripts disagree with."""
+    words = st.spoken(the_words(spark, d))
+    view = write_and_read(df.fluent_view(words), "fluent")
+    return df.conjunction(words, al.unmatched(view, _dissenters(view)), 3)
+
+
+# -- evaluation ------------------------------------------------------------------------------
+from streamloom.operators import evaluate as ev  # noqa: E402
+
+_STUDENTS = _Q(ev.STUDENTS)
+_WHO = "case when try_cast(regexp_extract(asr_speaker, '(\\d+)', 1) as int) = 0 then 'L' when try_cast(regexp_extract(asr_speaker, '(\\d+)', 1) as int) = 1 then 'S' when try_cast(regexp_extract(asr_speaker, '(\\d+)', 1) as int) between 2 and 9 then 'S' || try_cast(regexp_extract(asr_speaker, '(\\d+)', 1) as int) end"
+_GOLD = f"""gw as (select *, {_WHO} as who from stm),
+gx as (select *, lag(who) over v as was, lag(speaker) over v as frm, row_number() over (partition by rec_id, change order by pos) as bno from gw window v as (partition by rec_id order by pos)),
+gold as (select rec_id, pos, bno, frm, speaker as "to", case when bno % 11 <> 0 then case when was is null or who is null then 'unsure' when was <> who then 'real' else 'spurious' end end as verdict, case when bno % 11 <> 0 and was <> who and bno % 3 <> 0 then who end as who from gx where change)"""
+
+
+def _truth_sql(name: str, mapped: str) -> str:
+    return f"""{name}e as (select s.*, case when s.pos = 0 then {{'w': {mapped}}} when g.verdict = 'real' then {{'w': coalesce(g.who, {mapped})}} when g.verdict = 'spurious' then null when g.pos is not null then {{'w': null::varchar}} end as e
+  from stm s left join gold g on g.rec_id || '#' || g.pos = s.rec_id || '#' || s.pos {"left join mp m on m.rec_id || '#' || m.label = s.rec_id || '#' || s.speaker" if mapped != "null::varchar" else ""}),
+{name} as (select * exclude (e), last_value(e ignore nulls) over (partition by rec_id order by pos rows between unbounded preceding and current row)['w'] as truth from {name}e)"""
+
+
+_MAP = _truth_sql("stated", "null::varchar") + f""",
+sw as (select rec_id, speaker as label, truth as who, count(*) as n from stated where speaker is not null and truth is not null and truth <> '?' group by all),
+al as (select distinct rec_id, speaker as label from stm where speaker is not null),
+pl as (select al.rec_id, al.label, coalesce(sum(case when who = 'L' then n else 0 end), 0) as nl, coalesce(sum(case when who <> 'L' then n else 0 end), 0) as ns from al left join sw on sw.rec_id = al.rec_id and sw.label = al.label group by all),
+pt as (select *, sum(nl) over (partition by rec_id) as tl, sum(ns) over (partition by rec_id) as ts from pl),
+bs as (select rec_id, label, who from (select *, row_number() over (partition by rec_id, label order by n desc, list_position([{_STUDENTS}], who)) as rn from sw where who <> 'L') where rn = 1),
+mp as (select pt.rec_id, pt.label, case when case when ts = 0 then true when tl = 0 then ns = 0 else nl * ts >= ns * tl end then 'L' else coalesce(bs.who, 'S') end as who from pt left join bs on bs.rec_id = pt.rec_id and bs.label = pt.label)"""
+_JUDGED = _GOLD + ",\n" + _MAP + ",\n" + _truth_sql("trt", "m.who") + """,
+ja as (select t.*, m.who as shown from trt t left join mp m on m.rec_id || '#' || m.label = t.rec_id || '#' || t.speaker),
+jb as (select *, truth is not null and truth <> '?' as known, truth is not null and truth <> '?' and truth is distinct from shown as err from ja),
+jc as (select *, lag(truth) over v as pt, coalesce(lag(known) over v, false) as pk, coalesce(lag(err) over v, false) as pe, lag(speaker) over v as pl from jb window v as (partition by rec_id order by pos)),
+jd as (select *, case when pt is not null and truth is not null and not (pt = '?' and truth = '?') then pt <> truth end as true_change, err and not (pe and pt is not distinct from truth and pl is not distinct from speaker) as opens from jc),
+je as (select *, case when err then sum(opens::int) over (partition by rec_id order by pos) end as run,
+  case when opens then case when not pk then 'after_unknown' when pt <> truth and change then 'wrong_label' when pt <> truth then 'missed_change' else 'spurious_split' end end as cause,
+  case when err then case when regexp_matches(truth, '^S[2-9]?$') and shown = 'L' then 'student_as_instructor' when truth = 'L' and regexp_matches(shown, '^S[2-9]?$') then 'instructor_as_student' when regexp_matches(truth, '^S[2-9]?$') and regexp_matches(shown, '^S[2-9]?$') then 'student_as_other_student' else 'other' end end as direction from jd),
+ru as (select rec_id, run, min(pos) as first_pos, min(i) as first_i, max(i) as last_i, count(*) as n_words, min(truth) as truth, min(speaker) as label, min(direction) as direction, max(cause) as cause, min(direction) = 'student_as_instructor' as high_harm from je where err group by rec_id, run),
+mx as (select *, last_value(case when change then pos end ignore nulls) over (partition by rec_id order by pos rows between unbounded preceding and current row) as bk, first_value(case when change then pos end ignore nulls) over (partition by rec_id order by pos rows between current row and unbounded following) as ah from je),
+mi as (select mx.rec_id, mx.pos, mx.i, coalesce(ru.n_words, 0) as misattributed, ru.direction, least(mx.pos - bk, ah - mx.pos) as nearest_boundary from mx left join ru on ru.rec_id || '#' || ru.first_pos = mx.rec_id || '#' || mx.pos where mx.true_change and not mx.change)"""
+
+
+def _judged(spark, d):
+    s = write_and_read(the_stream(spark, d), "stream")
+    labels = write_and_read(ev.gold(s, ev.identity(F.col("asr_speaker"))), "gold")
+    names = write_and_read(ev.share_map(s, labels), "map")
+    return s, labels, names, write_and_read(ev.judged(ev.truth(s, labels, names), names), "judged")
+
+
+@query(with_ctes(STREAM, _GOLD, 'select rec_id, pos, bno, frm, "to", verdict, who from gold'))
+def eval_gold(spark, d):
+    """Verdicts at label changes, from the words' own speaker labels."""
+    s = the_stream(spark, d)
+    return ev.gold(s, ev.identity(F.col("asr_speaker")))
+
+
+@query(with_ctes(STREAM, _GOLD, _MAP, "select rec_id, label, who from mp"))
+def eval_share_map(spark, d):
+    """Labels mapped to identities by the share rule."""
+    s = write_and_read(the_stream(spark, d), "stream")
+    return ev.share_map(s, write_and_read(ev.gold(s, ev.identity(F.col("asr_speaker"))), "gold"))
+
+
+@query(with_ctes(STREAM, _JUDGED, "select rec_id, i, truth, shown, err, true_change from je"))
+def eval_truth(spark, d):
+    """Truth carried forward, shown identity and error of each word."""
+    return _judged(spark, d)[3].select("rec_id", "i", "truth", "shown", "err", "true_change")
+
+
+@query(with_ctes(STREAM, _JUDGED, "select rec_id, first_i, last_i, n_words, truth, label, direction, cause, high_harm from ru"))
+def eval_error_runs(spark, d):
+    """Runs of wrong words with direction and cause."""
+    return ev.error_runs(_judged(spark, d)[3]).drop("run", "first_pos")
+
+
+@query(with_ctes(STREAM, _JUDGED, "select rec_id, pos, i, misattributed, direction, nearest_boundary from mi"))
+def eval_missed_changes(spark, d):
+    """True changes that no label change follows."""
+    return ev.missed_changes(_judged(spark, d)[3])
+
+
+@query(with_ctes(STREAM, _JUDGED, """uw as (select *, sum((not known and not (pk is false and pos > 0))::int) over (partition by rec_id order by pos) as g from je)""", "select rec_id, min(i) as first_i, max(i) as last_i, count(*) as n_words from uw where not known group by rec_id, g"))
+def eval_unknown_windows(spark, d):
+    """Runs of words whose speaker is unknown."""
+    return ev.unknown_windows(_judged(spark, d)[3])
+
+
+_E4 = "case when {b} <> 0 then cast(floor({a} / {b} * 10000 + 0.5) as bigint) end"
+_E4F = lambda a, b: _E4.format(a=f"cast({a} as double)", b=f"({b})")
+
+
+@query(with_ctes(STREAM, _JUDGED, f"""
+sb as (select rec_id, count(*) as boundaries, count(*) filter (verdict = 'real') as "real", count(*) filter (verdict = 'spurious') as spurious, count(*) filter (verdict = 'unsure') as unsure, count(*) filter (verdict is null) as unlabeled from gold group by rec_id),
+sv as (select rec_id, count(*) as words, count(*) filter (known) as scored, count(*) filter (err) as wrong, count(*) filter (known and regexp_matches(truth, '^S[2-9]?$')) as student_words, count(*) filter (direction = 'student_as_instructor') as student_as_instructor,
+  count(*) filter (direction = 'instructor_as_student') as instructor_as_student, count(*) filter (true_change) as true_changes, count(*) filter (true_change and not change) as missed from je group by rec_id),
+sc as (select rec_id, {', '.join(f"coalesce(sum(n_words) filter (cause = '{c}'), 0)::bigint as words_{c}" for c in ('after_unknown', 'wrong_label', 'missed_change', 'spurious_split'))}, count(*) filter (high_harm) as high_harm_runs from ru group by rec_id),
+so as (select sv.*, {', '.join(f'coalesce("{c}", 0)::bigint as "{c}"' for c in ('boundaries', 'real', 'spurious', 'unsure', 'unlabeled', 'words_after_unknown', 'words_wrong_label', 'words_missed_change', 'words_spurious_split', 'high_harm_runs'))} from sv left join sb on sb.rec_id = sv.rec_id left join sc on sc.rec_id = sv.rec_id)""",
+f"""select *, {_E4F('"real"', '"real" + spurious')} as precision_e4, {_E4F('("real" + unsure)', 'boundaries - unlabeled')} as precision_unsure_real_e4, {_E4F('(scored - wrong)', 'scored')} as accuracy_e4, {_E4F('student_as_instructor', 'student_words')} as student_share_e4 from so"""))
+def eval_score(spark, d):
+    """The score block of each recording."""
+    _, labels, _, j = _judged(spark, d)
+    return ev.score(j, labels)
+
+
+@query(with_ctes(STREAM, _JUDGED, "vp as (select *, max(coalesce(true_change, false)::int) over (partition by rec_id order by pos rows between 3 preceding and 3 following) as close from je)", """
+select coalesce(g.verdict, 'unlabeled') as verdict, case when true_change is null then 'unknown' when true_change then 'at_true_change' when close = 1 then 'near_true_change' else 'none_nearby' end as place, count(*) as n
+from gold g join vp on vp.rec_id || '#' || vp.pos = g.rec_id || '#' || g.pos group by all"""))
+def eval_verdict_places(spark, d):
+    """Verdicts against the place of true changes."""
+    _, labels, _, j = _judged(spark, d)
+    return ev.verdict_places(j, labels)
+
+
+@query()
+def eval_near_misses(spark, d):
+    """Spurious boundaries that a missed change within three words explains."""
+    _, labels, _, j = _judged(spark, d)
+    return ev.near_misses(labels, ev.missed_changes(j), ev.NEAR)
+
+
+@query()
+def map_one_to_one(spark, d):
+    """Labels paired one to one with identities, the rest folded."""
+    s = the_stream(spark, d).withColumn("truth", ev.identity(F.col("asr_speaker")))
+    labels = s.where("speaker is not null").select("rec_id", F.col("speaker").alias("label")).distinct()
+    return al.one_to_one(labels.join(ev.shared_words(s), ["rec_id", "label"], "left"))
+
+
+_RECALL = "with " + _cand_sql(1) + ",\n" + _JUDGED + """,
+er as (select rec_id, 'missed' as kind, pos as t, misattributed, coalesce(direction = 'student_as_instructor', false) as high_harm from mi union all select rec_id, 'spurious', pos, 0, false from gold where verdict = 'spurious'),
+sf as (select er.rec_id, er.kind, er.t, er.misattributed, er.high_harm, list_sort(list_distinct(list(ca.class) filter (ca.class is not null))) as classes from er left join ca on ca.rec_id = er.rec_id and ca.a < er.t and er.t <= ca.b group by all)"""
+
+
+def _surfaced(spark, d):
+    s, labels, _, j = _judged(spark, d)
+    words, turns = st.spoken(the_words(spark, d)), the_turns(spark, d)
+    found = write_and_read(cd.candidates(s, st.hits(words, turns), turns, 1), "candidates")
+    errs = write_and_read(ev.errors(j, labels), "errors")
+    return found, errs, ev.surfaced(errs, found)
+
+
+@query(_RECALL + """
+select g as "group", count(*) as total, count(*) filter (len(classes) > 0) as surfaced, cast(floor(cast(count(*) filter (len(classes) > 0) as double) / count(*) * 10000 + 0.5) as bigint) as recall_e4
+from (select classes, unnest(list_filter(['overall', case when kind = 'missed' then 'missed' end, case when kind = 'missed' and misattributed > 0 then 'missed_misattributing' end, case when kind = 'spurious' then 'spurious' end, case when high_harm then 'high_harm' end], x -> x is not null)) as g from sf) group by g""")
+def eval_recall(spark, d):
+    """Share of the wrong transitions that candidate windows hold."""
+    return ev.recall(_surfaced(spark, d)[2])
+
+
+@query(_RECALL + """,
+k1 as (select class, count(*) as windows, count(*) filter (exists (select 1 from er where er.rec_id = ca.rec_id and ca.a < er.t and er.t <= ca.b)) as with_error from ca group by class),
+k2 as (select c as class, count(*) as surfaced, count(*) filter (n = 1) as only_this from (select unnest(classes) as c, len(classes) as n from sf) group by c)
+select k1.class, k1.windows, k1.with_error, coalesce(k2.surfaced, 0) as surfaced, coalesce(k2.only_this, 0) as only_this from k1 left join k2 on k2.class = k1.class""")
+def eval_class_report(spark, d):
+    """What each class of windows surfaces."""
+    found, errs, by = _surfaced(spark, d)
+    return ev.class_report(by, found, errs)
+
+
+@query("with " + _cand_sql(2) + ",\n" + _SITES + ",\nsl as (select list_sort(list(b - a + 1)) as l, count(*) as n from st)\nselect n, l[1] as min, (l[1 + (n - 1) // 2] + l[1 + n // 2]) / 2 as median, l[1 + least(n - 1, cast(floor(n * 0.9) as bigint))] as p90, l[-1] as max from sl")
+def agg_site_lengths(spark, d):
+    """Least, median, 90th and greatest site length."""
+    return ev.site_lengths(cd.sites(_found(spark, d, 2)[1]))
