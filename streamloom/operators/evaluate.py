@@ -36,6 +36,13 @@ def gold(st: DataFrame, who: Column) -> DataFrame:
     return x.select("rec_id", "pos", "bno", "frm", "to", "verdict", F.when((F.col("verdict") == "real") & (F.col("bno") % 3 != 0), F.col("is")).alias("who"))
 
 
+def gold_markers(st: DataFrame, who: Column) -> DataFrame:
+    """Speaker changes inside a label's stretch, as a reader marks them: rec_id, pos, ord, who."""
+    w = rec()
+    x = st.select("rec_id", "pos", "change", F.lag(who).over(w).alias("was"), who.alias("who"))
+    return x.where(~F.col("change") & (F.col("was") != F.col("who"))).select("rec_id", "pos", F.lit(0).alias("ord"), "who")
+
+
 def truth(st: DataFrame, labels: DataFrame, names: DataFrame | None = None, markers: DataFrame | None = None) -> DataFrame:
     """Adds truth: the speaker the labels state for each word, carried forward; null is unknown.
 
@@ -69,13 +76,13 @@ def shared_words(x: DataFrame, who: str = "truth") -> DataFrame:
     return x.where(F.col("speaker").isNotNull() & F.col(who).isNotNull() & (F.col(who) != UNKNOWN)).groupBy("rec_id", F.col("speaker").alias("label"), F.col(who).alias("who")).agg(F.count("*").alias("n"))
 
 
-def share_map(st: DataFrame, labels: DataFrame) -> DataFrame:
+def share_map(st: DataFrame, labels: DataFrame, markers: DataFrame | None = None) -> DataFrame:
     """Label to identity by shares of the stated words: (rec_id, label, who).
 
     A label is the instructor's if its share of the instructor's stated words is at
     least its share of the students'; else it is its most frequent student.
     """
-    stated = truth(st, labels)
+    stated = truth(st, labels, None, markers)
     n = shared_words(stated)
     order = F.array_position(F.array(*[F.lit(s) for s in STUDENTS]), F.col("who"))
     per = n.groupBy("rec_id", "label").agg(
@@ -143,8 +150,8 @@ def unknown_windows(j: DataFrame) -> DataFrame:
 
 
 def ratio(a: Column, b: Column) -> Column:
-    """a / b in ten-thousandths, half up; null for b = 0."""
-    return F.when(b != 0, F.floor(a / b * 10000 + 0.5))
+    """a / b in ten-thousandths, half up, as a double; null for b = 0."""
+    return F.when(b != 0, F.floor(a / b * 10000 + 0.5).cast("double"))
 
 
 def score(j: DataFrame, labels: DataFrame) -> DataFrame:

@@ -321,12 +321,13 @@ _STUDENTS = _Q(ev.STUDENTS)
 _WHO = "case when try_cast(regexp_extract(asr_speaker, '(\\d+)', 1) as int) = 0 then 'L' when try_cast(regexp_extract(asr_speaker, '(\\d+)', 1) as int) = 1 then 'S' when try_cast(regexp_extract(asr_speaker, '(\\d+)', 1) as int) between 2 and 9 then 'S' || try_cast(regexp_extract(asr_speaker, '(\\d+)', 1) as int) end"
 _GOLD = f"""gw as (select *, {_WHO} as who from stm),
 gx as (select *, lag(who) over v as was, lag(speaker) over v as frm, row_number() over (partition by rec_id, change order by pos) as bno from gw window v as (partition by rec_id order by pos)),
-gold as (select rec_id, pos, bno, frm, speaker as "to", case when bno % 11 <> 0 then case when was is null or who is null then 'unsure' when was <> who then 'real' else 'spurious' end end as verdict, case when bno % 11 <> 0 and was <> who and bno % 3 <> 0 then who end as who from gx where change)"""
+gold as (select rec_id, pos, bno, frm, speaker as "to", case when bno % 11 <> 0 then case when was is null or who is null then 'unsure' when was <> who then 'real' else 'spurious' end end as verdict, case when bno % 11 <> 0 and was <> who and bno % 3 <> 0 then who end as who from gx where change),
+gm as (select rec_id, pos, who from gx where not change and was <> who)"""
 
 
 def _truth_sql(name: str, mapped: str) -> str:
-    return f"""{name}e as (select s.*, case when s.pos = 0 then {{'w': {mapped}}} when g.verdict = 'real' then {{'w': coalesce(g.who, {mapped})}} when g.verdict = 'spurious' then null when g.pos is not null then {{'w': null::varchar}} end as e
-  from stm s left join gold g on g.rec_id || '#' || g.pos = s.rec_id || '#' || s.pos {"left join mp m on m.rec_id || '#' || m.label = s.rec_id || '#' || s.speaker" if mapped != "null::varchar" else ""}),
+    return f"""{name}e as (select s.*, case when k.pos is not null then {{'w': k.who}} when s.pos = 0 then {{'w': {mapped}}} when g.verdict = 'real' then {{'w': coalesce(g.who, {mapped})}} when g.verdict = 'spurious' then null when g.pos is not null then {{'w': null::varchar}} end as e
+  from stm s left join gm k on k.rec_id || '#' || k.pos = s.rec_id || '#' || s.pos left join gold g on g.rec_id || '#' || g.pos = s.rec_id || '#' || s.pos {"left join mp m on m.rec_id || '#' || m.label = s.rec_id || '#' || s.speaker" if mapped != "null::varchar" else ""}),
 {name} as (select * exclude (e), last_value(e ignore nulls) over (partition by rec_id order by pos rows between unbounded preceding and current row)['w'] as truth from {name}e)"""
 
 
@@ -353,8 +354,9 @@ mi as (select mx.rec_id, mx.pos, mx.i, coalesce(ru.n_words, 0) as misattributed,
 def _judged(spark, d):
     s = write_and_read(the_stream(spark, d), "stream")
     labels = write_and_read(ev.gold(s, ev.identity(F.col("asr_speaker"))), "gold")
-    names = write_and_read(ev.share_map(s, labels), "map")
-    return s, labels, names, write_and_read(ev.judged(ev.truth(s, labels, names), names), "judged")
+    markers = write_and_read(ev.gold_markers(s, ev.identity(F.col("asr_speaker"))), "markers")
+    names = write_and_read(ev.share_map(s, labels, markers), "map")
+    return s, labels, names, write_and_read(ev.judged(ev.truth(s, labels, names, markers), names), "judged")
 
 
 @query(with_ctes(STREAM, _GOLD, 'select rec_id, pos, bno, frm, "to", verdict, who from gold'))
@@ -368,13 +370,14 @@ def eval_gold(spark, d):
 def eval_share_map(spark, d):
     """Labels mapped to identities by the share rule."""
     s = write_and_read(the_stream(spark, d), "stream")
-    return ev.share_map(s, write_and_read(ev.gold(s, ev.identity(F.col("asr_speaker"))), "gold"))
+    who = ev.identity(F.col("asr_speaker"))
+    return ev.share_map(s, write_and_read(ev.gold(s, who), "gold"), write_and_read(ev.gold_markers(s, who), "markers"))
 
 
-@query(with_ctes(STREAM, _JUDGED, "select rec_id, i, truth, shown, err, true_change from je"))
+@query(with_ctes(STREAM, _JUDGED, "select rec_id, i, truth, shown, err, coalesce(true_change::int, -1) as true_change from je"))
 def eval_truth(spark, d):
     """Truth carried forward, shown identity and error of each word."""
-    return _judged(spark, d)[3].select("rec_id", "i", "truth", "shown", "err", "true_change")
+    return _judged(spark, d)[3].select("rec_id", "i", "truth", "shown", "err", F.coalesce(F.col("true_change").cast("int"), F.lit(-1)).alias("true_change"))
 
 
 @query(with_ctes(STREAM, _JUDGED, "select rec_id, first_i, last_i, n_words, truth, label, direction, cause, high_harm from ru"))
@@ -395,7 +398,7 @@ def eval_unknown_windows(spark, d):
     return ev.unknown_windows(_judged(spark, d)[3])
 
 
-_E4 = "case when {b} <> 0 then cast(floor({a} / {b} * 10000 + 0.5) as bigint) end"
+_E4 = "case when {b} <> 0 then cast(floor({a} / {b} * 10000 + 0.5) as double) end"
 _E4F = lambda a, b: _E4.format(a=f"cast({a} as double)", b=f"({b})")
 
 
@@ -450,8 +453,8 @@ def _surfaced(spark, d):
 
 
 @query(_RECALL + """
-select g as "group", count(*) as total, count(*) filter (len(classes) > 0) as surfaced, cast(floor(cast(count(*) filter (len(classes) > 0) as double) / count(*) * 10000 + 0.5) as bigint) as recall_e4
-from (select classes, unnest(list_filter(['overall', case when kind = 'missed' then 'missed' end, case when kind = 'missed' and misattributed > 0 then 'missed_misattributing' end, case when kind = 'spurious' then 'spurious' end, case when high_harm then 'high_harm' end], x -> x is not null)) as g from sf) group by g""")
+select g as "group", count(*) as total, count(*) filter (len(classes) > 0) as surfaced, cast(floor(cast(count(*) filter (len(classes) > 0) as double) / count(*) * 10000 + 0.5) as double) as recall_e4
+from (select classes, unnest(list_filter(['overall', case when kind = 'missed' then 'missed' end, case when kind = 'missed' and misattributed > 0 then 'missed_misattributing' end, case when kind = 'spurious' then 'spurious' end, case when high_harm then 'high_harm' end], lambda x: x is not null)) as g from sf) group by g""")
 def eval_recall(spark, d):
     """Share of the wrong transitions that candidate windows hold."""
     return ev.recall(_surfaced(spark, d)[2])
