@@ -474,3 +474,131 @@ def eval_class_report(spark, d):
 def agg_site_lengths(spark, d):
     """Least, median, 90th and greatest site length."""
     return ev.site_lengths(cd.sites(_found(spark, d, 2)[1]))
+
+
+# -- timeline ----------------------------------------------------------------------------------
+from streamloom.operators import timeline as tl  # noqa: E402
+
+
+@query(with_ctes(WORDS, "ds as (select rec_id, i, start_s, last_value(end_s ignore nulls) over (partition by rec_id order by pos rows between unbounded preceding and 1 preceding) as le from sp)", "select rec_id, i, coalesce(start_s, le, 0.0) as start_s from ds"))
+def win_derived_starts(spark, d):
+    """Null starts from the end before."""
+    return tl.derived_starts(st.spoken(the_words(spark, d))).select("rec_id", "i", "start_s")
+
+
+def _clocked(spark, d) -> DataFrame:
+    """Texts whose words carry their ends modulo ten seconds."""
+    w = st.spoken(the_words(spark, d)).where("end_s is not null and end_s >= 0 and not contains(text, '[')")
+    tag = F.concat(F.col("text"), F.lit(" [T:"), (F.floor(F.col("end_s") * 100 + 0.5) % 1000).cast("string"), F.lit("]"))
+    return w.groupBy("rec_id").agg(F.array_join(F.transform(F.sort_array(F.collect_list(F.struct("pos", tag.alias("t")))), lambda x: x["t"]), " ").alias("text"))
+
+
+@query(with_ctes(WORDS, """ct as (select rec_id, row_number() over (partition by rec_id order by pos) - 1 as k, text, cast(floor(end_s * 100 + 0.5) as bigint) % 1000 as n from sp where end_s is not null and end_s >= 0 and not contains(text, '[')),
+cu as (select *, coalesce((n < lag(n) over (partition by rec_id order by k))::int, 0) as roll from ct)""", "select rec_id, k, text as token, round(n / 100.0 + 10.0 * sum(roll) over (partition by rec_id order by k), 3)::double as end_s from cu"))
+def win_unrolled(spark, d):
+    """Absolute ends out of rolled-over clock tags in a text."""
+    return tl.unrolled(_clocked(spark, d)).select("rec_id", "k", "token", "end_s")
+
+
+@query(with_ctes(WORDS, """tg as (select rec_id, pos, text, regexp_matches(text, '^\\[Speaker \\d+\\]:$') as tag from sp where not contains(text, '[') or regexp_matches(text, '^\\[Speaker \\d+\\]:$')),
+th as (select *, sum(tag::int) over (partition by rec_id order by pos) as g from tg),
+ti as (select rec_id, g, max(case when tag then regexp_extract(text, '(Speaker \\d+)', 1) end) as label, coalesce(string_agg(case when not tag then text end, ' ' order by pos), '') as segment from th group by rec_id, g)""",
+"select rec_id, row_number() over (partition by rec_id order by g) - 1 as seg, label, length(segment) as chars from ti where label is not null or segment <> ''"))
+def win_tagged_segments(spark, d):
+    """Segments of texts with speaker tags."""
+    w = st.spoken(the_words(spark, d)).where("not contains(text, '[') or text rlike '^\\\\[Speaker \\\\d+\\\\]:$'")
+    texts = w.groupBy("rec_id").agg(F.array_join(F.transform(F.sort_array(F.collect_list(F.struct("pos", "text"))), lambda x: x["text"]), " ").alias("text"))
+    return tl.tagged_segments(texts).select("rec_id", "seg", "label", F.length("segment").alias("chars"))
+
+
+@query(with_ctes(WORDS, """lw as (select *, row_number() over (partition by rec_id order by i) - 1 as pos from ws),
+lx as (select *, coalesce(last_value(end_s ignore nulls) over (partition by rec_id order by pos rows between unbounded preceding and 1 preceding), 0.0) as st0 from lw),
+ly as (select *, lag(asr_speaker) over v as pl, lag(pos) over v as pp from lx where not is_silence window v as (partition by rec_id order by pos)),
+lz as (select *, sum((pp is null or pl is distinct from asr_speaker)::int) over (partition by rec_id order by pos) as turn from ly)""",
+"select rec_id, turn::bigint as turn, arg_min_null(asr_speaker, pos) as speaker, arg_min(st0, pos) as start_s, coalesce(arg_max(end_s, pos) filter (end_s is not null), arg_min(st0, pos)) as end_s from lz group by rec_id, turn"))
+def win_turns_from_labels(spark, d):
+    """Word labels collapsed to time ranges."""
+    w = the_words(spark, d).withColumn("silence", F.array_contains("flags", "silence")).withColumn("pos", F.row_number().over(st.Window.partitionBy("rec_id").orderBy("i")) - 1)
+    return tl.turns_from_labels(w, "speaker").select("rec_id", "turn", "speaker", "start_s", "end_s")
+
+
+_DURS = "du as (select rec_id, max(duration_s) as duration_s from recordings where rec_id is not null group by rec_id)"
+
+
+@query("with " + _DURS + " select rec_id, k::int as k, (k * 60)::double as start_s, least((k + 1) * 60, duration_s) as end_s from (select *, unnest(range(0, case when duration_s <= 60 then 1 else ceil(duration_s / 60)::bigint end)) as k from du where duration_s is not null and duration_s >= 0)")
+def win_fixed_windows(spark, d):
+    """One-minute windows of each recording."""
+    return tl.fixed_windows(durations(spark, d), 60.0)
+
+
+@query("with recursive " + _DURS + """, w as (select rec_id, k::int as k, 0 as depth, (k * 300)::double as s, least((k + 1) * 300, duration_s) as e from (select *, unnest(range(0, case when duration_s <= 300 then 1 else ceil(duration_s / 300)::bigint end)) as k from du where duration_s is not null and duration_s >= 0)),
+r as (select * from w union all select rec_id, k, depth + 1, case when h = 0 then s else s + (e - s) / 2 end, case when h = 0 then s + (e - s) / 2 else e end from r, (values (0), (1)) t(h) where depth < 3 and (e - s) / 2 >= 30 and floor(s / 40)::bigint % 2 = 0)
+select rec_id, k, depth, s as start_s, e as end_s, floor(s / 40)::bigint % 2 = 0 as lost from r where not (depth < 3 and (e - s) / 2 >= 30 and floor(s / 40)::bigint % 2 = 0)""")
+def win_retried_windows(spark, d):
+    """Failing windows halved; those that start in an even stretch of 40 s count as failing."""
+    return tl.retried_windows(tl.fixed_windows(durations(spark, d)), F.floor(F.col("start_s") / 40) % 2 == 0)
+
+
+@query("with " + _DURS + """, e as (select * from (select *, row_number() over (partition by rec_id, err_ord order by loaded_at nulls last) as rn from error_ranges where rec_id is not null and err_ord is not null) where rn = 1 and end_s >= start_s),
+g as (select rec_id, count(*) as n, sum(floor((end_s - start_s) * 1000 + 0.5))::bigint as lost_ms from e group by rec_id)
+select g.rec_id, n, lost_ms, case when duration_s > 0 then cast(floor(lost_ms / (duration_s * 1000) * 10000 + 0.5) as double) end as share_e4 from g left join du on du.rec_id = g.rec_id""")
+def agg_lost_time(spark, d):
+    """Lost time of each recording."""
+    e = st.once(load(spark, d, "error_ranges").select("rec_id", "err_ord", "start_s", "end_s", "loaded_at"), ["rec_id", "err_ord"])
+    return tl.lost_time(e, durations(spark, d))
+
+
+@query(with_ctes(WORDS, TURNS, "pj as (select sp.rec_id, sp.i, tn.speaker, row_number() over (partition by sp.rec_id, sp.i order by case when tn.start_s <= sp.start_s and sp.start_s < tn.end_s then -1.0 else least(abs(sp.start_s - tn.start_s), abs(sp.start_s - tn.end_s)) end, tn.ord) as rn from sp join tn on tn.rec_id = sp.rec_id where sp.start_s is not null)", "select rec_id, i, speaker as speaker_at from pj where rn = 1"))
+def join_point_speakers(spark, d):
+    """The preview's point lookup of speakers."""
+    return tl.point_speakers(st.spoken(the_words(spark, d)), the_turns(spark, d)).where("speaker_at is not null").select("rec_id", "i", "speaker_at")
+
+
+@query(with_ctes(STREAM, """rl as (select *, lag(speaker) over (partition by rec_id order by ord) as pv from tn), rr as (select *, sum((pv is distinct from speaker)::int) over (partition by rec_id order by ord) as run from rl),
+rt as (select rr.rec_id, rr.run, bool_or(hit.speaker = asg.speaker_raw) as won from hit join rr on rr.rec_id || '#' || rr.ord = hit.rec_id || '#' || hit.ord join asg on asg.rec_id || '#' || asg.pos = hit.rec_id || '#' || hit.pos group by all),
+rg as (select rec_id, pos, run from (select asg.rec_id, asg.pos, rr.run, row_number() over (partition by asg.rec_id, asg.pos order by least(abs((asg.start_s + asg.end_s) / 2 - rr.start_s), abs((asg.start_s + asg.end_s) / 2 - rr.end_s)), rr.ord) as rn
+  from asg join rr on rr.rec_id = asg.rec_id where asg.start_s is not null and asg.end_s is not null and asg.rec_id || '#' || asg.pos not in (select rec_id || '#' || pos from hit)) where rn = 1),
+rs as (select rr.rec_id, rr.run, min(rr.speaker) as speaker from rr group by all),
+ru as (select rs.*, rt.run is not null as touched, coalesce(rt.won, false) or exists (select 1 from rg where rg.rec_id = rs.rec_id and rg.run = rs.run) as kept from rs left join rt on rt.rec_id || '#' || rt.run = rs.rec_id || '#' || rs.run),
+rk as (select *, last_value(case when kept then speaker end ignore nulls) over (partition by rec_id order by run rows between unbounded preceding and 1 preceding) as lk from ru)""",
+"select rec_id, count(*) - 1 as raw_changes, count(*) as runs, count(*) filter (not kept and not touched) as empty, count(*) filter (not kept and touched) as outvoted, count(*) filter (kept and lk is not null and lk <> speaker) as kept_changes from rk group by rec_id"))
+def agg_raw_accounting(spark, d):
+    """Raw label runs kept, empty and outvoted."""
+    words, turns = st.spoken(the_words(spark, d)), the_turns(spark, d)
+    return tl.raw_accounting(st.assigned(words, turns), turns, st.hits(words, turns))
+
+
+@query(with_ctes(STREAM, "select rec_id, count(*) filter (change) as changes, count(*) filter (flipped) as flipped from stm group by rec_id"))
+def agg_label_changes(spark, d):
+    """Label changes and smoothed words of each stream."""
+    return the_stream(spark, d).groupBy("rec_id").agg(F.count_if("change").alias("changes"), F.count_if("flipped").alias("flipped"))
+
+
+@query(with_ctes(STREAM, "bh as (select rec_id, boundary, count(*) as n from stm where boundary is not null group by all)", "select s.rec_id, s.turns, s.sentences, coalesce(s.speakers, '') as speakers, b.boundaries from (select rec_id, max(stretch) + 1 as turns, max(sent) + 1 as sentences, array_to_string(list_sort(list_distinct(list(speaker) filter (speaker is not null))), ',') as speakers from stm group by rec_id) s join (select rec_id, string_agg(boundary || ' ' || n, ', ' order by boundary) as boundaries from bh group by rec_id) b on b.rec_id = s.rec_id"))
+def agg_segment_stats(spark, d):
+    """Turns, sentences, speakers and the boundary histogram of each stream."""
+    s = the_stream(spark, d)
+    h = s.where("boundary is not null").groupBy("rec_id", "boundary").agg(F.count("*").alias("n"))
+    h = h.groupBy("rec_id").agg(F.array_join(F.transform(F.sort_array(F.collect_list(F.struct("boundary", "n"))), lambda x: F.concat(x["boundary"], F.lit(" "), x["n"].cast("string"))), ", ").alias("boundaries"))
+    a = s.groupBy("rec_id").agg((F.max("stretch") + 1).alias("turns"), (F.max("sent") + 1).alias("sentences"), F.array_join(F.sort_array(F.collect_set("speaker")), ",").alias("speakers"))
+    return a.join(h, "rec_id")
+
+
+@query()
+def win_anchors(spark, d):
+    """Time marks inside turns longer than half a minute."""
+    return tl.anchors(the_stream(spark, d), 30.0)
+
+
+@query()
+def ren_preview(spark, d):
+    """Preview lines of each recording."""
+    words = tl.point_speakers(st.spoken(the_words(spark, d)).drop("speaker"), the_turns(spark, d)).withColumnRenamed("speaker_at", "speaker")
+    return tl.preview_lines(words)
+
+
+@query("with " + _DURS + """, k as (select *, unnest(range(0, floor(duration_s / 0.35)::bigint + 1)) as k from du where duration_s > 0), s as (select *, k * (0.35::double + 0.05::double) + floor(k / 8.0) * (0.6::double - 0.05::double) as s from k)
+select rec_id, k::int as i, (['one', '[UM]', 'two', 'thr-', 'three.'])[k % 5 + 1] as text from s where s + 0.35::double <= duration_s + 1e-9""")
+def src_script_words(spark, d):
+    """The deterministic word source over each recording's duration."""
+    return tl.script_words(durations(spark, d), ["one", "[UM]", "two", "thr-", "three."]).select("rec_id", "i", "text")
