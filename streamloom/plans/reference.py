@@ -602,3 +602,204 @@ select rec_id, k::int as i, (['one', '[UM]', 'two', 'thr-', 'three.'])[k % 5 + 1
 def src_script_words(spark, d):
     """The deterministic word source over each recording's duration."""
     return tl.script_words(durations(spark, d), ["one", "[UM]", "two", "thr-", "three."]).select("rec_id", "i", "text")
+
+
+# -- records, files, quality, calendar, rendering, arms, sessions ------------------------------
+from pyspark.sql import Window  # noqa: E402
+
+from streamloom import streaming  # noqa: E402
+from streamloom.functions import times as tm  # noqa: E402
+from streamloom.operators import arms as ar  # noqa: E402
+from streamloom.operators import calendar as ca  # noqa: E402
+from streamloom.operators import quality as ql  # noqa: E402
+from streamloom.operators import render as rd  # noqa: E402
+from streamloom.operators.shared import shared_dir  # noqa: E402
+from streamloom.sources import intervals as si  # noqa: E402
+from streamloom.sources import records as sr  # noqa: E402
+
+
+def _all_words(spark, d):
+    return st.once(load(spark, d, "words"), ["rec_id", "i"])
+
+
+def _records(spark, d):
+    r = st.once(load(spark, d, "recordings"), ["rec_id"])
+    turns = st.once(load(spark, d, "speaker_turns"), ["rec_id", "turn_ord"])
+    errs = st.once(load(spark, d, "error_ranges"), ["rec_id", "err_ord"])
+    return sr.assembled(r, _all_words(spark, d), turns, errs)
+
+
+@query("""with r as (select distinct rec_id from recordings where rec_id is not null), w as (select rec_id, count(*) as n, count(start_s) as timed from (select distinct rec_id, i, start_s from words) group by rec_id), t as (select rec_id, count(distinct turn_ord) as n from speaker_turns group by rec_id), e as (select rec_id, count(distinct err_ord) as n from error_ranges group by rec_id)
+select r.rec_id, coalesce(w.n, 0) as n_words, coalesce(w.timed, 0) as n_timed, coalesce(t.n, 0) as n_turns, coalesce(e.n, 0) as n_errors from r left join w on w.rec_id = r.rec_id left join t on t.rec_id = r.rec_id left join e on e.rec_id = r.rec_id""")
+def src_records_round_trip(spark, d):
+    """Records put together, written as JSON, read and taken apart again."""
+    path = shared_dir(spark, "records")
+    sr.write_records(_records(spark, d), path)
+    back = spark.read.schema(sr.T.StructType([sr.T.StructField("rec_id", sr.T.StringType()), *sr.RECORD.fields])).json(path)
+    w = sr.words_of(back).groupBy("rec_id").agg(F.count("*").alias("n_words"), F.count("start").alias("n_timed"))
+    t = sr.turns_of(back).groupBy("rec_id").agg(F.count("*").alias("n_turns"))
+    e = sr.errors_of(back).groupBy("rec_id").agg(F.count("*").alias("n_errors"))
+    out = back.select("rec_id").join(w, "rec_id", "left").join(t, "rec_id", "left").join(e, "rec_id", "left")
+    return out.fillna(0, ["n_words", "n_timed", "n_turns", "n_errors"])
+
+
+_RT = TURNS + ", rt as (select rec_id, start_s, round(end_s - start_s, 3) as dur, replace(speaker, ' ', '_') as speaker from tn)"
+
+
+@query("with " + _RT + " select rec_id, row_number() over (partition by rec_id order by start_s, e, speaker) - 1 as turn_ord, start_s, e as end_s, speaker from (select *, round(start_s + dur, 6) as e from rt)")
+def src_rttm(spark, d):
+    """Turns written as RTTM lines and read again."""
+    t = the_turns(spark, d)
+    line = F.concat_ws(" ", F.lit("SPEAKER"), "rec_id", F.lit("1"), F.col("start_s").cast("string"), F.round(F.col("end_s") - F.col("start_s"), 3).cast("string"), F.lit("<NA>"), F.lit("<NA>"), F.replace("speaker", F.lit(" "), F.lit("_")), F.lit("<NA>"), F.lit("<NA>"))
+    return si.convert(t.select("rec_id", F.col("ord").alias("n"), line.alias("line")), "rttm")[0].select("rec_id", "turn_ord", "start_s", "end_s", "speaker")
+
+
+@query(with_ctes(TURNS, "select rec_id, row_number() over (partition by rec_id order by start_s, end_s, speaker) - 1 as turn_ord, start_s, end_s, speaker from tn"))
+def src_turns_json(spark, d):
+    """Turns written as JSON lists and read again."""
+    t = the_turns(spark, d).groupBy("rec_id").agg(F.to_json(F.collect_list(F.struct(F.col("start_s").alias("start"), F.col("end_s").alias("end"), "speaker"))).alias("text"))
+    return si.convert(t, "turns-json")[0].select("rec_id", "turn_ord", "start_s", "end_s", "speaker")
+
+
+@query("""with w as (select * from (select *, row_number() over (partition by rec_id, i order by loaded_at nulls last) as rn from words where rec_id is not null and i is not null) where rn = 1),
+x as (select *, row_number() over (partition by rec_id order by i) - 1 as n, last_value(start_s ignore nulls) over (partition by rec_id order by i rows between unbounded preceding and 1 preceding) as bef from w)
+select rule, count(*) as n, count(distinct rec_id) as n_recs from (
+select rec_id, 'word_index' as rule from x where i <> n union all select rec_id, 'word_text' from x where text is null union all select rec_id, 'timing_source' from x where coalesce(timing_source, '?') not in ('native', 'derived', 'aligned', 'none')
+union all select rec_id, 'speaker_source' from x where speaker_source is not null and speaker_source <> 'asr' union all select rec_id, 'speaker_and_source' from x where (speaker is null) <> (speaker_source is null)
+union all select rec_id, 'end_before_start' from x where end_s < start_s union all select rec_id, 'start_goes_back' from x where start_s < bef
+union all select rec_id, rule from (select *, row_number() over (partition by rec_id order by loaded_at nulls last) as rn from recordings where rec_id is not null), lateral (select unnest([case when audio_path is null then 'missing_audio_path' end, case when audio_sha256 is null then 'missing_audio_sha256' end, case when duration_s is null then 'missing_duration_s' end, case when model_id is null then 'missing_model_id' end, case when created_utc is null then 'missing_created_utc' end, case when device is null then 'missing_device' end, case when coalesce(granularity, '?') not in ('word', 'segment') then 'granularity' end]) as rule) where rn = 1 and rule is not null) group by rule""")
+def dq_breaches(spark, d):
+    """Breaches of the record and word rules."""
+    b = ql.word_breaches(_all_words(spark, d)).unionByName(ql.record_breaches(st.once(load(spark, d, "recordings"), ["rec_id"])))
+    return b.groupBy("rule").agg(F.count("*").alias("n"), F.count_distinct("rec_id").alias("n_recs"))
+
+
+SEMESTERS = [("F25", "2025-08-25", "2025-12-19"), ("S26", "2026-01-12", "2026-05-29"), ("X26", "2026-05-29", "2026-08-14"), ("F26", "2026-08-24", "2026-12-11")]
+_SEM = "sem as (select * from (values " + ", ".join(f"('{t}', date '{a}', date '{b}')" for t, a, b in SEMESTERS) + ') v(term, "start", "end"))'
+
+
+def semesters(spark):
+    s = spark.createDataFrame(SEMESTERS, "term string, start string, end string")
+    return s.select("term", F.to_date("start").alias("start"), F.to_date("end").alias("end"))
+
+
+def _days(spark, d):
+    r = st.once(load(spark, d, "recordings").select("rec_id", "recorded_date", "recorded_start", "duration_s", "loaded_at"), ["rec_id"])
+    start = tm.clock_seconds(F.col("recorded_start"))
+    return r.select("rec_id", tm.any_date(F.col("recorded_date")).alias("day"), start.alias("span_start"), (start + F.col("duration_s")).alias("span_end"))
+
+
+_DAYS = "dy as (select rec_id, try_cast(regexp_replace(trim(recorded_date), '^(\\d{4})\\D?(\\d{2})\\D?(\\d{2})$', '\\1-\\2-\\3') as date) as day from (select *, row_number() over (partition by rec_id order by loaded_at nulls last) as rn from recordings where rec_id is not null) where rn = 1)"
+
+
+@query("with " + _SEM + ", " + _DAYS + """, hs as (select dy.rec_id, min_by(sem.term, sem."start") as term, min(sem."start") as term_start from dy join sem on dy.day between sem."start" and sem."end" group by dy.rec_id)
+select dy.rec_id, cast(dy.day as varchar) as day, hs.term, coalesce((floor(date_diff('day', hs.term_start, dy.day) / 7) + 1)::int, -1) as week from dy left join hs on hs.rec_id = dy.rec_id""")
+def join_semester(spark, d):
+    """Semester and week of each recording."""
+    x = ca.with_semester(_days(spark, d), semesters(spark))
+    return x.select("rec_id", F.col("day").cast("string").alias("day"), "term", F.coalesce("week", F.lit(-1)).alias("week"))
+
+
+@query()
+def join_course(spark, d):
+    """Course of each recording by weekday and span, or why none is told."""
+    return ca.with_course(ca.with_semester(_days(spark, d), semesters(spark)), load(spark, d, "courses"), "rec_id").select("rec_id", "term", "week", "course", "why")
+
+
+@query()
+def plan_rename(spark, d):
+    """New names for recorder files named after each recording's day."""
+    x = _days(spark, d).where("day is not null")
+    n = F.row_number().over(Window.partitionBy("day").orderBy("rec_id"))
+    files = x.select(F.concat(F.date_format("day", "yyMMdd"), F.lit("_"), F.lpad(n.cast("string"), 4, "0"), F.lit(".WAV")).alias("name"), "span_start", "span_end")
+    return ca.rename_plan(files, semesters(spark), load(spark, d, "courses"), "LEC")
+
+
+@query("with " + _SEM + ', n as (select *, lead(term) over (order by "start", "end", term) as nt, lead("start") over (order by "start", "end", term) as ns from sem), cs as (select distinct term, course_code, weekdays, t0, t1 from courses) ' + """
+select term, 'reversed' as rule, cast("start" as varchar) as place from n where "start" > "end" union all select term, 'overlap', nt from n where ns <= "end"
+union all select term, 'unknown_day', course_code || ' ' || wd from (select term, course_code, unnest(weekdays) as wd from cs) where wd not in ('Mon', 'Tue', 'Wed', 'Thu', 'Fri', 'Sat', 'Sun')
+union all select term, 'reversed_window', course_code from cs where string_split(t0, ':')[1]::double * 3600 + string_split(t0, ':')[2]::double * 60 >= string_split(t1, ':')[1]::double * 3600 + string_split(t1, ':')[2]::double * 60""")
+def dq_calendar(spark, d):
+    """Breaches of the calendar rules."""
+    c = load(spark, d, "courses").select("term", "course_code", "weekdays", F.regexp_extract("t0", "^(\\d+:\\d+)", 1).alias("t0"), F.regexp_extract("t1", "^(\\d+:\\d+)", 1).alias("t1")).distinct()
+    c = c.withColumn("t0", F.concat("t0", F.lit(":00"))).withColumn("t1", F.concat("t1", F.lit(":00")))
+    return ql.calendar_breaches(semesters(spark), c)
+
+
+MODELS = [("a", "start_end", False, "selectable", "yes", "native", False), ("b", "end_only", True, "yes", "no", "needs_chunking", True), ("c", "end_only", False, "no", "untrained", "needs_chunking", False), ("d", "none", False, "no", "no", "native", False)]
+REQUESTS = [("plain", True, None, False, False), ("verbatim", True, "verbatim", False, False), ("clean", False, "intended", True, False), ("dual", True, "verbatim", True, True)]
+
+
+@query()
+def plan_capabilities(spark, d):
+    """What each request can have of each declared model."""
+    m = spark.createDataFrame(MODELS, "model string, word_timestamps string, silence_tokens boolean, verbatim string, hotwords string, longform string, speaker_labels boolean")
+    r = spark.createDataFrame(REQUESTS, "request string, diarize boolean, mode string, hotwords_given boolean, dual_stream boolean")
+    return ql.capability_plan(m, r)
+
+
+@query("with " + _SEM + """, r as (select * from (select *, row_number() over (partition by rec_id order by loaded_at nulls last) as rn from recordings where rec_id is not null) where rn = 1)
+select rec_id, regexp_extract(audio_path, '([^/]+)\\.[^./]+$', 1) as stem, case when duration_s is null then null else lpad((floor(duration_s)::bigint // 3600)::varchar, 2, '0') || ':' || lpad((floor(duration_s)::bigint // 60 % 60)::varchar, 2, '0') || ':' || lpad((floor(duration_s)::bigint % 60)::varchar, 2, '0') end as clock,
+  regexp_extract(audio_path, '([^/]+)\\.[^./]+$', 1) || case when recorded_date is not null and not contains(regexp_extract(audio_path, '([^/]+)\\.[^./]+$', 1), recorded_date) then '-' || recorded_date else '' end || '_v1' as output_name from r""")
+def txt_names(spark, d):
+    """Clock readings and output names of each recording."""
+    r = st.once(load(spark, d, "recordings"), ["rec_id"])
+    stem = F.regexp_extract("audio_path", "([^/]+)\\.[^./]+$", 1)
+    return r.select("rec_id", stem.alias("stem"), tm.clock(F.col("duration_s")).alias("clock"), sr.output_name(stem, F.col("recorded_date"), F.lit(None).cast("string"), F.lit("v1")).alias("output_name"))
+
+
+@query(with_ctes(WORDS, "select rec_id, substring(sha256(string_agg(text, ' ' order by pos)), 1, 12) as hash from sp group by rec_id"))
+def txt_content_hash(spark, d):
+    """The hash that tells renders of other words apart."""
+    return rd.content_hash(st.spoken(the_words(spark, d)))
+
+
+@query(with_ctes(STREAM, "select rec_id, stretch as turn, string_agg(text, ' ' order by pos) as text from stm group by rec_id, stretch"))
+def ren_plain(spark, d):
+    """The words of each turn."""
+    return rd.plain(the_stream(spark, d))
+
+
+@query(with_ctes(WORDS, "hh as (select rec_id, i, text, list_distinct(list_concat(own, told)) as flags, replace(replace(replace(replace(replace(text, '&', '&amp;'), '<', '&lt;'), '>', '&gt;'), '\"', '&quot;'), '''', '&#x27;') as safe from sp)",
+"select rec_id, i, case when text like '[%' and text like '%]' then '<span class=\"marker\">' || safe || '</span>' when list_contains(flags, 'partial_word') then '<span class=\"partial\">' || safe || '</span>' when list_contains(flags, 'repetition') or list_contains(flags, 'repair') then '<span class=\"reparandum\">' || safe || '</span>' when list_contains(flags, 'proper_noun_candidate') then '<span class=\"candidate\">' || safe || '</span>' else safe end as html from hh"))
+def ren_html_words(spark, d):
+    """Escaped words in spans of their class."""
+    return rd.html_words(st.spoken(the_words(spark, d)))
+
+
+@query()
+def ren_transcripts(spark, d):
+    """Numbered text transcripts with names and time marks."""
+    s = write_and_read(st.stream(load(spark, d, "words"), load(spark, d, "speaker_turns"), load(spark, d, "speaker_map")), "named-stream")
+    return rd.transcripts(rd.text_lines(s, tl.anchors(s, 30.0)))
+
+
+def _arms(spark, d):
+    """Two arms on the same gold: labels before and after smoothing."""
+    s, labels, names, j = _judged(spark, d)
+    t = j.select("rec_id", "pos", "truth")
+    raw = s.drop("speaker", "change", "stretch").withColumnRenamed("speaker_raw", "speaker").withColumn("speaker_raw", F.col("speaker"))
+    raw = ev.judged(st.stretches(raw).join(t, ["rec_id", "pos"]), names)
+    parts = [(name, x) for name, x in (("smoothed", j), ("raw", raw))]
+    js = [x.select("rec_id", "known", "err", "truth", "direction", F.lit(n).alias("arm"), F.lit("run1").alias("run")) for n, x in parts]
+    rs = [ev.error_runs(x).select("high_harm", F.lit(n).alias("arm"), F.lit("run1").alias("run")) for n, x in parts]
+    return ar.headline(js[0].unionByName(js[1]), rs[0].unionByName(rs[1]))
+
+
+@query()
+def arms_bars(spark, d):
+    """Unsmoothed labels against smoothed ones: headline figures and bars."""
+    return ar.bars(ar.worse_runs(_arms(spark, d)), "smoothed")
+
+
+@query("""with e as (select *, lag(ts) over (partition by user_id order by ts) as p from events where ts is not null), g as (select *, sum((p is null or ts - p > interval 6 hours)::int) over (partition by user_id order by ts) as s from e)
+select user_id, min(ts) as "start", max(ts) as "end", count(*) as n from g group by user_id, s""")
+def str_event_sessions(spark, d):
+    """Events in sessions separated by six hours of silence, as the stream operator groups them."""
+    return streaming.session_counts(load(spark, d, "events"), ["user_id"], "ts", "6 hours")
+
+
+@query("""select event_type, time_bucket(interval 1 day, ts) as "start", time_bucket(interval 1 day, ts) + interval 1 day as "end", count(*) as n from events group by all""")
+def str_event_windows(spark, d):
+    """Events per type and day."""
+    return streaming.windowed_counts(load(spark, d, "events"), "event_type", "ts", "1 day")
