@@ -13,14 +13,14 @@ def session_counts(events: DataFrame, keys: list[str], time: str, gap: str, late
     """
     x = events.where(F.col(time).isNotNull())
     if events.isStreaming:
-        x = x.withWatermark(time, late)
+        x = x.withColumn(time, F.col(time).cast("timestamp")).withWatermark(time, late)
     s = x.groupBy(*keys, F.session_window(time, gap).alias("w")).agg(F.count("*").alias("n"), F.max(time).alias("last"))
     return s.select(*keys, F.col("w.start").alias("start"), F.col("last").alias("end"), "n")
 
 
 def windowed_counts(events: DataFrame, key: str, time: str, size: str, slide: str | None = None, late: str = "10 minutes") -> DataFrame:
     """Rows per key and time window, tumbling or sliding."""
-    x = events.withWatermark(time, late) if events.isStreaming else events
+    x = events.withColumn(time, F.col(time).cast("timestamp")).withWatermark(time, late) if events.isStreaming else events
     w = F.window(time, size, slide) if slide else F.window(time, size)
     return x.groupBy(key, w.alias("w")).agg(F.count("*").alias("n")).select(key, F.col("w.start").alias("start"), F.col("w.end").alias("end"), "n")
 
