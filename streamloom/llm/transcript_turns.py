@@ -80,7 +80,8 @@ def _runs(table: pa.Table, with_text: bool) -> pa.Table:
     if not len(rows):
         return _RUNS.empty_table()
     group = np.cumsum(new_group)[rows]
-    label, spoken, pos = label[rows], tags[rows] == SPEECH, i[rows]
+    blank = np.array([not (v or "").strip() for v in values])
+    label, spoken, pos = label[rows], (tags[rows] == SPEECH) & ~blank[ids[rows]], i[rows]
     begins = np.r_[True, group[1:] != group[:-1]]
     # The label carried forward inside the block; -1 before the first.
     at = np.where((label >= 0) | begins, np.arange(len(rows)), 0)
@@ -129,7 +130,7 @@ def speaker_turns(
     name or surname of the recording's person (of several with that name, the
     lowest label); a name nobody has stays as written, in lower case.
     Rows with a null key or order are left out, repeats of (key, order) count once
-    (they must agree), null texts are spoken words without letters, and words
+    (they must agree), null and blank texts are no spoken words, and words
     before a recording's first label belong to no turn. Recordings without any
     label and empty tables give none. Other columns are not read.
     Output: key, turn_no (from 1), speaker, first_i, last_i, n_words and, with
