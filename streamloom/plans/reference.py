@@ -803,3 +803,73 @@ def str_event_sessions(spark, d):
 def str_event_windows(spark, d):
     """Events per type and day."""
     return streaming.windowed_counts(load(spark, d, "events"), "event_type", "ts", "1 day")
+
+
+# -- sheets, sources of words, comparisons ------------------------------------------------------
+from streamloom.operators import compare as cp  # noqa: E402
+from streamloom.operators import sheets as sh  # noqa: E402
+from streamloom.sources import models as md  # noqa: E402
+
+
+@query(with_ctes(STREAM, "select rec_id, count(distinct sent) + max(stretch) * 3 + 1 as n_lines from stm group by rec_id"))
+def gram_sheet_sizes(spark, d):
+    """Lines of each recording's label sheet."""
+    return sh.sheet(the_stream(spark, d)).groupBy("rec_id").agg(F.count("*").alias("n_lines"))
+
+
+@query()
+def gram_checked_sheets(spark, d):
+    """Sheets filled from the gold verdicts and checked: verdicts read back, and breaches if there are any."""
+    s = write_and_read(the_stream(spark, d), "stream")
+    rows = write_and_read(sh.sheet(s), "sheet")
+    g = ev.gold(s, ev.identity(F.col("asr_speaker"))).select("rec_id", F.concat(F.lit("B-"), F.lpad(F.col("bno").cast("string"), 3, "0")).alias("key"), "verdict")
+    filled = rows.join(g, ["rec_id", "key"], "left").select("rec_id", F.col("ord").alias("n"), F.when((F.col("kind") == "boundary") & F.col("verdict").isNotNull(), F.concat(F.lit("boundary: "), F.col("verdict"))).otherwise(F.col("line")).alias("line"))
+    return sh.checked(rows, filled)
+
+
+@query(with_ctes(STREAM, _GOLD, "select rec_id, count(*) as boundaries, count(verdict) as done, count(*) filter (verdict = 'real') as \"real\", count(*) filter (verdict = 'spurious') as spurious, count(*) filter (verdict = 'unsure') as unsure, max(bno) filter (verdict is not null) as last from gold group by rec_id"))
+def agg_label_progress(spark, d):
+    """How far each sheet is labelled."""
+    s = the_stream(spark, d)
+    return sh.progress(ev.gold(s, ev.identity(F.col("asr_speaker"))))
+
+
+@query("with " + _cand_sql(1) + """, un as (select *, coalesce(max(b) over (partition by rec_id, class order by a, b rows between unbounded preceding and 1 preceding), a - 1) as seen from ca)
+select rec_id, class, sum(greatest(0, b - greatest(a - 1, seen)))::bigint as covered from un group by rec_id, class""")
+def agg_union_size(spark, d):
+    """Words that each class's windows cover together."""
+    return cp.union_size(_found(spark, d, 1)[1], ["rec_id", "class"])
+
+
+@query(_RECALL + """, nw as (select er.rec_id, er.kind, er.t, case when er.t <= ca.a then ca.a + 1 - er.t when er.t > ca.b then er.t - ca.b else 0 end as dist, ca.class, row_number() over (partition by er.rec_id, er.kind, er.t order by case when er.t <= ca.a then ca.a + 1 - er.t when er.t > ca.b then er.t - ca.b else 0 end, ca.a, ca.b, ca.class) as rn from er left join ca on ca.rec_id = er.rec_id)
+select rec_id, kind, t, dist as distance, class from nw where rn = 1 and coalesce(dist > 0, true)""")
+def join_nearest_window(spark, d):
+    """The nearest window of errors that none holds."""
+    found, errs, _ = _surfaced(spark, d)
+    return cp.nearest_windows(errs, found)
+
+
+@query(with_ctes(WORDS, "select rec_id, count(*) as n, count(*) filter (speaker = 'Speaker 2') as second from (select rec_id, case when (i // 12) % 2 = 0 then 'Speaker 1' else 'Speaker 2' end as speaker from w0 where text not like '[%') group by rec_id"))
+def src_variants(spark, d):
+    """Variants of a word source: untimed, two speakers by turns, without markers."""
+    w = md.steps(the_words(spark, d), ["untimed", "alternating", "without_markers"])
+    return w.groupBy("rec_id").agg(F.count("*").alias("n"), F.count_if(F.col("speaker") == "Speaker 2").alias("second"))
+
+
+@query("with " + _DURS + ", w as (select distinct rec_id from words where conf > 0.999), e as (select distinct rec_id from error_ranges) select du.rec_id, 0.0::double as start_s, duration_s as end_s, 'no output' as message from du where duration_s > 5 and rec_id not in (select rec_id from w where rec_id is not null) and rec_id not in (select rec_id from e where rec_id is not null)")
+def src_empty_outputs(spark, d):
+    """Recordings without any near-certain word nor an error range, as a model's empty output would show."""
+    return md.empty_outputs(durations(spark, d), load(spark, d, "words").where("conf > 0.999"), load(spark, d, "error_ranges"))
+
+
+@query("with r as (select distinct model_id from recordings where model_id is not null) select lower(trim(model_id)) as key, count(*) as n from r group by 1 having count(*) > 1")
+def src_registry_twice(spark, d):
+    """Model ids that differ in spelling only."""
+    return md.twice(load(spark, d, "recordings").where("model_id is not null").select("model_id").distinct())
+
+
+@query(with_ctes(TURNS, "nm as (select rec_id, speaker from (select *, row_number() over (partition by rec_id, speaker order by loaded_at nulls last) as rn from speaker_map where rec_id is not null and speaker is not null) where rn = 1 and display_name is not null)", "select distinct tn.rec_id, tn.speaker from tn left join nm on nm.rec_id = tn.rec_id and nm.speaker = tn.speaker where nm.speaker is null"))
+def prj_unmapped_labels(spark, d):
+    """Labels of turns that the name map leaves without a name."""
+    m = st.once(load(spark, d, "speaker_map"), ["rec_id", "speaker"]).where("display_name is not null").select("rec_id", "speaker")
+    return the_turns(spark, d).select("rec_id", "speaker").distinct().join(m, ["rec_id", "speaker"], "left_anti")
