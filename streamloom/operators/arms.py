@@ -33,8 +33,9 @@ def identical_runs(turns: DataFrame) -> DataFrame:
 
 def bars(h: DataFrame, baseline: str) -> DataFrame:
     """Each other arm against the baseline: words, runs and accuracy within their limits, and all of them."""
-    b = F.broadcast(h.where(F.col("arm") == baseline).select(F.col("harm_words").alias("b_words"), F.col("harm_runs").alias("b_runs"), F.col("accuracy_e4").alias("b_acc")))  # one row
-    x = h.where(F.col("arm") != baseline).join(b, F.lit(True))
+    every = Window.partitionBy(F.lit(0))  # a row per arm
+    own = lambda c: F.max(F.when(F.col("arm") == baseline, F.col(c))).over(every)
+    x = h.select("*", own("harm_words").alias("b_words"), own("harm_runs").alias("b_runs"), own("accuracy_e4").alias("b_acc")).where(F.col("arm") != baseline)
     x = x.withColumn("words_ok", F.col("harm_words") <= F.floor(F.col("b_words") * PRIMARY_SHARE)).withColumn("runs_ok", F.col("harm_runs") <= F.floor(F.col("b_runs") * RUNS_SHARE))
     x = x.withColumn("accuracy_ok", F.coalesce("accuracy_e4", F.lit(0.0)) >= F.coalesce("b_acc", F.lit(0.0)) - ACCURACY_DROP_E4)
     return x.withColumn("passes", F.col("words_ok") & F.col("runs_ok") & F.col("accuracy_ok")).drop("b_words", "b_runs", "b_acc")

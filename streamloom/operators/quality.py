@@ -67,9 +67,9 @@ def capability_plan(models: DataFrame, requests: DataFrame) -> DataFrame:
     """What a request can have of a model: (model, request, timing_source, derive_starts, forced_alignment, chunking, needs_diarizer, warnings, errors).
 
     models: (model, word_timestamps, silence_tokens, verbatim, hotwords, longform, speaker_labels);
-    requests: (request, diarize, mode, hotwords_given, dual_stream). Both are small dimensions; every pair is a row.
+    requests: (request, model, diarize, mode, hotwords_given, dual_stream). Requests of undeclared models are left out.
     """
-    x = models.crossJoin(F.broadcast(requests))  # dimensions: a few models by a few requests
+    x = requests.join(models, "model")
     ts = F.col("word_timestamps")
     warnings = F.array(
         F.when((ts == "end_only") & ~F.col("silence_tokens"), "pauses_fold_into_next_word"),

@@ -55,7 +55,7 @@ def test_anchors_snap_to_sentences_then_words(spark):
 def test_unmatched_follows_the_longest_block(spark):
     a = spark.createDataFrame([("r", n, p, n) for n, p in enumerate("the cat sat on the mat".split())], "rec_id string, fpos int, piece string, pos int")
     b = spark.createDataFrame([("r", "x", n, p) for n, p in enumerate("the cat sad on the mat".split())], "rec_id string, dissenter string, fpos int, piece string")
-    assert [r.fpos for r in al.unmatched(a, b).collect()] == [2]
+    assert [r.fpos for r in al.unmatched(a, b, ["x"]).collect()] == [2]
 
 
 def test_one_to_one_maximises_shared_words(spark):
@@ -182,7 +182,60 @@ def test_rename_plan(spark):
 
 def test_capability_conflicts(spark):
     m = spark.createDataFrame([("m", "end_only", False, "no", "no", "needs_chunking", False)], "model string, word_timestamps string, silence_tokens boolean, verbatim string, hotwords string, longform string, speaker_labels boolean")
-    r = spark.createDataFrame([("q", True, "verbatim", True, True)], "request string, diarize boolean, mode string, hotwords_given boolean, dual_stream boolean")
+    r = spark.createDataFrame([("q", "m", True, "verbatim", True, True)], "request string, model string, diarize boolean, mode string, hotwords_given boolean, dual_stream boolean")
     x = ql.capability_plan(m, r).first()
     assert (x.timing_source, x.chunking, x.needs_diarizer) == ("derived", True, True)
     assert x.errors == "verbatim_not_possible,two_streams_not_possible,hotwords_not_possible" and x.warnings == "pauses_fold_into_next_word"
+
+
+def test_bars_and_decisions(spark):
+    from streamloom.operators import arms as ar
+
+    h = spark.createDataFrame([("base", "r", 100, 10, 9000.0), ("good", "r", 40, 5, 9100.0), ("near", "r", 44, 4, 8950.0), ("bad", "r", 51, 5, 9900.0)], "arm string, run string, harm_words long, harm_runs long, accuracy_e4 double")
+    b = ar.bars(h, "base")
+    assert {r.arm: r.passes for r in b.collect()} == {"good": True, "near": True, "bad": False}
+    assert ar.decision(b).first().decision == "close: good, near"
+    assert ar.decision(b.where("arm <> 'near'")).first().decision == "switch: good"
+    assert ar.decision(b.where("arm = 'bad'")).first().decision == "keep"
+    runs = spark.createDataFrame([("a", "r1", 5, 1, 9000.0), ("a", "r2", 5, 2, 9900.0)], "arm string, run string, harm_words long, harm_runs long, accuracy_e4 double")
+    assert ar.worse_runs(runs).first().run == "r2"
+
+
+def test_comparisons(spark):
+    from streamloom.operators import compare as cp
+
+    a = spark.createDataFrame([(1, "x", [1, 2]), (2, None, []), (3, "z", [1])], "k int, s string, l array<int>")
+    b = spark.createDataFrame([(1, "y", [1, 2]), (2, None, [])], "k int, s string, l array<int>")
+    assert sorted((r.k, r.path) for r in cp.differences(a, b, ["k"]).collect()) == [(1, "s"), (3, "l"), (3, "s")]
+    assert cp.differences(a, a, ["k"]).count() == 0
+    w = spark.createDataFrame([("r", 0, 4, "x"), ("r", 3, 6, "y"), ("r", 10, 11, "z")], "rec_id string, a int, b int, class string")
+    assert cp.union_size(w, ["rec_id"]).first().covered == 9
+    e = spark.createDataFrame([("r", "missed", 8), ("r", "missed", 2), ("s", "missed", 1)], "rec_id string, kind string, t int")
+    assert sorted((r.rec_id, r.t, r.distance, r["class"]) for r in cp.nearest_windows(e, w).collect()) == [("r", 8, 2, "y"), ("s", 1, None, None)]
+    g = spark.createDataFrame([("r", 5, "spurious"), ("r", 9, "real"), ("r", 20, "spurious")], "rec_id string, pos int, verdict string")
+    n = spark.createDataFrame([("r", 30)], "rec_id string, n int")
+    assert [tuple(r) for r in cp.unanchored(g, spark.createDataFrame([("r", 6)], "rec_id string, pos int"), 3, n).collect()] == [("r", 20, 10)]
+    arms = spark.createDataFrame([("a", "1", "r", "s1", "p1", "h1", "rttm"), ("b", "1", "r", "s2", "p1", "h1", "rttm"), ("c", "1", "r", "s1", "p1", "h2", "rttm"), ("d", "1", "r", "s1", "p9", "h1", "rttm"), ("e", "1", "r", "s1", "p1", "h1", "odd")], "arm string, run string, rec_id string, audio_sha256 string, native_path string, native_sha256 string, native_format string")
+    got = cp.provenance_breaches(arms, spark.createDataFrame([("r", "s1")], "rec_id string, audio_sha256 string"), spark.createDataFrame([("p1", "h1")], "path string, sha256 string"))
+    assert {r.arm: r.why for r in got.collect()} == {"b": "other_audio", "c": "changed_output", "d": "no_output", "e": "unknown_format"}
+
+
+def test_model_sources(spark):
+    from streamloom.sources import models as md
+
+    reg = spark.createDataFrame([("A/b", "x", None), ("c", None, "too old"), (" a/B", "y", None)], "model_id string, adapter string, reason string")
+    req = spark.createDataFrame([(" a/b ",), ("C",), ("d",)], "model_id string")
+    assert {(r.model_id, r.status) for r in md.resolved(req, reg).collect()} == {(" a/b ", "ok"), ("C", "unsupported"), ("d", "unknown")}
+    assert [r.key for r in md.twice(reg).collect()] == ["a/b"]
+    c = spark.createDataFrame([("r", 0, " hi ", 0.5, None, 30.0), ("r", 1, " ", 1.0, 2.0, 30.0)], "rec_id string, k int, text string, start_s double, end_s double, window_start double")
+    assert [tuple(r) for r in md.chunk_words(c).collect()] == [("r", 0, "hi", 30.5, None)]
+    t = spark.createDataFrame([("r", " a\u00a0b  c"), ("s", None)], "rec_id string, text string")
+    assert [r.text for r in md.untimed_words(t).orderBy("k").collect()] == ["a", "b", "c"]
+    w = spark.createDataFrame([("r", n, n * 1.0) for n in range(5)], "rec_id string, i int, start_s double")
+    kept, bad = md.failing(w, 1.0, 3.0)
+    assert [r.i for r in kept.orderBy("i").collect()] == [0, 3, 4] and bad.count() == 1
+    x = spark.sql("select map('a', 1, 'b', 2) m, 'x, y,,z' h, 'Speaker 1' l, 3 k, 2 n, 1 o")
+    r = x.select(md.accepted(F.col("m"), ["b"]), md.hotwords(F.col("h")), md.window_labels(F.col("l"), F.col("k"), F.col("n")), md.window_labels(F.col("l"), F.col("k"), F.col("o"))).first()
+    assert list(r) == [{"b": 2}, ["x", "y", "z"], "w3:Speaker 1", "Speaker 1"]
+    with pytest.raises(ValueError):
+        md.steps(w, ["nope"])
