@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from streamloom.llm import twins
 from streamloom.llm.content_scores import found_kinds, rates, score_content
 from streamloom.llm.leaked_tests import leaked_tests
 from streamloom.llm.nearest_time import nearest_in_time
@@ -104,4 +105,4 @@ def p8_rates(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {"p1_found": p1_found, "p1_turn_texts": p1_turn_texts, "p3_found": p3_found, "p4_found": p4_found, "p4_redacted": p4_redacted, "p6_found": p6_found, "p6_coverage": p6_coverage, "p7_mix": p7_mix, "p7_shares": p7_shares, "p8_found": p8_found, "p8_scores": p8_scores, "p8_rates": p8_rates}
-SQL = {"p3_found": P3_FOUND_SQL}
+SQL = {"p1_found": twins.P1_FOUND, "p3_found": P3_FOUND_SQL, "p6_found": twins.P6_FOUND}
