@@ -132,3 +132,16 @@ def conjunction(words: DataFrame, unmatched: DataFrame, dissenters: int, need: i
         ok = c.select("rec_id", "pos", F.explode(tk.fluent_pieces(F.col("text"))).alias("piece")).join(allow.where("piece <> '<num>'").select("piece").distinct(), "piece", "left_semi").select("rec_id", "pos").distinct().withColumn("allowlisted", F.lit(True))
         c = c.join(ok, ["rec_id", "pos"], "left").withColumn("allowlisted", F.coalesce("allowlisted", F.lit(False)))
     return c.select("rec_id", "pos", "i", "text", "votes", "adjacent", "name_like", "masked", "allowlisted", (~F.col("masked") & ~F.col("allowlisted")).alias("flagged"))
+
+
+def refused(primary: DataFrame, others: DataFrame, least: int = 3, share: float = 0.25) -> DataFrame:
+    """(rec_id, why) of recordings whose other transcripts can't vote: too_few, same_model, too_short.
+
+    primary: (rec_id, n_tokens); others: (rec_id, dissenter, model_id, n_tokens). Too short is one
+    with less than `share` of the primary's tokens.
+    """
+    o = others.join(primary.select("rec_id", F.col("n_tokens").alias("own")), "rec_id")
+    g = o.groupBy("rec_id").agg(F.count("*").alias("n"), F.count_distinct("model_id").alias("models"), F.min(F.col("n_tokens") / F.greatest(F.col("own"), F.lit(1))).alias("least_share"))
+    x = primary.select("rec_id").join(g, "rec_id", "left").fillna(0, ["n", "models"])
+    whys = F.filter(F.array(F.when(F.col("n") < least, "too_few"), F.when(F.col("models") < F.col("n"), "same_model"), F.when(F.col("least_share") < share, "too_short")), lambda w: w.isNotNull())
+    return x.select("rec_id", F.explode(whys).alias("why"))

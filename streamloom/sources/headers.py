@@ -117,3 +117,13 @@ def given_day(day: str) -> str:
     if not _ISO.match(day):
         raise ValueError(f"{day!r} is not yyyy-mm-dd")
     return day
+
+
+_TAG = re.compile(r"^[A-Za-z0-9][A-Za-z0-9._-]*$")
+
+
+def valid_tag(tag: str) -> str:
+    """A tag that can stand in a file name."""
+    if not _TAG.match(tag):
+        raise ValueError(f"{tag!r}: letters, digits, dots, dashes and underscores only")
+    return tag

@@ -97,3 +97,15 @@ def label_spec(spec: str) -> dict[str, str]:
     if not out:
         raise ValueError("the map is empty")
     return out
+
+
+def chosen_map(stems: DataFrame, sidecars: DataFrame, given: DataFrame | None = None, use: bool = True) -> DataFrame:
+    """(rec_id, speaker, display_name): a map given for the recording wins over the sidecar of its stem; none where maps are turned off.
+
+    stems: (rec_id, stem); sidecars: (stem, speaker, display_name); given: (rec_id, speaker, display_name).
+    """
+    cols = ["rec_id", "speaker", "display_name"]
+    found = stems.join(sidecars, "stem").select(*cols)
+    if given is not None:
+        found = found.join(given.select("rec_id").distinct(), "rec_id", "left_anti").unionByName(given.select(*cols))
+    return found if use else found.where(F.lit(False))

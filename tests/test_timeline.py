@@ -239,3 +239,31 @@ def test_model_sources(spark):
     assert list(r) == [{"b": 2}, ["x", "y", "z"], "w3:Speaker 1", "Speaker 1"]
     with pytest.raises(ValueError):
         md.steps(w, ["nope"])
+
+
+def test_votes_are_refused_for_few_same_or_short_transcripts(spark):
+    from streamloom.operators import disfluency as dis
+
+    p = spark.createDataFrame([(r, 100) for r in "abcd"], "rec_id string, n_tokens int")
+    o = [("a", "x", "m1", 90), ("a", "y", "m2", 90), ("a", "z", "m3", 90), ("b", "x", "m1", 90), ("b", "y", "m1", 90), ("b", "z", "m3", 90), ("c", "x", "m1", 90), ("c", "y", "m2", 20), ("c", "z", "m3", 90)]
+    got = {(r.rec_id, r.why) for r in dis.refused(p, spark.createDataFrame(o, "rec_id string, dissenter string, model_id string, n_tokens int")).collect()}
+    assert got == {("b", "same_model"), ("c", "too_short"), ("d", "too_few")}
+
+
+def test_given_maps_win_over_sidecars(spark):
+    stems = spark.createDataFrame([("r1", "a"), ("r2", "b")], "rec_id string, stem string")
+    side = spark.createDataFrame([("a", "S0", "Ann"), ("b", "S0", "Bob")], "stem string, speaker string, display_name string")
+    given = spark.createDataFrame([("r1", "S0", "Cy")], "rec_id string, speaker string, display_name string")
+    assert {tuple(r) for r in si.chosen_map(stems, side, given).collect()} == {("r1", "S0", "Cy"), ("r2", "S0", "Bob")}
+    assert si.chosen_map(stems, side, given, use=False).count() == 0
+    assert hd.valid_tag("v1.2") == "v1.2" and hd.given_day("2026-01-02") == "2026-01-02"
+    for bad in (lambda: hd.valid_tag("a/b"), lambda: hd.given_day("1/2/26")):
+        with pytest.raises(ValueError):
+            bad()
+
+
+def test_preview_lines_pack_and_break(spark):
+    rows = [("r", n, n * 1.0, t, s) for n, (t, s) in enumerate([("aaaa", "A"), ("bbbb.", "A"), ("cccc", "A"), ("dd", "B"), ("ee", None)])]
+    w = spark.createDataFrame(rows, "rec_id string, pos int, start_s double, text string, speaker string")
+    got = [(r.line, r.speaker, r.text) for r in tl.preview_lines(w, 10).orderBy("line").collect()]
+    assert got == [(0, "A", "aaaa bbbb."), (1, "A", "cccc"), (2, "B", "dd"), (3, None, "ee")]
