@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from streamloom.llm.token_tagger import SPEAKER, SPEECH, _model, emissions, viterbi
+from streamloom.llm.token_tagger import SPEAKER, SPEECH, _model, emissions, tag_blocks, viterbi
 from streamloom.operators.arrow_groups import starts, whole_groups
 from streamloom.operators.scan import block_of
 from streamloom.operators.shared import OWN, require_columns
@@ -428,8 +428,7 @@ def in_many(texts: list[str | None]) -> list[list[tuple[str, int, int]]]:
     if not ids:
         return out
     values, coded = list(distinct), np.array(ids)
-    first = np.unique(np.array(cuts[:-1]))
-    tags = viterbi(emissions(values)[coded], first[first < len(ids)], _model()[1])
+    tags = tag_blocks(emissions(values)[coded], np.array(cuts))
     spoken = (tags == SPEECH).tolist()
     for n, text in enumerate(texts):
         lo, hi = cuts[n], cuts[n + 1]

@@ -128,6 +128,30 @@ def tag(tokens: list[str | None], first: np.ndarray | None = None) -> np.ndarray
     return viterbi(emissions(tokens), np.zeros(1, np.int64) if first is None else first, _model()[1])
 
 
+def tag_blocks(emit: np.ndarray, cuts: np.ndarray, size: int = 1024, halo: int = 8) -> np.ndarray:
+    """Best tags of sequences of any length, decoded in blocks that see `halo` tokens of their neighbours.
+
+    cuts: where each sequence begins, and the end of the last. Blocks of all
+    sequences are decoded side by side, so a long one costs no more steps than `size`.
+    """
+    lengths = np.diff(cuts)
+    n = -(-lengths // size)
+    seq = np.repeat(np.arange(len(lengths)), n)
+    k = np.arange(len(seq)) - np.repeat(np.cumsum(n) - n, n)
+    lo, hi = cuts[seq] + k * size, np.minimum(cuts[seq] + (k + 1) * size, cuts[seq + 1])
+    a, b = np.maximum(lo - halo, cuts[seq]), np.minimum(hi + halo, cuts[seq + 1])
+    if not len(seq):
+        return np.zeros(0, np.int8)
+    wide = b - a
+    first = np.cumsum(wide) - wide
+    at = np.repeat(a - first, wide) + np.arange(wide.sum())
+    tags = viterbi(emit[at], first, _model()[1])
+    core = (at >= np.repeat(lo, wide)) & (at < np.repeat(hi, wide))
+    out = np.empty(len(emit), np.int8)
+    out[at[core]] = tags[core]
+    return out
+
+
 # -- training ------------------------------------------------------------------
 
 

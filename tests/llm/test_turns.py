@@ -65,3 +65,11 @@ def test_words_without_labels_nulls_and_empty_tables(spark):
 def test_texts_of_turns(spark):
     got = turns(spark, [("r", 0, "Hi", "S0"), ("r", 1, "uh", None), ("r", 2, "there.", None), ("r", 3, "Yes", "S1")], with_text=True)
     assert [t[-1] for t in got] == ["Hi there.", "Yes"]
+
+
+def test_blocks_decode_as_the_whole():
+    seqs = tl.invented(np.random.default_rng(78), ["the", "signal", "human", "Right."], 60)
+    tokens = [t for s, _ in seqs for t in s]
+    cuts = np.cumsum([0, 0, *[len(s) for s, _ in seqs]])
+    whole = tt.viterbi(tt.emissions(tokens), cuts[1:-1], tt._model()[1])
+    assert (tt.tag_blocks(tt.emissions(tokens), cuts, 9, 8) == whole).all()
