@@ -339,10 +339,15 @@ def mentions(texts: list[str], places: list[int]) -> list[tuple[str, int, int]]:
     return [(what, x.place[a], x.place[b]) for a, b, what in sorted(out)]
 
 
-def _visible(values: list[str], ids: np.ndarray, tags: np.ndarray) -> np.ndarray:
-    """Which tokens the parsers see: spoken, whole, and the last of repeats."""
+def _traits(values: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    """Of each distinct token: whether parsers may see it, and whether it may repeat."""
     forms = [_FORMS.get(v) or _form(v) for v in values]
-    plain, may_repeat = np.array([f[3] for f in forms], bool), np.array([f[4] for f in forms], bool)
+    return np.array([f[3] for f in forms], bool), np.array([f[4] for f in forms], bool)
+
+
+def _visible(traits: tuple[np.ndarray, np.ndarray], ids: np.ndarray, tags: np.ndarray) -> np.ndarray:
+    """Which tokens the parsers see: spoken, whole, and the last of repeats."""
+    plain, may_repeat = traits
     rows = np.flatnonzero(((tags == SPEECH) & plain[ids]) | (tags == SPEAKER))
     keep = np.ones(len(rows), bool)
     if len(rows) > 1:
@@ -365,7 +370,7 @@ def _in_words(table: pa.Table) -> pa.Table:
     ids = coded.indices.fill_null(len(values) - 1).to_numpy()
     first = np.flatnonzero(group)
     tags = viterbi(emissions(values)[ids], first, _model()[1])
-    rows = _visible(values, ids, tags)
+    rows = _visible(_traits(values), ids, tags)
     core = table[f"{OWN}core"].to_numpy(zero_copy_only=False).astype(bool)
     cuts = np.searchsorted(rows, np.r_[first, len(ids)]).tolist()
     at, kinds, lo, hi = [], [], [], []
@@ -429,12 +434,12 @@ def in_many(texts: list[str | None]) -> list[list[tuple[str, int, int]]]:
         return out
     values, coded = list(distinct), np.array(ids)
     tags = tag_blocks(emissions(values)[coded], np.array(cuts))
-    spoken = (tags == SPEECH).tolist()
+    spoken, traits = (tags == SPEECH).tolist(), _traits(values)
     for n, text in enumerate(texts):
         lo, hi = cuts[n], cuts[n + 1]
         if lo == hi:
             continue
-        rows = (_visible(values, coded[lo:hi], tags[lo:hi]) + lo).tolist()
+        rows = (_visible(traits, coded[lo:hi], tags[lo:hi]) + lo).tolist()
         for what, p, q in mentions([values[ids[r]] if spoken[r] else "|" for r in rows], rows):
             a, b = place[p], place[q] + len(values[ids[q]]) - 1
             while not text[a].isalnum():
