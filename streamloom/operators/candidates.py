@@ -174,9 +174,10 @@ def clause_cues(p: DataFrame) -> DataFrame:
 def pairs(p: DataFrame, found: DataFrame) -> DataFrame:
     """The transition behind the next question end after a window, and behind the last one before it, in its stretch."""
     w = Window.partitionBy("rec_id", "stretch").orderBy("pos")
+    down = Window.partitionBy("rec_id", "stretch").orderBy(F.desc("pos"))
     q = p.select(
         "rec_id", "pos", "n",
-        F.first(F.when(F.col("question") & (F.col("next_stretch") == F.col("stretch")), F.col("pos")), ignorenulls=True).over(w.rowsBetween(0, Window.unboundedFollowing)).alias("nq"),
+        F.last(F.when(F.col("question") & (F.col("next_stretch") == F.col("stretch")), F.col("pos")), ignorenulls=True).over(down.rowsBetween(Window.unboundedPreceding, 0)).alias("nq"),
         F.last(F.when(F.col("question"), F.col("pos")), ignorenulls=True).over(w.rowsBetween(Window.unboundedPreceding, 0)).alias("lq"),
     )
     ret = found.where(F.col("class").isin(PAIR_RETURN_FROM)).select("rec_id", F.col("b").alias("pos")).join(q, ["rec_id", "pos"]).where(F.col("nq") - F.col("pos") < PAIR_WORDS).select("rec_id", "n", F.col("nq").alias("q")).distinct()

@@ -136,7 +136,8 @@ def missed_changes(j: DataFrame) -> DataFrame:
     """True changes the label doesn't follow: rec_id, pos, i, misattributed words, direction, distance to the nearest boundary."""
     w = rec()
     back = F.last(F.when(F.col("change"), F.col("pos")), ignorenulls=True).over(w.rowsBetween(Window.unboundedPreceding, 0))
-    ahead = F.first(F.when(F.col("change"), F.col("pos")), ignorenulls=True).over(w.rowsBetween(0, Window.unboundedFollowing))
+    down = Window.partitionBy("rec_id").orderBy(F.desc("pos"))  # a frame to the end would be read anew for each row
+    ahead = F.last(F.when(F.col("change"), F.col("pos")), ignorenulls=True).over(down.rowsBetween(Window.unboundedPreceding, 0))
     m = j.select("*", F.least(F.col("pos") - back, ahead - F.col("pos")).alias("nearest_boundary")).where(F.col("true_change") & ~F.col("change"))
     r = error_runs(j).select("rec_id", F.col("first_pos").alias("pos"), F.col("n_words").alias("misattributed"), F.col("direction").alias("run_direction"))
     m = m.join(r, ["rec_id", "pos"], "left")

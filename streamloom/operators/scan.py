@@ -46,12 +46,12 @@ def carried(df: DataFrame, value: Column, how: str, name: str) -> DataFrame:
     v = f"{OWN}v"
     per_block = df.groupBy(KEY, BLOCK).agg(value.alias(v))
     before = Window.partitionBy(KEY).orderBy(BLOCK).rowsBetween(Window.unboundedPreceding, -1)
-    after = Window.partitionBy(KEY).orderBy(BLOCK).rowsBetween(1, Window.unboundedFollowing)
+    after = Window.partitionBy(KEY).orderBy(F.desc(BLOCK)).rowsBetween(Window.unboundedPreceding, -1)
     over = {
         "max": F.max(v).over(before),
         "sum": F.sum(v).over(before),
         "last": F.last(v, ignorenulls=True).over(before),
-        "next": F.first(v, ignorenulls=True).over(after),
+        "next": F.last(v, ignorenulls=True).over(after),
     }[how]
     return df.join(per_block.select(KEY, BLOCK, over.alias(name)), [KEY, BLOCK], "left")
 

@@ -20,12 +20,16 @@ def rec() -> WindowSpec:
 
 
 def once(df: DataFrame, keys: list[str]) -> DataFrame:
-    """One row of each key; re-delivered rows agree, the first delivered stands. Null keys are left out."""
+    """One row of each key; re-delivered rows agree, the first delivered stands. Null keys are left out.
+
+    Rows are shuffled by the first key only and sorted by all: a later window by that
+    key in the order of the second needs neither again.
+    """
     for k in keys:
         df = df.where(F.col(k).isNotNull())
-    rest = [c for c in df.columns if c not in keys]
-    first = F.min_by(F.struct(*rest), F.coalesce(F.col("loaded_at"), F.lit("9999-12-31").cast("timestamp"))) if "loaded_at" in rest else F.first(F.struct(*rest))
-    return df.groupBy(*keys).agg(first.alias("__sl_r")).select(*keys, *[F.col(f"__sl_r.{c}").alias(c) for c in rest])
+    late = F.col("loaded_at").asc_nulls_last() if "loaded_at" in df.columns else F.lit(0)
+    n = F.row_number().over(Window.partitionBy(*keys).orderBy(late))
+    return df.repartition(keys[0]).withColumn("__sl_n", n).where("__sl_n = 1").drop("__sl_n")
 
 
 def words_once(words: DataFrame) -> DataFrame:
@@ -78,23 +82,23 @@ def assigned(words: DataFrame, turns: DataFrame) -> DataFrame:
     A word inside a turn counts as overlapping it by 0. Words without both times, and
     recordings without turns, get null.
     """
-    best = hits(words, turns).groupBy("rec_id", "pos").agg(F.min_by("speaker", F.struct(-F.greatest("overlap", F.lit(0.0)), "ord")).alias("hit_speaker"), F.lit(True).alias("hit"))
-    w = words.join(best, ["rec_id", "pos"], "left")
-    # Nearest edges for the rest: the last edge before a word's middle and the first after it.
-    edges = turns.select("rec_id", "ord", "speaker", F.explode(F.array("start_s", "end_s")).alias("t"))
-    edges = edges.groupBy("rec_id", "t").agg(F.min("ord").alias("ord"), F.min_by("speaker", "ord").alias("speaker"))
-    gap = w.where(F.col("hit").isNull() & F.col("start_s").isNotNull() & F.col("end_s").isNotNull())
-    gap = gap.select("rec_id", "pos", ((F.col("start_s") + F.col("end_s")) / 2).alias("t"))
-    edge = F.struct("t", "ord", "speaker")
-    both = edges.select("rec_id", "t", F.lit(None).cast("int").alias("pos"), edge.alias("edge")).unionByName(gap.select("rec_id", "t", "pos", F.lit(None).cast("struct<t:double,ord:int,speaker:string>").alias("edge")))
-    order = Window.partitionBy("rec_id").orderBy("t", F.col("pos").isNotNull())
-    both = both.withColumn("before", F.last("edge", ignorenulls=True).over(order.rowsBetween(Window.unboundedPreceding, 0)))
-    both = both.withColumn("after", F.first("edge", ignorenulls=True).over(order.rowsBetween(0, Window.unboundedFollowing))).where("pos is not null")
-    db, da = F.abs(F.col("t") - F.col("before.t")), F.abs(F.col("t") - F.col("after.t"))
-    take_before = F.col("after").isNull() | (F.col("before").isNotNull() & ((db < da) | ((db == da) & (F.col("before.ord") < F.col("after.ord")))))
-    near = both.select("rec_id", "pos", F.when(take_before, F.col("before.speaker")).otherwise(F.col("after.speaker")).alias("near_speaker"))
-    w = w.join(near, ["rec_id", "pos"], "left")
-    return w.withColumn("speaker_raw", F.coalesce("hit_speaker", "near_speaker")).drop("hit", "hit_speaker", "near_speaker")
+    best = hits(words, turns).groupBy("rec_id", "pos").agg(F.min_by("speaker", F.struct(-F.greatest("overlap", F.lit(0.0)), "ord")).alias("__sl_hit"), F.lit(True).alias("__sl_is_hit"))
+    # The last edge before a word's middle and the first after it: edges and words in one order of time, read both ways.
+    edges = turns.select("rec_id", "ord", "speaker", F.explode(F.array("start_s", "end_s")).alias("__sl_t"))
+    edges = edges.groupBy("rec_id", "__sl_t").agg(F.min(F.struct("ord", "speaker")).alias("e"))
+    edges = edges.select("rec_id", "__sl_t", F.struct("__sl_t", "e.ord", "e.speaker").alias("__sl_e"))
+    both = words.withColumn("__sl_t", (F.col("start_s") + F.col("end_s")) / 2).unionByName(edges, allowMissingColumns=True)
+    is_word = F.col("pos").isNotNull()
+    ahead = Window.partitionBy("rec_id").orderBy(F.col("__sl_t").asc(), is_word).rowsBetween(Window.unboundedPreceding, 0)
+    back = Window.partitionBy("rec_id").orderBy(F.col("__sl_t").desc(), is_word).rowsBetween(Window.unboundedPreceding, 0)
+    both = both.withColumn("__sl_b", F.last("__sl_e", ignorenulls=True).over(ahead)).withColumn("__sl_a", F.last("__sl_e", ignorenulls=True).over(back)).where(is_word)
+    t, before, after = F.col("__sl_t"), F.col("__sl_b"), F.col("__sl_a")
+    db, da = F.abs(t - before["__sl_t"]), F.abs(t - after["__sl_t"])
+    take_before = after.isNull() | (before.isNotNull() & ((db < da) | ((db == da) & (before["ord"] < after["ord"]))))
+    near = F.when(t.isNotNull(), F.when(take_before, before["speaker"]).otherwise(after["speaker"]))
+    w = both.withColumn("__sl_near", near).drop("__sl_t", "__sl_e", "__sl_a", "__sl_b").join(best, ["rec_id", "pos"], "left")
+    w = w.withColumn("speaker_raw", F.when(F.col("__sl_is_hit"), F.col("__sl_hit")).otherwise(F.col("__sl_near")))
+    return w.drop("__sl_hit", "__sl_is_hit", "__sl_near")
 
 
 def _differs(a: str, b: Column) -> Column:
