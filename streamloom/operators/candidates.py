@@ -115,11 +115,14 @@ def dropped_raw(p: DataFrame, hits: DataFrame, turns: DataFrame) -> DataFrame:
     t = turns.withColumn("new", (~F.col("speaker").eqNullSafe(F.lag("speaker").over(w)) | F.lag("ord").over(w).isNull()).cast("int"))
     t = t.withColumn("trun", F.sum("new").over(w)).join(hits.select("rec_id", "ord").distinct().withColumn("hit", F.lit(1)), ["rec_id", "ord"], "left")
     runs = t.groupBy("rec_id", "trun").agg(F.min("speaker").alias("x"), F.min("start_s").alias("t0"), F.max("hit").alias("hit")).where("hit is null")
-    at = runs.join(p.where("start_s is not null").select("rec_id", "pos", "start_s", "n"), "rec_id").where("start_s >= t0")
-    at = at.groupBy("rec_id", "trun", "x").agg(F.min("pos").alias("g"), F.max("n").alias("n")).where("g > 0")
-    near = p.select("rec_id", F.col("pos").alias("q"), F.col("speaker").alias("lab"))
-    cond = (at["rec_id"] == near["rec_id"]) & (near["q"] >= at["g"] - NEAR) & (near["q"] < at["g"] + NEAR) & (near["lab"] == at["x"])
-    empty = at.join(near, cond, "left_anti")
+    # The first position that starts at t0 or later: words and runs in one order of time, read backwards.
+    timed = p.where("start_s is not null").select("rec_id", F.col("start_s").alias("t0"), F.col("pos").alias("g"), "n")
+    back = Window.partitionBy("rec_id").orderBy(F.desc("t0"), F.col("g").isNull()).rowsBetween(Window.unboundedPreceding, 0)
+    at = runs.unionByName(timed, allowMissingColumns=True).withColumn("g0", F.min("g").over(back)).withColumn("n0", F.max("n").over(back)).where("g is null and g0 > 0")
+    at = at.select("rec_id", "trun", "x", F.col("g0").alias("g"), F.col("n0").alias("n"))
+    around = at.select("rec_id", "trun", "x", F.explode(F.sequence(F.col("g") - NEAR, F.col("g") + NEAR - 1)).alias("pos"))
+    held = around.join(p.select("rec_id", "pos", F.col("speaker").alias("x")), ["rec_id", "pos", "x"], "left_semi").select("rec_id", "trun").distinct()
+    empty = at.join(held, ["rec_id", "trun"], "left_anti")
     return contested.unionByName(_window(empty, "dropped_raw_change", F.col("g") - NEAR - 1, F.col("g") + NEAR, F.col("g")))
 
 

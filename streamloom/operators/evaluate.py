@@ -10,6 +10,8 @@ from streamloom.operators.stream import rec
 INSTRUCTOR, UNKNOWN = "L", "?"
 STUDENTS = ["S", *[f"S{k}" for k in range(2, 10)]]
 NEAR = 3
+#: Positions of a bucket in joins of windows with errors.
+REACH = 64
 
 
 def is_student(who: Column) -> Column:
@@ -212,11 +214,17 @@ def errors(j: DataFrame, labels: DataFrame) -> DataFrame:
 
 def surfaced(errs: DataFrame, found: DataFrame) -> DataFrame:
     """Each error with the classes whose windows hold it: a window [a, b] holds transition t if a < t <= b."""
-    e, c = errs.alias("e"), found.alias("c")
-    hit = e.join(c, (F.col("e.rec_id") == F.col("c.rec_id")) & (F.col("c.a") < F.col("e.t")) & (F.col("e.t") <= F.col("c.b")), "left")
+    e = errs.withColumn("bucket", F.floor(F.col("t") / REACH)).alias("e")
+    c = _spread(found).alias("c")
+    hit = e.join(c, (F.col("e.rec_id") == F.col("c.rec_id")) & (F.col("e.bucket") == F.col("c.bucket")) & (F.col("c.a") < F.col("e.t")) & (F.col("e.t") <= F.col("c.b")), "left")
     return hit.groupBy("e.rec_id", "e.kind", "e.t", "e.misattributed", "e.high_harm").agg(F.sort_array(F.collect_set("c.class")).alias("classes"))
 
 
+def _spread(found: DataFrame) -> DataFrame:
+    """Windows over the position buckets they reach, so that an error meets those of its own bucket only."""
+    return found.withColumn("bucket", F.explode(F.sequence(F.floor(F.col("a") / REACH), F.floor(F.col("b") / REACH))))
+
+
 def recall(by: DataFrame) -> DataFrame:
     """Errors and surfaced ones: overall, missed, missed_misattributing, spurious, high_harm (kinds overlap)."""
     kinds = F.filter(
@@ -229,8 +237,9 @@ def recall(by: DataFrame) -> DataFrame:
 
 def class_report(by: DataFrame, found: DataFrame, errs: DataFrame) -> DataFrame:
     """Per class: windows, those that hold an error, errors surfaced, errors only it surfaces."""
-    e = errs.select("rec_id", "t").distinct()
-    held = found.join(e, (found["rec_id"] == e["rec_id"]) & (found["a"] < e["t"]) & (e["t"] <= found["b"]), "left_semi")
+    e = errs.select("rec_id", "t", F.floor(F.col("t") / REACH).alias("bucket")).distinct()
+    w = _spread(found)
+    held = w.join(e, (w["rec_id"] == e["rec_id"]) & (w["bucket"] == e["bucket"]) & (w["a"] < e["t"]) & (e["t"] <= w["b"]), "left_semi").select("rec_id", "class", "a", "b", "at").distinct()
     n = found.groupBy("class").agg(F.count("*").alias("windows")).join(held.groupBy("class").agg(F.count("*").alias("with_error")), "class", "left")
     x = by.select(F.explode("classes").alias("class"), (F.size("classes") == 1).alias("only"))
     x = x.groupBy("class").agg(F.count("*").alias("surfaced"), F.count_if("only").alias("only_this"))

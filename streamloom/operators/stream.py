@@ -76,29 +76,36 @@ def hits(words: DataFrame, turns: DataFrame) -> DataFrame:
     return j.select("rec_id", "pos", "ord", "speaker", "t_start", "t_end", "overlap")
 
 
-def assigned(words: DataFrame, turns: DataFrame) -> DataFrame:
-    """Adds speaker_raw: the turn of greatest overlap, first by (start, end); in a gap the nearest turn edge.
+def nearest_edge(words: DataFrame, turns: DataFrame, t: Column) -> DataFrame:
+    """Adds near, struct(t, ord, speaker): the turn edge nearest to t, of the first turn on ties; null without t or turns.
 
-    A word inside a turn counts as overlapping it by 0. Words without both times, and
-    recordings without turns, get null.
+    Edges and words stand in one order of time, read both ways; no word meets all turns.
     """
-    best = hits(words, turns).groupBy("rec_id", "pos").agg(F.min_by("speaker", F.struct(-F.greatest("overlap", F.lit(0.0)), "ord")).alias("__sl_hit"), F.lit(True).alias("__sl_is_hit"))
-    # The last edge before a word's middle and the first after it: edges and words in one order of time, read both ways.
     edges = turns.select("rec_id", "ord", "speaker", F.explode(F.array("start_s", "end_s")).alias("__sl_t"))
     edges = edges.groupBy("rec_id", "__sl_t").agg(F.min(F.struct("ord", "speaker")).alias("e"))
-    edges = edges.select("rec_id", "__sl_t", F.struct("__sl_t", "e.ord", "e.speaker").alias("__sl_e"))
-    both = words.withColumn("__sl_t", (F.col("start_s") + F.col("end_s")) / 2).unionByName(edges, allowMissingColumns=True)
+    edges = edges.select("rec_id", "__sl_t", F.struct(F.col("__sl_t").alias("t"), F.col("e.ord").alias("ord"), F.col("e.speaker").alias("speaker")).alias("__sl_e"))
+    both = words.withColumn("__sl_t", t).unionByName(edges, allowMissingColumns=True)
     is_word = F.col("pos").isNotNull()
     ahead = Window.partitionBy("rec_id").orderBy(F.col("__sl_t").asc(), is_word).rowsBetween(Window.unboundedPreceding, 0)
     back = Window.partitionBy("rec_id").orderBy(F.col("__sl_t").desc(), is_word).rowsBetween(Window.unboundedPreceding, 0)
     both = both.withColumn("__sl_b", F.last("__sl_e", ignorenulls=True).over(ahead)).withColumn("__sl_a", F.last("__sl_e", ignorenulls=True).over(back)).where(is_word)
-    t, before, after = F.col("__sl_t"), F.col("__sl_b"), F.col("__sl_a")
-    db, da = F.abs(t - before["__sl_t"]), F.abs(t - after["__sl_t"])
+    at, before, after = F.col("__sl_t"), F.col("__sl_b"), F.col("__sl_a")
+    db, da = F.abs(at - before["t"]), F.abs(at - after["t"])
     take_before = after.isNull() | (before.isNotNull() & ((db < da) | ((db == da) & (before["ord"] < after["ord"]))))
-    near = F.when(t.isNotNull(), F.when(take_before, before["speaker"]).otherwise(after["speaker"]))
-    w = both.withColumn("__sl_near", near).drop("__sl_t", "__sl_e", "__sl_a", "__sl_b").join(best, ["rec_id", "pos"], "left")
-    w = w.withColumn("speaker_raw", F.when(F.col("__sl_is_hit"), F.col("__sl_hit")).otherwise(F.col("__sl_near")))
-    return w.drop("__sl_hit", "__sl_is_hit", "__sl_near")
+    near = F.when(at.isNotNull(), F.when(take_before, before).otherwise(after))
+    return both.withColumn("near", near).drop("__sl_t", "__sl_e", "__sl_a", "__sl_b")
+
+
+def assigned(words: DataFrame, turns: DataFrame) -> DataFrame:
+    """Adds speaker_raw: the turn of greatest overlap, first by (start, end); in a gap the nearest turn edge.
+
+    A word inside a turn counts as overlapping it by 0. Words without both times, and
+    recordings without turns, get null.
+    """
+    best = hits(words, turns).groupBy("rec_id", "pos").agg(F.min_by("speaker", F.struct(-F.greatest("overlap", F.lit(0.0)), "ord")).alias("__sl_hit"), F.lit(True).alias("__sl_is_hit"))
+    w = nearest_edge(words, turns, (F.col("start_s") + F.col("end_s")) / 2).join(best, ["rec_id", "pos"], "left")
+    w = w.withColumn("speaker_raw", F.when(F.col("__sl_is_hit"), F.col("__sl_hit")).otherwise(F.col("near.speaker")))
+    return w.drop("__sl_hit", "__sl_is_hit", "near")
 
 
 def _differs(a: str, b: Column) -> Column:

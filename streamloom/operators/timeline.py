@@ -6,7 +6,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from streamloom.operators.stream import rec
+from streamloom.operators.stream import BUCKET_S, nearest_edge, rec
 
 SEGMENT_S, RETRY_DEPTH, RETRY_LEAST_S = 300.0, 3, 30.0
 PREVIEW_CHARS = 88
@@ -103,12 +103,11 @@ def point_speakers(words: DataFrame, turns: DataFrame) -> DataFrame:
 
     The preview's looser lookup: half-open, points only.
     """
-    w = words.where("start_s is not null").select("rec_id", "pos", F.col("start_s").alias("t"))
-    j = w.join(turns.select("rec_id", "ord", "speaker", F.col("start_s").alias("s"), F.col("end_s").alias("e")), "rec_id")
-    inside = (F.col("s") <= F.col("t")) & (F.col("t") < F.col("e"))
-    dist = F.least(F.abs(F.col("t") - F.col("s")), F.abs(F.col("t") - F.col("e")))
-    best = j.groupBy("rec_id", "pos").agg(F.min_by("speaker", F.struct(F.when(inside, F.lit(-1.0)).otherwise(dist), "ord")).alias("speaker_at"))
-    return words.join(best, ["rec_id", "pos"], "left")
+    at = words.where("start_s is not null").select("rec_id", "pos", F.col("start_s").alias("t"), F.floor(F.col("start_s") / BUCKET_S).alias("bucket"))
+    spans = turns.select("rec_id", "ord", "speaker", F.col("start_s").alias("s"), F.col("end_s").alias("e"), F.explode(F.sequence(F.floor(F.col("start_s") / BUCKET_S), F.floor(F.col("end_s") / BUCKET_S))).alias("bucket"))
+    inside = at.join(spans, ["rec_id", "bucket"]).where((F.col("s") <= F.col("t")) & (F.col("t") < F.col("e"))).groupBy("rec_id", "pos").agg(F.min_by("speaker", "ord").alias("__sl_in"))
+    w = nearest_edge(words, turns, F.col("start_s")).join(inside, ["rec_id", "pos"], "left")
+    return w.withColumn("speaker_at", F.coalesce("__sl_in", "near.speaker")).drop("__sl_in", "near")
 
 
 def raw_accounting(words: DataFrame, turns: DataFrame, hits: DataFrame) -> DataFrame:
@@ -123,8 +122,7 @@ def raw_accounting(words: DataFrame, turns: DataFrame, hits: DataFrame) -> DataF
     touched = h.groupBy("rec_id", "run").agg(F.lit(True).alias("touched"), F.bool_or(F.col("speaker") == F.col("speaker_raw")).alias("won"))
     timed = words.where("start_s is not null and end_s is not null")
     gap = timed.join(hits.select("rec_id", "pos").distinct(), ["rec_id", "pos"], "left_anti").select("rec_id", "pos", ((F.col("start_s") + F.col("end_s")) / 2).alias("mid"))
-    near = gap.join(t.select("rec_id", "ord", "run", F.col("start_s").alias("s"), F.col("end_s").alias("e")), "rec_id")
-    near = near.groupBy("rec_id", "pos").agg(F.min_by("run", F.struct(F.least(F.abs(F.col("mid") - F.col("s")), F.abs(F.col("mid") - F.col("e"))), "ord")).alias("run"))
+    near = nearest_edge(gap, turns, F.col("mid")).where("near is not null").select("rec_id", F.col("near.ord").alias("ord")).distinct().join(t.select("rec_id", "ord", "run"), ["rec_id", "ord"])
     gap_won = near.select("rec_id", "run").distinct().withColumn("gap_won", F.lit(True))
     runs = t.groupBy("rec_id", "run").agg(F.min("speaker").alias("speaker")).join(touched, ["rec_id", "run"], "left").join(gap_won, ["rec_id", "run"], "left").fillna(False, ["touched", "won", "gap_won"])
     runs = runs.withColumn("kept", F.col("gap_won") | F.col("won"))
