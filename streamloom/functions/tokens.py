@@ -75,7 +75,10 @@ def flags_of(text: Column) -> Column:
         .when(t.rlike(BRACKETED), "unknown_marker")
         .when(partial, "partial_word")
     )
-    return F.when(flag.isNull(), F.array().cast("array<string>")).otherwise(F.array(flag))
+    none = F.array().cast("array<string>")
+    # Most tokens are plain words; three cheap looks spare them the patterns.
+    plain = ~(F.contains(text, F.lit("-")) | t.startswith("[") | t.startswith("(") | t.startswith("<") | (t == "_"))
+    return F.when(F.coalesce(plain, F.lit(True)) | flag.isNull(), none).otherwise(F.array(flag))
 
 
 def is_marker(text: Column) -> Column:
@@ -93,7 +96,9 @@ def is_terminal(text: Column) -> Column:
     dotted = core.endswith(".")
     initial = (F.length(stem) == 1) & stem.rlike("^\\p{L}$") & core.rlike("^\\p{Lu}")
     ends = core.rlike("[.?!]$")
-    return F.coalesce(~is_marker(text) & ends & ~(dotted & (stem.isin(ABBREVIATIONS) | initial)), F.lit(False))
+    has_stop = F.contains(text, F.lit(".")) | F.contains(text, F.lit("?")) | F.contains(text, F.lit("!"))
+    whole = ~is_marker(text) & ends & ~(dotted & (stem.isin(ABBREVIATIONS) | initial))
+    return F.coalesce(F.when(has_stop, whole), F.lit(False))
 
 
 def ends_question(text: Column) -> Column:

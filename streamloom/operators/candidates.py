@@ -192,9 +192,9 @@ def pairs(p: DataFrame, found: DataFrame) -> DataFrame:
 def candidates(st: DataFrame, hits: DataFrame, turns: DataFrame, version: int = 1) -> DataFrame:
     """All windows of a version, numbered by (a, b, class order, at): rec_id, id, class, family, a, b, at, first_i, last_i, at_i.
 
-    Empty streams give none. The stream should be written or cached: every class reads it.
+    Empty streams give none. The prepared stream is written once, as every class reads it.
     """
-    p = prepared(st)
+    p = write_and_read(prepared(st), "prepared")
     parts = [shift(p), islands(p), boundary_cues(p), dropped_raw(p, hits, turns), merge_cues(p, version)]
     if version == 2:
         parts.append(clause_cues(p))
