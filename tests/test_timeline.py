@@ -173,9 +173,9 @@ def test_rename_plan(spark):
     sem = spark.sql("select 'F26' as term, date'2026-08-24' as start, date'2026-12-11' as end")
     courses = spark.createDataFrame([("F26", "777", ["Mon", "Wed"], "14:00", "15:40"), ("F26", "498", ["Wed"], "09:00", "11:45"), ("F26", "896", ["Fri"], None, None)], "term string, course_code string, weekdays array<string>, t0 string, t1 string").withColumn("t0", F.concat("t0", F.lit(":00"))).withColumn("t1", F.concat("t1", F.lit(":00")))
     files = spark.createDataFrame([("260831_0001.WAV", None, None), ("260902_0001.WAV", 50400.0, 54000.0), ("260902_0002.WAV", None, None), ("260904_0001.wav", None, None), ("260905_0001.wav", None, None), ("notes.txt", None, None), ("250101_0001.wav", None, None)], "name string, span_start double, span_end double")
-    got = {r.name: (r.target, r.why) for r in rename_plan(files, sem, courses, "PSY").collect()}
-    assert got["260831_0001.WAV"] == ("PSY777-F26-WK2-Mon-2026-08-31.wav", None)
-    assert got["260902_0001.WAV"] == ("PSY777-F26-WK2-Wed-1-2026-09-02.wav", None)
+    got = {r.name: (r.target, r.why) for r in rename_plan(files, sem, courses, "LEC").collect()}
+    assert got["260831_0001.WAV"] == ("LEC777-F26-WK2-Mon-2026-08-31.wav", None)
+    assert got["260902_0001.WAV"] == ("LEC777-F26-WK2-Wed-1-2026-09-02.wav", None)
     assert got["260902_0002.WAV"][1] == "no_span" and got["260905_0001.wav"][1] == "no_class"
     assert got["notes.txt"][1] == "no_recorder_name" and got["250101_0001.wav"][1] == "no_semester"
 
