@@ -5,7 +5,9 @@ spoken "at", number starts, street types, identifier and phone cues, titles and
 name parts. A local parser at each anchor expands to the mention's ends and
 validates it; nothing else of the text is looked at again. Hesitations, sound
 notes, time marks, broken-off words, single bracketed signs and repeats are
-transparent to the parsers.
+transparent to the parsers. What stands in brackets, or is tagged as no speech, and
+is no known sound, time mark, speaker tag or hesitation is read twice: looked
+through, and as words.
 
 The same parsers serve a word stream (positions are the words' order) and a text
 (positions are characters).
@@ -61,6 +63,20 @@ EFFECT_AFTER = "effect task theorem test scale paradigm reader study bridge read
 TOP_LEVEL = "com org net edu gov info io co uk us de fr es eu ca example test invalid".split()
 #: Words that begin like a hesitation; slips of the recogniser put them in anywhere.
 SLIPS = "human umbrella ahead era errand umber ermine".split()
+#: Words of sound notes.
+SOUNDS = """
+air alarm applause applauding audience audio background baby bangs banging bark barking barks beep beeping beeps bell bells blank breath
+breathes breathing breaths buzz buzzes buzzing chair chairs chatter cheering cheers chime chimes chuckle chuckles chuckling clap clapping claps clears
+clearing click clicking clicks clink clinking closes closing conversation cough coughing coughs creaks crosstalk crowd cry crying cuts cutting dings dog
+door doors drop drops dropping drumming echo end exhales feedback footsteps foreign gasp gasps giggle giggles giggling groan groans growls heavy hiss
+horn hum humming hums inaudible indiscernible indistinct inhales keyboard keys knock knocking knocks language laugh laughing laughs laughter lip lips lipsmack loud
+microphone mic mobile moans mouse mumble mumbles mumbling murmur murmurs muffled music musical no noise noises opening opens overlapping overlap page pages
+paper papers pause pen phone playing plays quiet rattle rattling recording ring ringing rings rustle rustles rustling scoffs scrape scrapes scraping
+scream screaming screams scratching shuffling shuffles sigh sighing sighs silence silent singing siren slam slamming slams smack smacking smacks snap snaps
+sneeze sneezes sneezing sniff sniffing sniffles sniffs snore snoring snort snorts soft softly sound sounds speech speaking squeak squeaks start static steps stops
+tapping taps thud throat throatclearing tongue traffic turning typing unclear unintelligible vibrates vibrating video voice voices water whisper whispering whispers
+whistle whistles whistling wind writing yawn yawning yawns
+""".split()
 # ----------------------------------------------------------------------------------
 
 _FAMILY = {a + b for a in FAMILY_FRONT for b in FAMILY_BACK}
@@ -92,6 +108,13 @@ _PHONES = [
 _IDS = [re.compile(p) for p in (r"\d{3}-\d{2}-\d{4}", r"\d{3} \d{2} \d{4}", r"[A-Za-z]\d{6,9}", r"\d{4} \d{4}", r"\d{9}")]
 _DASHED_ID = re.compile(r"\d{3}-\d{2}-\d{4}")
 _INITIAL = re.compile(r"[A-Z]\.")
+_OPENS, _CLOSES = "[(<{*", "])>}*"
+_SOUND = re.compile("(?:" + "|".join(SOUNDS) + r"|u+h+m*|u+m+|h+m+|m+h*m+|e+r+m*|e+h+m*|a+h+|o+h+|m+hm+)")
+_CLOCK = re.compile(r"\d{1,3}(?::\d\d){1,2}(?:[.,]\d{1,3})?|\d{1,5}[.,]\d{1,3}s?|t:\d+(?:[.:,]\d+)*")
+_TAG = re.compile(r"(?:>>\s*)?(?:speaker|spk)[ _]?\d+")
+_WORDY = re.compile(r"[^\W_]")
+#: Most tokens of one bracket.
+WIDE = 16
 
 
 _FORMS: dict[str, tuple[str, str, str, bool, bool]] = {}
@@ -108,6 +131,71 @@ def _form(t: str) -> tuple[str, str, str, bool, bool]:
     return out
 
 
+def _known(inner: str) -> bool:
+    """Whether a text bare of its brackets is a sound note, time mark, speaker tag or hesitation, or has no letter or digit."""
+    low = inner.lower().strip(" .,;:!?…-–")
+    if not _WORDY.search(low) or _TAG.fullmatch(low):
+        return True
+    return all(_SOUND.fullmatch(w.strip(".,;:!?…")) or _CLOCK.fullmatch(w) or not _WORDY.search(w) for w in re.split(r"[\s_-]+", low))
+
+
+_ODD: dict[str, bool] = {}
+
+
+def _odd(t: str) -> bool:
+    """Whether a token holds words that may be hidden: in brackets or not, and no known note."""
+    if len(_ODD) > 200_000:
+        _ODD.clear()
+    inner = t.rstrip(".,;:!?")
+    whole = inner[:1] in _OPENS and inner[-1:] in _CLOSES
+    inner = inner.strip(_OPENS + _CLOSES)
+    _ODD[t] = out = not (_known(inner) or (whole and inner.isdigit() and len(inner) <= 6) or _SINGLE.fullmatch(t))
+    return out
+
+
+def _unwrapped(t: str, first: bool, last: bool) -> tuple[int, int]:
+    """Where a token's words begin and end without the brackets that open before and close after it; (305) stays."""
+    a, b = 0, len(t.rstrip(".,;:!?"))
+    if first and t[:1] in _OPENS and not re.match(r"\(\d{3}\)", t):
+        a = 1
+    if last and b > a and t[b - 1] in _CLOSES and not re.fullmatch(r".*\(\d{3}\)", t[a:b]):
+        return a, b - 1
+    return a, len(t)
+
+
+def _opened(values: list[str], odd: list[bool], tags: list[int]) -> list[tuple[int, int, int]] | None:
+    """The tokens of a sequence with those of unknown brackets split into their words: (place, begin, end); None if there are none.
+
+    values: the sequence's tokens; a token tagged as no speech that is no known note
+    opens too.
+    """
+    shown: dict[int, tuple[bool, bool]] = {}
+    for r, o in enumerate(odd):
+        if not o or r in shown:
+            continue
+        a = r
+        while a > max(0, r - WIDE) and values[a][:1] not in _OPENS and (a == r or values[a].rstrip(".,;:!?")[-1:] not in _CLOSES):
+            a -= 1
+        b = r
+        while b < min(len(values) - 1, r + WIDE) and values[b].rstrip(".,;:!?")[-1:] not in _CLOSES and (b == r or values[b][:1] not in _OPENS):
+            b += 1
+        if values[a][:1] in _OPENS and values[b].rstrip(".,;:!?")[-1:] in _CLOSES:
+            if not _known(" ".join(values[a : b + 1]).rstrip(".,;:!?").strip(_OPENS + _CLOSES)):
+                shown |= {k: (k == a, k == b) for k in range(a, b + 1)}
+        else:
+            shown[r] = (True, True)
+    if not shown:
+        return None
+    out: list[tuple[int, int, int]] = []
+    for r, t in enumerate(values):
+        if r in shown:
+            a, b = _unwrapped(t, *shown[r])
+            out += [(r, a + m.start(), a + m.end()) for m in re.finditer(r"\S+", t[a:b])]
+        elif tags[r] in (SPEECH, SPEAKER):
+            out.append((r, 0, len(t)))
+    return out
+
+
 class _Tokens:
     """The tokens parsers see: text, core in lower case, and each one's place in the source."""
 
@@ -355,6 +443,48 @@ def _visible(traits: tuple[np.ndarray, np.ndarray], ids: np.ndarray, tags: np.nd
     return rows[keep]
 
 
+def _hidden(values: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    """Of each distinct token: whether it holds words of no known note, and whether it does so in brackets."""
+    odd = np.array([_ODD[v] if v in _ODD else _odd(v) for v in values], bool)
+    return odd, odd & np.array([v[:1] in _OPENS or v.rstrip(".,;:!?")[-1:] in _CLOSES or " " in v for v in values], bool)
+
+
+def _found(values: list[str], ids: np.ndarray, tags: np.ndarray, rows: list[int], hidden: tuple[np.ndarray, np.ndarray]) -> list[tuple[str, int, int, int, int]]:
+    """A sequence's mentions: (kind, first token, where it begins in that, last token, where it ends in that).
+
+    rows: the tokens parsers see with all brackets looked through. Unknown brackets are
+    then read as words too; of mentions that overlap the larger wins.
+    """
+    out = [(what, p, 0, q, len(values[ids[q]])) for what, p, q in mentions([values[ids[r]] if tags[r] == SPEECH else "|" for r in rows], rows)]
+    odd, wrapped = hidden
+    asked = odd[ids] & ((tags != SPEECH) | wrapped[ids])
+    if not asked.any():
+        return out
+    own = [values[k] for k in ids.tolist()]
+    parts = _opened(own, asked.tolist(), tags.tolist())
+    if parts is None:
+        return out
+    texts, places = [], []
+    for part in parts:
+        r, a, b = part
+        t = "|" if tags[r] == SPEAKER and not odd[ids[r]] else own[r][a:b]
+        form = _FORMS.get(t) or _form(t)
+        if not form[3]:
+            continue
+        if texts and t == texts[-1] and not form[4]:
+            places[-1] = part
+            continue
+        texts.append(t)
+        places.append(part)
+    for what, p, q in mentions(texts, list(range(len(texts)))):
+        out.append((what, places[p][0], places[p][1], places[q][0], places[q][2]))
+    kept: list[tuple[str, int, int, int, int]] = []
+    for m in sorted(set(out), key=lambda m: (m[1] - m[3], m[1], m[2] - m[4], m[2], m[0])):
+        if all((m[3], m[4]) <= (k[1], k[2]) or (m[1], m[2]) >= (k[3], k[4]) for k in kept):
+            kept.append(m)
+    return sorted(kept, key=lambda m: m[1:])
+
+
 def _in_words(table: pa.Table) -> pa.Table:
     hashes = [f"{OWN}h1", f"{OWN}h2"]
     i = table[f"{OWN}i"].to_numpy()
@@ -374,11 +504,12 @@ def _in_words(table: pa.Table) -> pa.Table:
     core = table[f"{OWN}core"].to_numpy(zero_copy_only=False).astype(bool)
     cuts = np.searchsorted(rows, np.r_[first, len(ids)]).tolist()
     at, kinds, lo, hi = [], [], [], []
-    rows, spoken = rows.tolist(), tags == SPEECH
-    for a, b in zip(cuts, cuts[1:]):
+    rows, bounds, hidden = rows.tolist(), [*first.tolist(), len(ids)], _hidden(values)
+    for n, (a, b) in enumerate(zip(cuts, cuts[1:])):
         here = rows[a:b]
-        texts = [values[ids[r]] if spoken[r] else "|" for r in here]
-        for what, p, q in mentions(texts, here):
+        lo_row, hi_row = bounds[n], bounds[n + 1]
+        for what, p, _, q, _ in _found(values, ids[lo_row:hi_row], tags[lo_row:hi_row], [r - lo_row for r in here], hidden):
+            p, q = p + lo_row, q + lo_row
             if core[p]:
                 at.append(p)
                 kinds.append(what)
@@ -434,14 +565,14 @@ def in_many(texts: list[str | None]) -> list[list[tuple[str, int, int]]]:
         return out
     values, coded = list(distinct), np.array(ids)
     tags = tag_blocks(emissions(values)[coded], np.array(cuts))
-    spoken, traits = (tags == SPEECH).tolist(), _traits(values)
+    traits, hidden = _traits(values), _hidden(values)
     for n, text in enumerate(texts):
         lo, hi = cuts[n], cuts[n + 1]
         if lo == hi:
             continue
-        rows = (_visible(traits, coded[lo:hi], tags[lo:hi]) + lo).tolist()
-        for what, p, q in mentions([values[ids[r]] if spoken[r] else "|" for r in rows], rows):
-            a, b = place[p], place[q] + len(values[ids[q]]) - 1
+        rows = _visible(traits, coded[lo:hi], tags[lo:hi]).tolist()
+        for what, p, begin, q, end in _found(values, coded[lo:hi], tags[lo:hi], rows, hidden):
+            a, b = place[lo + p] + begin, place[lo + q] + end - 1
             while not text[a].isalnum():
                 a += 1
             while not text[b].isalnum():
@@ -463,7 +594,7 @@ def redacted(text: str | None, found: list[tuple[str, int, int]] | None = None)
         return text
     parts, done = [], 0
     for what, a, b in in_text(text) if found is None else found:
-        while a > done and text[a - 1] in "+(":
+        while a > done and (text[a - 1] == "+" or (text[a - 1] == "(" and ")" in text[a : b + 1])):
             a -= 1
         parts += [text[done:a], f"[{what.upper()}]"]
         done = b + 1

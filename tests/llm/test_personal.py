@@ -53,3 +53,26 @@ def test_placeholders_and_rows(spark):
     assert got == [(1, "name", 4, 15), (1, "name", 4, 15), (3, "email", 60000, 60011)]
     assert [r.t for r in in_texts(df, "k", "t", redact=True).where("k = 1").collect()] == ["Ask [NAME]'s cat"] * 2
     assert in_texts(df.where("false"), "k", "t").count() == 0
+
+
+@pytest.mark.parametrize(
+    "text,want",
+    [
+        ("Write <ann@x.example> or (bob@y.example).", [("email", "ann@x.example"), ("email", "bob@y.example")]),
+        ("ask (Anna Brennby) or [Hugo Quistby], please", [("name", "Anna Brennby"), ("name", "Hugo Quistby")]),
+        ("at home (555-0131) or the office (call 650-555-0192).", [("phone", "555-0131"), ("phone", "650-555-0192")]),
+        ("We live near (12 Old Birch Rd.) now (your number is 8541 5937)", [("address", "12 Old Birch Rd"), ("idno", "8541 5937")]),
+        ("Anna [glass shatters] Brennby and Hugo [door slams] Quistby", [("name", "Anna [glass shatters] Brennby"), ("name", "Hugo [door slams] Quistby")]),
+        ("(phone buzzing) [Speaker 1]: [00:12:30] <12.50> (applause) [inaudible 00:12]", []),
+    ],
+)
+def test_brackets_hide_no_mention(text, want):
+    assert found(text) == want
+
+
+def test_brackets_in_words_and_placeholders(spark):
+    tokens = ["ask", "(Anna", "Brennby)", "or", "[Hugo Quistby]", "at", "(555-0131)", "(call", "650-555-0192)", "<ann@x.example>", "[door slams]"]
+    df = spark.createDataFrame([("r", n, t) for n, t in enumerate(tokens)], "rec_id string, i int, text string")
+    want = [("r", "email", 9, 9), ("r", "name", 1, 2), ("r", "name", 4, 4), ("r", "phone", 6, 6), ("r", "phone", 8, 8)]
+    assert sorted(tuple(r) for r in in_words(df).collect()) == want
+    assert redacted("ask (Anna Brennby) at (call 650-555-0192) <ann@x.example>") == "ask ([NAME]) at (call [PHONE]) <[EMAIL]>"
