@@ -63,6 +63,26 @@ EFFECT_AFTER = "effect task theorem test scale paradigm reader study bridge read
 TOP_LEVEL = "com org net edu gov info io co uk us de fr es eu ca example test invalid".split()
 #: Words that begin like a hesitation; slips of the recogniser put them in anywhere.
 SLIPS = "human umbrella ahead era errand umber ermine".split()
+#: Before a name: those that tell one capitalised word as a name, and those that need two.
+NAME_CUES = ["name is", "name's", "named", "thanks", "thank you", "hi", "hello", "dear", "question from", "signed", "ask", "tell"]
+PAIR_CUES = ["i'm", "i’m", "i am", "this is", "meet", "from", "by", "with", "reach", "contact", "email", "welcome", "and", "is how", "does", "would", "that"]
+#: After a name of two words or more.
+SAID = "asked asks said says told tells wrote writes replied answered argued argues thinks thought chose speaking".split()
+PARTICLES = "de da di du del della der den van von la le bin ibn al el".split()
+#: Capitalised words that are no names of persons.
+NOT_NAMES = """
+a about above after again all alone also although always am america american an and another any april are around arabic as asian ask at august autumn be because
+been before below british but by bye call can canada canadian canvas chapter china chinese christmas could course data day dear december did do does
+during each easter either email english europe european even ever every everybody everyone february figure first folks for france french friday friends from
+german germany given god good google great greek guys had happy has have he hello her here hers hi his how however i if in india indian instead
+internet is it its italian january japan japanese july june just last latin lecture let like london look many march may maybe me meet might monday
+more most mr mrs much must my name new next no nobody nor north not nothing notice november now october of oh okay ok on once one online only or
+other our out over part paris perhaps please python reach remember right russian saturday second section see september she should similarly since so
+some somebody someone something south spanish spring still such summer sunday sure team tell than thank thanks that the their them then there therefore these they
+thing third this those though through thursday to today tomorrow too tuesday two under university unit until up us very wait was we wednesday week
+welcome well were what whatever when where whether which while who whose why will winter with without would yeah yes yesterday yet york you your
+zoom table theorem theory law equation model method lab library institute college school department street hall room building study effect task project city state states
+""".split()
 #: Words of sound notes.
 SOUNDS = """
 air alarm applause applauding audience audio background baby bangs banging bark barking barks beep beeping beeps bell bells blank breath
@@ -82,6 +102,8 @@ whistle whistles whistling wind writing yawn yawning yawns
 _FAMILY = {a + b for a in FAMILY_FRONT for b in FAMILY_BACK}
 _GIVEN, _TITLES, _STREETS, _UNITS, _DIGITS = set(GIVEN), set(TITLES), set(STREETS), set(UNITS), set(DIGIT_WORDS)
 _NUMBERS, _STOP, _NOT_PERSONAL, _TLD, _SLIPS = set(NUMBER_WORDS), set(NOT_IN_STREET), set(NOT_PERSONAL), set(TOP_LEVEL), set(SLIPS)
+_NOT_NAMES = {*NOT_NAMES, *NAME_CUES, *PAIR_CUES, *SAID, *STREETS, *UNITS, *PLACE_AFTER, *EFFECT_AFTER, *NUMBER_WORDS, *TITLES, *NOT_PERSONAL}
+_PARTICLES, _STRONG = set(PARTICLES), set(NAME_CUES)
 _PLACE, _EFFECT = set(PLACE_AFTER), set(EFFECT_AFTER)
 _NOT_LOCAL = set("me it us them him her you look is was are were be site page online hosted available arrive here there and or to by we i stay meet".split())
 
@@ -224,6 +246,7 @@ def _anchors():
         (["@"], "sign"), ([" at ", " (at) ", " [at] "], "at"), ([f" {d}" for d in "0123456789+("], "number"),
         ([f" {s}" for s in STREETS], "street"), ([f" {s}" for s in ID_CUES], "id"), ([f" {s}" for s in PHONE_CUES], "phone"),
         ([f" {s}" for s in [*TITLES, *GIVEN, *_FAMILY]], "name"),
+        ([f" {s}" for s in [*NAME_CUES, *PAIR_CUES]], "cue"), ([f" {s}" for s in SAID], "said"),
     ):
         for p in patterns:
             kinds.setdefault(p, set()).add(kind)
@@ -348,6 +371,53 @@ def _address(x: _Tokens, j: int) -> tuple[int, int] | None:
     return a, b
 
 
+def _name_like(x: _Tokens, k: int, capitals: bool = False) -> bool:
+    """Whether token k has the form of a name: capitalised (or in capitals), of letters, and no word that is none."""
+    t = x.bare[k]
+    return t[:1].isupper() and len(t) > 1 and t.isupper() == capitals and t.replace("'", "").replace("’", "").replace("-", "").isalpha() and x.word[k] not in _NOT_NAMES
+
+
+def _name_run(x: _Tokens, k: int) -> int:
+    """The last token of a name that starts at k by its form: capitalised words, initials, and particles between them."""
+    b, at, capitals = k, k, x.bare[k].isupper() and len(x.bare[k]) > 2
+    while b - k < 4 and at + 1 < len(x) and not _OWNED.search(x.low[b]) and (not x.stops(b) or _INITIAL.fullmatch(x.text[b])):
+        at = b + 1
+        while at + 1 < len(x) and at - b < 3 and x.text[at] in _PARTICLES:
+            at += 1
+        if not (_name_like(x, at, capitals) or _INITIAL.fullmatch(x.text[at])):
+            break
+        b = at
+    return b
+
+
+def _nothing_else(x: _Tokens, a: int, b: int) -> bool:
+    """No place, effect or street that is named after the person."""
+    return x.stops(b) or _OWNED.search(x.low[b]) is not None or b + 1 >= len(x) or x.low[b + 1] not in _PLACE | _EFFECT | _STREETS or (x.low[b + 1] in _EFFECT and not (a and x.low[a - 1] in ("the", "a", "an", "this", "that")) and x.bare[b + 1].islower())
+
+
+def _cued_name(x: _Tokens, j: int, strong: bool) -> tuple[int, int] | None:
+    """A name outside the lists behind the cue that ends at j: capitalised words, two at least if the cue is weak."""
+    k = j + 1
+    if k >= len(x) or x.text[j][-1:] in ".;:!?" or (not strong and x.stops(j)) or not (_name_like(x, k) or (strong and _name_like(x, k, True)) or _INITIAL.fullmatch(x.text[k])):
+        return None
+    b = _name_run(x, k)
+    if b == k and x.text[k].endswith(",") and k + 1 < len(x) and _name_like(x, k + 1) and _name_like(x, k) and x.word[j] in ("ask", "tell", "thanks", "meet", "reach", "from", "by", "contact"):
+        return k, k + 1  # family, given
+    if b == k and x.bare[k].isupper():
+        return None
+    if _INITIAL.fullmatch(x.text[b]) or (b == k and not strong) or not _nothing_else(x, k, b):
+        return None
+    return k, b
+
+
+def _said_name(x: _Tokens, j: int) -> tuple[int, int] | None:
+    """A name of two words or more outside the lists before a verb of saying at j."""
+    a = j
+    while a and j - a < 4 and (_name_like(x, a - 1) or _INITIAL.fullmatch(x.text[a - 1])) and (not x.stops(a - 1) or _INITIAL.fullmatch(x.text[a - 1])):
+        a -= 1
+    return (a, j - 1) if j - a >= 2 and not _INITIAL.fullmatch(x.text[j - 1]) else None
+
+
 def _name(x: _Tokens, j: int) -> tuple[int, int] | None:
     """A person's name that starts at j: title? given initials* family, in part, or family, given."""
     title = x.low[j].rstrip(".") in _TITLES
@@ -365,13 +435,18 @@ def _name(x: _Tokens, j: int) -> tuple[int, int] | None:
             b = k + 1
         elif not given:
             return None
+        elif not _INITIAL.fullmatch(x.text[k]):
+            b = _name_run(x, a)
+            b = a if _INITIAL.fullmatch(x.text[b]) else b
+        elif k + 1 < len(x) and _name_like(x, k + 1):
+            b = _name_run(x, k + 1)
     elif family:
         # "Family, Given"
         if x.text[a].endswith(",") and a + 1 < len(x) and x.word[a + 1] in _GIVEN:
             b = a + 1
     elif title and not x.text[j].endswith((",", "?", "!")) and x.bare[a][:1].isupper() and x.bare[a].isalpha() and len(x.bare[a]) > 2:
-        if a + 1 < len(x) and not ends(a) and x.word[a + 1] in _FAMILY:
-            b = a + 1
+        b = _name_run(x, a)
+        b = a if _INITIAL.fullmatch(x.text[b]) else b
     else:
         return None
     if not title and not ends(b) and b + 1 < len(x):
@@ -397,7 +472,11 @@ def mentions(texts: list[str], places: list[int]) -> list[tuple[str, int, int]]:
         for kind in kinds:
             if (j, kind) in seen:
                 continue
-            seen.add((j, kind))
+            # A pattern may be but the head of the token, as "mr" is of "mrs": the place is done only when the whole token was meant.
+            if kind in ("name", "cue", "said", "phone", "id") and pattern.split()[-1] not in (x.word[last if kind in ("cue", "id") else j].rstrip("."), x.low[last]):
+                continue
+            if kind != "cue":
+                seen.add((j, kind))
             span = None
             if kind in ("sign", "at"):
                 span, what = _email(x, j), "email"
@@ -408,15 +487,21 @@ def mentions(texts: list[str], places: list[int]) -> list[tuple[str, int, int]]:
             elif kind == "street":
                 span, what = _address(x, j), "address"
             elif kind == "id":
-                span, what = (_idno(x, last) if x.word[last] == pattern.split()[-1] else None), "idno"
+                span, what = _idno(x, last), "idno"
             elif kind == "phone":
-                span, what = (_spoken_digits(x, j, 7) if x.word[j] == pattern.strip() else None), "phone"
+                span, what = _spoken_digits(x, j, 7), "phone"
             elif kind == "name":
                 start = j
                 while start and _INITIAL.fullmatch(x.text[start - 1]) and x.word[j] in _FAMILY:
                     start -= 1
-                if x.word[j].rstrip(".") == pattern.strip():
+                if start == j and x.word[j] in _FAMILY and j > 1 and _name_like(x, j - 1) and not x.stops(j - 1) and not x.stops(j - 2) and x.word[j - 1] not in _GIVEN | _FAMILY:
+                    span, what = ((j - 1, j) if _nothing_else(x, j - 1, j) else None), "name"
+                else:
                     span, what = _name(x, start), "name"
+            elif kind == "cue":
+                span, what = _cued_name(x, last, pattern.strip() in _STRONG), "name"
+            elif kind == "said":
+                span, what = _said_name(x, j), "name"
             if span:
                 found.add((*span, what))
     # What stands inside a larger mention, or overlaps a longer one, isn't counted again.

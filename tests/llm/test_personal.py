@@ -76,3 +76,19 @@ def test_brackets_in_words_and_placeholders(spark):
     want = [("r", "email", 9, 9), ("r", "name", 1, 2), ("r", "name", 4, 4), ("r", "phone", 6, 6), ("r", "phone", 8, 8)]
     assert sorted(tuple(r) for r in in_words(df).collect()) == want
     assert redacted("ask (Anna Brennby) at (call 650-555-0192) <ann@x.example>") == "ask ([NAME]) at (call [PHONE]) <[EMAIL]>"
+
+
+@pytest.mark.parametrize(
+    "text,want",
+    [
+        ("Mrs. Smith came and Professor Smith left.", ["Smith", "Smith"]),
+        ("Then Joseph Brennby left.", ["Joseph Brennby"]),
+        ("Is Dr. Alan van der Berg here?", ["Alan van der Berg"]),
+        ("My name is Zoltan Okafor and this is Akira Petrov.", ["Zoltan Okafor", "Akira Petrov"]),
+        ("Thanks, Ngozi. A question from Siobhan O'Connell, please. Then Kwame Nowak asked why.", ["Ngozi", "Siobhan O'Connell", "Kwame Nowak"]),
+        ("So Anna Whitfield met Tariq Brennby; ask Ferguson, Dmitri about it.", ["Anna Whitfield", "Tariq Brennby", "Ferguson, Dmitri"]),
+        ("This is Chestnut Hall. Thanks, Everyone. From New York by Orchard Study. Ask That again. This is English.", []),
+    ],
+)
+def test_names_outside_the_lists(text, want):
+    assert [m for k, m in found(text) if k == "name"] == want
