@@ -9,6 +9,7 @@ from streamloom.functions import tokens as tk
 from streamloom.operators.stream import rec
 
 SHAPES = ("restatement", "completed_partial", "substitution")
+CANDIDATE = "proper_noun_candidate"
 
 
 def matches(words: DataFrame, shapes: tuple[str, ...] = SHAPES) -> DataFrame:
@@ -134,6 +135,13 @@ def conjunction(words: DataFrame, unmatched: DataFrame, dissenters: int, need: i
     return c.select("rec_id", "pos", "i", "text", "votes", "adjacent", "name_like", "masked", "allowlisted", (~F.col("masked") & ~F.col("allowlisted")).alias("flagged"))
 
 
+def flagged_candidates(words: DataFrame, candidates: DataFrame, keys: list[str]) -> DataFrame:
+    """The words with proper_noun_candidate added to flags where conjunction() flagged them; all words stay."""
+    at = candidates.where("flagged").select(*keys, F.lit(True).alias("__sl_c")).distinct()
+    one = F.when(F.col("__sl_c"), F.array(F.lit(CANDIDATE))).otherwise(F.array().cast("array<string>"))
+    return words.join(at, keys, "left").withColumn("flags", F.array_union("flags", one)).drop("__sl_c")
+
+
 def refused(primary: DataFrame, others: DataFrame, least: int = 3, share: float = 0.25) -> DataFrame:
     """(rec_id, why) of recordings whose other transcripts can't vote: too_few, same_model, too_short.
 

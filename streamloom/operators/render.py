@@ -25,15 +25,25 @@ def plain(st: DataFrame) -> DataFrame:
     return _joined(st, ["rec_id", "stretch"], "pos", F.col("text"), " ", "text").withColumnRenamed("stretch", "turn")
 
 
-def html_words(st: DataFrame) -> DataFrame:
-    """(rec_id, i, html): a word escaped, in a span of its class: marker, partial, reparandum, candidate."""
+def html_word() -> Column:
+    """A word escaped, in a span of its class: marker, partial, reparandum, candidate."""
     flags = F.col("flags")
     has = lambda f: F.array_contains(flags, f)
     cls = (
         F.when(tk.is_marker(F.col("text")), "marker").when(has("partial_word"), "partial").when(has("repetition") | has("repair"), "reparandum").when(has("proper_noun_candidate"), "candidate")
     )
     safe = tk.html_escaped(F.col("text"))
-    return st.select("rec_id", "i", F.when(cls.isNull(), safe).otherwise(F.concat(F.lit('<span class="'), cls, F.lit('">'), safe, F.lit("</span>"))).alias("html"))
+    return F.when(cls.isNull(), safe).otherwise(F.concat(F.lit('<span class="'), cls, F.lit('">'), safe, F.lit("</span>")))
+
+
+def html_words(st: DataFrame) -> DataFrame:
+    """(rec_id, i, html) of each word."""
+    return st.select("rec_id", "i", html_word().alias("html"))
+
+
+def named_word() -> Column:
+    """A word of a text transcript; candidates are followed by [NAME?]."""
+    return F.concat(F.col("text"), F.when(F.array_contains("flags", "proper_noun_candidate"), " [NAME?]").otherwise(""))
 
 
 def text_lines(st: DataFrame, marks: DataFrame | None = None, numbered: bool = True, width: int = 88, offset: float = 0.0) -> DataFrame:
@@ -47,7 +57,7 @@ def text_lines(st: DataFrame, marks: DataFrame | None = None, numbered: bool = T
     else:
         x = x.withColumn("mark", F.lit(None).cast("boolean"))
     time = lambda c: F.concat(F.lit("["), tenths(F.coalesce(c, F.lit(0.0)) + offset), F.lit("]"))
-    piece = F.concat(F.when(F.col("mark"), F.concat(time(F.col("start_s")), F.lit(" "))).otherwise(""), F.col("text"), F.when(F.array_contains("flags", "proper_noun_candidate"), " [NAME?]").otherwise(""))
+    piece = F.concat(F.when(F.col("mark"), F.concat(time(F.col("start_s")), F.lit(" "))).otherwise(""), named_word())
     head = st.groupBy("rec_id", F.col("stretch").alias("turn")).agg(F.min_by("start_s", "pos").alias("t"), F.min_by("speaker", "pos").alias("who"))
     head = head.select("rec_id", "turn", F.lit(-1).cast("long").alias("line"), F.concat(time(F.col("t")), F.lit(" "), F.coalesce("who", F.lit("UNKNOWN"))).alias("text"))
     unit = F.col("sent") if numbered else F.col("stretch")

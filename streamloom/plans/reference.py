@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from streamloom.functions import tokens as tk
@@ -314,6 +314,20 @@ def vote_conjunction(spark, d):
     return df.conjunction(words, al.unmatched(view, _dissenters(view), ["a", "b", "c"]), 3)
 
 
+@query()
+def vote_annotated(spark, d):
+    """Words of both streams with the flags of the votes, and as they are rendered: [NAME?] and the candidate class."""
+    from streamloom.operators import render as rd
+
+    primary = the_words(spark, d).withColumn("stream", F.lit("primary"))
+    # The tables hold no second rendering; without markers and partials the words stand for one.
+    fluent = primary.where(~tk.is_disfluent(F.col("text"))).withColumn("stream", F.lit("secondary"))
+    fluent = fluent.withColumn("i", F.row_number().over(Window.partitionBy("rec_id").orderBy("i")) - 1)
+    view = write_and_read(df.fluent_view(st.spoken(the_words(spark, d))), "fluent")
+    words, _ = al.annotate(primary.unionByName(fluent), _dissenters(view), ["a", "b", "c"])
+    return words.select("stream", "rec_id", "i", "text", "flags", rd.html_word().alias("html"), rd.named_word().alias("shown"))
+
+
 # -- evaluation ------------------------------------------------------------------------------
 from streamloom.operators import evaluate as ev  # noqa: E402
 
