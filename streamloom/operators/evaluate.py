@@ -246,6 +246,45 @@ def class_report(by: DataFrame, found: DataFrame, errs: DataFrame) -> DataFrame:
     return n.join(x, "class", "left").fillna(0, ["with_error", "surfaced", "only_this"])
 
 
+def class_stats(by: DataFrame, found: DataFrame, errs: DataFrame, hours: DataFrame, classes: list[str], family: dict[str, str]) -> DataFrame:
+    """Per class and per group of classes: windows, per hour (tenths), words covered, errors surfaced and surfaced by it alone of each kind, windows with an error.
+
+    by: surfaced(); hours: (rec_id, duration_s) of the recordings judged. Groups are split, merge, pair and everything
+    but shift. only_*: errors that no class outside the group surfaces. A class without windows has a row of zeros.
+    """
+    units = [("class", c, [c]) for c in classes]
+    units += [("group", f, own) for f in ("split", "merge", "pair") if (own := [c for c in classes if family[c] == f])]
+    units.append(("group", "everything but shift", [c for c in classes if c != "shift"]))
+    unit = F.array(*[F.struct(F.lit(a).alias("level"), F.lit(n).alias("name"), F.array(*[F.lit(c) for c in m]).alias("members")) for a, n, m in units])
+    of_class = F.explode(F.filter(unit, lambda u: F.array_contains(u["members"], F.col("class"))))
+    key = ["u.level", "u.name"]
+    total = hours.agg((F.sum("duration_s") / 3600).alias("hours"))
+
+    w = found.select("rec_id", "class", "a", "b", "at", of_class.alias("u"))
+    # Words covered: each window adds what lies behind the furthest end before it.
+    o = Window.partitionBy("rec_id", *key).orderBy("a", "b", "class", "at").rowsBetween(Window.unboundedPreceding, -1)
+    past = F.coalesce(F.max("b").over(o), F.lit(-1))
+    w = w.withColumn("new", F.greatest(F.col("b") - F.greatest(F.col("a"), past + 1) + 1, F.lit(0)))
+    volume = w.groupBy(*key).agg(F.count("*").alias("windows"), F.sum("new").cast("long").alias("words_covered"))
+
+    e = errs.select("rec_id", "t", F.floor(F.col("t") / REACH).alias("bucket")).distinct()
+    s = _spread(found)
+    held = s.join(e, (s["rec_id"] == e["rec_id"]) & (s["bucket"] == e["bucket"]) & (s["a"] < e["t"]) & (e["t"] <= s["b"]), "left_semi").select("rec_id", "class", "a", "b", "at").distinct()
+    held = held.select(of_class.alias("u")).groupBy(*key).agg(F.count("*").alias("with_error"))
+
+    kinds = {"all": F.lit(True), "missed": F.col("kind") == "missed", "missed_misattributing": (F.col("kind") == "missed") & (F.col("misattributed") > 0), "spurious": F.col("kind") == "spurious", "high_harm": F.col("high_harm")}
+    x = by.select("*", F.explode(F.filter(unit, lambda u: F.arrays_overlap(u["members"], F.col("classes")))).alias("u"))
+    alone = F.size(F.array_except("classes", "u.members")) == 0
+    x = x.groupBy(*key).agg(*[F.count_if(c).alias(f"surfaced_{k}") for k, c in kinds.items()], *[F.count_if(c & alone).alias(f"only_{k}") for k, c in kinds.items()])
+
+    every = total.select("hours", F.explode(unit).alias("u")).select(F.col("u.level").alias("level"), F.col("u.name").alias("name"), "hours")
+    out = every.join(volume, ["level", "name"], "left").join(held, ["level", "name"], "left").join(x, ["level", "name"], "left")
+    counts = ["windows", "words_covered", *[f"{p}_{k}" for p in ("surfaced", "only") for k in kinds], "with_error"]
+    out = out.fillna(0, counts)
+    rate = F.floor(F.when(F.col("hours") > 0, F.col("windows") / F.col("hours")) * 10 + 0.5).alias("per_hour_tenths")
+    return out.select("level", "name", "windows", rate, *counts[1:], ratio(F.col("with_error"), F.col("windows")).alias("with_error_e4"))
+
+
 def site_lengths(sites: DataFrame) -> DataFrame:
     """Number, least, median, 90th and greatest length of sites over all recordings.
 

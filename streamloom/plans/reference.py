@@ -484,6 +484,14 @@ def eval_class_report(spark, d):
     return ev.class_report(by, found, errs)
 
 
+@query()
+def eval_class_stats(spark, d):
+    """Volume, coverage, rate and errors surfaced per kind, by class of windows and by group of classes."""
+    found, errs, by = _surfaced(spark, d)
+    hours = durations(spark, d).join(the_words(spark, d).select("rec_id").distinct(), "rec_id", "left_semi")
+    return ev.class_stats(by, found, errs, hours, cd.ORDER[1], cd.FAMILY)
+
+
 @query("with " + _cand_sql(2) + ",\n" + _SITES + ",\nsl as (select list_sort(list(b - a + 1)) as l, count(*) as n from st)\nselect n, l[1] as min, (l[1 + (n - 1) // 2] + l[1 + n // 2]) / 2 as median, l[1 + least(n - 1, cast(floor(n * 0.9) as bigint))] as p90, l[-1] as max from sl")
 def agg_site_lengths(spark, d):
     """Least, median, 90th and greatest site length."""
