@@ -58,6 +58,15 @@ def hesitations() -> list[str]:
 
 
 _HESITATION = frozenset(hesitations())
+#: Hesitation sounds drawn out as long as one likes, with German and French ones.
+_DRAWN = re.compile(r"u+h+m*|u+m+|h+m+|m+h+m+|mm+|e+r+m*|e+h+m*|a+h+|[äö]+h+m*|e+u+h+")
+
+
+class _Codes(dict):
+    """Codes of words; -1 for hesitations, which count nowhere, 0 for other unknown words."""
+
+    def __missing__(self, word: str) -> int:
+        return -1 if _DRAWN.fullmatch(word) else 0
 
 
 def _unbroken(m: re.Match) -> str:
@@ -94,11 +103,11 @@ class Passages:
 
     def __init__(self, items: list[tuple[object, str | None]], least: int = LEAST):
         self.least = least
-        self.code: dict[str, int] = {}
+        self.code = _Codes()
         self.ids: list[object] = []
         self.words: list[np.ndarray] = []
         for item, text in items:
-            ws = [w for w in words_of(text) if w not in _HESITATION]
+            ws = [w for w in words_of(text) if not _DRAWN.fullmatch(w)]
             if len(ws) >= least:
                 self.ids.append(item)
                 self.words.append(np.array([self.code.setdefault(w, len(self.code) + 1) for w in ws], np.int64))
@@ -112,7 +121,6 @@ class Passages:
         self.hash, at = hashed[order], at[order]
         self.item = item_of[at]
         self.at = at - start_of[self.item]
-        self.code.update({h: -1 for h in _HESITATION if h not in self.code})
 
 
 def windows(ids: np.ndarray, size: int, base: int) -> tuple[np.ndarray, np.ndarray]:
@@ -161,10 +169,10 @@ def tiles(runs: list[tuple[int, int, int]], least: int) -> list[tuple[int, int,
 
 def find_in(texts: list[str | None], passages: Passages) -> list[tuple[int, int, int, int, int]]:
     """(text, passage, tiles, longest tile, words of the passage covered) of all that share a run of `least` words."""
-    get = passages.code.get
+    code = passages.code
     parts, lengths = [], []
     for t in texts:
-        ids = np.fromiter((get(w, 0) for w in words_of(t)), np.int64)
+        ids = np.fromiter((code[w] for w in words_of(t)), np.int64)
         ids = ids[ids >= 0]
         parts += [ids, np.zeros(1, np.int64)]
         lengths.append(len(ids) + 1)

@@ -70,3 +70,11 @@ def test_tiles_never_overlap():
 
 def test_empty_tables(spark):
     assert run(spark, [], [(1, "a b")]).count() == 0 and run(spark, [(1, "a b")], []).count() == 0
+
+
+def test_drawn_out_and_foreign_hesitations_break_no_run(spark):
+    assert all(lt._DRAWN.fullmatch(h) for h in lt._HESITATION)
+    p = [f"t{n}" for n in range(14)]
+    talk = " ".join(p[:4] + ["Uhhhhh,"] + p[4:8] + ["ummmmmm"] + p[8:10] + ["äh", "ähm"] + p[10:])
+    r = run(spark, [(1, talk)], [(7, " ".join(p[:7] + ["öhhh"] + p[7:]))]).first()
+    assert (r.n_tiles, r.longest, r.item_words) == (1, 14, 14)
