@@ -81,6 +81,11 @@ class _Check:
         self.text = {key: line for kind, key, line in expected if kind == "text"}
         self.heads = {key: line for kind, key, line in expected if kind == "head"}
         self.rank = {(kind, key): n for n, (kind, key, _) in enumerate(expected)}
+        # The next line from each place on that may not be skipped.
+        self.owed: list[int] = [len(expected)] * (len(expected) + 1)
+        for n in range(len(expected) - 1, -1, -1):
+            self.owed[n] = n if expected[n][0] in ("text", "head", "start") else self.owed[n + 1]
+        self.keys = [key for _, key, _ in expected]
         self.verdict: dict[str, str] = {}
         self.reached = -1
         self.block: str | None = None
@@ -91,9 +96,9 @@ class _Check:
                 self.line(n, raw.strip())
         for n, *_ in self.waiting:
             self.error(n, "marker_without_text")
-        missing = [key for (kind, key), n in self.rank.items() if n > self.reached and kind in ("text", "head")]
-        if missing:
-            self.error(len(filled) + 1, "missing_lines", missing[0])
+        owed = self.owed[self.reached + 1]
+        if owed < len(expected):
+            self.error(len(filled) + 1, "missing_lines", self.keys[owed])
         self.balance()
 
     def error(self, n: int, why: str, detail: str | None = None) -> None:
@@ -104,9 +109,9 @@ class _Check:
         if at <= self.reached:
             self.error(n, "out_of_order", key)
             return
-        skipped = [k for (what, k), r in self.rank.items() if self.reached < r < at and what in ("text", "head", "start")]
-        if skipped:
-            self.error(n, "missing_lines", skipped[0])
+        owed = self.owed[self.reached + 1]
+        if owed < at:
+            self.error(n, "missing_lines", self.keys[owed])
         self.reached = at
 
     def line(self, n: int, s: str) -> None:
@@ -133,7 +138,7 @@ class _Check:
             self.waiting = []
             self.come_to(n, "head", head.group(1))
             self.block = head.group(1)
-            self.events.append(("boundary", self.block))
+            self.events.append(("boundary", self.block, None))
         elif field and self.block:
             self.field(n, field.group(1).lower(), field.group(2).strip())
         elif text and text.group(1) in self.text:
@@ -186,30 +191,27 @@ class _Check:
         self.waiting = []
 
     def balance(self) -> None:
-        """A change stays open until its back or a boundary labelled real."""
-        held: tuple | None = None
-        unlabelled = False
-        for e in self.events:
-            if e[0] == "boundary":
-                if self.verdict.get(e[1]) == "real":
-                    held, unlabelled = None, False
-                elif e[1] not in self.verdict:
-                    unlabelled = unlabelled or held is not None
-                continue
-            kind, n, who = e
-            same = held is not None and held[2] == who and who != "?"
-            if kind == "change":
-                if same:
-                    self.error(n, "change_to_open_speaker", who)
-                held, unlabelled = e, False
-            else:
-                if held is None:
-                    self.error(n, "back_without_change")
-                elif same:
-                    self.error(n, "back_to_open_speaker", who)
-                held, unlabelled = None, False
-        if held is not None:
-            self.out.append((held[1], "note" if unlabelled else "error", "change_never_returns", None, None))
+        """Which change is open at each event: the last one before it, unless a back or a boundary labelled real stands between.
+
+        What lies between is read off running counts: events that open or close, and boundaries without a verdict.
+        """
+        if not self.events:
+            return
+        e = pd.DataFrame(self.events, columns=["kind", "at", "who"])
+        said = e["at"].map(self.verdict).where(e.kind == "boundary")
+        e["opens"] = e.kind == "change"
+        e["acts"] = e.opens | (e.kind == "back") | (said == "real")
+        e["bare"] = (e.kind == "boundary") & said.isna()
+        act = e[e.acts]
+        before = act.shift()
+        held = before.opens.eq(True)
+        same = held & (act.who == before.who) & (act.who != "?")
+        rules = {"change_to_open_speaker": (act.opens & same, True), "back_without_change": ((act.kind == "back") & ~held, False), "back_to_open_speaker": ((act.kind == "back") & same, True)}
+        for why, (hit, named) in rules.items():
+            for r in act[hit].itertuples():
+                self.error(r.at, why, r.who if named else None)
+        if len(act) and act.opens.iloc[-1]:
+            self.out.append((act["at"].iloc[-1], "note" if e.bare[act.index[-1] :].any() else "error", "change_never_returns", None, None))
 
 
 def checked(expected: DataFrame, filled: DataFrame) -> DataFrame:

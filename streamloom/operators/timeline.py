@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -10,6 +11,8 @@ from streamloom.operators.stream import BUCKET_S, nearest_edge, rec
 
 SEGMENT_S, RETRY_DEPTH, RETRY_LEAST_S = 300.0, 3, 30.0
 PREVIEW_CHARS = 88
+#: Runs of one speaker that a preview packs in one task.
+RUNS_AT_ONCE = 64
 
 
 def derived_starts(words: DataFrame) -> DataFrame:
@@ -139,61 +142,73 @@ def anchors(st: DataFrame, interval: float) -> DataFrame:
     one behind the mark.
     """
     t = Window.partitionBy("rec_id", "stretch")
-    x = st.select("rec_id", "stretch", "pos", "i", "sent", "start_s", "end_s", F.min("sent").over(t).alias("first_sent"), F.first("start_s").over(t.orderBy("pos").rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)).alias("t0"), F.last("end_s").over(t.orderBy("pos").rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)).alias("t1"))
+    x = st.select("rec_id", "stretch", "pos", "i", "sent", "start_s", "end_s", F.min("sent").over(t).alias("first_sent"), F.min("pos").over(Window.partitionBy("rec_id", "stretch", "sent")).alias("sent_pos"), F.first("start_s").over(t.orderBy("pos").rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)).alias("t0"), F.last("end_s").over(t.orderBy("pos").rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)).alias("t1"))
     x = x.where(F.col("t1") - F.col("t0") > interval)
 
     def run(df: pd.DataFrame) -> pd.DataFrame:
-        df = df.sort_values("pos")
-        head = df.drop_duplicates("sent")
-        head = head[(head.sent > head.first_sent.iloc[0]) & head.start_s.notna()]
-        starts = list(zip(head.start_s, head.i))
-        words = list(zip(df.start_s[df.start_s.notna()], df.i[df.start_s.notna()]))
-        last, end = float(df.t0.iloc[0]), float(df.t1.iloc[0])
-        target, used, rows = last + interval, set(), []
-        while target < end:
-            free = lambda xs: [(abs(t - target), t, i) for t, i in xs if t > last and i not in used]
-            near = [c for c in free(starts) if c[0] <= interval / 2]
-            kind = "sentence" if near else "word"
-            near = near or free(words)
-            if not near:
+        timed = df[df.start_s.notna()].sort_values(["start_s", "i"])
+        opens = timed[timed.sent.gt(timed.first_sent) & timed.pos.eq(timed.sent_pos)]
+        spots = {"sentence": _Spots(opens.start_s, opens.i, interval / 2), "word": _Spots(timed.start_s, timed.i)}
+        rows = []
+        due, behind, end = df.t0.iloc[0] + interval, df.t0.iloc[0], df.t1.iloc[0]
+        while due < end:
+            kind, spot = next(((k, s) for k, at in spots.items() if (s := at.nearest(due, behind))), (None, None))
+            if spot is None:
                 break
-            _, last, i = min(near)
-            used.add(i)
-            rows.append((df.rec_id.iloc[0], int(df.stretch.iloc[0]), int(i), kind))
-            target = max(target + interval, last + interval / 2)
+            behind = spot[0]
+            rows.append((df.rec_id.iloc[0], int(df.stretch.iloc[0]), spot[1], kind))
+            due = max(due + interval, behind + interval / 2)
         return pd.DataFrame(rows, columns=["rec_id", "turn", "i", "kind"])
 
     return x.groupBy("rec_id", "stretch").applyInPandas(run, "rec_id string, turn long, i int, kind string")
 
 
+class _Spots:
+    """Places a mark may stand, in order of time."""
+
+    def __init__(self, times: pd.Series, indices: pd.Series, within: float = float("inf")):
+        self.t, self.i, self.within = times.to_numpy(), indices.to_numpy(), within
+
+    def nearest(self, due: float, behind: float) -> tuple[float, int] | None:
+        """The place nearest to `due` that is later than `behind`; of equally near ones the earliest, then the lowest index."""
+        first = np.searchsorted(self.t, behind, "right")
+        k = max(first, np.searchsorted(self.t, due, "left"))
+        sides = self.t[max(first, k - 1) : k + 1]
+        if not len(sides):
+            return None
+        at = float(sides[np.abs(sides - due).argmin()])
+        return (at, int(self.i[np.searchsorted(self.t, at, "left")])) if abs(at - due) <= self.within else None
+
+
 def preview_lines(words: DataFrame, chars: int = PREVIEW_CHARS) -> DataFrame:
     """Words packed into lines: (rec_id, line, start_s, speaker, text).
 
     A line ends at a change of speaker, at terminal punctuation from `chars` on, or at twice
-    `chars`. words: (rec_id, pos, start_s, text, speaker). One task per recording: lines depend on
-    all before.
+    `chars`. words: (rec_id, pos, start_s, text, speaker). A recording is cut between runs of
+    one speaker; where a line ends is looked up in the running lengths, so only lines are looped over.
     """
+    who = F.struct("speaker")
+    x = words.select("rec_id", "pos", "start_s", "text", "speaker", (~who.eqNullSafe(F.lag(who).over(rec()))).cast("int").alias("__sl_new"))
+    x = x.withColumn("run", F.sum(F.coalesce("__sl_new", F.lit(1))).over(rec())).drop("__sl_new")
 
-    def run(df: pd.DataFrame) -> pd.DataFrame:
-        rows: list[tuple] = []
-        held: list = []
-        size = 0
-        for r in df.sort_values("pos").itertuples():
-            who = None if pd.isna(r.speaker) else r.speaker
-            if held and who != held[0][1]:
-                rows.append(held)
-                held, size = [], 0
-            held.append((r.start_s, who, r.text))
-            size += len(r.text) + 1
-            if size >= 2 * chars or (size >= chars and r.text.endswith((".", "?", "!"))):
-                rows.append(held)
-                held, size = [], 0
-        if held:
-            rows.append(held)
-        rec_id = df.rec_id.iloc[0]
-        return pd.DataFrame([(rec_id, n, h[0][0], h[0][1], " ".join(w[2] for w in h)) for n, h in enumerate(rows)], columns=["rec_id", "line", "start_s", "speaker", "text"])
-
-    return words.select("rec_id", "pos", "start_s", "text", "speaker").groupBy("rec_id").applyInPandas(run, "rec_id string, line int, start_s double, speaker string, text string")
+    def pack(df: pd.DataFrame) -> pd.DataFrame:
+        df = df.sort_values("pos")
+        upto = np.cumsum(df.text.str.len().to_numpy() + 1)
+        stops = np.flatnonzero(df.text.str.endswith((".", "?", "!")).to_numpy())
+        lasts = np.flatnonzero(np.r_[np.diff(df.run.to_numpy()) != 0, True])
+        cuts = [0]
+        while cuts[-1] < len(df):
+            a = cuts[-1]
+            before = upto[a - 1] if a else 0
+            full, ripe = np.searchsorted(upto, [before + 2 * chars, before + chars])
+            stop = np.searchsorted(stops, ripe)
+            cuts.append(1 + int(min([full, lasts[np.searchsorted(lasts, a)], *stops[stop : stop + 1]])))
+        head = df.iloc[cuts[:-1]]
+        texts = df.text.tolist()
+        return head.assign(text=[" ".join(texts[a:b]) for a, b in zip(cuts, cuts[1:])])
+
+    lines = x.groupBy("rec_id", F.floor(F.col("run") / RUNS_AT_ONCE)).applyInPandas(pack, x.schema)
+    return lines.select("rec_id", (F.row_number().over(rec()) - 1).alias("line"), "start_s", "speaker", "text")
 
 
 def wrapped(text: Column, width: int, indent: str = "") -> Column:
