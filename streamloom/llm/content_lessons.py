@@ -126,6 +126,12 @@ def patterns(kind: str) -> list[str]:
     return [p.strip() for line in source.strip().splitlines() for p in line.split("|") if p.strip()]
 
 
+def vocabulary_of_lessons() -> set[str]:
+    """Every word of the grammars."""
+    text = " ".join([*WORDS.values(), *LESSONS.values(), HARMLESS])
+    return set(re.findall(r"[^\W\d_]+", re.sub(r"\{\w+\}", " ", text)))
+
+
 def context(folder: str, vocabulary: Vocabulary) -> list[np.ndarray]:
     import pyarrow.parquet as pq
 

@@ -129,16 +129,22 @@ class Trainer:
         self.v = {k: np.zeros_like(v) for k, v in self.p.items()}
         self.word_of = np.array([crc(w, WORD_BUCKETS) for w in words])
         grams = [letters(w) for w in words]
-        width = max(map(len, grams))
-        self.gram_of = np.array([g + [-1] * (width - len(g)) for g in grams])
-        self.gram_n = np.array([len(g) for g in grams], np.float32)
+        self.gram_n = np.array([len(g) for g in grams])
+        self.gram_at = np.cumsum(self.gram_n) - self.gram_n
+        self.gram_of = np.concatenate(grams)
+
+    def _grams(self, tokens: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """All trigrams of some tokens, end to end: their buckets, where each token's begin, and how many it has."""
+        n = self.gram_n[tokens]
+        at = np.cumsum(n) - n
+        return self.gram_of[np.repeat(self.gram_at[tokens] - at, n) + np.arange(n.sum())], at, n
 
     def _forward(self, rows: np.ndarray, drop: float):
         p = self.p
         tokens, at = np.unique(rows, return_inverse=True)
         at = at.reshape(rows.shape)
-        g = self.gram_of[tokens]
-        x = np.concatenate([p["word"][self.word_of[tokens]], np.where(g[..., None] >= 0, p["gram"][g], 0).sum(1) / self.gram_n[tokens][:, None]], axis=1)
+        g, first, n = self._grams(tokens)
+        x = np.concatenate([p["word"][self.word_of[tokens]], np.add.reduceat(p["gram"][g], first) / n[:, None].astype(np.float32)], axis=1)
         keep_word = (self.rng.random((len(tokens), 1)) > drop).astype(np.float32) if drop else np.ones((len(tokens), 1), np.float32)
         x[:, :EMBED] *= keep_word
         valid = (rows >= 0).astype(np.float32)
@@ -209,9 +215,8 @@ class Trainer:
         grad["word"] = np.zeros_like(p["word"])
         np.add.at(grad["word"], self.word_of[tk], (dx[:, :EMBED] * keep_word)[real])
         grad["gram"] = np.zeros_like(p["gram"])
-        g = self.gram_of[tk]
-        each = np.repeat((dx[real, EMBED:] / self.gram_n[tk][:, None])[:, None, :], g.shape[1], axis=1)
-        np.add.at(grad["gram"], g[g >= 0], each[g >= 0])
+        g, _, n = self._grams(tk)
+        np.add.at(grad["gram"], g, np.repeat(dx[real, EMBED:] / n[:, None].astype(np.float32), n, axis=0))
         self.step_no += 1
         fix = np.sqrt(1 - 0.999**self.step_no) / (1 - 0.9**self.step_no)
         for k, gk in grad.items():

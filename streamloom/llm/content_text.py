@@ -5,11 +5,12 @@ from __future__ import annotations
 import re
 import unicodedata
 import zlib
+from functools import lru_cache
 from itertools import repeat
 
 import numpy as np
 
-from streamloom.llm.leaked_tests import _HESITATION, _MOJIBAKE, _unbroken
+from streamloom.llm.leaked_tests import _DRAWN, _MOJIBAKE, _unbroken
 
 # -- fixed values: letters that look like Latin ones, and signs that stand for letters ---
 LOOKALIKES = {
@@ -27,7 +28,9 @@ _NUMERIC = re.compile(r"[\d\W_]+")
 _LONG = re.compile(r"([a-z])\1{2,}")
 
 #: Buckets of the word and the letter-trigram tables.
-WORD_BUCKETS, GRAM_BUCKETS, GRAMS = 4096, 2048, 14
+WORD_BUCKETS, GRAM_BUCKETS = 4096, 2048
+#: Letters from which on a token may be several words run together, and the share that known words must make up.
+RUN, KNOWN = 16, 0.7
 
 
 def fold(token: str) -> str | None:
@@ -39,7 +42,7 @@ def fold(token: str) -> str | None:
         t = "".join(c for c in unicodedata.normalize("NFKD", t) if not unicodedata.combining(c))
         t = t.replace("ß", "ss")
     t = _EDGE.sub("", t.lower()).replace("'", "").replace("’", "")
-    if not t or t in _HESITATION:
+    if not t or _DRAWN.fullmatch(t):
         return None
     if _NUMERIC.fullmatch(t) and not ("@" in t or "$" in t or "*" in t):
         return None
@@ -56,15 +59,52 @@ def crc(s: str, buckets: int) -> int:
 
 
 def letters(word: str) -> list[int]:
-    """Buckets of a word's letter trigrams, at most GRAMS of them."""
-    w = f"<{word[:40]}>"
-    return [crc(w[k : k + 3], GRAM_BUCKETS) for k in range(len(w) - 2)][:GRAMS] or [crc(w, GRAM_BUCKETS)]
+    """Buckets of all letter trigrams of a word."""
+    w = f"<{word}>"
+    return [crc(w[k : k + 3], GRAM_BUCKETS) for k in range(len(w) - 2)] or [crc(w, GRAM_BUCKETS)]
+
+
+@lru_cache(maxsize=1)
+def _known() -> tuple[frozenset[str], int]:
+    """The folded words of the lessons, and the length of the longest."""
+    from streamloom.llm.content_lessons import vocabulary_of_lessons
+
+    words = frozenset(w for t in vocabulary_of_lessons() if (w := fold(t)) and len(w) > 1 and w.isalpha())
+    return words, max(map(len, words))
+
+
+def run_together(word: str) -> list[str]:
+    """The words of a token of RUN letters and more written without spaces; the token itself if known words make up less than KNOWN of it.
+
+    The split leaves fewest letters outside known words, then has fewest words.
+    """
+    if len(word) < RUN or not word.isalpha():
+        return [word]
+    known, longest = _known()
+    best: list[tuple[int, int, int, bool]] = [(0, 0, 0, False)]  # letters left over, words, where the last part begins, whether it is known
+    for k in range(1, len(word) + 1):
+        left, n, at, was = best[k - 1]
+        options = [(left + 1, n + was, k - 1 if was or k == 1 else at, False)]
+        options += [(best[j][0], best[j][1] + 1, j, True) for j in range(max(0, k - longest), k - 1) if word[j:k] in known]
+        best.append(min(options))
+    if best[-1][0] > (1 - KNOWN) * len(word):
+        return [word]
+    out, k = [], len(word)
+    while k:
+        out.append(word[best[k][2] : k])
+        k = best[k][2]
+    return out[::-1]
 
 
 class Vocabulary:
-    """Numbers for folded tokens, kept over batches. One-letter tokens have codes of their own, as they may spell a word."""
+    """Numbers for folded tokens, kept over batches.
+
+    One-letter tokens have codes of their own, as they may spell a word; so have tokens of several words run together.
+    """
 
     DROPPED, UNKNOWN = -1, -2
+    #: The code of the k-th token of several words is SPLIT - k.
+    SPLIT = -(10**9)
     #: The code of the k-th letter is LETTER - 2 k, less 1 if a stop follows it.
     LETTER = -10
 
@@ -78,6 +118,7 @@ class Vocabulary:
         self.words: list[str] = []
         self.letters: list[str] = []
         self.letter_word = np.zeros(0, np.int64)
+        self.parts: list[list[int]] = []
 
     def of(self, word: str) -> int:
         n = self.number.get(word)
@@ -96,7 +137,12 @@ class Vocabulary:
             n = self.LETTER - 2 * self.letters.index(bare) - (token[-1:] in ".,;:!?")
         else:
             word = fold(token)
-            n = self.DROPPED if word is None else self.of(word)
+            parts = [] if word is None else run_together(word)
+            if len(parts) > 1:
+                n = self.SPLIT - len(self.parts)
+                self.parts.append([self.of(w) for w in parts])
+            else:
+                n = self.of(parts[0]) if parts else self.DROPPED
         self.raw[token] = n
         return n
 
@@ -108,6 +154,9 @@ class Vocabulary:
         ids = np.fromiter(map(self.raw.get, tokens, repeat(self.UNKNOWN)), np.int64, len(tokens))
         for k in np.flatnonzero(ids == self.UNKNOWN).tolist():
             ids[k] = self._raw(tokens[k])
+        split = ids <= self.SPLIT
+        if split.any():
+            ids = np.concatenate([self.parts[self.SPLIT - n] if n <= self.SPLIT else [n] for n in ids.tolist()])
         letter = ids <= self.LETTER
         if letter.any():
             if (letter[:-2] & letter[1:-1] & letter[2:]).any():

@@ -29,6 +29,8 @@ from streamloom.operators.shared import require_columns
 LEAST = 12
 BLOCK_CHARS = 32_000_000
 TEXTS_AT_ONCE = 500
+#: Seeds expanded at once.
+SEEDS_AT_ONCE = 2_000_000
 
 # -- fixed values: sounds that stand in round brackets --------------------------------
 SOUNDS = (
@@ -42,6 +44,8 @@ _SOUND = "|".join(SOUNDS)
 _CAPTION = re.compile(r"^[ \t]*(?:\d+[ \t]*\r?\n[ \t]*)?\d\d?:\d\d:\d\d[,.]?\d*[ \t]*-->[^\n]*$", re.M)
 _LONE_NUMBER = re.compile(r"^[ \t]*\d+[ \t]*$", re.M)
 _NOTE = re.compile(rf"\[[^\[\]\n]{{1,40}}\]|<[^<>\n]{{1,40}}>|\((?:{_SOUND})(?: (?:{_SOUND}))*\)|\(\d+:\d\d(?::\d\d)?\)|\*[a-z ]{{2,30}}\*", re.I)
+#: A bracket too long to be surely a note: the text is read with it and without it.
+_LONG_NOTE = re.compile(r"\[[^\[\]\n]{41,}\]|<[^<>\n]{41,}>|\*[a-z ]{31,}\*", re.I)
 _LABEL = re.compile(r"(?:^|(?<=[\s\]>]))(?:>>\s*)?(?:speaker|spk)[ _]?\d+\s*:|^[ \t]*(?:>>\s*)?(?:speaker|spk)[ _]?\d+\b", re.I | re.M)
 _CLOCK = re.compile(r"(?<![\w.])\d{1,2}:\d\d(?::\d\d)?(?:[.,]\d+)?(?!\w)")
 _APOSTROPHE = re.compile(r"(?<=\w)['’ʼ‘´`](?=\w)")
@@ -49,15 +53,6 @@ _WORD = re.compile(r"[^\W_]+")
 _MOJIBAKE = re.compile(r"[ÃÂâ][\u0080-\u00ff€‚ƒ„…†‡ˆ‰Š‹ŒŽ‘’“”•–—˜™š›œžŸ]{1,2}")
 
 
-def hesitations() -> list[str]:
-    """Spellings of hesitation sounds, by rule: uh, um, uhm, hm, mm, mhm, er, erm, eh, ah with drawn-out letters."""
-    draw = lambda *parts: ["".join(c * n for c, n in zip(parts, ns)) for ns in np.ndindex(*[4] * len(parts)) if all(ns)]
-    out = set(draw("u", "h")) | set(draw("u", "m")) | set(draw("u", "h", "m")) | set(draw("h", "m")) | set(draw("e", "r")) | set(draw("e", "r", "m"))
-    out |= set(draw("e", "h")) | set(draw("a", "h")) | set(draw("m", "h", "m")) | {"mm", "mmm", "mmmm"}
-    return sorted(out - {"ehh"} | {"ehh"})
-
-
-_HESITATION = frozenset(hesitations())
 #: Hesitation sounds drawn out as long as one likes, with German and French ones.
 _DRAWN = re.compile(r"u+h+m*|u+m+|h+m+|m+h+m+|mm+|e+r+m*|e+h+m*|a+h+|[äö]+h+m*|e+u+h+")
 
@@ -76,9 +71,17 @@ def _unbroken(m: re.Match) -> str:
         return m.group()
 
 
+def readings(text: str | None) -> list[list[str]]:
+    """The words of a text; of one with long brackets also without what stands in them."""
+    out = [words_of(text)]
+    if text and ("[" in text or "<" in text or "*" in text) and _LONG_NOTE.search(text):
+        out.append(words_of(_LONG_NOTE.sub(" ", text)))
+    return out
+
+
 def words_of(text: str | None) -> list[str]:
     """The words that count: runs of letters and digits in lower case, without apostrophes, caption
-    numbers, time marks, speaker labels, sound notes; hesitations are still in."""
+    numbers, time marks, speaker labels, sound notes; hesitations are still in, and so is what stands in long brackets."""
     if not text:
         return []
     t = text
@@ -118,9 +121,9 @@ class Passages:
         start_of = np.cumsum([0] + [len(w) + 1 for w in self.words])
         at, hashed = windows(flat, least, self.base)
         order = np.argsort(hashed, kind="stable")
-        self.hash, at = hashed[order], at[order]
-        self.item = item_of[at]
-        self.at = at - start_of[self.item]
+        self.hash, self.place, self.flat = hashed[order], at[order], flat
+        self.item = item_of[self.place]
+        self.at = self.place - start_of[self.item]
 
 
 def windows(ids: np.ndarray, size: int, base: int) -> tuple[np.ndarray, np.ndarray]:
@@ -167,49 +170,70 @@ def tiles(runs: list[tuple[int, int, int]], least: int) -> list[tuple[int, int,
     return out
 
 
-def find_in(texts: list[str | None], passages: Passages) -> list[tuple[int, int, int, int, int]]:
+def find_in(texts: list[str | None], passages: Passages, most: int = SEEDS_AT_ONCE) -> list[tuple[int, int, int, int, int]]:
     """(text, passage, tiles, longest tile, words of the passage covered) of all that share a run of `least` words."""
     code = passages.code
-    parts, lengths = [], []
-    for t in texts:
-        ids = np.fromiter((code[w] for w in words_of(t)), np.int64)
-        ids = ids[ids >= 0]
-        parts += [ids, np.zeros(1, np.int64)]
-        lengths.append(len(ids) + 1)
-    flat = np.concatenate(parts) if parts else np.zeros(0, np.int64)
-    least = passages.least
-    at, hashed = windows(flat, least, passages.base)
+    parts, lengths, owner = [], [], []
+    for n, t in enumerate(texts):
+        for ws in readings(t):
+            ids = np.fromiter((code[w] for w in ws), np.int64)
+            ids = ids[ids >= 0]
+            parts += [ids, np.zeros(1, np.int64)]
+            lengths.append(len(ids) + 1)
+            owner.append(n)
+    if not parts:
+        return []
+    flat = np.concatenate(parts)
+    at, hashed = windows(flat, passages.least, passages.base)
     lo, hi = np.searchsorted(passages.hash, hashed, "left"), np.searchsorted(passages.hash, hashed, "right")
     hit = np.flatnonzero(hi > lo)
-    if not len(hit):
-        return []
     begin = np.cumsum([0] + lengths)
-    text_of = np.searchsorted(begin, at[hit], "right") - 1
-    seeds: dict[tuple[int, int], list[tuple[int, int]]] = {}
-    for h, n in zip(hit.tolist(), text_of.tolist()):
-        p = int(at[h])
-        for s in range(int(lo[h]), int(hi[h])):
-            item, q = int(passages.item[s]), int(passages.at[s])
-            if np.array_equal(flat[p : p + least], passages.words[item][q : q + least]):
-                seeds.setdefault((n, item), []).append((p - int(begin[n]), q))
-    out = []
-    for (n, item), places in seeds.items():
-        runs: list[tuple[int, int, int]] = []
-        for p, q in sorted(places, key=lambda s: (s[0] - s[1], s[0])):
-            if runs and runs[-1][1] - runs[-1][2] == p - q and runs[-1][1] + runs[-1][0] - least + 1 == p:
-                runs[-1] = (runs[-1][0] + 1, runs[-1][1], runs[-1][2])
-            else:
-                runs.append((least, p, q))
-        found = tiles(runs, least)
-        out.append((n, item, len(found), found[0][0], sum(t[0] for t in found)))
-    return out
+    # Words that many passages share give many seeds: they are expanded a slice at a time, cut between readings.
+    reading = np.searchsorted(begin, at[hit], "right") - 1
+    seeds = np.cumsum(hi[hit] - lo[hit])
+    best: dict[tuple[int, int], tuple[int, int, int]] = {}
+    a = 0
+    while a < len(hit):
+        b = max(a + 1, int(np.searchsorted(seeds, (seeds[a - 1] if a else 0) + most, "right")))
+        b = int(np.searchsorted(reading, reading[b - 1], "right"))
+        for r, item, runs in _runs(flat, at[hit[a:b]], reading[a:b], begin, lo[hit[a:b]], hi[hit[a:b]], passages):
+            found = tiles(runs, passages.least)
+            got = (sum(t[0] for t in found), found[0][0], len(found))
+            key = owner[r], item
+            best[key] = max(best.get(key, got), got)
+        a = b
+    return [(n, item, count, longest, covered) for (n, item), (covered, longest, count) in best.items()]
+
+
+def _runs(flat: np.ndarray, at: np.ndarray, reading: np.ndarray, begin: np.ndarray, lo: np.ndarray, hi: np.ndarray, passages: Passages) -> Iterator[tuple[int, int, list[tuple[int, int, int]]]]:
+    """(reading, passage, [(length, place in text, place in passage)]): seeds compared word by word and joined to runs."""
+    least, n = passages.least, hi - lo
+    seed = np.repeat(lo - np.cumsum(n) + n, n) + np.arange(n.sum())
+    p, r, item, q = np.repeat(at, n), np.repeat(reading, n), passages.item[seed], passages.at[seed]
+    same = np.ones(len(seed), bool)
+    for k in range(least):
+        same &= flat[p + k] == passages.flat[passages.place[seed] + k]
+    p, r, item, q = (p - begin[r])[same], r[same], item[same], q[same]
+    if not len(p):
+        return
+    order = np.lexsort((p, p - q, item, r))
+    p, r, item, q = p[order], r[order], item[order], q[order]
+    pair = np.r_[True, (r[1:] != r[:-1]) | (item[1:] != item[:-1])]
+    head = pair | np.r_[True, (p[1:] != p[:-1] + 1) | (q[1:] != q[:-1] + 1)]
+    start = np.flatnonzero(head)
+    size = np.diff(np.r_[start, len(p)]) + least - 1
+    cuts = np.searchsorted(start, np.r_[np.flatnonzero(pair), len(p)]).tolist()
+    rows = list(zip(size.tolist(), p[start].tolist(), q[start].tolist()))
+    for a, b in zip(cuts, cuts[1:]):
+        yield int(r[start[a]]), int(item[start[a]]), rows[a:b]
 
 
 def leaked_tests(documents: DataFrame, passages: DataFrame, doc_key: str = "doc_id", item_key: str = "item_id", text: str = "text", least: int = LEAST) -> DataFrame:
     """Texts that hold at least `least` successive words of a passage, with the passages.
 
     Both tables have a `text`; other columns are not read. Words are compared as
-    words_of gives them. Null, empty and shorter texts hold nothing, passages
+    words_of gives them; a text with brackets of more than 40 characters is read with and without what stands
+    in them, and the reading that covers more counts. Null, empty and shorter texts hold nothing, passages
     shorter than `least` words are found nowhere. Repeated texts each come out;
     null keys come out null. Repeated passages come out under each key.
     Output: doc_key, item_key, n_tiles, longest, covered (words of the passage in

@@ -92,3 +92,16 @@ def test_documents_of_every_sort(spark):
     r = {x.source: x for x in rates(s).collect()}
     assert r["study_forum"].n_docs == 3 and r["study_forum"].n_abusive == 1 and r["unknown"].n_docs == 2 and r["unknown"].rate_any == 0
     assert score_content(docs.where("false")).count() == 0
+
+
+def test_words_run_together_and_long_disguises_are_read_whole():
+    from streamloom.llm.content_scores import Scorer
+    from streamloom.llm.content_text import letters, run_together
+
+    assert run_together("youarenothingbutaworthlessidiot") == ["you", "are", "nothing", "but", "a", "worthless", "idiot"]
+    assert run_together("geschwindigkeitsbegrenzung") == ["geschwindigkeitsbegrenzung"] and run_together("idiot") == ["idiot"]
+    assert len(letters("a" * 60)) == 60 and letters("x" * 59 + "y") != letters("x" * 60)
+    harmful = ["so he wrote youarenothingbutaworthlessstupididiotandeverybodyknowsit to her", "you st" + "u" * 60 + "pid id" + "i" * 60 + "ot, shut up"]
+    harmless = ["we measured thelectureinthelabwithanewsurveyofthetwelvenouns today", "the Donaudampfschifffahrtsgesellschaft was founded early"]
+    got = Scorer().score(harmful + harmless)[:, 0]
+    assert (got[:2] >= 0.5).all() and (got[2:] < 0.5).all()

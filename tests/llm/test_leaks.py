@@ -8,7 +8,7 @@ WORDS = [f"w{n}" for n in range(40)]
 
 def brute(docs, items, least):
     out = set()
-    words = lambda t: [w for w in lt.words_of(t) if w not in lt._HESITATION]
+    words = lambda t: [w for w in lt.words_of(t) if not lt._DRAWN.fullmatch(w)]
     for i, t in items:
         ws = words(t)
         grams = {tuple(ws[k : k + least]) for k in range(len(ws) - least + 1)}
@@ -73,8 +73,25 @@ def test_empty_tables(spark):
 
 
 def test_drawn_out_and_foreign_hesitations_break_no_run(spark):
-    assert all(lt._DRAWN.fullmatch(h) for h in lt._HESITATION)
+    assert all(lt._DRAWN.fullmatch(h) for h in "uh um uhm hm hmm mm mhm er erm eh ah".split())
     p = [f"t{n}" for n in range(14)]
     talk = " ".join(p[:4] + ["Uhhhhh,"] + p[4:8] + ["ummmmmm"] + p[8:10] + ["äh", "ähm"] + p[10:])
     r = run(spark, [(1, talk)], [(7, " ".join(p[:7] + ["öhhh"] + p[7:]))]).first()
     assert (r.n_tiles, r.longest, r.item_words) == (1, 14, 14)
+
+
+def test_long_notes_and_passages_in_long_brackets(spark):
+    p = [f"t{n}" for n in range(14)]
+    note = "[somebody drags a heavy chair over the floor and closes the door of the room]"
+    docs = [(1, " ".join([*p[:7], note, *p[7:]])), (2, f"<{' '.join(p)}>"), (3, " ".join([*p[:7], note[1:-1], *p[7:]]))]
+    got = {r.doc_id: (r.n_tiles, r.covered) for r in run(spark, docs, [(7, " ".join(p))]).collect()}
+    assert got == {1: (1, 14), 2: (1, 14)}
+
+
+def test_words_that_many_passages_share():
+    common = [f"c{n}" for n in range(13)]
+    items = [(n, " ".join([f"a{n}", *common, f"b{n}"])) for n in range(300)]
+    texts = [" ".join(common), None, " ".join(["x", *common, "b7"]), " ".join(common[:11])]
+    want = sorted([(0, n, 1, 13, 13) for n in range(300)] + [(2, n, 1, 14 if n == 7 else 13, 14 if n == 7 else 13) for n in range(300)])
+    known = lt.Passages(items)
+    assert sorted(lt.find_in(texts, known)) == want and sorted(lt.find_in(texts, known, most=5)) == want
