@@ -42,6 +42,6 @@ def periods_and_gaps(df: DataFrame, keys: list[str], start: str, end: str, block
     local = rows.groupBy(KEY, BLOCK, window.alias(t)).agg(F.min(START).alias(START), F.max(END).alias(END)).drop(t)
     local = write_and_read(local, "periods")
     periods = joined(local, 0, []).select(*unpacked(keys), F.lit("period").alias("piece"), F.col(START).alias("start_ms"), F.col(END).alias("end_ms"))
-    gaps = headed(local, 0).where(F.col(HEAD).isNotNull() & F.col(LATEST).isNotNull())
+    gaps = headed(local, 0).where((F.col(HEAD) == F.col(START)) & F.col(LATEST).isNotNull())
     gaps = gaps.select(*unpacked(keys), F.lit("gap").alias("piece"), F.col(LATEST).alias("start_ms"), F.col(START).alias("end_ms"))
     return periods.unionByName(gaps)

@@ -57,22 +57,23 @@ def carried(df: DataFrame, value: Column, how: str, name: str) -> DataFrame:
 
 
 def headed(local: DataFrame, gap: int) -> DataFrame:
-    """Marks which of each block's sessions begin a session of the whole key.
+    """Adds HEAD, the start of the whole key's session that a block's session is part of, and LATEST, the latest end before it (null at the first).
 
-    local: (KEY, BLOCK, START, END, ...), whose sessions are more than `gap` apart
-    inside a block. Adds HEAD (its own start, or null where it continues an
-    earlier one) and LATEST (the latest end before it, null at the first).
+    local: (KEY, BLOCK, START, END, ...), whose sessions are more than `gap` apart inside a block.
+    A block hands on its latest end and its last start, so one row per block tells both: what
+    starts within `gap` of the ends carried in continues the last session begun before the block.
     """
-    df = carried(local, F.max(END), "max", f"{OWN}c")
+    c, last, begun = f"{OWN}c", f"{OWN}ls", f"{OWN}bg"
+    before = Window.partitionBy(KEY).orderBy(BLOCK).rowsBetween(Window.unboundedPreceding, -1)
+    blocks = local.groupBy(KEY, BLOCK).agg(F.max(END).alias(END), F.max(START).alias(last)).withColumn(c, F.max(END).over(before))
+    fresh = lambda s: F.col(c).isNull() | (F.col(s) > F.col(c) + F.lit(gap))
+    blocks = blocks.select(KEY, BLOCK, c, F.last(F.when(fresh(last), F.col(last)), ignorenulls=True).over(before).alias(begun))
     inside = Window.partitionBy(KEY, BLOCK).orderBy(START)
-    df = df.withColumn(LATEST, F.greatest(F.lag(END).over(inside), F.col(f"{OWN}c")))
-    begins = F.col(LATEST).isNull() | (F.col(START) > F.col(LATEST) + F.lit(gap))
-    return df.withColumn(HEAD, F.when(begins, F.col(START))).drop(f"{OWN}c")
+    df = local.join(blocks, [KEY, BLOCK], "left")
+    return df.withColumn(HEAD, F.when(fresh(START), F.col(START)).otherwise(F.col(begun))).withColumn(LATEST, F.greatest(F.lag(END).over(inside), F.col(c))).drop(c, begun)
 
 
 def joined(local: DataFrame, gap: int, aggregates: list[Column]) -> DataFrame:
     """Sessions of the whole key from block sessions: (KEY, START, END, aggregates)."""
-    df = carried(headed(local, gap), F.max(HEAD), "last", f"{OWN}bh")
-    inside = Window.partitionBy(KEY, BLOCK).orderBy(START).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    df = df.withColumn(HEAD, F.coalesce(F.max(HEAD).over(inside), F.col(f"{OWN}bh")))
+    df = headed(local, gap).drop(LATEST)
     return df.groupBy(KEY, HEAD).agg(F.max(END).alias(END), *aggregates).withColumnRenamed(HEAD, START)

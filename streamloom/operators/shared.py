@@ -13,24 +13,47 @@ OWN = "__sl_"
 def shared_dir(spark: SparkSession, purpose: str) -> str:
     """A new folder's path under the cluster's shared folder (spark.checkpoint.dir).
 
-    Where that is unset, as in tests, the warehouse folder's sibling under the
-    session's own working directory is used and set for later checkpoints.
+    Where that is unset a session on one machine uses a folder beside its warehouse;
+    on a cluster it is an error, as executors may not see each other's disks.
     """
     base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
     if not base:
+        master = spark.sparkContext.master
+        if master != "local" and not master.startswith("local["):
+            raise ValueError(f"spark.checkpoint.dir must name a folder that all executors of {master} share")
         base = spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "-shared"
     return f"{base.rstrip('/')}/{purpose}-{uuid.uuid4().hex}"
 
 
-def write_and_read(df: DataFrame, purpose: str, partition_by: list[str] | None = None) -> DataFrame:
-    """Cut lineage through a Parquet table in the shared folder (survives executor loss)."""
+def file_system(spark: SparkSession, path: str):
+    """(path, its file system), as Hadoop has them."""
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return p, p.getFileSystem(spark._jsc.hadoopConfiguration())
+
+
+def removed_at_exit(spark: SparkSession, path: str) -> str:
+    """The path, to be deleted when the application ends."""
+    p, fs = file_system(spark, path)
+    fs.deleteOnExit(p)
+    return path
+
+
+def removed(spark: SparkSession, path: str) -> None:
+    p, fs = file_system(spark, path)
+    fs.delete(p, True)
+
+
+def landed(df: DataFrame, purpose: str) -> tuple[DataFrame, str]:
+    """The rows of df from a Parquet table in the shared folder, and its path, which goes at the end of the application."""
     spark = df.sparkSession
-    path = shared_dir(spark, purpose)
-    writer = df.write.mode("errorifexists")
-    if partition_by:
-        writer = writer.partitionBy(*partition_by)
-    writer.parquet(path)
-    return spark.read.schema(df.schema).parquet(path) if not partition_by else spark.read.parquet(path)
+    path = removed_at_exit(spark, shared_dir(spark, purpose))
+    df.write.mode("errorifexists").parquet(path)
+    return spark.read.schema(df.schema).parquet(path), path
+
+
+def write_and_read(df: DataFrame, purpose: str) -> DataFrame:
+    """Cut lineage through a Parquet table in the shared folder (survives executor loss)."""
+    return landed(df, purpose)[0]
 
 
 def require_columns(df: DataFrame, columns: list[str], who: str) -> None:

@@ -25,10 +25,13 @@ def windowed_counts(events: DataFrame, key: str, time: str, size: str, slide: st
     return x.groupBy(key, w.alias("w")).agg(F.count("*").alias("n")).select(key, F.col("w.start").alias("start"), F.col("w.end").alias("end"), "n")
 
 
-def session_sink(table, path: str | None = None):
-    """A foreachBatch function that merges each micro-batch into a SessionTable."""
+def session_sink(table, stream: str = "stream"):
+    """A foreachBatch function that merges each micro-batch into a SessionTable once, also if it is delivered again.
 
-    def merge(batch: DataFrame, _: int) -> None:
-        table.merge(batch)
+    stream: the stream's name; one that starts anew with another checkpoint needs another.
+    """
+
+    def merge(batch: DataFrame, batch_id: int) -> None:
+        table.merge(batch, batch_id, stream)
 
     return merge

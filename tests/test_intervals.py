@@ -110,3 +110,52 @@ def test_a_merge_that_dies_leaves_the_table(spark):
     except Exception:
         pass
     assert [tuple(r) for r in table.read().collect()] == [("a", 0, 5, 1)]
+
+
+def _bucket_files(table):
+    return dict(table._manifest()["files"])
+
+
+def test_a_merge_touches_its_own_buckets_only(spark):
+    table = SessionTable.create(spark, ["k"], "s", "e", 10, {"n": "sum"}, buckets=8)
+    table.merge(spark.createDataFrame([(f"k{n}", 0, 5, 1) for n in range(40)], SES))
+    before = _bucket_files(table)
+    table.merge(spark.createDataFrame([("k3", 7, 9, 1)], SES))
+    after = _bucket_files(table)
+    changed = [b for b in after if after[b] != before.get(b)]
+    assert len(before) > 4 and set(after) == set(before) and len(changed) == 1
+    assert sorted(map(tuple, table.read().collect())) == sorted([("k3", 0, 9, 2)] + [(f"k{n}", 0, 5, 1) for n in range(40) if n != 3])
+
+
+def test_a_table_opens_again_and_a_batch_counts_once(spark, tmp_path):
+    path = str(tmp_path / "table")
+    SessionTable.create(spark, ["k"], "s", "e", 10, {"n": "sum"}, path=path).merge(spark.createDataFrame([("a", 0, 5, 1), ("b", 0, 5, 1)], SES), 0, "x")
+    table = SessionTable.open(spark, path)
+    assert sorted(map(tuple, table.read().collect())) == [("a", 0, 5, 1), ("b", 0, 5, 1)]
+    late = spark.createDataFrame([("a", 12, 14, 1)], SES)
+    for batch_id in (1, 1, 0):
+        SessionTable.open(spark, path).merge(late, batch_id, "x")
+    assert sorted(map(tuple, table.read().collect())) == [("a", 0, 14, 2), ("b", 0, 5, 1)]
+    table.merge(late, 0, "another stream")
+    assert sorted(map(tuple, table.read().collect())) == [("a", 0, 14, 3), ("b", 0, 5, 1)]
+
+
+def test_old_versions_go_and_a_second_writer_is_refused(spark, tmp_path):
+    import os
+
+    import pytest
+
+    path = str(tmp_path / "table")
+    table = SessionTable.create(spark, ["k"], "s", "e", 10, {"n": "sum"}, path=path, buckets=1)
+    with pytest.raises(ValueError):
+        table.read()
+    for n in range(4):
+        table.merge(spark.createDataFrame([("a", 100 * n, 100 * n + 5, 1)], SES))
+    assert sorted(f for f in os.listdir(f"{path}/manifest") if f.startswith("v")) == ["v3", "v4"]
+    assert len([d for d in os.listdir(f"{path}/data") if os.path.isdir(f"{path}/data/{d}") and any(x.startswith("__sl_") for x in os.listdir(f"{path}/data/{d}"))]) == 2
+    stale = table._manifest()
+    table._manifest = lambda version=None: {**stale, "version": 3}
+    with pytest.raises(RuntimeError):
+        table.merge(spark.createDataFrame([("a", 900, 905, 1)], SES))
+    with pytest.raises(FileNotFoundError):
+        SessionTable.open(spark, str(tmp_path / "nothing"))

@@ -26,3 +26,5 @@ def test_micro_batches_feed_the_session_table(spark, tmp_path):
     q.stop()
     want = sorted(map(tuple, sessions(rows, ["k"], "s", "e", 20, {"n": "sum"}).collect()))
     assert sorted(map(tuple, table.read().collect())) == want
+    session_sink(table)(rows, 1)  # delivered again
+    assert sorted(map(tuple, table.read().collect())) == want
