@@ -89,6 +89,11 @@ def p7_shares(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix_sources(load(spark, sf_dir, "documents"), load(spark, sf_dir, "mix_targets"))[1]
 
 
+def p7_temperature(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Actual shares where weights are powers of the sources' own shares, as flat as the caps allow."""
+    return mix_sources(load(spark, sf_dir, "documents"), load(spark, sf_dir, "mix_targets"), temperature=True)[1]
+
+
 def p8_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents with abusive, hateful or sexual content, a row for each kind."""
     return found_kinds(score_content(load(spark, sf_dir, "documents"))).select("doc_id", "kind")
@@ -104,5 +109,5 @@ def p8_rates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rates(score_content(load(spark, sf_dir, "documents"), keep=["source"]))
 
 
-QUERIES = {"p1_found": p1_found, "p1_turn_texts": p1_turn_texts, "p3_found": p3_found, "p4_found": p4_found, "p4_redacted": p4_redacted, "p6_found": p6_found, "p6_coverage": p6_coverage, "p7_mix": p7_mix, "p7_shares": p7_shares, "p8_found": p8_found, "p8_scores": p8_scores, "p8_rates": p8_rates}
+QUERIES = {"p1_found": p1_found, "p1_turn_texts": p1_turn_texts, "p3_found": p3_found, "p4_found": p4_found, "p4_redacted": p4_redacted, "p6_found": p6_found, "p6_coverage": p6_coverage, "p7_mix": p7_mix, "p7_shares": p7_shares, "p7_temperature": p7_temperature, "p8_found": p8_found, "p8_scores": p8_scores, "p8_rates": p8_rates}
 SQL = {"p1_found": twins.P1_FOUND, "p3_found": P3_FOUND_SQL, "p6_found": twins.P6_FOUND}
