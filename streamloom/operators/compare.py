@@ -26,14 +26,37 @@ def same_stream(labelled: DataFrame, rendered: DataFrame) -> DataFrame:
     return l.exceptAll(r).select("rec_id", "pos", F.lit("labelled").alias("side")).unionByName(r.exceptAll(l).select("rec_id", "pos", F.lit("rendered").alias("side")))
 
 
-def nearest_windows(errors: DataFrame, found: DataFrame) -> DataFrame:
-    """For each error no window holds, the nearest window: (rec_id, t, distance in transitions, class); first in (a, b) order on ties."""
-    e = errors.alias("e").join(found.alias("c"), "rec_id", "left")
-    t, a, b = F.col("t"), F.col("a"), F.col("b")
-    dist = F.when(t <= a, a + 1 - t).when(t > b, t - b).otherwise(0)
-    x = e.select("rec_id", "kind", "t", F.when(a.isNotNull(), F.struct(dist.alias("d"), a.alias("a"), b.alias("b"), F.col("class").alias("class"))).alias("w"))
-    x = x.groupBy("rec_id", "kind", "t").agg(F.min("w").alias("w")).where(F.coalesce(F.col("w.d") > 0, F.lit(True)))
-    return x.select("rec_id", "kind", "t", F.col("w.d").alias("distance"), F.col("w.class").alias("class"))
+def match_breaches(labelled: DataFrame, proposed: DataFrame) -> DataFrame:
+    """(rec_id, why) where windows were proposed for other material than was labelled, or do not carry their own parameters' hash.
+
+    labelled: (rec_id, source_sha256, render, stream, boundaries); proposed: the same and params, params_sha256.
+    boundaries: word indices in order; params: canonical JSON. Nulls equal each other.
+    """
+    facts = ["source_sha256", "render", "stream", "boundaries"]
+    p = proposed.select("rec_id", *[F.col(c).alias(f"p_{c}") for c in facts], "params", "params_sha256")
+    x = labelled.select("rec_id", *facts).join(p, "rec_id")
+    whys = [F.when(~F.col(c).eqNullSafe(F.col(f"p_{c}")), f"other_{c}") for c in facts]
+    whys.append(F.when(~F.col("params_sha256").eqNullSafe(F.sha2("params", 256)), "other_params"))
+    return x.select("rec_id", F.explode(F.filter(F.array(*whys), lambda w: w.isNotNull())).alias("why"))
+
+
+def nearest_windows(surfaced: DataFrame, found: DataFrame) -> DataFrame:
+    """For each error that no window holds, the nearest window: (rec_id, kind, t, distance in transitions, class); first in (a, b) order on ties.
+
+    surfaced: errors with the classes that hold them. Of windows that end at one word, and of those that start
+    at one, the first stands; errors and these ends are read in one order, once from each side.
+    """
+    e = surfaced.where(F.size("classes") == 0).select("rec_id", "kind", "t", F.col("t").alias("x"))
+    best = lambda key: found.groupBy("rec_id", key).agg(F.min(F.struct("a", "b", "class")).alias("w"))
+    is_error = F.col("t").isNotNull()
+    ends = best("b").select("rec_id", F.col("b").alias("x"), F.col("w").alias("end"))
+    begins = best("a").select("rec_id", F.col("a").alias("x"), F.col("w").alias("begin"))
+    x = e.unionByName(ends, allowMissingColumns=True).unionByName(begins, allowMissingColumns=True)
+    upto = lambda order: Window.partitionBy("rec_id").orderBy(order, is_error).rowsBetween(Window.unboundedPreceding, 0)
+    x = x.withColumn("before", F.last("end", ignorenulls=True).over(upto(F.col("x").asc()))).withColumn("after", F.last("begin", ignorenulls=True).over(upto(F.col("x").desc()))).where(is_error)
+    one = lambda w, d: F.when(w.isNotNull(), F.struct(d.alias("d"), w["a"].alias("a"), w["b"].alias("b"), w["class"].alias("class")))
+    near = F.array_min(F.filter(F.array(one(F.col("before"), F.col("t") - F.col("before.b")), one(F.col("after"), F.col("after.a") + 1 - F.col("t"))), lambda w: w.isNotNull()))
+    return x.select("rec_id", "kind", "t", near["d"].alias("distance"), near["class"].alias("class"))
 
 
 def union_size(windows: DataFrame, keys: list[str]) -> DataFrame:
@@ -45,12 +68,20 @@ def union_size(windows: DataFrame, keys: list[str]) -> DataFrame:
 
 
 def returns(harmful: DataFrame, found: DataFrame, size: DataFrame) -> DataFrame:
-    """Harmful misses and the transition back out of them: (rec_id, t, back, surfaced, back_surfaced). back is null at the stream's end."""
+    """Harmful misses and the transition back out of them: (rec_id, t, back, surfaced, back_surfaced). back is null at the stream's end.
+
+    harmful: (rec_id, t, misattributed); size: (rec_id, n). Transitions meet only the windows of their own stretch of positions.
+    """
+    from streamloom.operators.evaluate import REACH, _spread
+
     x = harmful.select("rec_id", "t", (F.col("t") + F.col("misattributed")).alias("r")).join(size, "rec_id")
-    x = x.withColumn("back", F.when(F.col("r") < F.col("n"), F.col("r")))
-    j = x.join(found.select("rec_id", "a", "b"), "rec_id", "left")
-    held = lambda p: F.coalesce(F.bool_or((F.col("a") < p) & (p <= F.col("b"))), F.lit(False))
-    return j.groupBy("rec_id", "t", "back").agg(held(F.col("t")).alias("surfaced"), held(F.col("back")).alias("back_surfaced"))
+    x = x.select("rec_id", "t", F.when(F.col("r") < F.col("n"), F.col("r")).alias("back"))
+    both = x.select("rec_id", F.explode(F.array("t", "back")).alias("p")).where("p is not null").distinct().withColumn("bucket", F.floor(F.col("p") / REACH))
+    c = _spread(found).select(F.col("rec_id").alias("r"), F.col("bucket").alias("k"), "a", "b")
+    held = both.join(c, (F.col("rec_id") == F.col("r")) & (F.col("bucket") == F.col("k")) & (F.col("a") < F.col("p")) & (F.col("p") <= F.col("b")), "left_semi").select("rec_id", "p")
+    for c, name in (("t", "surfaced"), ("back", "back_surfaced")):
+        x = x.join(held.select("rec_id", F.col("p").alias(c), F.lit(True).alias(name)), ["rec_id", c], "left")
+    return x.select("rec_id", "t", "back", *[F.coalesce(n, F.lit(False)).alias(n) for n in ("surfaced", "back_surfaced")])
 
 
 def bar(value: Column, limit: float, least: bool = False) -> Column:

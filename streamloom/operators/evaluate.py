@@ -25,17 +25,14 @@ def identity(label: Column) -> Column:
 
 
 def gold(st: DataFrame, who: Column) -> DataFrame:
-    """Verdicts at the stream's label changes, from a known speaker per word: rec_id, pos, bno, frm, to, verdict, who.
+    """Verdicts at the stream's label changes, derived from a known speaker per word: rec_id, pos, bno, frm, to, verdict, who.
 
-    Unknown on either side: unsure; changed: real; same: spurious. Every 11th boundary
-    is left blank and every third real one without its speaker, as a sheet in work has them.
+    Unknown on either side: unsure; changed: real, with its speaker; same: spurious.
     """
     w = rec()
     x = st.select("rec_id", "pos", "change", F.lag("speaker").over(w).alias("frm"), F.col("speaker").alias("to"), F.lag(who).over(w).alias("was"), who.alias("is")).where("change")
-    x = x.withColumn("bno", F.row_number().over(w))
     verdict = F.when(F.col("was").isNull() | F.col("is").isNull(), "unsure").when(F.col("was") != F.col("is"), "real").otherwise("spurious")
-    x = x.withColumn("verdict", F.when(F.col("bno") % 11 != 0, verdict))
-    return x.select("rec_id", "pos", "bno", "frm", "to", "verdict", F.when((F.col("verdict") == "real") & (F.col("bno") % 3 != 0), F.col("is")).alias("who"))
+    return x.select("rec_id", "pos", F.row_number().over(w).alias("bno"), "frm", "to", verdict.alias("verdict"), F.when(verdict == "real", F.col("is")).alias("who"))
 
 
 def gold_markers(st: DataFrame, who: Column) -> DataFrame:
@@ -157,8 +154,8 @@ def ratio(a: Column, b: Column) -> Column:
     return F.when(b != 0, F.floor(a / b * 10000 + 0.5).cast("double"))
 
 
-def score(j: DataFrame, labels: DataFrame) -> DataFrame:
-    """One row per recording: verdict counts, precision, accuracy, misses, errors by direction and cause."""
+def score(j: DataFrame, labels: DataFrame, near: int = NEAR) -> DataFrame:
+    """One row per recording: verdict counts, precision, also within 1 to `near` words, accuracy, misses, errors by direction and cause."""
     v = lambda x: F.count_if(F.col("verdict") == x)
     b = labels.groupBy("rec_id").agg(F.count("*").alias("boundaries"), v("real").alias("real"), v("spurious").alias("spurious"), v("unsure").alias("unsure"), F.count_if(F.col("verdict").isNull()).alias("unlabeled"))
     d = lambda x: F.count_if(F.col("direction") == x)
@@ -169,12 +166,15 @@ def score(j: DataFrame, labels: DataFrame) -> DataFrame:
     c = error_runs(j)
     by = lambda x: F.coalesce(F.sum(F.when(F.col("cause") == x, F.col("n_words"))), F.lit(0)).alias(f"words_{x}")
     c = c.groupBy("rec_id").agg(by("after_unknown"), by("wrong_label"), by("missed_change"), by("spurious_split"), F.count_if("high_harm").alias("high_harm_runs"))
-    out = words.join(b, "rec_id", "left").join(c, "rec_id", "left")
-    zero = ["boundaries", "real", "spurious", "unsure", "unlabeled", "words_after_unknown", "words_wrong_label", "words_missed_change", "words_spurious_split", "high_harm_runs"]
+    within = [f"near_misses_{k}" for k in range(1, near + 1)]
+    m = near_misses(labels, missed_changes(j), near).groupBy("rec_id").agg(*[F.count_if(F.col("words") == k).alias(n) for k, n in enumerate(within, 1)])
+    out = words.join(b, "rec_id", "left").join(c, "rec_id", "left").join(m, "rec_id", "left")
+    zero = [*within, "boundaries", "real", "spurious", "unsure", "unlabeled", "words_after_unknown", "words_wrong_label", "words_missed_change", "words_spurious_split", "high_harm_runs"]
     out = out.fillna(0, zero)
     return out.select(
         "*", ratio(F.col("real"), F.col("real") + F.col("spurious")).alias("precision_e4"), ratio(F.col("real") + F.col("unsure"), F.col("boundaries") - F.col("unlabeled")).alias("precision_unsure_real_e4"),
         ratio(F.col("scored") - F.col("wrong"), F.col("scored")).alias("accuracy_e4"), ratio(F.col("student_as_instructor"), F.col("student_words")).alias("student_share_e4"),
+        *[ratio(F.col("real") + F.col(n), F.col("real") + F.col("spurious")).alias(f"precision_within_{k}_e4") for k, n in enumerate(within, 1)],
     )
 
 
@@ -186,23 +186,32 @@ def verdict_places(j: DataFrame, labels: DataFrame, near: int = NEAR) -> DataFra
     return labels.join(x, ["rec_id", "pos"]).groupBy(F.coalesce("verdict", F.lit("unlabeled")).alias("verdict"), place.alias("place")).agg(F.count("*").alias("n"))
 
 
-def near_misses(labels: DataFrame, missed: DataFrame, near: int) -> DataFrame:
-    """Spurious boundaries matched one to one with missed changes within `near` words: rec_id, n.
+def near_misses(labels: DataFrame, missed: DataFrame, near: int = NEAR) -> DataFrame:
+    """Spurious boundaries matched one to one with missed changes within 1 to `near` words: rec_id, words, pos, missed_pos.
 
-    In word order each takes the earliest free change in its window; windows are
-    equally wide, so a pointer over the sorted changes is all the state needed.
+    In word order each boundary takes the earliest free change in its window. Only positions in
+    reach of each other meet: they are cut to islands first, and an island is read by two pointers.
     """
-    s = labels.where("verdict = 'spurious'").groupBy("rec_id").agg(F.sort_array(F.collect_list(F.col("pos").cast("long"))).alias("ps"))
-    m = missed.groupBy("rec_id").agg(F.sort_array(F.collect_list(F.col("pos").cast("long"))).alias("qs"))
-    x = s.join(m, "rec_id")
-
-    def step(state, p):
-        skip = F.greatest(state["at"], F.size(F.filter("qs", lambda q: q < p - near)))
-        hit = (skip < F.size("qs")) & (F.coalesce(F.get("qs", skip), F.lit(10**12)) <= p + near)
-        return F.struct(F.when(hit, skip + 1).otherwise(skip).alias("at"), (state["n"] + hit.cast("int")).alias("n"))
-
-    start = F.struct(F.lit(0).alias("at"), F.lit(0).alias("n"))
-    return x.select("rec_id", F.aggregate("ps", start, step)["n"].alias("n"))
+    both = labels.where("verdict = 'spurious'").select("rec_id", F.col("pos").cast("long").alias("p"), F.lit(None).cast("long").alias("q"))
+    both = both.unionByName(missed.select("rec_id", F.lit(None).cast("long").alias("p"), F.col("pos").cast("long").alias("q")))
+    both = both.select("rec_id", F.explode(F.sequence(F.lit(1), F.lit(near))).alias("words"), "p", "q", F.coalesce("p", "q").alias("at"))
+    w = Window.partitionBy("rec_id", "words").orderBy("at", F.col("p").isNull())
+    both = both.withColumn("isl", F.sum(F.coalesce((F.col("at") - F.lag("at").over(w) > F.col("words")).cast("int"), F.lit(0))).over(w))
+    x = both.groupBy("rec_id", "words", "isl").agg(F.sort_array(F.collect_list("p")).alias("ps"), F.sort_array(F.collect_list("q")).alias("qs")).where((F.size("ps") > 0) & (F.size("qs") > 0))
+
+    def step(s, _):
+        p, q = F.get("ps", s["i"]), F.get("qs", s["j"])
+        late, early = q < p - F.col("words"), q > p + F.col("words")
+        pair = F.array(F.struct(p.alias("pos"), q.alias("missed_pos")))
+        return (
+            F.when(p.isNull() | q.isNull(), s).when(late, F.struct(s["i"].alias("i"), (s["j"] + 1).alias("j"), s["out"].alias("out")))
+            .when(early, F.struct((s["i"] + 1).alias("i"), s["j"].alias("j"), s["out"].alias("out")))
+            .otherwise(F.struct((s["i"] + 1).alias("i"), (s["j"] + 1).alias("j"), F.concat(s["out"], pair).alias("out")))
+        )
+
+    begin = F.struct(F.lit(0).alias("i"), F.lit(0).alias("j"), F.array().cast("array<struct<pos:bigint,missed_pos:bigint>>").alias("out"))
+    found = F.aggregate(F.sequence(F.lit(1), F.size("ps") + F.size("qs")), begin, step)["out"]
+    return x.select("rec_id", "words", F.inline(found))
 
 
 def errors(j: DataFrame, labels: DataFrame) -> DataFrame:
@@ -252,10 +261,10 @@ def class_stats(by: DataFrame, found: DataFrame, errs: DataFrame, hours: DataFra
     by: surfaced(); hours: (rec_id, duration_s) of the recordings judged. Groups are split, merge, pair and everything
     but shift. only_*: errors that no class outside the group surfaces. A class without windows has a row of zeros.
     """
-    units = [("class", c, [c]) for c in classes]
-    units += [("group", f, own) for f in ("split", "merge", "pair") if (own := [c for c in classes if family[c] == f])]
-    units.append(("group", "everything but shift", [c for c in classes if c != "shift"]))
-    unit = F.array(*[F.struct(F.lit(a).alias("level"), F.lit(n).alias("name"), F.array(*[F.lit(c) for c in m]).alias("members")) for a, n, m in units])
+    units = [("class", c, family[c], [c]) for c in classes]
+    units += [("group", f, f, own) for f in ("split", "merge", "pair") if (own := [c for c in classes if family[c] == f])]
+    units.append(("group", "everything but shift", None, [c for c in classes if c != "shift"]))
+    unit = F.array(*[F.struct(F.lit(a).alias("level"), F.lit(n).alias("name"), F.lit(f).cast("string").alias("family"), F.array(*[F.lit(c) for c in m]).alias("members")) for a, n, f, m in units])
     of_class = F.explode(F.filter(unit, lambda u: F.array_contains(u["members"], F.col("class"))))
     key = ["u.level", "u.name"]
     total = hours.agg((F.sum("duration_s") / 3600).alias("hours"))
@@ -277,12 +286,12 @@ def class_stats(by: DataFrame, found: DataFrame, errs: DataFrame, hours: DataFra
     alone = F.size(F.array_except("classes", "u.members")) == 0
     x = x.groupBy(*key).agg(*[F.count_if(c).alias(f"surfaced_{k}") for k, c in kinds.items()], *[F.count_if(c & alone).alias(f"only_{k}") for k, c in kinds.items()])
 
-    every = total.select("hours", F.explode(unit).alias("u")).select(F.col("u.level").alias("level"), F.col("u.name").alias("name"), "hours")
+    every = total.select("hours", F.explode(unit).alias("u")).select(F.col("u.level").alias("level"), F.col("u.name").alias("name"), F.col("u.family").alias("family"), "hours")
     out = every.join(volume, ["level", "name"], "left").join(held, ["level", "name"], "left").join(x, ["level", "name"], "left")
     counts = ["windows", "words_covered", *[f"{p}_{k}" for p in ("surfaced", "only") for k in kinds], "with_error"]
     out = out.fillna(0, counts)
     rate = F.floor(F.when(F.col("hours") > 0, F.col("windows") / F.col("hours")) * 10 + 0.5).alias("per_hour_tenths")
-    return out.select("level", "name", "windows", rate, *counts[1:], ratio(F.col("with_error"), F.col("windows")).alias("with_error_e4"))
+    return out.select("level", "name", "family", "windows", rate, *counts[1:], ratio(F.col("with_error"), F.col("windows")).alias("with_error_e4"))
 
 
 def site_lengths(sites: DataFrame) -> DataFrame:

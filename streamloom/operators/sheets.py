@@ -56,10 +56,14 @@ def sheet(st: DataFrame, offset: float = 0.0) -> DataFrame:
     return rows.select("rec_id", F.row_number().over(Window.partitionBy("rec_id").orderBy("o")).alias("ord"), "kind", "key", "line")
 
 
-def progress(labels: DataFrame) -> DataFrame:
-    """Per recording: boundaries, labelled ones by verdict, the last labelled one."""
+def progress(labels: DataFrame, markers: DataFrame | None = None) -> DataFrame:
+    """Per recording: boundaries, labelled ones by verdict, the last labelled one; with markers (rec_id, kind) also their number by kind."""
     v = lambda x: F.count_if(F.col("verdict") == x).alias(x)
-    return labels.groupBy("rec_id").agg(F.count("*").alias("boundaries"), F.count("verdict").alias("done"), *[v(x) for x in VERDICTS], F.max(F.when(F.col("verdict").isNotNull(), F.col("bno"))).alias("last"))
+    out = labels.groupBy("rec_id").agg(F.count("*").alias("boundaries"), F.count("verdict").alias("done"), *[v(x) for x in VERDICTS], F.max(F.when(F.col("verdict").isNotNull(), F.col("bno"))).alias("last"))
+    if markers is None:
+        return out
+    m = markers.groupBy("rec_id").agg(*[F.count_if(F.col("kind") == k).alias(f"{k}_markers") for k in ("change", "back")])
+    return out.join(m, "rec_id", "left").fillna(0, ["change_markers", "back_markers"])
 
 
 def quote_places(quote: Column, line: Column) -> Column:

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -365,9 +367,16 @@ mx as (select *, last_value(case when change then pos end ignore nulls) over (pa
 mi as (select mx.rec_id, mx.pos, mx.i, coalesce(ru.n_words, 0) as misattributed, ru.direction, least(mx.pos - bk, ah - mx.pos) as nearest_boundary from mx left join ru on ru.rec_id || '#' || ru.first_pos = mx.rec_id || '#' || mx.pos where mx.true_change and not mx.change)"""
 
 
+def sheet_in_work(s: DataFrame) -> DataFrame:
+    """Verdicts from the words' own speaker labels, every 11th boundary blank and every third real one without its speaker."""
+    g = ev.gold(s, ev.identity(F.col("asr_speaker")))
+    done = F.col("bno") % 11 != 0
+    return g.withColumn("who", F.when(done & (F.col("bno") % 3 != 0), F.col("who"))).withColumn("verdict", F.when(done, F.col("verdict")))
+
+
 def _judged(spark, d):
     s = write_and_read(the_stream(spark, d), "stream")
-    labels = write_and_read(ev.gold(s, ev.identity(F.col("asr_speaker"))), "gold")
+    labels = write_and_read(sheet_in_work(s), "gold")
     markers = write_and_read(ev.gold_markers(s, ev.identity(F.col("asr_speaker"))), "markers")
     names = write_and_read(ev.share_map(s, labels, markers), "map")
     return s, labels, names, write_and_read(ev.judged(ev.truth(s, labels, names, markers), names), "judged")
@@ -376,16 +385,14 @@ def _judged(spark, d):
 @query(with_ctes(STREAM, _GOLD, 'select rec_id, pos, bno, frm, "to", verdict, who from gold'))
 def eval_gold(spark, d):
     """Verdicts at label changes, from the words' own speaker labels."""
-    s = the_stream(spark, d)
-    return ev.gold(s, ev.identity(F.col("asr_speaker")))
+    return sheet_in_work(the_stream(spark, d))
 
 
 @query(with_ctes(STREAM, _GOLD, _MAP, "select rec_id, label, who from mp"))
 def eval_share_map(spark, d):
     """Labels mapped to identities by the share rule."""
     s = write_and_read(the_stream(spark, d), "stream")
-    who = ev.identity(F.col("asr_speaker"))
-    return ev.share_map(s, write_and_read(ev.gold(s, who), "gold"), write_and_read(ev.gold_markers(s, who), "markers"))
+    return ev.share_map(s, write_and_read(sheet_in_work(s), "gold"), write_and_read(ev.gold_markers(s, ev.identity(F.col("asr_speaker"))), "markers"))
 
 
 @query(with_ctes(STREAM, _JUDGED, "select rec_id, i, truth, shown, err, coalesce(true_change::int, -1) as true_change from je"))
@@ -412,17 +419,25 @@ def eval_unknown_windows(spark, d):
     return ev.unknown_windows(_judged(spark, d)[3])
 
 
+_NEAR_SQL = f"""np as (select rec_id, list(pos order by pos) as ps from gold where verdict = 'spurious' group by rec_id), nq as (select rec_id, list(pos order by pos) as qs from mi group by rec_id),
+nr as (select np.rec_id, k::int as words, 1 as i, 1 as j, ps, qs, null::bigint as pos, null::bigint as missed_pos from np join nq on nq.rec_id = np.rec_id, range(1, {ev.NEAR + 1}) r(k)
+  union all select rec_id, words, case when qs[j] < ps[i] - words then i else i + 1 end, case when qs[j] > ps[i] + words then j else j + 1 end, ps, qs, case when abs(qs[j] - ps[i]) <= words then ps[i] end, case when abs(qs[j] - ps[i]) <= words then qs[j] end
+  from nr where i <= len(ps) and j <= len(qs)),
+nm as (select rec_id, words, pos, missed_pos from nr where pos is not null)"""
+
+
 _E4 = "case when {b} <> 0 then cast(floor({a} / {b} * 10000 + 0.5) as double) end"
 _E4F = lambda a, b: _E4.format(a=f"cast({a} as double)", b=f"({b})")
 
 
-@query(with_ctes(STREAM, _JUDGED, f"""
+@query("with recursive " + with_ctes(STREAM, _JUDGED, _NEAR_SQL, f"""
 sb as (select rec_id, count(*) as boundaries, count(*) filter (verdict = 'real') as "real", count(*) filter (verdict = 'spurious') as spurious, count(*) filter (verdict = 'unsure') as unsure, count(*) filter (verdict is null) as unlabeled from gold group by rec_id),
 sv as (select rec_id, count(*) as words, count(*) filter (known) as scored, count(*) filter (err) as wrong, count(*) filter (known and regexp_matches(truth, '^S[2-9]?$')) as student_words, count(*) filter (direction = 'student_as_instructor') as student_as_instructor,
   count(*) filter (direction = 'instructor_as_student') as instructor_as_student, count(*) filter (true_change) as true_changes, count(*) filter (true_change and not change) as missed from je group by rec_id),
 sc as (select rec_id, {', '.join(f"coalesce(sum(n_words) filter (cause = '{c}'), 0)::bigint as words_{c}" for c in ('after_unknown', 'wrong_label', 'missed_change', 'spurious_split'))}, count(*) filter (high_harm) as high_harm_runs from ru group by rec_id),
-so as (select sv.*, {', '.join(f'coalesce("{c}", 0)::bigint as "{c}"' for c in ('boundaries', 'real', 'spurious', 'unsure', 'unlabeled', 'words_after_unknown', 'words_wrong_label', 'words_missed_change', 'words_spurious_split', 'high_harm_runs'))} from sv left join sb on sb.rec_id = sv.rec_id left join sc on sc.rec_id = sv.rec_id)""",
-f"""select *, {_E4F('"real"', '"real" + spurious')} as precision_e4, {_E4F('("real" + unsure)', 'boundaries - unlabeled')} as precision_unsure_real_e4, {_E4F('(scored - wrong)', 'scored')} as accuracy_e4, {_E4F('student_as_instructor', 'student_words')} as student_share_e4 from so"""))
+so as (select sv.*, {', '.join(f'coalesce("{c}", 0)::bigint as "{c}"' for c in ('boundaries', 'real', 'spurious', 'unsure', 'unlabeled', 'words_after_unknown', 'words_wrong_label', 'words_missed_change', 'words_spurious_split', 'high_harm_runs'))} from sv left join sb on sb.rec_id = sv.rec_id left join sc on sc.rec_id = sv.rec_id),
+sn as (select so.*, coalesce(c1, 0)::bigint as near_misses_1, coalesce(c2, 0)::bigint as near_misses_2, coalesce(c3, 0)::bigint as near_misses_3 from so left join (select rec_id, count(*) filter (words = 1) as c1, count(*) filter (words = 2) as c2, count(*) filter (words = 3) as c3 from nm group by rec_id) n on n.rec_id = so.rec_id)""",
+f"""select *, {', '.join(_E4F(f'("real" + near_misses_{k})', '"real" + spurious') + f' as precision_within_{k}_e4' for k in (1, 2, 3))}, {_E4F('"real"', '"real" + spurious')} as precision_e4, {_E4F('("real" + unsure)', 'boundaries - unlabeled')} as precision_unsure_real_e4, {_E4F('(scored - wrong)', 'scored')} as accuracy_e4, {_E4F('student_as_instructor', 'student_words')} as student_share_e4 from sn""")[5:])
 def eval_score(spark, d):
     """The score block of each recording."""
     _, labels, _, j = _judged(spark, d)
@@ -438,14 +453,26 @@ def eval_verdict_places(spark, d):
     return ev.verdict_places(j, labels)
 
 
-@query()
+@query("with recursive " + STREAM + ",\n" + _JUDGED + ",\n" + _NEAR_SQL + "\nselect * from nm")
 def eval_near_misses(spark, d):
-    """Spurious boundaries that a missed change within three words explains."""
+    """Spurious boundaries and the missed changes within one to three words that explain them."""
     _, labels, _, j = _judged(spark, d)
     return ev.near_misses(labels, ev.missed_changes(j), ev.NEAR)
 
 
-@query()
+_ID_LIST = "[" + _Q(al.IDENTITIES) + "]"
+#: All pairings of a recording's labels, label by label; a label is paired only where it shares words.
+_PAIRED = lambda words: f"""aw as ({words}),
+ak as (select rec_id, label, row_number() over (partition by rec_id order by label) as k from (select distinct rec_id, speaker as label from stm where speaker is not null)),
+ao as (select rec_id, label, who, n, list_position({_ID_LIST}, who) as p from aw),
+ax as (select distinct rec_id, 0::bigint as k, 0::bigint as total, []::integer[] as picks from ak
+  union all select ax.rec_id, ax.k + 1, ax.total + coalesce(o.n, 0), list_append(ax.picks, coalesce(o.p, 99)::integer) from ax join ak on ak.rec_id = ax.rec_id and ak.k = ax.k + 1
+  join (select rec_id, label, p, n from ao union all select rec_id, label, null, 0 from ak) o on o.rec_id = ak.rec_id and o.label = ak.label where o.p is null or not list_contains(ax.picks, o.p)),
+ay as (select rec_id, picks from (select *, row_number() over (partition by rec_id order by total desc, picks) as rn from ax where k = (select max(k) from ak where ak.rec_id = ax.rec_id)) where rn = 1),
+om as (select ak.rec_id, ak.label, case when ay.picks[ak.k] < 99 then {_ID_LIST}[ay.picks[ak.k]] else coalesce((select arg_min(who, (-n, p)) from ao where ao.rec_id = ak.rec_id and ao.label = ak.label), 'L') end as who, ay.picks[ak.k] < 99 as paired from ak join ay on ay.rec_id = ak.rec_id)"""
+
+
+@query("with recursive " + with_ctes(STREAM, _PAIRED(f"select rec_id, speaker as label, {_WHO} as who, count(*) as n from stm where speaker is not null and {_WHO} is not null group by all"), "select * from om")[5:])
 def map_one_to_one(spark, d):
     """Labels paired one to one with identities, the rest folded."""
     s = the_stream(spark, d).withColumn("truth", ev.identity(F.col("asr_speaker")))
@@ -484,7 +511,17 @@ def eval_class_report(spark, d):
     return ev.class_report(by, found, errs)
 
 
-@query()
+_UNITS = [("class", c, cd.FAMILY[c], [c]) for c in cd.ORDER[1]] + [("group", f, f, [c for c in cd.ORDER[1] if cd.FAMILY[c] == f]) for f in ("split", "merge")] + [("group", "everything but shift", None, [c for c in cd.ORDER[1] if c != "shift"])]
+_KINDS_SQL = {"all": "true", "missed": "kind = 'missed'", "missed_misattributing": "kind = 'missed' and misattributed > 0", "spurious": "kind = 'spurious'", "high_harm": "high_harm"}
+
+
+@query(_RECALL + ",\n" + _DUR + ",\nun as (select * from (values " + ", ".join(f"('{lv}', '{n}', {repr(f) if f else 'null'}, [{_Q(m)}])" for lv, n, f, m in _UNITS) + f""") v(level, name, family, members)),
+hr as (select sum(duration_s) / 3600 as hours from du where rec_id in (select rec_id from w0)),
+uw as (select un.level, un.name, ca.*, coalesce(max(b) over (partition by un.level, un.name, rec_id order by a, b, class, att rows between unbounded preceding and 1 preceding), -1) as past, exists (select 1 from er where er.rec_id = ca.rec_id and ca.a < er.t and er.t <= ca.b) as bad from un join ca on list_contains(un.members, ca.class)),
+uv as (select level, name, count(*) as windows, sum(greatest(b - greatest(a, past + 1) + 1, 0))::bigint as words_covered, count(*) filter (bad) as with_error from uw group by level, name),
+ue as (select un.level, un.name, {', '.join(f"count(*) filter ({c}) as surfaced_{k}, count(*) filter (({c}) and list_has_all(un.members, sf.classes)) as only_{k}" for k, c in _KINDS_SQL.items())} from un join sf on list_has_any(un.members, sf.classes) group by un.level, un.name)
+select un.level, un.name, un.family, coalesce(windows, 0) as windows, cast(floor(case when hours > 0 then coalesce(windows, 0) / hours end * 10 + 0.5) as bigint) as per_hour_tenths, coalesce(words_covered, 0) as words_covered, {', '.join(f"coalesce({x}_{k}, 0) as {x}_{k}" for x in ("surfaced", "only") for k in _KINDS_SQL)}, coalesce(with_error, 0) as with_error,
+  {_E4F("coalesce(with_error, 0)", "coalesce(windows, 0)")} as with_error_e4 from un left join uv on uv.level = un.level and uv.name = un.name left join ue on ue.level = un.level and ue.name = un.name, hr""")
 def eval_class_stats(spark, d):
     """Volume, coverage, rate and errors surfaced per kind, by class of windows and by group of classes."""
     found, errs, by = _surfaced(spark, d)
@@ -632,6 +669,7 @@ from pyspark.sql import Window  # noqa: E402
 from streamloom import streaming  # noqa: E402
 from streamloom.functions import times as tm  # noqa: E402
 from streamloom.operators import arms as ar  # noqa: E402
+from streamloom.operators import compare as cp  # noqa: E402
 from streamloom.operators import calendar as ca  # noqa: E402
 from streamloom.operators import quality as ql  # noqa: E402
 from streamloom.operators import render as rd  # noqa: E402
@@ -798,18 +836,41 @@ def ren_transcripts(spark, d):
 
 
 def _arms(spark, d):
-    """Two arms on the same gold: labels before and after smoothing."""
-    s, labels, names, j = _judged(spark, d)
+    """Two arms on the same gold, their labels paired one to one with the true speakers: labels before and after smoothing."""
+    s, _, _, j = _judged(spark, d)
     t = j.select("rec_id", "pos", "truth")
     raw = s.drop("speaker", "change", "stretch").withColumnRenamed("speaker_raw", "speaker").withColumn("speaker_raw", F.col("speaker"))
-    raw = ev.judged(st.stretches(raw).join(t, ["rec_id", "pos"]), names)
-    parts = [(name, x) for name, x in (("smoothed", j), ("raw", raw))]
-    js = [x.select("rec_id", "known", "err", "truth", "direction", F.lit(n).alias("arm"), F.lit("run1").alias("run")) for n, x in parts]
-    rs = [ev.error_runs(x).select("high_harm", F.lit(n).alias("arm"), F.lit("run1").alias("run")) for n, x in parts]
-    return ar.headline(js[0].unionByName(js[1]), rs[0].unionByName(rs[1]))
-
-
-@query()
+    words, runs, folded = [], [], []
+    for arm, x in (("smoothed", s), ("raw", st.stretches(raw))):
+        x = write_and_read(x.join(t, ["rec_id", "pos"]), "arm")
+        labels = x.where("speaker is not null").select("rec_id", F.col("speaker").alias("label")).distinct()
+        names = write_and_read(al.one_to_one(labels.join(ev.shared_words(x), ["rec_id", "label"], "left")), "pairs")
+        tag = lambda df: df.select(*[c for c in ("known", "err", "truth", "direction", "run_start", "high_harm") if c in df.columns], F.lit(arm).alias("arm"), F.lit("run1").alias("run"))  # noqa: B023, E731
+        judged = ev.judged(x, names)
+        words.append(tag(judged))
+        runs.append(tag(ev.error_runs(judged)))
+        folded.append(tag(ev.judged(x, cp.pessimistic(names))))
+    return ar.headline(words[0].unionByName(words[1]), runs[0].unionByName(runs[1]), folded[0].unionByName(folded[1]))
+
+
+def _arm_sql(name: str, label: str) -> str:
+    """Headline figures of the labels in a column of the stream, by words and by runs of wrong words."""
+    t = f"{name}t as (select rec_id, pos, {label} as speaker, truth from je),\n"
+    pairs = _PAIRED(f"select rec_id, speaker as label, truth as who, count(*) as n from {name}t where speaker is not null and truth is not null and truth <> '?' group by all").replace("from stm where speaker", f"from {name}t where speaker")
+    for x in ("aw", "ak", "ao", "ax", "ay", "om"):
+        pairs = re.sub(rf"\b{x}\b", f"{name}{x}", pairs)
+    harm = "regexp_matches(truth, '^S[2-9]?$') and shown = 'L'"
+    part = lambda n, shown: f"""{name}{n} as (select x.*, {shown} as shown, truth is not null and truth <> '?' and truth is distinct from {shown} as err from {name}t x left join {name}om m on m.rec_id || '#' || m.label = x.rec_id || '#' || x.speaker),
+{name}{n}r as (select *, err and not (coalesce(lag(err) over v, false) and lag(truth) over v is not distinct from truth and lag(speaker) over v is not distinct from speaker) as opens from {name}{n} window v as (partition by rec_id order by pos))"""
+    return t + pairs + ",\n" + part("m", "m.who") + ",\n" + part("p", "case when m.paired then m.who when m.label is not null then 'L' end") + f""",
+{name}h as (select '{name}' as arm, 'run1' as run, count(*) filter (err and {harm}) as harm_words, count(*) filter (regexp_matches(truth, '^S[2-9]?$')) as student_words, count(*) filter (truth <> '?') as scored, count(*) filter (err) as wrong, count(*) filter (opens and {harm}) as harm_runs,
+  (select count(*) from {name}p where err and {harm}) as pessimistic_words, (select count(*) from {name}pr where opens and {harm}) as pessimistic_runs from {name}mr)"""
+
+
+@query("with recursive " + with_ctes(STREAM, _JUDGED, _arm_sql("smoothed", "speaker"), _arm_sql("raw", "speaker_raw"), f"hs as (select *, {_E4F('harm_words', 'student_words')} as share_e4, {_E4F('(scored - wrong)', 'scored')} as accuracy_e4 from (select * from smoothedh union all select * from rawh))", f"""
+select x.*, x.harm_words <= floor(b.harm_words * {ar.PRIMARY_SHARE}) as words_ok, x.pessimistic_words <= floor(b.harm_words * {ar.PRIMARY_SHARE}) as pessimistic_ok, x.harm_words > b.harm_words as worse_than_baseline, x.harm_runs <= floor(b.harm_runs * {ar.RUNS_SHARE}) as runs_ok, coalesce(x.accuracy_e4, 0) >= coalesce(b.accuracy_e4, 0) - {ar.ACCURACY_DROP_E4} as accuracy_ok,
+  x.harm_words <= floor(b.harm_words * {ar.PRIMARY_SHARE}) and x.pessimistic_words <= floor(b.harm_words * {ar.PRIMARY_SHARE}) and x.harm_runs <= floor(b.harm_runs * {ar.RUNS_SHARE}) and coalesce(x.accuracy_e4, 0) >= coalesce(b.accuracy_e4, 0) - {ar.ACCURACY_DROP_E4} as passes
+from hs x, hs b where x.arm = 'raw' and b.arm = 'smoothed'""")[5:])
 def arms_bars(spark, d):
     """Unsmoothed labels against smoothed ones: headline figures and bars."""
     return ar.bars(ar.worse_runs(_arms(spark, d)), "smoothed")
@@ -845,16 +906,17 @@ def gram_checked_sheets(spark, d):
     """Sheets filled from the gold verdicts and checked: verdicts read back, and breaches if there are any."""
     s = write_and_read(the_stream(spark, d), "stream")
     rows = write_and_read(sh.sheet(s), "sheet")
-    g = ev.gold(s, ev.identity(F.col("asr_speaker"))).select("rec_id", F.concat(F.lit("B-"), F.lpad(F.col("bno").cast("string"), 3, "0")).alias("key"), "verdict")
+    g = sheet_in_work(s).select("rec_id", F.concat(F.lit("B-"), F.lpad(F.col("bno").cast("string"), 3, "0")).alias("key"), "verdict")
     filled = rows.join(g, ["rec_id", "key"], "left").select("rec_id", F.col("ord").alias("n"), F.when((F.col("kind") == "boundary") & F.col("verdict").isNotNull(), F.concat(F.lit("boundary: "), F.col("verdict"))).otherwise(F.col("line")).alias("line"))
     return sh.checked(rows, filled)
 
 
-@query(with_ctes(STREAM, _GOLD, "select rec_id, count(*) as boundaries, count(verdict) as done, count(*) filter (verdict = 'real') as \"real\", count(*) filter (verdict = 'spurious') as spurious, count(*) filter (verdict = 'unsure') as unsure, max(bno) filter (verdict is not null) as last from gold group by rec_id"))
+@query(with_ctes(STREAM, _GOLD, "select rec_id, count(*) as boundaries, count(verdict) as done, count(*) filter (verdict = 'real') as \"real\", count(*) filter (verdict = 'spurious') as spurious, count(*) filter (verdict = 'unsure') as unsure, max(bno) filter (verdict is not null) as last, (select count(*) from gm where gm.rec_id = gold.rec_id and gm.who <> 'L') as change_markers, (select count(*) from gm where gm.rec_id = gold.rec_id and gm.who = 'L') as back_markers from gold group by rec_id"))
 def agg_label_progress(spark, d):
-    """How far each sheet is labelled."""
-    s = the_stream(spark, d)
-    return sh.progress(ev.gold(s, ev.identity(F.col("asr_speaker"))))
+    """How far each sheet is labelled; markers to the instructor count as back."""
+    s = write_and_read(the_stream(spark, d), "stream")
+    markers = ev.gold_markers(s, ev.identity(F.col("asr_speaker"))).withColumn("kind", F.when(F.col("who") == "L", "back").otherwise("change"))
+    return sh.progress(sheet_in_work(s), markers)
 
 
 @query("with " + _cand_sql(1) + """, un as (select *, coalesce(max(b) over (partition by rec_id, class order by a, b rows between unbounded preceding and 1 preceding), a - 1) as seen from ca)
@@ -868,8 +930,8 @@ def agg_union_size(spark, d):
 select rec_id, kind, t, dist as distance, class from nw where rn = 1 and coalesce(dist > 0, true)""")
 def join_nearest_window(spark, d):
     """The nearest window of errors that none holds."""
-    found, errs, _ = _surfaced(spark, d)
-    return cp.nearest_windows(errs, found)
+    found, _, by = _surfaced(spark, d)
+    return cp.nearest_windows(by, found)
 
 
 @query(with_ctes(WORDS, "select rec_id, count(*) as n, count(*) filter (speaker = 'Speaker 2') as second from (select rec_id, case when (i // 12) % 2 = 0 then 'Speaker 1' else 'Speaker 2' end as speaker from w0 where text not like '[%') group by rec_id"))
