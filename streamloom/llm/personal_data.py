@@ -2,7 +2,8 @@
 
 Anchor expansion. One Aho-Corasick pass over the spoken tokens finds at-signs and
 spoken "at", number starts, street types, identifier and phone cues, titles and
-name parts. A local parser at each anchor expands to the mention's ends and
+given names; a tagger of forms and contexts (name_tagger) adds the starts of other names. A local
+parser at each anchor expands to the mention's ends and
 validates it; nothing else of the text is looked at again. Hesitations, sound
 notes, time marks, broken-off words, single bracketed signs and repeats are
 transparent to the parsers. What stands in brackets, or is tagged as no speech, and
@@ -16,27 +17,32 @@ The same parsers serve a word stream (positions are the words' order) and a text
 from __future__ import annotations
 
 import re
-from bisect import bisect_right
+from bisect import bisect_left, bisect_right
 from collections.abc import Iterator
-from functools import lru_cache
+from functools import lru_cache, reduce
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from streamloom.llm.name_tagger import tagger
 from streamloom.llm.token_tagger import SPEAKER, SPEECH, _model, emissions, tag_blocks, viterbi
 from streamloom.operators.arrow_groups import starts, whole_groups
 from streamloom.operators.scan import block_of
-from streamloom.operators.shared import OWN, require_columns
+from streamloom.operators.shared import OWN, require_columns, write_and_read
 
 #: Positions of a block, tokens of its neighbours it sees, rows a worker holds at once.
 BLOCK_WORDS = 1024
 HALO = 48
+#: What mentions are made of at most, so that each lies within REACH visible tokens of its first: parts of a
+#: spelled address on each side of its "at", tokens between a cue and its number, digits of a spelled number.
+SPELLED_PARTS, CUE_AHEAD, MOST_DIGITS = 8, 8, 15
+REACH = 2 * (2 * SPELLED_PARTS + 1)
 CHUNK_ROWS = 200_000
 
 # -- fixed values ----------------------------------------------------------------
-# Given names; family names are the products of FAMILY_FRONT and FAMILY_BACK. Both are parameters of a language area.
+# Common given names.
 GIVEN = """
 amina anna anton bianca clara daniel david elena felix greta helena hugo ingrid irene james julia kenji laura leila
 marcus maria martin mateo mina nadia noor oliver owen peter priya rafael selma simon sofia stefan thomas tobias victor
@@ -44,8 +50,6 @@ wanda yusuf ahmed alice andrew carlos catherine charlotte christopher elizabeth
 jessica john jose joseph katherine kevin linda lucas margaret mary matthew michael mohammed nicholas olivia patricia
 patrick rachel rebecca richard robert samuel sarah sophie steven susan william
 """.split()
-FAMILY_FRONT = "brenn calde dorva fenni grall halde ister lorv morva ostre pellow quist renn saver tarro vell".split()
-FAMILY_BACK = "by lin mark sen vane wick".split()
 TITLES = "dr prof professor mr mrs ms miss sir madam".split()
 STREETS = "st street ave avenue rd road lane ln drive close court ct terrace blvd boulevard crescent square place".split()
 UNITS = "apt apartment unit suite flat".split()
@@ -61,8 +65,6 @@ NOT_PERSONAL = "file sheet lists job grant page trial slide catalogue catalog en
 PLACE_AFTER = "hall room campus street court library college university road building".split()
 EFFECT_AFTER = "effect task theorem test scale paradigm reader study bridge reading equation".split()
 TOP_LEVEL = "com org net edu gov info io co uk us de fr es eu ca example test invalid".split()
-#: Words that begin like a hesitation; slips of the recogniser put them in anywhere.
-SLIPS = "human umbrella ahead era errand umber ermine".split()
 #: Before a name: those that tell one capitalised word as a name, and those that need two.
 NAME_CUES = ["name is", "name's", "named", "thanks", "thank you", "hi", "hello", "dear", "question from", "signed", "ask", "tell"]
 PAIR_CUES = ["i'm", "i’m", "i am", "this is", "meet", "from", "by", "with", "reach", "contact", "email", "welcome", "and", "is how", "does", "would", "that"]
@@ -83,6 +85,8 @@ thing third this those though through thursday to today tomorrow too tuesday two
 welcome well were what whatever when where whether which while who whose why will winter with without would yeah yes yesterday yet york you your
 zoom table theorem theory law equation model method lab library institute college school department street hall room building study effect task project city state states
 """.split()
+#: Most tokens of a name behind its first; scores from which a word the tagger doesn't know is a name, and may be one beside a name.
+NAME_PARTS, NAMED_NEW, MAY_NAME = 5, -2.0, -3.5
 #: Words of sound notes.
 SOUNDS = """
 air alarm applause applauding audience audio background baby bangs banging bark barking barks beep beeping beeps bell bells blank breath
@@ -99,9 +103,8 @@ whistle whistles whistling wind writing yawn yawning yawns
 """.split()
 # ----------------------------------------------------------------------------------
 
-_FAMILY = {a + b for a in FAMILY_FRONT for b in FAMILY_BACK}
 _GIVEN, _TITLES, _STREETS, _UNITS, _DIGITS = set(GIVEN), set(TITLES), set(STREETS), set(UNITS), set(DIGIT_WORDS)
-_NUMBERS, _STOP, _NOT_PERSONAL, _TLD, _SLIPS = set(NUMBER_WORDS), set(NOT_IN_STREET), set(NOT_PERSONAL), set(TOP_LEVEL), set(SLIPS)
+_NUMBERS, _STOP, _NOT_PERSONAL, _TLD = set(NUMBER_WORDS), set(NOT_IN_STREET), set(NOT_PERSONAL), set(TOP_LEVEL)
 _NOT_NAMES = {*NOT_NAMES, *NAME_CUES, *PAIR_CUES, *SAID, *STREETS, *UNITS, *PLACE_AFTER, *EFFECT_AFTER, *NUMBER_WORDS, *TITLES, *NOT_PERSONAL}
 _PARTICLES, _STRONG = set(PARTICLES), set(NAME_CUES)
 _PLACE, _EFFECT = set(PLACE_AFTER), set(EFFECT_AFTER)
@@ -135,8 +138,8 @@ _SOUND = re.compile("(?:" + "|".join(SOUNDS) + r"|u+h+m*|u+m+|h+m+|m+h*m+|e+r+m*
 _CLOCK = re.compile(r"\d{1,3}(?::\d\d){1,2}(?:[.,]\d{1,3})?|\d{1,5}[.,]\d{1,3}s?|t:\d+(?:[.:,]\d+)*")
 _TAG = re.compile(r"(?:>>\s*)?(?:speaker|spk)[ _]?\d+")
 _WORDY = re.compile(r"[^\W_]")
-#: Most tokens of one bracket.
-WIDE = 16
+#: Words that begin like a hesitation: a recogniser that took one for a word may have put them anywhere.
+_SLIP = re.compile(r"(?:h?um|er|ah)[a-z]{1,6}")
 
 
 _FORMS: dict[str, tuple[str, str, str, bool, bool]] = {}
@@ -148,7 +151,7 @@ def _form(t: str) -> tuple[str, str, str, bool, bool]:
         _FORMS.clear()
     bare = _EDGE.sub("", t)
     low = bare.lower()
-    seen = bool(t) and not _SINGLE.fullmatch(t) and not t.endswith("-") and low not in _SLIPS
+    seen = bool(t) and not _SINGLE.fullmatch(t) and not t.endswith("-") and not (_SLIP.fullmatch(bare) and low not in _GIVEN)
     _FORMS[t] = out = (bare, low, _OWNED.sub("", low), seen, low in _DIGITS or any(c.isdigit() for c in t))
     return out
 
@@ -191,21 +194,28 @@ def _opened(values: list[str], odd: list[bool], tags: list[int]) -> list[tuple[i
     values: the sequence's tokens; a token tagged as no speech that is no known note
     opens too.
     """
+    opens = [v[:1] in _OPENS for v in values]
+    closes = [v.rstrip(".,;:!?")[-1:] in _CLOSES and bool(v) for v in values]
+    # The bracket that is open at each token, and where it closes; whole brackets between end both.
+    left: list[int | None] = [None] * len(values)
+    right: list[int | None] = [None] * len(values)
+    for side, order, begin, end in ((left, range(len(values)), opens, closes), (right, range(len(values) - 1, -1, -1), closes, opens)):
+        held = None
+        for r in order:
+            side[r] = r if begin[r] else held
+            held = None if end[r] else r if begin[r] else held
     shown: dict[int, tuple[bool, bool]] = {}
+    known: set[int] = set()
     for r, o in enumerate(odd):
-        if not o or r in shown:
+        if not o or r in shown or r in known:
             continue
-        a = r
-        while a > max(0, r - WIDE) and values[a][:1] not in _OPENS and (a == r or values[a].rstrip(".,;:!?")[-1:] not in _CLOSES):
-            a -= 1
-        b = r
-        while b < min(len(values) - 1, r + WIDE) and values[b].rstrip(".,;:!?")[-1:] not in _CLOSES and (b == r or values[b][:1] not in _OPENS):
-            b += 1
-        if values[a][:1] in _OPENS and values[b].rstrip(".,;:!?")[-1:] in _CLOSES:
-            if not _known(" ".join(values[a : b + 1]).rstrip(".,;:!?").strip(_OPENS + _CLOSES)):
-                shown |= {k: (k == a, k == b) for k in range(a, b + 1)}
-        else:
+        a, b = left[r], right[r]
+        if a is None or b is None:
             shown[r] = (True, True)
+        elif not _known(" ".join(values[a : b + 1]).rstrip(".,;:!?").strip(_OPENS + _CLOSES)):
+            shown |= {k: (k == a, k == b) for k in range(a, b + 1)}
+        else:
+            known.update(range(a, b + 1))
     if not shown:
         return None
     out: list[tuple[int, int, int]] = []
@@ -227,6 +237,8 @@ class _Tokens:
         self.bare = [f[0] for f in forms]
         self.low = [f[1] for f in forms]
         self.word = [f[2] for f in forms]
+        self.named: list[bool] = []
+        self.may_name: list[bool] = []
 
     def __len__(self) -> int:
         return len(self.text)
@@ -245,7 +257,7 @@ def _anchors():
     for patterns, kind in (
         (["@"], "sign"), ([" at ", " (at) ", " [at] "], "at"), ([f" {d}" for d in "0123456789+("], "number"),
         ([f" {s}" for s in STREETS], "street"), ([f" {s}" for s in ID_CUES], "id"), ([f" {s}" for s in PHONE_CUES], "phone"),
-        ([f" {s}" for s in [*TITLES, *GIVEN, *_FAMILY]], "name"),
+        ([f" {s}" for s in [*TITLES, *GIVEN]], "name"),
         ([f" {s}" for s in [*NAME_CUES, *PAIR_CUES]], "cue"), ([f" {s}" for s in SAID], "said"),
     ):
         for p in patterns:
@@ -287,14 +299,14 @@ def _email(x: _Tokens, j: int) -> tuple[int, int] | None:
         return None
     # The local part, spelled with "dot" between its words.
     a = j - 1
-    while a >= 2 and x.low[a - 1] in ("dot", "dash", "underscore", "plus") and _LOCAL.fullmatch(x.bare[a - 2]) and not x.stops(a - 2):
+    while a >= 2 and j - a < 2 * SPELLED_PARTS and x.low[a - 1] in ("dot", "dash", "underscore", "plus") and _LOCAL.fullmatch(x.bare[a - 2]) and not x.stops(a - 2):
         a -= 2
     m = _DOMAIN.fullmatch(right)
     if m:
         known = sign or m.group(1).lower() in _TLD
         return (a, j + 1) if known and (sign or x.word[j - 1] not in _NOT_LOCAL) else None
     b, ends = j + 1, False
-    while b + 2 < len(x) and x.low[b + 1] == "dot" and re.fullmatch(r"[\w-]+", x.bare[b + 2]) and not x.stops(b):
+    while b + 2 < len(x) and b - j < 2 * SPELLED_PARTS and x.low[b + 1] == "dot" and re.fullmatch(r"[\w-]+", x.bare[b + 2]) and not x.stops(b):
         b += 2
         ends = x.low[b] in _TLD
         if ends and (x.stops(b) or b + 1 >= len(x) or x.low[b + 1] != "dot"):
@@ -316,22 +328,22 @@ def _phone(x: _Tokens, j: int) -> tuple[int, int] | None:
     return None
 
 
-def _spoken_digits(x: _Tokens, j: int, least: int, ahead: int = 8) -> tuple[int, int] | None:
+def _spoken_digits(x: _Tokens, j: int, least: int, ahead: int = CUE_AHEAD) -> tuple[int, int] | None:
     """A run of digit words that starts within `ahead` tokens after j and is `least` long or longer."""
     k = j + 1
     while k < min(len(x), j + 1 + ahead):
         if x.word[k] in _DIGITS:
             b = k
-            while b + 1 < len(x) and x.word[b + 1] in _DIGITS and not x.stops(b):
+            while b + 1 < len(x) and b - k < MOST_DIGITS and x.word[b + 1] in _DIGITS and not x.stops(b):
                 b += 1
             if b - k + 1 >= least:
-                return (k, b) if b - k + 1 <= 15 else None
+                return (k, b) if b - k + 1 <= MOST_DIGITS else None
             k = b
         k += 1
     return None
 
 
-def _idno(x: _Tokens, j: int, ahead: int = 8) -> tuple[int, int] | None:
+def _idno(x: _Tokens, j: int, ahead: int = CUE_AHEAD) -> tuple[int, int] | None:
     """An identity number after the cue at j."""
     for k in range(j + 1, min(len(x), j + 1 + ahead)):
         if x.word[k] in _NOT_PERSONAL:
@@ -419,31 +431,25 @@ def _said_name(x: _Tokens, j: int) -> tuple[int, int] | None:
 
 
 def _name(x: _Tokens, j: int) -> tuple[int, int] | None:
-    """A person's name that starts at j: title? given initials* family, in part, or family, given."""
+    """A person's name behind the title at j, or that starts with the given name at j: initials and further names as far as present."""
     title = x.low[j].rstrip(".") in _TITLES
     a = j + 1 if title else j
     if a >= len(x):
         return None
-    given, family = x.word[a] in _GIVEN, x.word[a] in _FAMILY
+    given = x.word[a] in _GIVEN
     ends = lambda k: x.stops(k) or _OWNED.search(x.low[k])
     b = a
     if given or _INITIAL.fullmatch(x.text[a]):
         k = a
         while k + 1 < len(x) and _INITIAL.fullmatch(x.text[k + 1]) and (k > a or not ends(a) or not given):
             k += 1
-        if k + 1 < len(x) and x.word[k + 1] in _FAMILY and (k > a or not given or not ends(a)):
-            b = k + 1
-        elif not given:
+        if k == a and not given:
             return None
-        elif not _INITIAL.fullmatch(x.text[k]):
+        if not _INITIAL.fullmatch(x.text[k]):
             b = _name_run(x, a)
             b = a if _INITIAL.fullmatch(x.text[b]) else b
         elif k + 1 < len(x) and _name_like(x, k + 1):
             b = _name_run(x, k + 1)
-    elif family:
-        # "Family, Given"
-        if x.text[a].endswith(",") and a + 1 < len(x) and x.word[a + 1] in _GIVEN:
-            b = a + 1
     elif title and not x.text[j].endswith((",", "?", "!")) and x.bare[a][:1].isupper() and x.bare[a].isalpha() and len(x.bare[a]) > 2:
         b = _name_run(x, a)
         b = a if _INITIAL.fullmatch(x.text[b]) else b
@@ -456,11 +462,47 @@ def _name(x: _Tokens, j: int) -> tuple[int, int] | None:
     return a, b
 
 
+def _tagged_name(x: _Tokens, j: int) -> tuple[int, int] | None:
+    """The name around token j, which its form and context tell: tokens that may be names up to one that ends a phrase, or family, given."""
+    like = lambda k: x.may_name[k] and x.bare[k][:1].islower() == x.bare[j][:1].islower()
+    goes_on = lambda k: not _OWNED.search(x.low[k]) and (not x.stops(k) or _INITIAL.fullmatch(x.text[k]))
+    a = b = j
+    while a and j - a < NAME_PARTS and like(a - 1) and goes_on(a - 1):
+        a -= 1
+    while a < j and x.low[a].rstrip(".") in _TITLES:
+        a += 1
+    while b + 1 < len(x) and b - a < NAME_PARTS and like(b + 1) and goes_on(b):
+        b += 1
+    if b == a and x.text[a].endswith(",") and a + 1 < len(x) and x.word[a] not in _GIVEN:
+        listed = a and x.may_name[a - 1] and x.text[a - 1].endswith(",")
+        alone = a + 2 >= len(x) or not (x.may_name[a + 2] or x.text[a + 1].endswith(",") and x.named[a + 2])
+        if x.word[a + 1] in _GIVEN or (x.named[a + 1] and alone and not listed):
+            b = a + 1
+    if any(x.word[k] in _NOT_NAMES for k in range(a, b + 1)):
+        return None
+    if _INITIAL.fullmatch(x.text[b]) or not x.bare[a][:1].isalpha() or not x.bare[b][-1:].isalpha() or not _nothing_else(x, a, b):
+        return None
+    return a, b
+
+
+def _apart(spans: list[tuple]) -> list[tuple]:
+    """Of spans ((begin, end, ...), best first) those that overlap none before them, in order."""
+    begins, kept = [], []
+    for m in spans:
+        k = bisect_right(begins, m[0])
+        if (not k or kept[k - 1][1] < m[0]) and (k == len(kept) or m[1] < kept[k][0]):
+            begins.insert(k, m[0])
+            kept.insert(k, m)
+    return kept
+
+
 def mentions(texts: list[str], places: list[int]) -> list[tuple[str, int, int]]:
     """(kind, first place, last place) of every mention in the spoken tokens `texts`, larger ones winning."""
     if not texts:
         return []
     x = _Tokens(texts, places)
+    score, new = tagger().scores(texts)
+    x.named, x.may_name = (score > np.where(new, NAMED_NEW, 0)).tolist(), ((score > 0) | (new & (score > MAY_NAME))).tolist()
     lowered = [" " + t.lower() for t in texts]
     at = np.cumsum([0] + [len(t) for t in lowered]).tolist()
     found: set[tuple[int, int, str]] = set()
@@ -492,24 +534,20 @@ def mentions(texts: list[str], places: list[int]) -> list[tuple[str, int, int]]:
                 span, what = _spoken_digits(x, j, 7), "phone"
             elif kind == "name":
                 start = j
-                while start and _INITIAL.fullmatch(x.text[start - 1]) and x.word[j] in _FAMILY:
+                while start and _INITIAL.fullmatch(x.text[start - 1]) and x.named[j]:
                     start -= 1
-                if start == j and x.word[j] in _FAMILY and j > 1 and _name_like(x, j - 1) and not x.stops(j - 1) and not x.stops(j - 2) and x.word[j - 1] not in _GIVEN | _FAMILY:
-                    span, what = ((j - 1, j) if _nothing_else(x, j - 1, j) else None), "name"
-                else:
-                    span, what = _name(x, start), "name"
+                span, what = _name(x, start), "name"
             elif kind == "cue":
                 span, what = _cued_name(x, last, pattern.strip() in _STRONG), "name"
             elif kind == "said":
                 span, what = _said_name(x, j), "name"
             if span:
                 found.add((*span, what))
+    for j in range(len(x)):
+        if x.named[j] and not (j and x.named[j - 1] and not x.stops(j - 1)) and (span := _tagged_name(x, j)):
+            found.add((*span, "name"))
     # What stands inside a larger mention, or overlaps a longer one, isn't counted again.
-    out: list[tuple[int, int, str]] = []
-    for a, b, what in sorted(found, key=lambda s: (s[0] - s[1], s[0], s[2])):
-        if all(b < p or a > q for p, q, _ in out):
-            out.append((a, b, what))
-    return [(what, x.place[a], x.place[b]) for a, b, what in sorted(out)]
+    return [(what, x.place[a], x.place[b]) for a, b, what in _apart(sorted(found, key=lambda s: (s[0] - s[1], s[0], s[2])))]
 
 
 def _traits(values: list[str]) -> tuple[np.ndarray, np.ndarray]:
@@ -563,14 +601,12 @@ def _found(values: list[str], ids: np.ndarray, tags: np.ndarray, rows: list[int]
         places.append(part)
     for what, p, q in mentions(texts, list(range(len(texts)))):
         out.append((what, places[p][0], places[p][1], places[q][0], places[q][2]))
-    kept: list[tuple[str, int, int, int, int]] = []
-    for m in sorted(set(out), key=lambda m: (m[1] - m[3], m[1], m[2] - m[4], m[2], m[0])):
-        if all((m[3], m[4]) <= (k[1], k[2]) or (m[1], m[2]) >= (k[3], k[4]) for k in kept):
-            kept.append(m)
-    return sorted(kept, key=lambda m: m[1:])
+    best = sorted(set(out), key=lambda m: (m[1] - m[3], m[1], m[2] - m[4], m[2], m[0]))
+    return [m[2] for m in _apart([((m[1], m[2]), (m[3], m[4] - 1), m) for m in best])]
 
 
-def _in_words(table: pa.Table) -> pa.Table:
+def _in_words(table: pa.Table, halo: int) -> pa.Table:
+    """Mentions of whole blocks, and a row without kind for each block whose halo shows too little."""
     hashes = [f"{OWN}h1", f"{OWN}h2"]
     i = table[f"{OWN}i"].to_numpy()
     group = starts(table, hashes)
@@ -590,9 +626,21 @@ def _in_words(table: pa.Table) -> pa.Table:
     cuts = np.searchsorted(rows, np.r_[first, len(ids)]).tolist()
     at, kinds, lo, hi = [], [], [], []
     rows, bounds, hidden = rows.tolist(), [*first.tolist(), len(ids)], _hidden(values)
+    block = table[f"{OWN}block"].to_numpy()
     for n, (a, b) in enumerate(zip(cuts, cuts[1:])):
         here = rows[a:b]
         lo_row, hi_row = bounds[n], bounds[n + 1]
+        own = np.flatnonzero(core[lo_row:hi_row])
+        if not len(own):
+            continue
+        # A side of the halo that was used up by tokens nobody sees is too short; one that the stream ends in is not.
+        before, after = int(i[lo_row + own[0]] - i[lo_row]), int(i[hi_row - 1] - i[lo_row + own[-1]])
+        seen_before, seen_after = bisect_left(here, lo_row + int(own[0])), len(here) - bisect_right(here, lo_row + int(own[-1]))
+        if (seen_before < REACH and before > halo - REACH) or (seen_after < REACH and after > halo - REACH):
+            at.append(lo_row + int(own[0]))
+            kinds.append(None)
+            lo.append(0)
+            hi.append(0)
         for what, p, _, q, _ in _found(values, ids[lo_row:hi_row], tags[lo_row:hi_row], [r - lo_row for r in here], hidden):
             p, q = p + lo_row, q + lo_row
             if core[p]:
@@ -601,7 +649,7 @@ def _in_words(table: pa.Table) -> pa.Table:
                 lo.append(int(i[p]))
                 hi.append(int(i[q]))
     k = table[f"{OWN}k"].take(pa.array(at, pa.int64())).combine_chunks()
-    return pa.table({"k": k, "kind": pa.array(kinds, pa.string()), "first_pos": pa.array(lo, pa.int64()), "last_pos": pa.array(hi, pa.int64())})
+    return pa.table({"k": k, "block": pa.array(block[at], pa.int64()), "kind": pa.array(kinds, pa.string()), "first_pos": pa.array(lo, pa.int64()), "last_pos": pa.array(hi, pa.int64())})
 
 
 def in_words(words: DataFrame, key: str = "rec_id", order: str = "i", text: str = "text", block: int = BLOCK_WORDS) -> DataFrame:
@@ -611,27 +659,62 @@ def in_words(words: DataFrame, key: str = "rec_id", order: str = "i", text: str
     null and empty texts are skipped. Other columns are not read. Empty tables give
     none. Streams are cut into blocks that see HALO tokens of their neighbours, so
     a hot stream is spread over tasks; a mention belongs to the block of its first
-    token.
+    token. Blocks that see fewer than REACH tokens of a neighbour's words beside notes,
+    hesitations and repeats are read again with a halo four times as wide, until none
+    is left: results don't depend on where blocks end.
     """
     require_columns(words, [key, order, text], "in_words")
-    pos = F.col(f"{OWN}i")
     rows = words.where(F.col(key).isNotNull() & F.col(order).isNotNull()).select(F.col(key).cast("string").alias(f"{OWN}k"), F.col(order).cast("long").alias(f"{OWN}i"), F.col(text).alias(f"{OWN}text"))
-    rows = rows.withColumn(f"{OWN}block", F.explode(F.sequence(block_of(pos - HALO, block), block_of(pos + HALO, block))))
+    got = write_and_read(_blocks(rows, block, HALO, None), "mentions")
+    again = got.where("kind is null").select("k", "block")
+    halo, parts = HALO, []
+    while not again.isEmpty():
+        halo *= 4
+        wider = write_and_read(_blocks(rows, block, halo, again), "mentions")
+        parts.append(got.join(again, ["k", "block"], "left_anti"))
+        got, again = wider, wider.where("kind is null").select("k", "block")
+    out = reduce(DataFrame.unionByName, [*parts, got])
+    return out.select(F.col("k").alias(key), "kind", "first_pos", "last_pos")
+
+
+def _blocks(rows: DataFrame, block: int, halo: int, only: DataFrame | None) -> DataFrame:
+    """(k, block, kind, first_pos, last_pos) of the blocks of all streams, or of those named in `only` (k, block)."""
+    pos = F.col(f"{OWN}i")
+    rows = rows.withColumn(f"{OWN}block", F.explode(F.sequence(block_of(pos - halo, block), block_of(pos + halo, block))))
+    if only is not None:
+        rows = rows.join(only.select(F.col("k").alias(f"{OWN}k"), F.col("block").alias(f"{OWN}block")), [f"{OWN}k", f"{OWN}block"], "left_semi")
     hashes = [f"{OWN}h1", f"{OWN}h2"]
     rows = rows.select(
-        F.xxhash64(f"{OWN}k", f"{OWN}block").alias(hashes[0]), F.hash(f"{OWN}k", f"{OWN}block").alias(hashes[1]), f"{OWN}k", f"{OWN}i", f"{OWN}text",
+        F.xxhash64(f"{OWN}k", f"{OWN}block").alias(hashes[0]), F.hash(f"{OWN}k", f"{OWN}block").alias(hashes[1]), f"{OWN}k", f"{OWN}block", f"{OWN}i", f"{OWN}text",
         (block_of(pos, block) == F.col(f"{OWN}block")).alias(f"{OWN}core"),
     )
     rows = rows.repartition(*hashes).sortWithinPartitions(*hashes, f"{OWN}i")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for table in whole_groups(batches, hashes, CHUNK_ROWS):
-            yield from _in_words(table).to_batches()
+            yield from _in_words(table, halo).to_batches()
+
+    return rows.mapInArrow(run, "k string, block long, kind string, first_pos long, last_pos long")
+
 
-    return rows.mapInArrow(run, "k string, kind string, first_pos long, last_pos long").withColumnRenamed("k", key)
+def redacted_words(words: DataFrame, key: str = "rec_id", order: str = "i", text: str = "text") -> DataFrame:
+    """(key, order, text): the word stream with a typed placeholder for each mention.
+
+    The placeholder stands at the mention's first token, the others become empty; signs behind
+    the last letter or digit, and a possessive ending, are kept. Every row of `words` comes out; those with a
+    null key or order unchanged. Null texts stay null.
+    """
+    found = in_words(words, key, order, text)
+    at = found.select(F.col(key).alias(f"{OWN}k"), "kind", "first_pos", "last_pos", F.explode(F.sequence("first_pos", "last_pos")).alias(f"{OWN}i"))
+    at = at.groupBy(f"{OWN}k", f"{OWN}i").agg(F.min("kind").alias("kind"), F.min("first_pos").alias("first_pos"), F.max("last_pos").alias("last_pos"))
+    x = words.select(F.col(key), F.col(order), F.col(text)).join(at, (F.col(key).cast("string") == F.col(f"{OWN}k")) & (F.col(order).cast("long") == F.col(f"{OWN}i")), "left")
+    tail = F.regexp_extract(F.col(text), r"((?:['\u2019]s?)?[^\p{L}\p{N}]*)$", 1)
+    head = F.when(F.col(f"{OWN}i") == F.col("first_pos"), F.concat(F.lit("["), F.upper("kind"), F.lit("]"))).otherwise("")
+    told = F.concat(head, F.when(F.col(f"{OWN}i") == F.col("last_pos"), tail).otherwise(""))
+    return x.select(key, order, F.when(F.col("kind").isNull() | F.col(text).isNull(), F.col(text)).otherwise(told).alias(text))
 
 
-_PIECE = re.compile(r"[\[(<*][^\[\](<>)*\n]{1,40}[\])>*]:?|>>\s?\w+ \d+:|\S+")
+_PIECE = re.compile(r"[\[(<*][^\[\](<>)*\n]+[\])>*]:?|>>\s?\w+ \d+:|\S+")
 
 
 def in_many(texts: list[str | None]) -> list[list[tuple[str, int, int]]]:

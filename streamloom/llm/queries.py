@@ -9,7 +9,7 @@ from streamloom.llm import twins
 from streamloom.llm.content_scores import found_kinds, rates, score_content
 from streamloom.llm.leaked_tests import leaked_tests
 from streamloom.llm.nearest_time import nearest_in_time
-from streamloom.llm.personal_data import in_texts, in_words
+from streamloom.llm.personal_data import in_texts, in_words, redacted_words
 from streamloom.llm.source_mixing import mix_sources
 from streamloom.llm.transcript_turns import speaker_turns
 from streamloom.operators.intervals import millis
@@ -68,6 +68,11 @@ def p4_redacted(spark: SparkSession, sf_dir: str) -> DataFrame:
     return in_texts(texts, redact=True)
 
 
+def p4_redacted_words(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The words of each recording with typed placeholders for personal data."""
+    return redacted_words(load(spark, sf_dir, "words").select("rec_id", "i", "text").distinct())
+
+
 def p6_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents with 12 or more successive words of a held-out passage."""
     return leaked_tests(load(spark, sf_dir, "documents"), load(spark, sf_dir, "eval_passages")).select("doc_id", "item_id")
@@ -109,5 +114,5 @@ def p8_rates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rates(score_content(load(spark, sf_dir, "documents"), keep=["source"]))
 
 
-QUERIES = {"p1_found": p1_found, "p1_turn_texts": p1_turn_texts, "p3_found": p3_found, "p4_found": p4_found, "p4_redacted": p4_redacted, "p6_found": p6_found, "p6_coverage": p6_coverage, "p7_mix": p7_mix, "p7_shares": p7_shares, "p7_temperature": p7_temperature, "p8_found": p8_found, "p8_scores": p8_scores, "p8_rates": p8_rates}
+QUERIES = {"p1_found": p1_found, "p1_turn_texts": p1_turn_texts, "p3_found": p3_found, "p4_found": p4_found, "p4_redacted": p4_redacted, "p4_redacted_words": p4_redacted_words, "p6_found": p6_found, "p6_coverage": p6_coverage, "p7_mix": p7_mix, "p7_shares": p7_shares, "p7_temperature": p7_temperature, "p8_found": p8_found, "p8_scores": p8_scores, "p8_rates": p8_rates}
 SQL = {"p1_found": twins.P1_FOUND, "p3_found": P3_FOUND_SQL, "p6_found": twins.P6_FOUND}

@@ -92,3 +92,54 @@ def test_brackets_in_words_and_placeholders(spark):
 )
 def test_names_outside_the_lists(text, want):
     assert [m for k, m in found(text) if k == "name"] == want
+
+
+#: Names in no list of the operator.
+OTHERS = "Zoltan Ngozi Siobhan Kwame Dmitri Xiomara Chidi Fumiko Goran Ludmila Quentin Tunde Yelena Aoife".split()
+FAMILIES = "Obama Merkel Tanaka Okafor Petrov O'Connell Whitfield Nakamura Lindqvist Castellanos Dubois Szymanski MacGregor Rossi".split()
+PLACES = ["Thanks, {}. It is late.", "My name is {} and I sit in the back.", "Ask {} about the rota.", "Well, {} asked whether it holds.", "I borrowed this from {}'s notebook.", "Dr. {} will cover the second half.", "When the filter fits, {} tend to skip it."]
+
+
+def test_most_names_outside_the_lists_are_found_with_exact_ends():
+    import random
+
+    from streamloom.llm.personal_data import GIVEN
+
+    rng = random.Random(2)
+    assert not {n.lower() for n in OTHERS} & set(GIVEN)
+    hit = total = 0
+    for _ in range(300):
+        name = rng.choice([f"{rng.choice(OTHERS)} {rng.choice(FAMILIES)}", f"{rng.choice('ABT')}. {rng.choice(FAMILIES)}", rng.choice(FAMILIES)])
+        text = "So we look at the data. " + rng.choice(PLACES).format(name)
+        hit += [m for k, m in found(text) if k == "name"] == [name]
+        total += 1
+    assert hit / total >= 0.9
+
+
+def test_mentions_over_long_halos_do_not_depend_on_blocks(spark):
+    noise = ["[door slams]", "uh", "_"] * 70
+    tokens = ["we"] * 20 + ["call", "five", "five", "five", *noise, "oh", "one", "zero", "two.", "Ask", "Anna", *noise, *noise, "Brennby", "now"]
+    df = spark.createDataFrame([("r", n, t) for n, t in enumerate(tokens)], "rec_id string, i int, text string")
+    want = sorted(tuple(r) for r in in_words(df, block=10_000).collect())
+    assert [r[1] for r in want] == ["name", "phone"] and want[1][3] - want[1][2] > 200
+    for block in (7, 64, 100):
+        assert sorted(tuple(r) for r in in_words(df, block=block).collect()) == want
+
+
+def test_long_notes_inside_mentions_and_many_mentions():
+    import time
+
+    note = "[somebody drags a heavy chair over the floor and then closes the door of the room]"
+    assert found(f"call 650-555-0192 or ask Anna {note} Brennby now") == [("phone", "650-555-0192"), ("name", f"Anna {note} Brennby")]
+    began = time.perf_counter()
+    assert len(found("Ask Anna Brennby at ann@x.example now. " * 4000)) == 8000
+    assert time.perf_counter() - began < 4
+
+
+def test_words_with_placeholders(spark):
+    from streamloom.llm.personal_data import redacted_words
+
+    tokens = ["Ask", "Anna", "Brennby's", "friend,", None, "at", "650-555-0192."]
+    df = spark.createDataFrame([("r", n, t) for n, t in enumerate(tokens)] + [(None, 1, "Anna"), ("r", None, "Hugo")], "rec_id string, i int, text string")
+    got = {(r.rec_id, r.i): r.text for r in redacted_words(df).collect()}
+    assert got == {("r", 0): "Ask", ("r", 1): "[NAME]", ("r", 2): "'s", ("r", 3): "friend,", ("r", 4): None, ("r", 5): "at", ("r", 6): "[PHONE].", (None, 1): "Anna", ("r", None): "Hugo"}
