@@ -239,6 +239,7 @@ class _Tokens:
         self.word = [f[2] for f in forms]
         self.named: list[bool] = []
         self.may_name: list[bool] = []
+        self.surely: list[bool] = []
 
     def __len__(self) -> int:
         return len(self.text)
@@ -478,7 +479,7 @@ def _tagged_name(x: _Tokens, j: int) -> tuple[int, int] | None:
         alone = a + 2 >= len(x) or not (x.may_name[a + 2] or x.text[a + 1].endswith(",") and x.named[a + 2])
         if x.word[a + 1] in _GIVEN or (x.named[a + 1] and alone and not listed):
             b = a + 1
-    if any(x.word[k] in _NOT_NAMES for k in range(a, b + 1)):
+    if any(x.word[k] in _NOT_NAMES for k in range(a, b + 1)) or (a == b and x.bare[a].islower() and not x.surely[a]):
         return None
     if _INITIAL.fullmatch(x.text[b]) or not x.bare[a][:1].isalpha() or not x.bare[b][-1:].isalpha() or not _nothing_else(x, a, b):
         return None
@@ -502,6 +503,7 @@ def mentions(texts: list[str], places: list[int]) -> list[tuple[str, int, int]]:
         return []
     x = _Tokens(texts, places)
     score, new = tagger().scores(texts)
+    x.surely = (score > 0).tolist()
     x.named, x.may_name = (score > np.where(new, NAMED_NEW, 0)).tolist(), ((score > 0) | (new & (score > MAY_NAME))).tolist()
     lowered = [" " + t.lower() for t in texts]
     at = np.cumsum([0] + [len(t) for t in lowered]).tolist()
@@ -544,7 +546,8 @@ def mentions(texts: list[str], places: list[int]) -> list[tuple[str, int, int]]:
             if span:
                 found.add((*span, what))
     for j in range(len(x)):
-        if x.named[j] and not (j and x.named[j - 1] and not x.stops(j - 1)) and (span := _tagged_name(x, j)):
+        goes_on = j and x.named[j - 1] and not x.stops(j - 1) and x.bare[j][:1].islower() == x.bare[j - 1][:1].islower()
+        if x.named[j] and not goes_on and (span := _tagged_name(x, j)):
             found.add((*span, "name"))
     # What stands inside a larger mention, or overlaps a longer one, isn't counted again.
     return [(what, x.place[a], x.place[b]) for a, b, what in _apart(sorted(found, key=lambda s: (s[0] - s[1], s[0], s[2])))]
