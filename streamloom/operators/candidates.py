@@ -8,13 +8,12 @@ from __future__ import annotations
 
 import hashlib
 import json
-from functools import reduce
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from streamloom.functions import tokens as tk
-from streamloom.operators.shared import write_and_read
+from streamloom.operators.shared import mixed, write_and_read
 from streamloom.operators.stream import PAUSE_S, rec
 
 # -- fixed values: thresholds, word lists and class order of the two versions ------------
@@ -55,162 +54,181 @@ def parameters_sha256(version: int) -> str:
     return hashlib.sha256(json.dumps(parameters(version), sort_keys=True, separators=(",", ":")).encode()).hexdigest()
 
 
-def prepared(st: DataFrame) -> DataFrame:
-    """The stream with what several classes read: the gap entering a word, neighbours, cue tokens, the stream's size."""
-    w = rec()
-    everywhere = Window.partitionBy("rec_id")
-    return st.select(
-        "*", F.lag("gap_next").over(w).alias("gap_in"), tk.is_terminal(F.col("text")).alias("terminal"), tk.ends_question(F.col("text")).alias("question"), tk.cue_token(F.col("text")).alias("tok"),
-        F.lag("speaker").over(w).alias("prev_label"), F.lead("speaker").over(w).alias("next_label"), F.lag("text").over(w).alias("prev_text"), F.lag("stretch").over(w).alias("prev_stretch"), F.lead("stretch").over(w).alias("next_stretch"),
-        F.count(F.lit(1)).over(everywhere).alias("n"),
-    )
+def _since(start, value):
+    """The value at the last row at which `start` held, this one included."""
+    return F.last(F.when(start, F.struct(value.alias("v"))), ignorenulls=True).over(rec().rowsBetween(Window.unboundedPreceding, 0))["v"]
 
 
-def _window(df: DataFrame, cls, a, b, at) -> DataFrame:
-    cls = F.lit(cls) if isinstance(cls, str) else cls
-    out = df.select("rec_id", cls.alias("class"), F.greatest(a, F.lit(0)).cast("int").alias("a"), F.least(b, F.col("n") - 1).cast("int").alias("b"), at.cast("int").alias("at"))
-    return out.where(F.col("a") < F.col("b"))
-
+def _so_far(cond):
+    """How often the condition held up to this row."""
+    return F.sum(F.coalesce(cond, F.lit(False)).cast("int")).over(rec().rowsBetween(Window.unboundedPreceding, 0))
 
-def shift(p: DataFrame) -> DataFrame:
-    x = F.col("pos")
-    return _window(p.where("change"), "shift", x - NEAR - 1, x + NEAR, x)
 
+def prepared(st: DataFrame, version: int) -> DataFrame:
+    """The stream with `found`: the windows that end to be known at each word, array of (class, a, b, at, first_i, last_i, at_i).
 
-def islands(p: DataFrame) -> DataFrame:
-    s = p.groupBy("rec_id", "stretch").agg(F.min("pos").alias("s"), F.max("pos").alias("e"), F.min_by("speaker", "pos").alias("lab"), F.min_by("gap_in", "pos").alias("before"), F.max_by("gap_next", "pos").alias("after"), F.max("n").alias("n"))
-    w = Window.partitionBy("rec_id").orderBy("stretch")
-    s = s.select("*", F.lag(F.struct("lab")).over(w).alias("l"), F.lead(F.struct("lab")).over(w).alias("r"))
-    inner = F.col("l").isNotNull() & F.col("r").isNotNull() & F.col("l.lab").eqNullSafe(F.col("r.lab")) & ~F.col("lab").eqNullSafe(F.col("l.lab"))
-    s = s.where(inner & (F.col("e") - F.col("s") + 1 <= ISLAND_WORDS))
-    edge = F.coalesce(F.col("before") > PAUSE_S, F.lit(False)) | F.coalesce(F.col("after") > PAUSE_S, F.lit(False))
-    return _window(s, F.when(edge, "edge_island").otherwise("long_island"), F.col("s") - 1, F.col("e") + 1, F.col("s"))
+    All rules but the dropped raw labels look at a word, its neighbours and what its sentence, clause and
+    stretch held so far, so they are read in the order of positions: one exchange, one
+    sort. What a span held is the difference of two running counts. Word indices of window
+    ends are picked up on the way, so none is looked up later.
+    """
+    w = rec()
+    whole = Window.partitionBy("rec_id")
+    c, x = F.col, F.col("pos")
+    p = st.select(
+        "rec_id", "pos", "i", "start_s", "text", "speaker", "speaker_raw", "hit_ords", "hit_labels", "sent", "stretch", "change", "gap_next", "boundary",
+        tk.is_terminal(c("text")).alias("terminal"), tk.ends_question(c("text")).alias("question"), tk.cue_token(c("text")).alias("tok"),
+    )
+    p = p.select(
+        "*", F.lag(F.struct("i", "gap_next", "speaker", "text", "stretch", "sent", "tok")).over(w).alias("was"), F.lead(F.struct("i", "speaker", "stretch", "tok")).over(w).alias("next"),
+        F.lag("i", NEAR + 1).over(w).alias("i_a"), F.lead("i", NEAR).over(w).alias("i_b"), F.lead(F.struct("i", "stretch"), NEAR + 1).over(w).alias("far"),
+        F.count(F.lit(1)).over(whole).alias("n"), F.min("i").over(whole).alias("i_0"), F.max("i").over(whole).alias("i_n"), F.max("stretch").over(whole).alias("stretch_n"),
+    )
+    p = p.withColumn("i_a", F.coalesce("i_a", "i_0")).withColumn("i_b", F.coalesce("i_b", "i_n")).withColumn("i_far", F.coalesce("far.i", "i_n")).withColumn("stretch_far", F.coalesce("far.stretch", "stretch_n"))
+    prev_i, next_i = F.coalesce("was.i", "i"), F.coalesce("next.i", "i")
+    sent_start = c("was").isNull() | (c("was.sent") != c("sent"))
+    same_next, same_prev = F.coalesce(c("next.stretch") == c("stretch"), F.lit(False)), F.coalesce(c("was.stretch") == c("stretch"), F.lit(False))
+    split = F.coalesce(tk.without_closers(c("was.text")).rlike("[" + "".join(CLAUSE_MARKS) + "]$") | (c("was.gap_next") > CLAUSE_PAUSE), F.lit(False))
+    own = {
+        "sent_start": sent_start, "opens": sent_start | split, "stretch_start": c("was").isNull() | c("change"), "same_next": same_next, "same_prev": same_prev, "prev_i": prev_i, "next_i": next_i,
+        "chat": ~c("tok").isin(BACKCHANNEL), "no_clause": ~c("tok").isin([t for t in BACKCHANNEL if t not in CLAUSE_FILLERS]), "first": c("tok").isin(FIRST_PERSON),
+        "cue": c("tok").isin(SECOND_PERSON + SOLICIT) | (~sent_start & (c("tok") == "ahead") & (c("was.tok") == "go")),
+    }
+    p = p.withColumns(own)
+    p = p.withColumns({f"n_{k}": _so_far(c(k)) for k in ("chat", "no_clause", "cue")} | {"ends_clause": F.lead("opens").over(w), "last_q": F.last(F.when(c("question"), F.struct(x.alias("q"), "i", "next_i")), ignorenulls=True).over(w.rowsBetween(Window.unboundedPreceding, -1))})
+    before = lambda k: c(f"n_{k}") - c(k).cast("int")
+    at_sent = F.struct(x.alias("f"), "i", "prev_i", "same_prev", before("chat").alias("chat"), before("cue").alias("cue"), "last_q")
+    at_clause = F.struct(x.alias("f"), "i", "prev_i", "same_prev", "sent_start", before("no_clause").alias("bad"), "last_q")
+    at_stretch = F.struct(x.alias("s"), "i", "prev_i", c("was.gap_next").alias("gap"), F.struct(c("was.speaker").alias("l")).alias("l"))
+    p = p.withColumns({"S": _since(c("sent_start"), at_sent), "C": _since(c("opens"), at_clause), "T": _since(c("stretch_start"), at_stretch)})
+
+    def window(cond, cls, a, b, at, first_i, last_i, at_i):
+        a, b = F.greatest(a, F.lit(0)).cast("int"), F.least(b, c("n") - 1).cast("int")
+        cls = F.lit(cls) if isinstance(cls, str) else cls
+        return F.when(cond & (a < b), F.struct(cls.alias("class"), a.alias("a"), b.alias("b"), at.cast("int").alias("at"), first_i.alias("first_i"), last_i.alias("last_i"), at_i.alias("at_i")))
+
+    i = c("i")
+    open_before = ~tk.is_terminal(c("was.text"))
+    ends = c("boundary").isNotNull()
+    size = x - c("S.f") + 1
+    openers = ANSWER_OPENERS + ["so"] * (version == 2)
+    edge = F.coalesce(c("T.gap") > PAUSE_S, F.lit(False)) | F.coalesce(c("gap_next") > PAUSE_S, F.lit(False))
+    left, right = c("T.l.l"), c("next.speaker")
+    island = (c("T.s") > 0) & c("next").isNotNull() & ~same_next & left.eqNullSafe(right) & ~c("speaker").eqNullSafe(left) & (x - c("T.s") + 1 <= ISLAND_WORDS)
+    answer = ends & c("same_next") & c("question") & c("next.tok").isin(openers)
+    reply = ends & c("same_next") & (size <= ADDRESS_WORDS) & c("terminal") & c("next.tok").isin(ANSWER_OPENERS) & (c("n_cue") > c("S.cue"))
+    back = ends & c("same_next") & c("S.same_prev") & (size <= BACK_WORDS) & (c("n_chat") == c("S.chat"))
+    rules = [
+        window(c("change"), "shift", x - NEAR - 1, x + NEAR, x, c("i_a"), c("i_b"), i),
+        window(island, F.when(edge, "edge_island").otherwise("long_island"), c("T.s") - 1, x + 1, c("T.s"), c("T.prev_i"), c("next_i"), c("T.i")),
+        window(c("change") & open_before & tk.first_letter_lower(c("text")), "no_punct_lowercase", x - 1, x, x, c("prev_i"), i, i),
+        window(c("change") & (c("was.gap_next") <= ZERO_GAP), "zero_gap", x - 1, x, x, c("prev_i"), i, i),
+        window(c("change") & open_before & (c("was.gap_next").isNull() | (c("was.gap_next") <= PAUSE_S)), "inside_sentence", x - 1, x, x, c("prev_i"), i, i),
+        window(answer, "question_answer", c("S.f") - 1, x + 1, x + 1, c("S.prev_i"), c("next_i"), c("next_i")),
+        window(reply, "address_reply", x, x + 1, x + 1, i, c("next_i"), c("next_i")),
+        window(back, "backchannel", c("S.f") - 1, x + 1, c("S.f"), c("S.prev_i"), c("next_i"), c("S.i")),
+    ]
+    if version == 1:
+        s = Window.partitionBy("rec_id", "stretch")
+        o = s.orderBy("pos")
+        upto = F.sum(c("first").cast("int")).over(o.rowsBetween(Window.unboundedPreceding, 0))
+        p = p.withColumns({"first_n": upto, "first_all": F.sum(c("first").cast("int")).over(s), "size": F.count(F.lit(1)).over(s)})
+        gone = F.coalesce(F.lag("first_n").over(o), F.lit(0))
+        p = p.withColumns({"fb": gone - F.coalesce(F.lag("first_n", REGISTER_WINDOW + 1).over(o), F.lit(0)), "fa": F.coalesce(F.lead("first_n", REGISTER_WINDOW - 1).over(o), c("first_all")) - gone})
+        nb, na = x - c("T.s"), c("T.s") + c("size") - x
+        turn = c("sent_start") & c("same_prev") & (nb >= REGISTER_MIN) & (na >= REGISTER_MIN) & (c("fb") == 0) & (c("fa") >= REGISTER_ONSET)
+        rules.append(window(turn, "register_change", x - 1, x, x, c("prev_i"), i, i))
+    else:
+        clause = F.coalesce(c("ends_clause"), F.lit(True)) & c("same_next") & c("C.same_prev") & (x - c("C.f") + 1 <= BACK_WORDS) & (c("n_no_clause") == c("C.bad")) & ~(c("C.sent_start") & ends)
+        rules.append(window(clause, "clause_backchannel", c("C.f") - 1, x + 1, c("C.f"), c("C.prev_i"), c("next_i"), c("C.i")))
+        # The question before a backchannel's first word, in its stretch and near enough.
+        for cond, span in ((back, "S"), (clause, "C")):
+            q = c(f"{span}.last_q")
+            rules.append(window(cond & (q["q"] >= c("T.s")) & (c(f"{span}.f") - 1 - q["q"] < PAIR_WORDS), "paired_start", q["q"], q["q"] + 1, q["q"] + 1, q["i"], q["next_i"], q["next_i"]))
+        # A question behind which the stretch goes on: the first one at or behind some window's last word, near enough.
+        asks = w.rowsBetween(Window.unboundedPreceding, -1)
+        open_end = c("question") & c("same_next")
+        p = p.withColumns({"behind": F.last(F.when(answer | reply | back | clause, x + 1), ignorenulls=True).over(asks), "asked": F.last(F.when(open_end, x), ignorenulls=True).over(asks)})
+        due = open_end & (c("behind") >= c("T.s")) & (x - c("behind") < PAIR_WORDS) & (c("asked").isNull() | (c("asked") < c("behind")))
+        rules.append(window(due, "paired_return", x, x + 1, x + 1, i, c("next_i"), c("next_i")))
+    found = F.filter(F.array(*rules), lambda r: r.isNotNull())
+    return p.select(
+        "rec_id", "pos", "i", "n", "start_s", "speaker", "speaker_raw", "hit_ords", "hit_labels", "stretch", "change", "i_a", "i_b", "i_far", "stretch_far", "next_i",
+        c("was.speaker").alias("prev_label"), c("next.speaker").alias("next_label"), (c("question") & c("same_next")).alias("asks"), found.alias("found"),
+    )
 
 
-def boundary_cues(p: DataFrame) -> DataFrame:
-    open_before = ~tk.is_terminal(F.col("prev_text"))
-    hit = F.filter(
-        F.array(
-            F.when(open_before & tk.first_letter_lower(F.col("text")), "no_punct_lowercase"),
-            F.when(F.col("gap_in") <= ZERO_GAP, "zero_gap"),
-            F.when(open_before & (F.col("gap_in").isNull() | (F.col("gap_in") <= PAUSE_S)), "inside_sentence"),
-        ),
-        lambda c: c.isNotNull(),
-    )
-    b = p.where("change").select("rec_id", "n", "pos", F.explode(hit).alias("cls"))
-    return _window(b, F.col("cls"), F.col("pos") - 1, F.col("pos"), F.col("pos"))
+def _cut(df: DataFrame, cls: str, a, b, at) -> DataFrame:
+    out = df.select("rec_id", F.lit(cls).alias("class"), F.greatest(a, F.lit(0)).cast("int").alias("a"), F.least(b, F.col("n") - 1).cast("int").alias("b"), at.cast("int").alias("at"), "first_i", "last_i", "at_i", "stretch_b")
+    return out.where(F.col("a") < F.col("b"))
 
 
-def dropped_raw(p: DataFrame, hits: DataFrame, turns: DataFrame) -> DataFrame:
+def dropped_raw(p: DataFrame, turns: DataFrame) -> DataFrame:
     """Labels of raw turns that the rendered stream lost: contested runs, and runs of turns that hit no word."""
-    raw = hits.select("rec_id", "pos", F.col("speaker").alias("x")).unionByName(p.where("speaker_raw is not null").select("rec_id", "pos", F.col("speaker_raw").alias("x"))).distinct()
-    c = raw.join(p.select("rec_id", "pos", "n", "speaker", "speaker_raw", "prev_label", "next_label"), ["rec_id", "pos"]).where(~F.col("x").eqNullSafe(F.col("speaker")))
+    labels = F.array_union(F.coalesce("hit_labels", F.array().cast("array<string>")), F.filter(F.array("speaker_raw"), lambda x: x.isNotNull()))
+    c = p.select("rec_id", "pos", "i", "n", "prev_label", "next_label", "i_a", "i_far", "stretch_far", F.explode(F.array_except(labels, F.array("speaker"))).alias("x"))
     c = c.withColumn("run", F.col("pos") - F.row_number().over(Window.partitionBy("rec_id", "x").orderBy("pos")))
-    c = c.groupBy("rec_id", "x", "run").agg(F.min("pos").alias("a0"), F.max("pos").alias("b0"), F.min_by("prev_label", "pos").alias("pl"), F.max_by("next_label", "pos").alias("nl"), F.max("n").alias("n"))
-    borders = F.coalesce(F.col("pl") == F.col("x"), F.lit(False)) | F.coalesce(F.col("nl") == F.col("x"), F.lit(False))
-    c = c.where(~(borders & (F.col("b0") - F.col("a0") + 1 <= NEAR)))
-    contested = _window(c, "dropped_raw_change", F.col("a0") - NEAR - 1, F.col("b0") + NEAR + 1, F.col("a0"))
+    low, high = F.min(F.struct("pos", "prev_label", "i", "i_a")), F.max(F.struct("pos", "next_label", "i_far", "stretch_far"))
+    c = c.groupBy("rec_id", "x", "run").agg(low.alias("lo"), high.alias("hi"), F.max("n").alias("n"))
+    borders = F.coalesce(F.col("lo.prev_label") == F.col("x"), F.lit(False)) | F.coalesce(F.col("hi.next_label") == F.col("x"), F.lit(False))
+    a0, b0 = F.col("lo.pos"), F.col("hi.pos")
+    c = c.where(~(borders & (b0 - a0 + 1 <= NEAR)))
+    c = c.select("*", F.col("lo.i_a").alias("first_i"), F.col("hi.i_far").alias("last_i"), F.col("lo.i").alias("at_i"), F.col("hi.stretch_far").alias("stretch_b"))
+    contested = _cut(c, "dropped_raw_change", a0 - NEAR - 1, b0 + NEAR + 1, a0)
 
     w = Window.partitionBy("rec_id").orderBy("ord")
     t = turns.withColumn("new", (~F.col("speaker").eqNullSafe(F.lag("speaker").over(w)) | F.lag("ord").over(w).isNull()).cast("int"))
-    t = t.withColumn("trun", F.sum("new").over(w)).join(hits.select("rec_id", "ord").distinct().withColumn("hit", F.lit(1)), ["rec_id", "ord"], "left")
-    runs = t.groupBy("rec_id", "trun").agg(F.min("speaker").alias("x"), F.min("start_s").alias("t0"), F.max("hit").alias("hit")).where("hit is null")
+    hit = p.select("rec_id", F.explode("hit_ords").alias("ord")).distinct().withColumn("hit", F.lit(1))
+    t = t.withColumn("trun", F.sum("new").over(w)).join(hit, ["rec_id", "ord"], "left")
+    runs = t.groupBy("rec_id", "trun").agg(F.min("speaker").alias("x"), F.min("start_s").alias("t0"), F.max("hit").alias("hit")).where("hit is null").drop("hit")
     # The first position that starts at t0 or later: words and runs in one order of time, read backwards.
-    timed = p.where("start_s is not null").select("rec_id", F.col("start_s").alias("t0"), F.col("pos").alias("g"), "n")
-    back = Window.partitionBy("rec_id").orderBy(F.desc("t0"), F.col("g").isNull()).rowsBetween(Window.unboundedPreceding, 0)
-    at = runs.unionByName(timed, allowMissingColumns=True).withColumn("g0", F.min("g").over(back)).withColumn("n0", F.max("n").over(back)).where("g is null and g0 > 0")
-    at = at.select("rec_id", "trun", "x", F.col("g0").alias("g"), F.col("n0").alias("n"))
+    timed = p.where("start_s is not null").select("rec_id", F.col("start_s").alias("t0"), F.struct(F.col("pos").alias("g"), "i", "i_a", "i_b", "n").alias("w")).join(runs.select("rec_id").distinct(), "rec_id", "left_semi")
+    nothing = lambda df, *cols: df.select("*", *[F.lit(None).cast(k).alias(c) for c, k in cols])
+    both = mixed([nothing(timed, ("trun", "long"), ("x", "string")), nothing(runs, ("w", timed.schema["w"].dataType.simpleString()))], "rec_id")
+    back = Window.partitionBy("rec_id").orderBy(F.desc("t0"), F.col("w").isNull()).rowsBetween(Window.unboundedPreceding, 0)
+    at = both.withColumn("w0", F.min("w").over(back)).where(F.col("w").isNull() & (F.col("w0.g") > 0)).select("rec_id", "trun", "x", "w0.*")
     around = at.select("rec_id", "trun", "x", F.explode(F.sequence(F.col("g") - NEAR, F.col("g") + NEAR - 1)).alias("pos"))
     held = around.join(p.select("rec_id", "pos", F.col("speaker").alias("x")), ["rec_id", "pos", "x"], "left_semi").select("rec_id", "trun").distinct()
     empty = at.join(held, ["rec_id", "trun"], "left_anti")
-    return contested.unionByName(_window(empty, "dropped_raw_change", F.col("g") - NEAR - 1, F.col("g") + NEAR, F.col("g")))
+    empty = empty.join(p.select("rec_id", (F.col("pos") - NEAR).alias("g"), F.col("stretch").alias("stretch_at")), ["rec_id", "g"], "left")
+    empty = empty.select("*", F.col("i_a").alias("first_i"), F.col("i_b").alias("last_i"), F.col("i").alias("at_i"), F.col("stretch_at").alias("stretch_b"))
+    return contested.unionByName(_cut(empty, "dropped_raw_change", F.col("g") - NEAR - 1, F.col("g") + NEAR, F.col("g")))
 
 
-def merge_cues(p: DataFrame, version: int) -> DataFrame:
-    """Turn-taking cues inside one stretch: a question and its answer, an address and its reply, backchannels, a change of register."""
-    s = p.groupBy("rec_id", "sent").agg(
-        F.min("pos").alias("f"), F.max("pos").alias("l"), F.min("stretch").alias("stretch"), F.min_by("tok", "pos").alias("op"), F.max_by("terminal", "pos").alias("terminal"),
-        F.max_by("question", "pos").alias("question"), F.sort_array(F.collect_list(F.struct("pos", "tok"))).alias("toks"), F.max("n").alias("n"),
-    )
-    s = s.withColumn("toks", F.transform("toks", lambda t: t["tok"])).withColumn("nw", F.col("l") - F.col("f") + 1)
-    w = Window.partitionBy("rec_id").orderBy("sent")
-    s = s.select("*", F.lag("stretch").over(w).eqNullSafe(F.col("stretch")).alias("same_prev"), F.lead("stretch").over(w).eqNullSafe(F.col("stretch")).alias("same_next"), F.lead("op").over(w).alias("next_op"), F.lead("f").over(w).alias("rr"))
-    lit = lambda xs: F.array(*[F.lit(x) for x in xs])
-    openers = ANSWER_OPENERS + ["so"] * (version == 2)
-    answer = s.where(F.col("same_next") & F.col("question") & F.col("next_op").isin(openers))
-    pairs = F.zip_with(F.expr("slice(toks, 1, size(toks) - 1)"), F.expr("slice(toks, 2, size(toks) - 1)"), lambda x, y: F.concat_ws(" ", x, y))
-    cue = F.arrays_overlap("toks", lit(SECOND_PERSON + SOLICIT)) | ((F.col("nw") > 1) & F.array_contains(pairs, "go ahead"))
-    reply = s.where(F.col("same_next") & (F.col("nw") <= ADDRESS_WORDS) & F.col("terminal") & F.col("next_op").isin(ANSWER_OPENERS) & cue)
-    back = s.where(F.col("same_prev") & F.col("same_next") & (F.col("nw") <= BACK_WORDS) & F.forall("toks", lambda t: t.isin(BACKCHANNEL)))
-    out = (
-        _window(answer, "question_answer", F.col("f") - 1, F.col("rr"), F.col("rr"))
-        .unionByName(_window(reply, "address_reply", F.col("l"), F.col("rr"), F.col("rr")))
-        .unionByName(_window(back, "backchannel", F.col("f") - 1, F.col("l") + 1, F.col("f")))
-    )
-    if version == 1:
-        w = Window.partitionBy("rec_id", "stretch").orderBy("pos")
-        first = F.col("tok").isin(FIRST_PERSON).cast("int")
-        before, after = w.rowsBetween(-REGISTER_WINDOW, -1), w.rowsBetween(0, REGISTER_WINDOW - 1)
-        r = p.select("rec_id", "pos", "n", "sent", "stretch", "prev_stretch", F.sum(first).over(before).alias("fb"), F.sum(first).over(after).alias("fa"), F.count(F.lit(1)).over(before).alias("nb"), F.count(F.lit(1)).over(after).alias("na"), F.lag("sent").over(rec()).alias("prev_sent"))
-        r = r.where((F.col("prev_sent") < F.col("sent")) & (F.col("prev_stretch") == F.col("stretch")) & (F.col("nb") >= REGISTER_MIN) & (F.col("na") >= REGISTER_MIN) & (F.col("fb") == 0) & (F.col("fa") >= REGISTER_ONSET))
-        out = out.unionByName(_window(r, "register_change", F.col("pos") - 1, F.col("pos"), F.col("pos")))
-    return out
-
-
-def clause_cues(p: DataFrame) -> DataFrame:
-    """Short clauses of backchannel words inside a sentence, within one stretch."""
-    w = rec()
-    split = tk.without_closers(F.col("prev_text")).rlike("[" + "".join(CLAUSE_MARKS) + "]$") | (F.col("gap_in") > CLAUSE_PAUSE)
-    sent_start = F.lag("sent").over(w).isNull() | (F.lag("sent").over(w) != F.col("sent"))
-    q = p.withColumn("sent_start", sent_start).withColumn("cl", F.sum((F.col("sent_start") | F.coalesce(split, F.lit(False))).cast("int")).over(w))
-    ok = F.col("tok").isin([t for t in BACKCHANNEL if t not in CLAUSE_FILLERS])
-    c = q.groupBy("rec_id", "cl").agg(
-        F.min("pos").alias("f"), F.max("pos").alias("l"), F.bool_and(ok).alias("ok"), F.min("sent").alias("sent"), F.min_by("prev_stretch", "pos").alias("ps"), F.max_by("next_stretch", "pos").alias("ns"),
-        F.min("stretch").alias("stretch"), F.max("n").alias("n"),
-    )
-    clauses_in = F.count(F.lit(1)).over(Window.partitionBy("rec_id", "sent"))
-    c = c.withColumn("in_sent", clauses_in)
-    c = c.where(F.col("ok") & (F.col("l") - F.col("f") + 1 <= BACK_WORDS) & (F.col("in_sent") > 1) & (F.col("ps") == F.col("stretch")) & (F.col("ns") == F.col("stretch")))
-    return _window(c, "clause_backchannel", F.col("f") - 1, F.col("l") + 1, F.col("f"))
-
-
-def pairs(p: DataFrame, found: DataFrame) -> DataFrame:
-    """The transition behind the next question end after a window, and behind the last one before it, in its stretch."""
-    w = Window.partitionBy("rec_id", "stretch").orderBy("pos")
-    down = Window.partitionBy("rec_id", "stretch").orderBy(F.desc("pos"))
-    q = p.select(
-        "rec_id", "pos", "n",
-        F.last(F.when(F.col("question") & (F.col("next_stretch") == F.col("stretch")), F.col("pos")), ignorenulls=True).over(down.rowsBetween(Window.unboundedPreceding, 0)).alias("nq"),
-        F.last(F.when(F.col("question"), F.col("pos")), ignorenulls=True).over(w.rowsBetween(Window.unboundedPreceding, 0)).alias("lq"),
-    )
-    ret = found.where(F.col("class").isin(PAIR_RETURN_FROM)).select("rec_id", F.col("b").alias("pos")).join(q, ["rec_id", "pos"]).where(F.col("nq") - F.col("pos") < PAIR_WORDS).select("rec_id", "n", F.col("nq").alias("q")).distinct()
-    start = found.where(F.col("class").isin(PAIR_START_FROM)).select("rec_id", F.col("a").alias("pos")).join(q, ["rec_id", "pos"]).where(F.col("pos") - F.col("lq") < PAIR_WORDS).select("rec_id", "n", F.col("lq").alias("q")).distinct()
-    x = F.col("q")
-    return _window(ret, "paired_return", x, x + 1, x + 1).unionByName(_window(start, "paired_start", x, x + 1, x + 1))
+def returns_behind(p: DataFrame, raw: DataFrame) -> DataFrame:
+    """The transition behind the first question at or behind the last word of a dropped label's window, in its stretch and near enough."""
+    span = 64
+    near = F.explode(F.array(F.floor(F.col("b") / span), F.floor(F.col("b") / span) + 1))
+    b = raw.select("rec_id", "b", "stretch_b").distinct().select("*", near.alias("bucket"))
+    q = p.where("asks").select(F.col("rec_id").alias("r"), F.floor(F.col("pos") / span).alias("k"), F.col("pos").alias("q"), "i", "next_i", "stretch")
+    x = b.join(q, (F.col("rec_id") == F.col("r")) & (F.col("bucket") == F.col("k")) & (F.col("stretch") == F.col("stretch_b")) & (F.col("q") >= F.col("b")) & (F.col("q") - F.col("b") < PAIR_WORDS))
+    x = x.groupBy("rec_id", "b", "stretch_b").agg(F.min(F.struct("q", "i", "next_i")).alias("m"))
+    a = F.col("m.q").cast("int")
+    return x.select("rec_id", F.lit("paired_return").alias("class"), a.alias("a"), (a + 1).alias("b"), (a + 1).alias("at"), F.col("m.i").alias("first_i"), F.col("m.next_i").alias("last_i"), F.col("m.next_i").alias("at_i"))
 
 
-def candidates(st: DataFrame, hits: DataFrame, turns: DataFrame, version: int = 1) -> DataFrame:
+def found_windows(p: DataFrame, turns: DataFrame, version: int = 1) -> DataFrame:
     """All windows of a version, numbered by (a, b, class order, at): rec_id, id, class, family, a, b, at, first_i, last_i, at_i.
 
-    Empty streams give none. The prepared stream is written once, as every class reads it.
+    p: prepared() of that version, read from a table, as it is read several times. Empty streams give none.
     """
-    p = write_and_read(prepared(st), "prepared")
-    parts = [shift(p), islands(p), boundary_cues(p), dropped_raw(p, hits, turns), merge_cues(p, version)]
+    raw = dropped_raw(p, turns)
+    out = p.select("rec_id", F.inline("found")).unionByName(raw.drop("stretch_b"))
     if version == 2:
-        parts.append(clause_cues(p))
-    out = reduce(DataFrame.unionByName, parts)
-    if version == 2:
-        out = write_and_read(out, "windows")  # read twice below
-        out = out.unionByName(pairs(p, out))
+        pair = F.col("class").isin("paired_return", "paired_start")
+        once = p.where(F.size("found") > 0).select("rec_id", F.inline("found"))
+        out = once.where(~pair).unionByName(raw.drop("stretch_b")).unionByName(once.where(pair).unionByName(returns_behind(p, raw)).distinct())
     rank = F.array_position(F.array(*[F.lit(c) for c in ORDER[version]]), F.col("class"))
     out = out.withColumn("id", F.row_number().over(Window.partitionBy("rec_id").orderBy("a", "b", rank, "at")))
     index = F.create_map(*[F.lit(x) for kv in FAMILY.items() for x in kv])
-    at = lambda c: st.select("rec_id", F.col("pos").cast("int").alias(c), F.col("i").alias({"a": "first_i", "b": "last_i", "at": "at_i"}[c]))
-    for c in ("a", "b", "at"):
-        out = out.join(at(c), ["rec_id", c])
     return out.select("rec_id", F.concat(F.lit("C-"), F.lpad(F.col("id").cast("string"), 4, "0")).alias("id"), "class", F.element_at(index, F.col("class")).alias("family"), "a", "b", "at", "first_i", "last_i", "at_i")
 
 
+def candidates(st: DataFrame, turns: DataFrame, version: int = 1) -> DataFrame:
+    """found_windows() of a stream, whose preparation is written once."""
+    return found_windows(write_and_read(prepared(st, version), "prepared"), turns, version)
+
+
 def sites(found: DataFrame) -> DataFrame:
     """Windows that share a word, merged: rec_id, site (from 1), a, b, n_windows, classes in name order."""
     w = Window.partitionBy("rec_id").orderBy("a", "b", "class", "at")

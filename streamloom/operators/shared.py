@@ -3,8 +3,10 @@
 from __future__ import annotations
 
 import uuid
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 #: Prefix of the columns operators add for themselves.
 OWN = "__sl_"
@@ -60,3 +62,15 @@ def require_columns(df: DataFrame, columns: list[str], who: str) -> None:
     missing = [c for c in columns if c not in df.columns]
     if missing:
         raise ValueError(f"{who}: missing columns {missing}; has {df.columns}")
+
+
+def mixed(parts: list[DataFrame], key: str) -> DataFrame:
+    """The union of parts by name, for windows and aggregates by `key`.
+
+    Spark 4.1 lets a union hand on the partitioning its children share; where adaptive
+    execution then joins their partitions differently, an aggregate above it skips its exchange
+    and gives a group twice. Here the key of the last part is computed, so the union claims
+    none, whatever the session's settings are.
+    """
+    *first, last = parts
+    return reduce(DataFrame.unionByName, [*first, last.withColumn(key, F.element_at(F.array(F.col(key)), 1))])

@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
 from streamloom.functions.tokens import flags_of, is_terminal
+from streamloom.operators.shared import mixed
 
 PAUSE_S, MAX_ISLAND, BUCKET_S = 0.5, 2, 30.0
 
@@ -79,33 +80,40 @@ def hits(words: DataFrame, turns: DataFrame) -> DataFrame:
 def nearest_edge(words: DataFrame, turns: DataFrame, t: Column) -> DataFrame:
     """Adds near, struct(t, ord, speaker): the turn edge nearest to t, of the first turn on ties; null without t or turns.
 
-    Edges and words stand in one order of time, read both ways; no word meets all turns.
+    Edges and words stand in one order of time and each edge knows the next, so one
+    reading gives a word the edges on both sides; no word meets all turns.
     """
+    own = Window.partitionBy("rec_id")
     edges = turns.select("rec_id", "ord", "speaker", F.explode(F.array("start_s", "end_s")).alias("__sl_t"))
     edges = edges.groupBy("rec_id", "__sl_t").agg(F.min(F.struct("ord", "speaker")).alias("e"))
     edges = edges.select("rec_id", "__sl_t", F.struct(F.col("__sl_t").alias("t"), F.col("e.ord").alias("ord"), F.col("e.speaker").alias("speaker")).alias("__sl_e"))
-    both = words.withColumn("__sl_t", t).unionByName(edges, allowMissingColumns=True)
-    is_word = F.col("pos").isNotNull()
-    ahead = Window.partitionBy("rec_id").orderBy(F.col("__sl_t").asc(), is_word).rowsBetween(Window.unboundedPreceding, 0)
-    back = Window.partitionBy("rec_id").orderBy(F.col("__sl_t").desc(), is_word).rowsBetween(Window.unboundedPreceding, 0)
-    both = both.withColumn("__sl_b", F.last("__sl_e", ignorenulls=True).over(ahead)).withColumn("__sl_a", F.last("__sl_e", ignorenulls=True).over(back)).where(is_word)
-    at, before, after = F.col("__sl_t"), F.col("__sl_b"), F.col("__sl_a")
+    edges = edges.withColumn("__sl_next", F.lead("__sl_e").over(own.orderBy("__sl_t")))
+    blank = [F.lit(None).cast(f.dataType).alias(f.name) for f in words.schema if f.name != "rec_id"]
+    words = words.withColumn("__sl_t", t)
+    both = mixed([words.select("*", *[F.lit(None).cast(edges.schema[c].dataType).alias(c) for c in ("__sl_e", "__sl_next")]), edges.select("rec_id", *blank, "__sl_t", "__sl_e", "__sl_next")], "rec_id")
+    is_word = F.col("__sl_e").isNull()
+    ahead = own.orderBy("__sl_t", is_word).rowsBetween(Window.unboundedPreceding, 0)
+    last = F.last(F.when(~is_word, F.struct("__sl_e", "__sl_next")), ignorenulls=True).over(ahead)
+    both = both.select("*", last.alias("__sl_at"), F.min("__sl_e").over(own).alias("__sl_first")).where(is_word)
+    at, before, after = F.col("__sl_t"), F.col("__sl_at.__sl_e"), F.when(F.col("__sl_at").isNull(), F.col("__sl_first")).otherwise(F.col("__sl_at.__sl_next"))
     db, da = F.abs(at - before["t"]), F.abs(at - after["t"])
     take_before = after.isNull() | (before.isNotNull() & ((db < da) | ((db == da) & (before["ord"] < after["ord"]))))
     near = F.when(at.isNotNull(), F.when(take_before, before).otherwise(after))
-    return both.withColumn("near", near).drop("__sl_t", "__sl_e", "__sl_a", "__sl_b")
+    return both.withColumn("near", near).drop("__sl_t", "__sl_e", "__sl_next", "__sl_at", "__sl_first")
 
 
 def assigned(words: DataFrame, turns: DataFrame) -> DataFrame:
     """Adds speaker_raw: the turn of greatest overlap, first by (start, end); in a gap the nearest turn edge.
 
     A word inside a turn counts as overlapping it by 0. Words without both times, and
-    recordings without turns, get null.
+    recordings without turns, get null. hit_ords and hit_labels: the turns that hit the word, null in a gap.
     """
-    best = hits(words, turns).groupBy("rec_id", "pos").agg(F.min_by("speaker", F.struct(-F.greatest("overlap", F.lit(0.0)), "ord")).alias("__sl_hit"), F.lit(True).alias("__sl_is_hit"))
-    w = nearest_edge(words, turns, (F.col("start_s") + F.col("end_s")) / 2).join(best, ["rec_id", "pos"], "left")
-    w = w.withColumn("speaker_raw", F.when(F.col("__sl_is_hit"), F.col("__sl_hit")).otherwise(F.col("near.speaker")))
-    return w.drop("__sl_hit", "__sl_is_hit", "near")
+    best = hits(words, turns).groupBy("rec_id", "pos").agg(
+        F.min_by("speaker", F.struct(-F.greatest("overlap", F.lit(0.0)), "ord")).alias("__sl_hit"), F.collect_set("ord").alias("hit_ords"), F.collect_set("speaker").alias("hit_labels"),
+    )
+    w = nearest_edge(words.join(best, ["rec_id", "pos"], "left"), turns, F.when(F.col("hit_ords").isNull(), (F.col("start_s") + F.col("end_s")) / 2))
+    w = w.withColumn("speaker_raw", F.when(F.col("hit_ords").isNotNull(), F.col("__sl_hit")).otherwise(F.col("near.speaker")))
+    return w.drop("__sl_hit", "near")
 
 
 def _differs(a: str, b: Column) -> Column:

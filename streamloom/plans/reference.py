@@ -167,9 +167,8 @@ st as (select rec_id, site, min(a)::int as a, max(b)::int as b, count(*) as n_wi
 
 
 def _found(spark, d, version):
-    s = write_and_read(the_stream(spark, d), "stream")
-    turns = the_turns(spark, d)
-    return s, cd.candidates(s, write_and_read(st.hits(s, turns), "hits"), turns, version)
+    p = write_and_read(cd.prepared(the_stream(spark, d), version), "prepared")
+    return p, cd.found_windows(p, the_turns(spark, d), version)
 
 
 @query("with " + _cand_sql(1) + "\n" + _NUMBERED)
@@ -487,8 +486,7 @@ sf as (select er.rec_id, er.kind, er.t, er.misattributed, er.high_harm, list_sor
 
 def _surfaced(spark, d):
     s, labels, _, j = _judged(spark, d)
-    turns = the_turns(spark, d)
-    found = write_and_read(cd.candidates(s, write_and_read(st.hits(s, turns), "hits"), turns, 1), "candidates")
+    found = write_and_read(cd.candidates(s, the_turns(spark, d), 1), "candidates")
     errs = write_and_read(ev.errors(j, labels), "errors")
     return found, errs, ev.surfaced(errs, found)
 
