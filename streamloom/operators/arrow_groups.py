@@ -15,13 +15,13 @@ def whole_groups(batches: Iterator[pa.RecordBatch], keys: list[str], rows: int)
     group is never split: one larger than `rows` comes as one table.
     """
     held: list[pa.RecordBatch] = []
-    n = 0
+    n, enough = 0, rows
     for batch in batches:
         if not batch.num_rows:
             continue
         held.append(batch)
         n += batch.num_rows
-        if n < rows:
+        if n < enough:
             continue
         table = pa.Table.from_batches(held).combine_chunks()
         change = np.flatnonzero(starts(table, keys))
@@ -29,9 +29,9 @@ def whole_groups(batches: Iterator[pa.RecordBatch], keys: list[str], rows: int)
         if cut:
             yield table.slice(0, cut)
             rest = table.slice(cut).combine_chunks()
-            held, n = rest.to_batches(), rest.num_rows
+            held, n, enough = rest.to_batches(), rest.num_rows, rows
         else:
-            held = table.to_batches()
+            held, enough = table.to_batches(), 2 * n  # a group larger than this is put together anew only when it has doubled
     if n:
         yield pa.Table.from_batches(held).combine_chunks()
 

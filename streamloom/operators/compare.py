@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+import hashlib
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from streamloom.operators.scan import KEY, packed
+from streamloom.operators.shared import mixed
 
 
 def differences(a: DataFrame, b: DataFrame, keys: list[str]) -> DataFrame:
@@ -26,6 +29,10 @@ def same_stream(labelled: DataFrame, rendered: DataFrame) -> DataFrame:
     return l.exceptAll(r).select("rec_id", "pos", F.lit("labelled").alias("side")).unionByName(r.exceptAll(l).select("rec_id", "pos", F.lit("rendered").alias("side")))
 
 
+def sha256(text: str) -> str:
+    return hashlib.sha256(text.encode()).hexdigest()
+
+
 def match_breaches(labelled: DataFrame, proposed: DataFrame) -> DataFrame:
     """(rec_id, why) where windows were proposed for other material than was labelled, or do not carry their own parameters' hash.
 
@@ -51,7 +58,10 @@ def nearest_windows(surfaced: DataFrame, found: DataFrame) -> DataFrame:
     is_error = F.col("t").isNotNull()
     ends = best("b").select("rec_id", F.col("b").alias("x"), F.col("w").alias("end"))
     begins = best("a").select("rec_id", F.col("a").alias("x"), F.col("w").alias("begin"))
-    x = e.unionByName(ends, allowMissingColumns=True).unionByName(begins, allowMissingColumns=True)
+    w = f"struct<{ends.schema['end'].dataType.simpleString()[7:-1]}>"
+    none = lambda df, **kinds: df.select("*", *[F.lit(None).cast(k).alias(c) for c, k in kinds.items()])
+    own = {"kind": "string", "t": e.schema["t"].dataType.simpleString()}
+    x = mixed([none(e, end=w, begin=w), none(ends, **own, begin=w), none(begins, **own, end=w)], "rec_id")
     upto = lambda order: Window.partitionBy("rec_id").orderBy(order, is_error).rowsBetween(Window.unboundedPreceding, 0)
     x = x.withColumn("before", F.last("end", ignorenulls=True).over(upto(F.col("x").asc()))).withColumn("after", F.last("begin", ignorenulls=True).over(upto(F.col("x").desc()))).where(is_error)
     one = lambda w, d: F.when(w.isNotNull(), F.struct(d.alias("d"), w["a"].alias("a"), w["b"].alias("b"), w["class"].alias("class")))

@@ -135,6 +135,19 @@ def conjunction(words: DataFrame, unmatched: DataFrame, dissenters: int, need: i
     return c.select("rec_id", "pos", "i", "text", "votes", "adjacent", "name_like", "masked", "allowlisted", (~F.col("masked") & ~F.col("allowlisted")).alias("flagged"))
 
 
+def conjunction_stats(words: DataFrame, view: DataFrame, unmatched: DataFrame, candidates: DataFrame, dissenters: list[str]) -> DataFrame:
+    """Per recording: tokens, fluent pieces, dropped tokens, unmatched pieces of each dissenter, candidates, masked, allowlisted and flagged ones, the flagged per 10,000 fluent pieces.
+
+    words: spoken(); view: fluent_view(words); unmatched and candidates as conjunction() takes and gives them. Recordings without words give no row.
+    """
+    t = words.groupBy("rec_id").agg(F.count("*").alias("primary_tokens"), F.count_if(tk.is_disfluent(F.col("text")) | (F.trim("text") == "")).alias("dropped_tokens"))
+    v = view.groupBy("rec_id").agg(F.count("*").alias("fluent_tokens"))
+    u = unmatched.groupBy("rec_id").agg(*[F.count_if(F.col("dissenter") == n).alias(f"unmatched_{n}") for n in dissenters])
+    c = candidates.groupBy("rec_id").agg(F.count("*").alias("candidates"), F.count_if("masked").alias("masked"), F.count_if(F.col("allowlisted") & ~F.col("masked")).alias("allowlisted"), F.count_if("flagged").alias("flagged"))
+    out = t.join(v, "rec_id", "left").join(u, "rec_id", "left").join(c, "rec_id", "left").fillna(0)
+    return out.withColumn("dissenters", F.lit(len(dissenters))).withColumn("flagged_e4", F.floor(F.col("flagged") / F.greatest(F.col("fluent_tokens"), F.lit(1)) * 10000 + 0.5).cast("double"))
+
+
 def flagged_candidates(words: DataFrame, candidates: DataFrame, keys: list[str]) -> DataFrame:
     """The words with proper_noun_candidate added to flags where conjunction() flagged them; all words stay."""
     at = candidates.where("flagged").select(*keys, F.lit(True).alias("__sl_c")).distinct()

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from streamloom.operators.shared import mixed
 from streamloom.operators.stream import rec
 
 INSTRUCTOR, UNKNOWN = "L", "?"
@@ -193,7 +194,7 @@ def near_misses(labels: DataFrame, missed: DataFrame, near: int = NEAR) -> DataF
     reach of each other meet: they are cut to islands first, and an island is read by two pointers.
     """
     both = labels.where("verdict = 'spurious'").select("rec_id", F.col("pos").cast("long").alias("p"), F.lit(None).cast("long").alias("q"))
-    both = both.unionByName(missed.select("rec_id", F.lit(None).cast("long").alias("p"), F.col("pos").cast("long").alias("q")))
+    both = mixed([both, missed.select("rec_id", F.lit(None).cast("long").alias("p"), F.col("pos").cast("long").alias("q"))], "rec_id")
     both = both.select("rec_id", F.explode(F.sequence(F.lit(1), F.lit(near))).alias("words"), "p", "q", F.coalesce("p", "q").alias("at"))
     w = Window.partitionBy("rec_id", "words").orderBy("at", F.col("p").isNull())
     both = both.withColumn("isl", F.sum(F.coalesce((F.col("at") - F.lag("at").over(w) > F.col("words")).cast("int"), F.lit(0))).over(w))
@@ -218,7 +219,7 @@ def errors(j: DataFrame, labels: DataFrame) -> DataFrame:
     """Transitions that are wrong: rec_id, kind (missed, spurious), t, misattributed, high_harm."""
     m = missed_changes(j).select("rec_id", F.lit("missed").alias("kind"), F.col("pos").alias("t"), "misattributed", F.coalesce(F.col("direction") == "student_as_instructor", F.lit(False)).alias("high_harm"))
     s = labels.where("verdict = 'spurious'").select("rec_id", F.lit("spurious").alias("kind"), F.col("pos").alias("t"), F.lit(0).cast("long").alias("misattributed"), F.lit(False).alias("high_harm"))
-    return m.unionByName(s)
+    return mixed([m, s], "rec_id")
 
 
 def surfaced(errs: DataFrame, found: DataFrame) -> DataFrame:

@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from streamloom.functions.times import tenths
+from streamloom.operators.shared import mixed
 
 # -- fixed values: the forms of a sheet's lines -------------------------------------------
 WHO = r"L|S[2-9]?|\?"
@@ -52,7 +53,7 @@ def sheet(st: DataFrame, offset: float = 0.0) -> DataFrame:
     heads = h.where("stretch > 0").select("rec_id", "stretch", bid.alias("key"), F.posexplode(block).alias("n", "x"))
     heads = heads.select("rec_id", _order(1, F.lit(0), F.col("n")).alias("o"), "x.kind", "key", "x.line")
     start = h.where("stretch = 0").select("rec_id", _order(0, F.lit(0), F.lit(0)).alias("o"), F.lit("start").alias("kind"), F.lit("START").alias("key"), F.concat(F.lit("#### START  "), name("to")).alias("line"))
-    rows = start.unionByName(heads).unionByName(text)
+    rows = mixed([start, mixed([text, heads], "rec_id")], "rec_id")
     return rows.select("rec_id", F.row_number().over(Window.partitionBy("rec_id").orderBy("o")).alias("ord"), "kind", "key", "line")
 
 

@@ -560,12 +560,12 @@ def win_unrolled(spark, d):
 @query(with_ctes(WORDS, """tg as (select rec_id, pos, text, regexp_matches(text, '^\\[Speaker \\d+\\]:$') as tag from sp where not contains(text, '[') or regexp_matches(text, '^\\[Speaker \\d+\\]:$')),
 th as (select *, sum(tag::int) over (partition by rec_id order by pos) as g from tg),
 ti as (select rec_id, g, max(case when tag then regexp_extract(text, '(Speaker \\d+)', 1) end) as label, coalesce(string_agg(case when not tag then text end, ' ' order by pos), '') as segment from th group by rec_id, g)""",
-"select rec_id, row_number() over (partition by rec_id order by g) - 1 as seg, label, length(segment) as chars from ti where label is not null or segment <> ''"))
+"select rec_id, row_number() over (partition by rec_id order by g) - 1 as seg, label, segment from ti where label is not null or segment <> ''"))
 def win_tagged_segments(spark, d):
     """Segments of texts with speaker tags."""
     w = st.spoken(the_words(spark, d)).where("not contains(text, '[') or text rlike '^\\\\[Speaker \\\\d+\\\\]:$'")
     texts = w.groupBy("rec_id").agg(F.array_join(F.transform(F.sort_array(F.collect_list(F.struct("pos", "text"))), lambda x: x["text"]), " ").alias("text"))
-    return tl.tagged_segments(texts).select("rec_id", "seg", "label", F.length("segment").alias("chars"))
+    return tl.tagged_segments(texts).select("rec_id", "seg", "label", "segment")
 
 
 @query(with_ctes(WORDS, """lw as (select *, row_number() over (partition by rec_id order by i) - 1 as pos from ws),
@@ -687,20 +687,52 @@ def _records(spark, d):
     return sr.assembled(r, _all_words(spark, d), turns, errs)
 
 
-@query("""with r as (select distinct rec_id from recordings where rec_id is not null), w as (select rec_id, count(*) as n, count(start_s) as timed from (select distinct rec_id, i, start_s from words) group by rec_id), t as (select rec_id, count(distinct turn_ord) as n from speaker_turns group by rec_id), e as (select rec_id, count(distinct err_ord) as n from error_ranges group by rec_id)
-select r.rec_id, coalesce(w.n, 0) as n_words, coalesce(w.timed, 0) as n_timed, coalesce(t.n, 0) as n_turns, coalesce(e.n, 0) as n_errors from r left join w on w.rec_id = r.rec_id left join t on t.rec_id = r.rec_id left join e on e.rec_id = r.rec_id""")
+_W1 = "w as (select * from (select *, row_number() over (partition by rec_id, i order by loaded_at nulls last) as rn from words where rec_id is not null and i is not null) where rn = 1)"
+
+
+@query("with " + _W1 + """, r as (select * from (select *, row_number() over (partition by rec_id order by loaded_at nulls last) as rn from recordings where rec_id is not null) where rn = 1),
+wa as (select rec_id, count(*) as n, count(start_s) as timed, sha256(string_agg(i || ':' || coalesce(text, '') || ':' || coalesce(speaker, '') || ':' || coalesce(array_to_string(flags, ','), '') || ':' || coalesce(cast(round(end_s * 1000) as bigint)::varchar, ''), ' ' order by i)) as h from w group by rec_id),
+t as (select * from (select *, row_number() over (partition by rec_id, turn_ord order by loaded_at nulls last) as rn from speaker_turns where rec_id is not null and turn_ord is not null) where rn = 1),
+ta as (select rec_id, count(*) as n, sha256(string_agg(coalesce(cast(round(start_s * 1000) as bigint)::varchar, '') || '-' || coalesce(cast(round(end_s * 1000) as bigint)::varchar, '') || ':' || coalesce(speaker, ''), ' ' order by turn_ord)) as h from t group by rec_id),
+e as (select rec_id, count(distinct err_ord) as n, sha256(string_agg(distinct message, ' ' order by message)) as h from error_ranges where rec_id is not null and err_ord is not null group by rec_id)
+select r.rec_id, r.model_id, coalesce(wa.n, 0) as n_words, coalesce(wa.timed, 0) as n_timed, coalesce(ta.n, 0) as n_turns, coalesce(e.n, 0) as n_errors, wa.h as words_sha256, ta.h as turns_sha256, sha256(r.text) as text_sha256
+from r left join wa on wa.rec_id = r.rec_id left join ta on ta.rec_id = r.rec_id left join e on e.rec_id = r.rec_id""")
 def src_records_round_trip(spark, d):
-    """Records put together, written as JSON, read and taken apart again."""
+    """Records put together, written as JSON, read and taken apart again: their words, turns and texts, by number and hash."""
     path = shared_dir(spark, "records")
     sr.write_records(_records(spark, d), path)
-    back = spark.read.schema(sr.T.StructType([sr.T.StructField("rec_id", sr.T.StringType()), *sr.RECORD.fields])).json(path)
-    w = sr.words_of(back).groupBy("rec_id").agg(F.count("*").alias("n_words"), F.count("start").alias("n_timed"))
-    t = sr.turns_of(back).groupBy("rec_id").agg(F.count("*").alias("n_turns"))
+    back, _ = sr.read_records(spark, path, lines=True)
+    ms = lambda c: F.coalesce(F.round(F.col(c) * 1000).cast("long").cast("string"), F.lit(""))
+    text = lambda c: F.coalesce(c, F.lit(""))
+    word = F.concat_ws(":", F.col("i").cast("string"), text(F.col("text")), text(F.col("speaker")), text(F.array_join("flags", ",")), ms("end"))
+    turn = F.concat(ms("start_s"), F.lit("-"), ms("end_s"), F.lit(":"), text(F.col("speaker")))
+    told = lambda order, piece: F.sha2(F.array_join(F.transform(F.sort_array(F.collect_list(F.struct(order, piece.alias("p")))), lambda x: x["p"]), " "), 256)
+    w = sr.words_of(back).groupBy("rec_id").agg(F.count("*").alias("n_words"), F.count("start").alias("n_timed"), told("i", word).alias("words_sha256"))
+    t = sr.turns_of(back).groupBy("rec_id").agg(F.count("*").alias("n_turns"), told("turn_ord", turn).alias("turns_sha256"))
     e = sr.errors_of(back).groupBy("rec_id").agg(F.count("*").alias("n_errors"))
-    out = back.select("rec_id").join(w, "rec_id", "left").join(t, "rec_id", "left").join(e, "rec_id", "left")
+    out = back.select("rec_id", F.col("asr.model_id").alias("model_id"), F.sha2("text", 256).alias("text_sha256")).join(w, "rec_id", "left").join(t, "rec_id", "left").join(e, "rec_id", "left")
     return out.fillna(0, ["n_words", "n_timed", "n_turns", "n_errors"])
 
 
+_DOC_KEYS = {"source.audio_path": "audio_path", "source.audio_sha256": "audio_sha256", "source.duration_s": "duration_s", "asr.model_id": "model_id", "asr.revision": None, "asr.capabilities": None, "asr.params": None, "asr.performance": None, "run.created_utc": "created_utc", "run.device": "device", "run.pipeline_version": None}
+_TURN_RULES = lambda t, name, keys: " ".join(f"union all select rec_id, '{name}_without_{k}' from {t} where {c} is null" for k, c in keys)
+_ONCE = lambda table, key: f"(select * from (select *, row_number() over (partition by rec_id, {key} order by loaded_at nulls last) as rn from {table} where rec_id in (select rec_id from recordings) and {key} is not null) where rn = 1)"
+
+
+@query("with " + f"w as {_ONCE('words', 'i')}, tt as {_ONCE('speaker_turns', 'turn_ord')}, ee as {_ONCE('error_ranges', 'err_ord')}" + """,
+r as (select * from (select *, row_number() over (partition by rec_id order by loaded_at nulls last) as rn from recordings where rec_id is not null) where rn = 1),
+x as (select *, row_number() over (partition by rec_id order by i) - 1 as n, last_value(start_s ignore nulls) over (partition by rec_id order by i rows between unbounded preceding and 1 preceding) as bef from w)
+select rule, count(*) as n, count(distinct rec_id) as n_recs from (
+select rec_id, 'word_index' as rule from x where i <> n union all select rec_id, 'word_text' from x where text is null union all select rec_id, 'timing_source' from x where coalesce(timing_source, '?') not in ('native', 'derived', 'aligned', 'none')
+union all select rec_id, 'speaker_source' from x where speaker_source is not null and speaker_source <> 'asr' union all select rec_id, 'speaker_and_source' from x where (speaker is null) <> (speaker_source is null)
+union all select rec_id, 'end_before_start' from x where end_s < start_s union all select rec_id, 'start_goes_back' from x where start_s < bef
+""" + _TURN_RULES("tt", "turn", [("start", "start_s"), ("end", "end_s"), ("speaker", "speaker")]) + " " + _TURN_RULES("ee", "error", [("start", "start_s"), ("end", "end_s"), ("message", "message")]) + " " + " ".join(f"union all select rec_id, 'missing_{k}' from r" + (f" where {c} is null" if c else "") for k, c in _DOC_KEYS.items()) + " union all select rec_id, 'granularity' from r where coalesce(granularity, '?') not in ('word', 'segment')) group by rule")
+def dq_documents(spark, d):
+    """Breaches of the rules of whole record documents, as the writer tells them."""
+    b = sr.write_records(_records(spark, d), shared_dir(spark, "records"))
+    return b.groupBy("rule").agg(F.count("*").alias("n"), F.count_distinct("rec_id").alias("n_recs"))
+
+
 _RT = TURNS + ", rt as (select rec_id, start_s, round(end_s - start_s, 3) as dur, replace(speaker, ' ', '_') as speaker from tn)"
 
 
@@ -758,15 +790,35 @@ def join_semester(spark, d):
     return x.select("rec_id", F.col("day").cast("string").alias("day"), "term", F.coalesce("week", F.lit(-1)).alias("week"))
 
 
-@query()
+_CLOCK = lambda c: f"list_reduce(list_transform(string_split(trim({c}), ':'), lambda p: try_cast(trim(p) as double)), lambda a, p: a * 60 + p)"
+_SPANS = f"""dz as (select dy.rec_id, dy.day, {_CLOCK('r.recorded_start')} as span_start, {_CLOCK('r.recorded_start')} + r.duration_s as span_end from dy join (select * from (select *, row_number() over (partition by rec_id order by loaded_at nulls last) as rn from recordings where rec_id is not null) where rn = 1) r on r.rec_id = dy.rec_id)"""
+
+
+def _course_sql(name: str, days: str, key: str) -> str:
+    """CTEs that give each row of `days` (key, day, span_start, span_end) its semester, week, course and why there is none."""
+    return f"""{name}h as (select x.{key}, min_by(sem.term, sem."start") as term, min(sem."start") as t0 from {days} x join sem on x.day between sem."start" and sem."end" group by x.{key}),
+{name}c as (select distinct term, course_code, wd, {_CLOCK('t0')} as c0, {_CLOCK('t1')} as c1 from (select term, course_code, unnest(weekdays) as wd, t0, t1 from courses)),
+{name}x as (select x.*, h.term, (floor(date_diff('day', h.t0, x.day) / 7) + 1)::int as week, strftime(x.day, '%a') as wd from {days} x left join {name}h h on h.{key} = x.{key}),
+{name}j as (select x.{key}, c.*, least(x.span_end, c.c1) - greatest(x.span_start, c.c0) as ov from {name}x x join {name}c c on c.term = x.term and c.wd = x.wd),
+{name}k as (select *, max(ov) over (partition by {key}) as best from {name}j),
+{name}g as (select {key}, count(*) as n, max((c0 is null or c1 is null)::int) as untimed, max(best) as best, count(*) filter (ov = best) as winners, min(course_code) as only_one, min(course_code) filter (ov = best) as winner from {name}k group by {key}),
+{name}w as (select x.*, case when g.n is null then 'no_class' when g.n = 1 then null when g.untimed = 1 then 'untimed' when x.span_start is null then 'no_span' when g.best <= 0 then 'no_overlap' when g.winners > 1 then 'tie' end as why, case when g.n = 1 then only_one else winner end as told from {name}x x left join {name}g g on g.{key} = x.{key}),
+{name} as (select *, case when why is null then told end as course from {name}w)"""
+
+
+@query("with " + _SEM + ", " + _DAYS + ", " + _SPANS + ", " + _course_sql("cr", "dz", "rec_id") + " select rec_id, term, week, course, why from cr")
 def join_course(spark, d):
     """Course of each recording by weekday and span, or why none is told."""
     return ca.with_course(ca.with_semester(_days(spark, d), semesters(spark)), load(spark, d, "courses"), "rec_id").select("rec_id", "term", "week", "course", "why")
 
 
-@query()
+@query("with " + _SEM + ", " + _DAYS + ", " + _SPANS + """, nf as (select strftime(day, '%y%m%d') || '_' || lpad((row_number() over (partition by day order by rec_id))::varchar, 4, '0') || '.WAV' as name, day, span_start, span_end, row_number() over (partition by day order by rec_id) as seq, count(*) over (partition by day) as per_day from dz where day is not null),
+""" + _course_sql("cr", "nf", "name") + """,
+pl as (select name, case when term is null then 'no_semester' else why end as why, 'LEC' || course || '-' || term || '-WK' || week || '-' || wd || case when per_day > 1 then '-' || seq else '' end || '-' || day::varchar || '.wav' as target from cr),
+pm as (select name, why, case when why is null then target end as target, row_number() over (partition by target, why is null order by name) as claim from pl)
+select name, case when claim = 1 and why is null then target end as target, case when why is null and claim > 1 then 'claimed' else why end as why from pm""")
 def plan_rename(spark, d):
-    """New names for recorder files named after each recording's day."""
+    """New names for recorder files named after each recording's day (those without a day have no recorder file)."""
     x = _days(spark, d).where("day is not null")
     n = F.row_number().over(Window.partitionBy("day").orderBy("rec_id"))
     files = x.select(F.concat(F.date_format("day", "yyMMdd"), F.lit("_"), F.lpad(n.cast("string"), 4, "0"), F.lit(".WAV")).alias("name"), "span_start", "span_end")
@@ -788,7 +840,16 @@ MODELS = [("a", "start_end", False, "selectable", "yes", "native", False), ("b",
 REQUESTS = [("plain", True, None, False, False), ("verbatim", True, "verbatim", False, False), ("clean", False, "intended", True, False), ("dual", True, "verbatim", True, True)]
 
 
-@query()
+def _values(rows: list[tuple], names: str) -> str:
+    cell = lambda v: "null" if v is None else str(v).lower() if isinstance(v, bool) else f"'{v}'"
+    return "(values " + ", ".join("(" + ", ".join(map(cell, r)) + ")" for r in rows) + f") v({names})"
+
+
+@query("with m as (select * from " + _values(MODELS, "model, word_timestamps, silence_tokens, verbatim, hotwords, longform, speaker_labels") + "), r as (select * from " + _values(REQUESTS, "request, diarize, mode, hotwords_given, dual_stream") + """)
+select model, request, case word_timestamps when 'start_end' then 'native' when 'end_only' then 'derived' else 'aligned' end as timing_source, word_timestamps = 'end_only' as derive_starts, word_timestamps not in ('start_end', 'end_only') as forced_alignment, longform = 'needs_chunking' as chunking, diarize and not speaker_labels as needs_diarizer,
+  array_to_string(list_filter([case when word_timestamps = 'end_only' and not silence_tokens then 'pauses_fold_into_next_word' end, case when mode is not null and mode <> 'verbatim' and verbatim = 'yes' then 'mode_has_no_effect' end, case when hotwords_given and hotwords = 'untrained' then 'hotwords_untrained' end], lambda v: v is not null), ',') as warnings,
+  array_to_string(list_filter([case when mode = 'verbatim' and verbatim = 'no' then 'verbatim_not_possible' end, case when dual_stream and verbatim <> 'selectable' then 'two_streams_not_possible' end, case when hotwords_given and hotwords = 'no' then 'hotwords_not_possible' end], lambda v: v is not null), ',') as errors
+from m, r""")
 def plan_capabilities(spark, d):
     """What each request can have of each declared model."""
     m = spark.createDataFrame(MODELS, "model string, word_timestamps string, silence_tokens boolean, verbatim string, hotwords string, longform string, speaker_labels boolean")
@@ -820,7 +881,9 @@ def ren_plain(spark, d):
 
 
 @query(with_ctes(WORDS, "hh as (select rec_id, i, text, list_distinct(list_concat(own, told)) as flags, replace(replace(replace(replace(replace(text, '&', '&amp;'), '<', '&lt;'), '>', '&gt;'), '\"', '&quot;'), '''', '&#x27;') as safe from sp)",
-"select rec_id, i, case when text like '[%' and text like '%]' then '<span class=\"marker\">' || safe || '</span>' when list_contains(flags, 'partial_word') then '<span class=\"partial\">' || safe || '</span>' when list_contains(flags, 'repetition') or list_contains(flags, 'repair') then '<span class=\"reparandum\">' || safe || '</span>' when list_contains(flags, 'proper_noun_candidate') then '<span class=\"candidate\">' || safe || '</span>' else safe end as html from hh"))
+"""hi as (select rec_id, i, flags, case when (text like '[%' and text like '%]') or list_contains(flags, 'filled_pause') or list_contains(flags, 'vocalization') then '<span class="marker">' || safe || '</span>' when list_contains(flags, 'partial_word') then '<span class="partial">' || safe || '</span>' else safe end as h from hh),
+hj as (select rec_id, i, flags, case when list_contains(flags, 'repair') then '<span class="reparandum">' || h || '</span>' else h end as h from hi)""",
+"select rec_id, i, case when list_contains(flags, 'proper_noun_candidate') then '<span class=\"candidate\">' || h || '</span><sup class=\"cand-mark\">[NAME?]</sup>' else h end as html from hj"))
 def ren_html_words(spark, d):
     """Escaped words in spans of their class."""
     return rd.html_words(st.spoken(the_words(spark, d)))
@@ -932,6 +995,49 @@ def join_nearest_window(spark, d):
     return cp.nearest_windows(by, found)
 
 
+_RENDER, _PARAMS = '{"pause":0.5}', '{"version":1}'
+
+
+@query(with_ctes(STREAM, "mb as (select rec_id, list(i order by pos) filter (change) as b from stm group by rec_id), mc as (select mb.rec_id, coalesce(b, []) as b, len(coalesce(b, [])) % 5 as k, r.sha from mb left join (select rec_id, max(audio_sha256) as sha from recordings group by rec_id) r on r.rec_id = mb.rec_id)",
+"select rec_id, why from (select rec_id, unnest(list_filter([case when k = 0 and sha is not null then 'other_source_sha256' end, case when k = 1 then 'other_render' end, case when k = 2 then 'other_boundaries' end, case when k = 3 then 'other_params' end], lambda x: x is not null)) as why from mc)"))
+def eval_match(spark, d):
+    """Labels held against windows: every fifth number of boundaries meets another source, render, boundary list or parameter hash."""
+    b = the_stream(spark, d).groupBy("rec_id").agg(F.sort_array(F.collect_list(F.when(F.col("change"), F.col("i")))).alias("boundaries"))
+    sha = load(spark, d, "recordings").groupBy("rec_id").agg(F.max("audio_sha256").alias("source_sha256"))
+    x = b.join(sha, "rec_id", "left").select("*", F.lit(_RENDER).alias("render"), F.lit("primary").alias("stream"), F.lit(_PARAMS).alias("params"), F.lit(cp.sha256(_PARAMS)).alias("params_sha256"))
+    k = F.size("boundaries") % 5
+    other = {"source_sha256": (0, F.lit(None).cast("string")), "render": (1, F.lit("{}")), "boundaries": (2, F.slice("boundaries", 2, 1000000)), "params_sha256": (3, F.lit("0"))}
+    return cp.match_breaches(x, x.withColumns({c: F.when(k == n, v).otherwise(F.col(c)) for c, (n, v) in other.items()}))
+
+
+@query("with recursive " + with_ctes(STREAM, _JUDGED, _PAIRED("select rec_id, speaker as label, truth as who, count(*) as n from trt where speaker is not null and truth is not null and truth <> '?' group by all"), """select mp.rec_id, mp.label, 'who' as path, '{"v":"' || mp.who || '"}' as "left", '{"v":"' || om.who || '"}' as "right" from mp join om on om.rec_id = mp.rec_id and om.label = mp.label where mp.who <> om.who""")[5:])
+def id_check(spark, d):
+    """Labels that the rule of shares and the pairing one to one map to other speakers."""
+    s, _, names, j = _judged(spark, d)
+    labels = s.where("speaker is not null").select("rec_id", F.col("speaker").alias("label")).distinct()
+    paired = al.one_to_one(labels.join(ev.shared_words(j), ["rec_id", "label"], "left")).select("rec_id", "label", "who")
+    return cp.differences(names, paired, ["rec_id", "label"])
+
+
+@query()
+def vote_stats(spark, d):
+    """What the vote of three other transcripts found in each recording, in figures."""
+    words = the_words(spark, d).withColumn("stream", F.lit("primary"))
+    view = write_and_read(df.fluent_view(st.spoken(the_words(spark, d))), "fluent")
+    others = write_and_read(_dissenters(view), "dissenters")
+    found = al.annotate(words, others, ["a", "b", "c"])[1]
+    return df.conjunction_stats(st.spoken(the_words(spark, d)), view, al.unmatched(view, others, ["a", "b", "c"]), found, ["a", "b", "c"])
+
+
+@query()
+def ren_html_documents(spark, d):
+    """One page per recording with its stamp, turns and numbered sentences."""
+    s = write_and_read(the_stream(spark, d), "stream")
+    stats = s.groupBy("rec_id").agg((F.max("stretch") + 1).alias("turns"), (F.max("sent") + 1).alias("sentences"), F.count("boundary").alias("boundaries"), F.count_if("flipped").alias("words_reassigned"))
+    stamps = rd.stamped(st.once(load(spark, d, "recordings"), ["rec_id"]), stats, rd.content_hash(s), {"pause_s": str(st.PAUSE_S), "anchor_s": "30", "smoothing": str(st.MAX_ISLAND), "stream": "primary"})
+    return rd.html_documents(s, stamps)
+
+
 @query(with_ctes(WORDS, "select rec_id, count(*) as n, count(*) filter (speaker = 'Speaker 2') as second from (select rec_id, case when (i // 12) % 2 = 0 then 'Speaker 1' else 'Speaker 2' end as speaker from w0 where text not like '[%') group by rec_id"))
 def src_variants(spark, d):
     """Variants of a word source: untimed, two speakers by turns, without markers."""

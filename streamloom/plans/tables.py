@@ -11,9 +11,6 @@ SILENCE = "_"
 
 
 def load(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    # Spark 4.1 lets a union pass its children's partitioning on. Where adaptive execution then joins their
-    # partitions differently, an aggregate over the union skips its exchange and returns a group twice.
-    spark.conf.set("spark.sql.unionOutputPartitioning", "false")
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 

@@ -17,16 +17,46 @@ def _ascii(raw: bytes) -> str:
     return raw.partition(b"\0")[0].decode("ascii", "replace").strip()
 
 
-def wav_header(data: bytes) -> dict | None:
+class _Held:
+    """Bytes in memory, read by range like a file."""
+
+    def __init__(self, data: bytes):
+        self.data, self.size = data, len(data)
+
+    def read(self, at: int, n: int) -> bytes:
+        return self.data[at : at + n]
+
+
+class _File:
+    """A file of any file system pyarrow knows, of which only the ranges asked for are read."""
+
+    def __init__(self, path: str):
+        from pyarrow import fs
+
+        system, name = fs.FileSystem.from_uri(path if "://" in path or path.startswith("file:") else f"file://{path}")
+        self.handle = system.open_input_file(name)
+        self.size = self.handle.size()
+
+    def read(self, at: int, n: int) -> bytes:
+        return self.handle.read_at(max(0, min(n, self.size - at)), at) if at < self.size else b""
+
+
+#: Bytes of a header chunk or a date that are read at most; both are defined to be shorter.
+_HEAD = 1024
+
+
+def wav_header(data: bytes | _File) -> dict | None:
     """The fields of a WAV's bext chunk with its rate, byte rate and data size; null without one or for other files."""
-    if data[:4] != b"RIFF" or data[8:12] != b"WAVE":
+    f = _Held(data) if isinstance(data, (bytes, bytearray)) else data
+    top = f.read(0, 12)
+    if top[:4] != b"RIFF" or top[8:12] != b"WAVE":
         return None
     out: dict = {}
     at = 12
-    while at + 8 <= len(data):
-        name, size = data[at : at + 4], int.from_bytes(data[at + 4 : at + 8], "little")
-        body = data[at + 8 : at + 8 + size]
-        if name == b"bext" and size >= 346 and len(body) >= 346:
+    while len(head := f.read(at, 8)) == 8:
+        name, size = head[:4], int.from_bytes(head[4:8], "little")
+        body = f.read(at + 8, min(size, _HEAD)) if name in (b"bext", b"fmt ") else b""
+        if name == b"bext" and len(body) >= 346:
             out |= {"day": _ascii(body[320:330]), "time": _ascii(body[330:338]), "reference": int.from_bytes(body[338:346], "little")}
         elif name == b"fmt " and len(body) >= 16:
             out |= {"rate": int.from_bytes(body[4:8], "little"), "byte_rate": int.from_bytes(body[8:12], "little")}
@@ -36,42 +66,77 @@ def wav_header(data: bytes) -> dict | None:
     return out if "day" in out else None
 
 
-def mp4_date(data: bytes) -> str | None:
+def mp4_date(data: bytes | _File) -> str | None:
     """The text of moov/udta/date; null for other files, without it, or where a box is broken."""
-    if data[4:8] != b"ftyp":
+    f = _Held(data) if isinstance(data, (bytes, bytearray)) else data
+    if f.read(4, 4) != b"ftyp":
         return None
-    lo, hi = 0, len(data)
+    lo, hi = 0, f.size
     for want in (b"moov", b"udta", b"date"):
         found = None
         while found is None and lo + 8 <= hi:
-            size, head = struct.unpack_from(">I", data, lo)[0], 8
+            box = f.read(lo, 16)
+            size, head = struct.unpack(">I", box[:4])[0], 8
             if size == 1 and lo + 16 <= hi:
-                size, head = struct.unpack_from(">Q", data, lo + 8)[0], 16
+                size, head = struct.unpack(">Q", box[8:16])[0], 16
             elif size == 0:
                 size = hi - lo
             if size < head:
                 return None
-            if data[lo + 4 : lo + 8] == want:
+            if box[4:8] == want:
                 found = (lo + head, min(lo + size, hi))
             lo += size
         if found is None:
             return None
         lo, hi = found
-    return _ascii(data[lo:hi])
+    return _ascii(f.read(lo, min(hi - lo, _HEAD)))
 
 
 _FIELDS = "path string, day string, time string, reference long, rate int, byte_rate int, bytes long, mp4 string"
 
 
 def headers(files: DataFrame) -> DataFrame:
-    """Header fields of binary files (path, content), one Arrow pass; files of other kinds have nulls."""
+    """Header fields of binary files; files of other kinds, and ones that cannot be read, have nulls.
+
+    files: (path), of which each task reads the headers only, whatever the files' size; or (path, content) for contents at hand.
+    """
+    held = "content" in files.columns
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for f in frames:
-            rows = [(p, wav_header(bytes(c)) or {}, mp4_date(bytes(c))) for p, c in zip(f.path, f.content)]
-            yield pd.DataFrame([(p, h.get("day"), h.get("time"), h.get("reference"), h.get("rate"), h.get("byte_rate"), h.get("bytes"), m) for p, h, m in rows], columns=[c.split()[0] for c in _FIELDS.split(", ")])
+            rows = []
+            for k, path in enumerate(f.path):
+                try:
+                    source = bytes(f.content.iloc[k]) if held else _File(path)
+                    h, m = wav_header(source) or {}, mp4_date(source)
+                except (OSError, TypeError):
+                    h, m = {}, None
+                rows.append((path, h.get("day"), h.get("time"), h.get("reference"), h.get("rate"), h.get("byte_rate"), h.get("bytes"), m))
+            yield pd.DataFrame(rows, columns=[c.split()[0] for c in _FIELDS.split(", ")])
+
+    return files.select("path", *["content"] * held).mapInPandas(run, _FIELDS)
 
-    return files.select("path", "content").mapInPandas(run, _FIELDS)
+
+def file_hashes(paths: DataFrame) -> DataFrame:
+    """(path, sha256) of files read in pieces of 16 MB; null where a file cannot be read."""
+
+    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        import hashlib
+
+        for f in frames:
+            out = []
+            for path in f.path:
+                try:
+                    source, h, at = _File(path), hashlib.sha256(), 0
+                    while piece := source.read(at, 1 << 24):
+                        h.update(piece)
+                        at += len(piece)
+                    out.append(h.hexdigest())
+                except (OSError, TypeError):
+                    out.append(None)
+            yield pd.DataFrame({"path": f.path.tolist(), "sha256": out})
+
+    return paths.select("path").mapInPandas(run, "path string, sha256 string")
 
 
 def recorded(h: DataFrame) -> DataFrame:
@@ -112,6 +177,16 @@ def file_sha256(content: Column) -> Column:
 _ISO = re.compile(r"^\d{4}-\d{2}-\d{2}$")
 
 
+def dated(found: DataFrame, given: DataFrame | None = None) -> DataFrame:
+    """recorded() with days given by hand (path, day yyyy-mm-dd) in place of a file's own; origin tells which. Days in another form are left out."""
+    if given is None:
+        return found
+    g = given.where(F.col("day").rlike(_ISO.pattern)).select("path", F.try_to_date("day", "yyyy-MM-dd").alias("__sl_day")).where("__sl_day is not null").dropDuplicates(["path"])
+    own = F.col("__sl_day").isNotNull()
+    x = found.join(g, "path", "left")
+    return x.withColumns({"date": F.coalesce("__sl_day", "date"), "origin": F.when(own, "given").otherwise(F.col("origin")), "why": F.when(~own, F.col("why"))}).drop("__sl_day")
+
+
 def given_day(day: str) -> str:
     """A day given by hand, checked; it wins over a file's own."""
     if not _ISO.match(day):

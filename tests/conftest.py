@@ -11,5 +11,4 @@ def spark(tmp_path_factory):
         .config("spark.ui.showConsoleProgress", "false").getOrCreate()
     )
     s.sparkContext.setLogLevel("ERROR")
-    s.conf.set("spark.sql.unionOutputPartitioning", "false")
     yield s

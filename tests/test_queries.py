@@ -7,7 +7,7 @@ import pytest
 import __spark_entry__ as entry
 
 D = "/root/testdata/sf0.001"
-CHEAP = ["p2_found", "p5_found", "txt_flags", "join_assign_smooth", "win_sentences", "dis_events", "txt_fluent_view", "win_unrolled", "agg_raw_accounting", "dq_breaches", "eval_share_map", "cand_v1", "cand_v2"]
+CHEAP = ["p2_found", "p5_found", "txt_flags", "join_assign_smooth", "win_sentences", "dis_events", "txt_fluent_view", "win_unrolled", "agg_raw_accounting", "dq_breaches", "eval_share_map", "cand_v1", "cand_v2", "dq_documents", "join_course", "plan_rename", "plan_capabilities", "eval_match", "src_records_round_trip", "arms_bars", "eval_near_misses", "join_nearest_window", "win_tagged_segments"]
 
 
 @pytest.fixture(scope="module")

@@ -17,7 +17,7 @@ def test_flagged_tokens_reach_the_words_of_both_streams(spark):
     marked = sorted(r for r in rows if "proper_noun_candidate" in r[3])
     flag = ["proper_noun_candidate"]
     assert marked == [
-        ("primary", "r1", 3, flag, '<span class="candidate">brenby</span>', "brenby [NAME?]"),
-        ("secondary", "r1", 2, flag, '<span class="candidate">brenbie</span>', "brenbie [NAME?]"),
+        ("primary", "r1", 3, flag, '<span class="candidate">brenby</span><sup class="cand-mark">[NAME?]</sup>', "brenby [NAME?]"),
+        ("secondary", "r1", 2, flag, '<span class="candidate">brenbie</span><sup class="cand-mark">[NAME?]</sup>', "brenbie [NAME?]"),
     ]
     assert sorted((r.stream, r.rec_id, r.i, r.flagged) for r in found.collect()) == [("primary", "r1", 3, True), ("secondary", "r1", 2, True)]
