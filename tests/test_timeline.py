@@ -98,7 +98,9 @@ def test_causes_misses_and_harm(spark):
 def test_near_misses_are_one_to_one(spark):
     gold = spark.createDataFrame([("r", p, "spurious") for p in (5, 6, 20)], "rec_id string, pos int, verdict string")
     missed = spark.createDataFrame([("r", p) for p in (4, 7, 24)], "rec_id string, pos int")
-    assert [ev.near_misses(gold, missed, n).first().n for n in (1, 3, 4)] == [2, 2, 3]
+    got = sorted((r.words, r.pos, r.missed_pos) for r in ev.near_misses(gold, missed, 4).collect())
+    assert [sum(w == n for w, _, _ in got) for n in (1, 3, 4)] == [2, 2, 3]
+    assert [g for g in got if g[0] == 4] == [(4, 5, 4), (4, 6, 7), (4, 20, 24)]
 
 
 LINES = "rec_id string, n int, line string"
@@ -191,9 +193,9 @@ def test_capability_conflicts(spark):
 def test_bars_and_decisions(spark):
     from streamloom.operators import arms as ar
 
-    h = spark.createDataFrame([("base", "r", 100, 10, 9000.0), ("good", "r", 40, 5, 9100.0), ("near", "r", 44, 4, 8950.0), ("bad", "r", 51, 5, 9900.0)], "arm string, run string, harm_words long, harm_runs long, accuracy_e4 double")
+    h = spark.createDataFrame([("base", "r", 100, 10, 9000.0, 100), ("good", "r", 40, 5, 9100.0, 50), ("near", "r", 44, 4, 8950.0, 44), ("bad", "r", 51, 5, 9900.0, 51), ("folded", "r", 10, 1, 9900.0, 51)], "arm string, run string, harm_words long, harm_runs long, accuracy_e4 double, pessimistic_words long")
     b = ar.bars(h, "base")
-    assert {r.arm: r.passes for r in b.collect()} == {"good": True, "near": True, "bad": False}
+    assert {r.arm: r.passes for r in b.collect()} == {"good": True, "near": True, "bad": False, "folded": False}
     assert ar.decision(b).first().decision == "close: good, near"
     assert ar.decision(b.where("arm <> 'near'")).first().decision == "switch: good"
     assert ar.decision(b.where("arm = 'bad'")).first().decision == "keep"
@@ -210,7 +212,7 @@ def test_comparisons(spark):
     assert cp.differences(a, a, ["k"]).count() == 0
     w = spark.createDataFrame([("r", 0, 4, "x"), ("r", 3, 6, "y"), ("r", 10, 11, "z")], "rec_id string, a int, b int, class string")
     assert cp.union_size(w, ["rec_id"]).first().covered == 9
-    e = spark.createDataFrame([("r", "missed", 8), ("r", "missed", 2), ("s", "missed", 1)], "rec_id string, kind string, t int")
+    e = spark.createDataFrame([("r", "missed", 8, []), ("r", "missed", 2, ["x"]), ("s", "missed", 1, [])], "rec_id string, kind string, t int, classes array<string>")
     assert sorted((r.rec_id, r.t, r.distance, r["class"]) for r in cp.nearest_windows(e, w).collect()) == [("r", 8, 2, "y"), ("s", 1, None, None)]
     g = spark.createDataFrame([("r", 5, "spurious"), ("r", 9, "real"), ("r", 20, "spurious")], "rec_id string, pos int, verdict string")
     n = spark.createDataFrame([("r", 30)], "rec_id string, n int")
