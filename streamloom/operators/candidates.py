@@ -9,12 +9,16 @@ from __future__ import annotations
 import hashlib
 import json
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_type
 
 from streamloom.functions import tokens as tk
-from streamloom.operators.shared import mixed, write_and_read
-from streamloom.operators.stream import PAUSE_S, rec
+from streamloom.operators import window_rules
+from streamloom.operators.arrow_groups import whole_groups
+from streamloom.operators.stream import BUCKET_S, MAX_ISLAND, PAUSE_S, rec, spoken
 
 # -- fixed values: thresholds, word lists and class order of the two versions ------------
 ANSWER_OPENERS = (
@@ -29,6 +33,7 @@ NEAR, ZERO_GAP, ISLAND_WORDS, BACK_WORDS, ADDRESS_WORDS = 3, 0.005, 15, 3, 10
 REGISTER_WINDOW, REGISTER_MIN, REGISTER_ONSET = 20, 5, 2
 CLAUSE_PAUSE, PAIR_WORDS, CLAUSE_FILLERS = 0.3, 60, ["uh", "um"]
 CLAUSE_MARKS = [",", ";", ":", "–", "—"]
+GROUP_ROWS = 50_000
 ORDER = {
     1: ["shift", "long_island", "edge_island", "no_punct_lowercase", "zero_gap", "inside_sentence", "dropped_raw_change", "question_answer", "backchannel", "address_reply", "register_change"],
     2: ["shift", "long_island", "edge_island", "no_punct_lowercase", "zero_gap", "inside_sentence", "dropped_raw_change", "question_answer", "backchannel", "clause_backchannel", "address_reply", "paired_return", "paired_start"],
@@ -54,179 +59,88 @@ def parameters_sha256(version: int) -> str:
     return hashlib.sha256(json.dumps(parameters(version), sort_keys=True, separators=(",", ":")).encode()).hexdigest()
 
 
-def _since(start, value):
-    """The value at the last row at which `start` held, this one included."""
-    return F.last(F.when(start, F.struct(value.alias("v"))), ignorenulls=True).over(rec().rowsBetween(Window.unboundedPreceding, 0))["v"]
+def _marks(version: int) -> dict:
+    """What the rules ask of a word alone, by the names of window_rules.BITS."""
+    tok, c = F.col("tok"), F.col
+    return {
+        "terminal": tk.is_terminal(c("text")), "question": tk.ends_question(c("text")), "opener": tok.isin(ANSWER_OPENERS + ["so"] * (version == 2)), "answer": tok.isin(ANSWER_OPENERS),
+        "chat": ~tok.isin(BACKCHANNEL), "no_clause": ~tok.isin([t for t in BACKCHANNEL if t not in CLAUSE_FILLERS]), "first": tok.isin(FIRST_PERSON), "person": tok.isin(SECOND_PERSON + SOLICIT),
+        "ahead": tok == "ahead", "go": tok == "go", "mark": tk.without_closers(c("text")).rlike("[" + "".join(CLAUSE_MARKS) + "]$"), "lower": tk.first_letter_lower(c("text")),
+    }
+
 
+def _turns_by_recording(turns: DataFrame) -> DataFrame:
+    return turns.groupBy("rec_id").agg(F.array_sort(F.collect_list(F.struct("ord", "start_s", "end_s", "speaker"))).alias("turns"))
 
-def _so_far(cond):
-    """How often the condition held up to this row."""
-    return F.sum(F.coalesce(cond, F.lit(False)).cast("int")).over(rec().rowsBetween(Window.unboundedPreceding, 0))
 
+def windows_of(words: DataFrame, turns: DataFrame, version: int) -> DataFrame:
+    """windows() straight from stream.words_once() and stream.turns_once(): words are shuffled and sorted once, and get their labels in the same reading."""
+    marks = _marks(version)
+    bits = sum((F.coalesce(marks[name], F.lit(False)).cast("int") * (1 << k) for k, name in enumerate(window_rules.BITS) if name in marks), F.lit(0))
+    w = spoken(words).select("rec_id", "pos", "i", "start_s", "end_s", "text", tk.cue_token(F.col("text")).alias("tok"))
+    return _read(w.select("rec_id", "pos", "i", "start_s", "end_s", bits.alias("bits")), turns, version)
 
-def prepared(st: DataFrame, version: int) -> DataFrame:
-    """The stream with `found`: the windows that end to be known at each word, array of (class, a, b, at, first_i, last_i, at_i).
 
-    All rules but the dropped raw labels look at a word, its neighbours and what its sentence, clause and
-    stretch held so far, so they are read in the order of positions: one exchange, one
-    sort. What a span held is the difference of two running counts. Word indices of window
-    ends are picked up on the way, so none is looked up later.
+def windows(st: DataFrame, turns: DataFrame, version: int) -> DataFrame:
+    """Every window: rec_id, class, a, b, at, first_i, last_i, at_i; and a row of each recording without class: n_words, n_boundaries.
+
+    One exchange and one sort by recording; a recording's turns come with its first word. All
+    rules are then read in arrays (window_rules), whole recordings at a time.
     """
-    w = rec()
-    whole = Window.partitionBy("rec_id")
-    c, x = F.col, F.col("pos")
-    p = st.select(
-        "rec_id", "pos", "i", "start_s", "text", "speaker", "speaker_raw", "hit_ords", "hit_labels", "sent", "stretch", "change", "gap_next", "boundary",
-        tk.is_terminal(c("text")).alias("terminal"), tk.ends_question(c("text")).alias("question"), tk.cue_token(c("text")).alias("tok"),
-    )
-    p = p.select(
-        "*", F.lag(F.struct("i", "gap_next", "speaker", "text", "stretch", "sent", "tok")).over(w).alias("was"), F.lead(F.struct("i", "speaker", "stretch", "tok")).over(w).alias("next"),
-        F.lag("i", NEAR + 1).over(w).alias("i_a"), F.lead("i", NEAR).over(w).alias("i_b"), F.lead(F.struct("i", "stretch"), NEAR + 1).over(w).alias("far"),
-        F.count(F.lit(1)).over(whole).alias("n"), F.min("i").over(whole).alias("i_0"), F.max("i").over(whole).alias("i_n"), F.max("stretch").over(whole).alias("stretch_n"),
-    )
-    p = p.withColumn("i_a", F.coalesce("i_a", "i_0")).withColumn("i_b", F.coalesce("i_b", "i_n")).withColumn("i_far", F.coalesce("far.i", "i_n")).withColumn("stretch_far", F.coalesce("far.stretch", "stretch_n"))
-    prev_i, next_i = F.coalesce("was.i", "i"), F.coalesce("next.i", "i")
-    sent_start = c("was").isNull() | (c("was.sent") != c("sent"))
-    same_next, same_prev = F.coalesce(c("next.stretch") == c("stretch"), F.lit(False)), F.coalesce(c("was.stretch") == c("stretch"), F.lit(False))
-    split = F.coalesce(tk.without_closers(c("was.text")).rlike("[" + "".join(CLAUSE_MARKS) + "]$") | (c("was.gap_next") > CLAUSE_PAUSE), F.lit(False))
-    own = {
-        "sent_start": sent_start, "opens": sent_start | split, "stretch_start": c("was").isNull() | c("change"), "same_next": same_next, "same_prev": same_prev, "prev_i": prev_i, "next_i": next_i,
-        "chat": ~c("tok").isin(BACKCHANNEL), "no_clause": ~c("tok").isin([t for t in BACKCHANNEL if t not in CLAUSE_FILLERS]), "first": c("tok").isin(FIRST_PERSON),
-        "cue": c("tok").isin(SECOND_PERSON + SOLICIT) | (~sent_start & (c("tok") == "ahead") & (c("was.tok") == "go")),
-    }
-    p = p.withColumns(own)
-    p = p.withColumns({f"n_{k}": _so_far(c(k)) for k in ("chat", "no_clause", "cue")} | {"ends_clause": F.lead("opens").over(w), "last_q": F.last(F.when(c("question"), F.struct(x.alias("q"), "i", "next_i")), ignorenulls=True).over(w.rowsBetween(Window.unboundedPreceding, -1))})
-    before = lambda k: c(f"n_{k}") - c(k).cast("int")
-    at_sent = F.struct(x.alias("f"), "i", "prev_i", "same_prev", before("chat").alias("chat"), before("cue").alias("cue"), "last_q")
-    at_clause = F.struct(x.alias("f"), "i", "prev_i", "same_prev", "sent_start", before("no_clause").alias("bad"), "last_q")
-    at_stretch = F.struct(x.alias("s"), "i", "prev_i", c("was.gap_next").alias("gap"), F.struct(c("was.speaker").alias("l")).alias("l"))
-    p = p.withColumns({"S": _since(c("sent_start"), at_sent), "C": _since(c("opens"), at_clause), "T": _since(c("stretch_start"), at_stretch)})
-
-    def window(cond, cls, a, b, at, first_i, last_i, at_i):
-        a, b = F.greatest(a, F.lit(0)).cast("int"), F.least(b, c("n") - 1).cast("int")
-        cls = F.lit(cls) if isinstance(cls, str) else cls
-        return F.when(cond & (a < b), F.struct(cls.alias("class"), a.alias("a"), b.alias("b"), at.cast("int").alias("at"), first_i.alias("first_i"), last_i.alias("last_i"), at_i.alias("at_i")))
-
-    i = c("i")
-    open_before = ~tk.is_terminal(c("was.text"))
-    ends = c("boundary").isNotNull()
-    size = x - c("S.f") + 1
-    openers = ANSWER_OPENERS + ["so"] * (version == 2)
-    edge = F.coalesce(c("T.gap") > PAUSE_S, F.lit(False)) | F.coalesce(c("gap_next") > PAUSE_S, F.lit(False))
-    left, right = c("T.l.l"), c("next.speaker")
-    island = (c("T.s") > 0) & c("next").isNotNull() & ~same_next & left.eqNullSafe(right) & ~c("speaker").eqNullSafe(left) & (x - c("T.s") + 1 <= ISLAND_WORDS)
-    answer = ends & c("same_next") & c("question") & c("next.tok").isin(openers)
-    reply = ends & c("same_next") & (size <= ADDRESS_WORDS) & c("terminal") & c("next.tok").isin(ANSWER_OPENERS) & (c("n_cue") > c("S.cue"))
-    back = ends & c("same_next") & c("S.same_prev") & (size <= BACK_WORDS) & (c("n_chat") == c("S.chat"))
-    rules = [
-        window(c("change"), "shift", x - NEAR - 1, x + NEAR, x, c("i_a"), c("i_b"), i),
-        window(island, F.when(edge, "edge_island").otherwise("long_island"), c("T.s") - 1, x + 1, c("T.s"), c("T.prev_i"), c("next_i"), c("T.i")),
-        window(c("change") & open_before & tk.first_letter_lower(c("text")), "no_punct_lowercase", x - 1, x, x, c("prev_i"), i, i),
-        window(c("change") & (c("was.gap_next") <= ZERO_GAP), "zero_gap", x - 1, x, x, c("prev_i"), i, i),
-        window(c("change") & open_before & (c("was.gap_next").isNull() | (c("was.gap_next") <= PAUSE_S)), "inside_sentence", x - 1, x, x, c("prev_i"), i, i),
-        window(answer, "question_answer", c("S.f") - 1, x + 1, x + 1, c("S.prev_i"), c("next_i"), c("next_i")),
-        window(reply, "address_reply", x, x + 1, x + 1, i, c("next_i"), c("next_i")),
-        window(back, "backchannel", c("S.f") - 1, x + 1, c("S.f"), c("S.prev_i"), c("next_i"), c("S.i")),
-    ]
-    if version == 1:
-        s = Window.partitionBy("rec_id", "stretch")
-        o = s.orderBy("pos")
-        upto = F.sum(c("first").cast("int")).over(o.rowsBetween(Window.unboundedPreceding, 0))
-        p = p.withColumns({"first_n": upto, "first_all": F.sum(c("first").cast("int")).over(s), "size": F.count(F.lit(1)).over(s)})
-        gone = F.coalesce(F.lag("first_n").over(o), F.lit(0))
-        p = p.withColumns({"fb": gone - F.coalesce(F.lag("first_n", REGISTER_WINDOW + 1).over(o), F.lit(0)), "fa": F.coalesce(F.lead("first_n", REGISTER_WINDOW - 1).over(o), c("first_all")) - gone})
-        nb, na = x - c("T.s"), c("T.s") + c("size") - x
-        turn = c("sent_start") & c("same_prev") & (nb >= REGISTER_MIN) & (na >= REGISTER_MIN) & (c("fb") == 0) & (c("fa") >= REGISTER_ONSET)
-        rules.append(window(turn, "register_change", x - 1, x, x, c("prev_i"), i, i))
-    else:
-        clause = F.coalesce(c("ends_clause"), F.lit(True)) & c("same_next") & c("C.same_prev") & (x - c("C.f") + 1 <= BACK_WORDS) & (c("n_no_clause") == c("C.bad")) & ~(c("C.sent_start") & ends)
-        rules.append(window(clause, "clause_backchannel", c("C.f") - 1, x + 1, c("C.f"), c("C.prev_i"), c("next_i"), c("C.i")))
-        # The question before a backchannel's first word, in its stretch and near enough.
-        for cond, span in ((back, "S"), (clause, "C")):
-            q = c(f"{span}.last_q")
-            rules.append(window(cond & (q["q"] >= c("T.s")) & (c(f"{span}.f") - 1 - q["q"] < PAIR_WORDS), "paired_start", q["q"], q["q"] + 1, q["q"] + 1, q["i"], q["next_i"], q["next_i"]))
-        # A question behind which the stretch goes on: the first one at or behind some window's last word, near enough.
-        asks = w.rowsBetween(Window.unboundedPreceding, -1)
-        open_end = c("question") & c("same_next")
-        p = p.withColumns({"behind": F.last(F.when(answer | reply | back | clause, x + 1), ignorenulls=True).over(asks), "asked": F.last(F.when(open_end, x), ignorenulls=True).over(asks)})
-        due = open_end & (c("behind") >= c("T.s")) & (x - c("behind") < PAIR_WORDS) & (c("asked").isNull() | (c("asked") < c("behind")))
-        rules.append(window(due, "paired_return", x, x + 1, x + 1, i, c("next_i"), c("next_i")))
-    found = F.filter(F.array(*rules), lambda r: r.isNotNull())
-    return p.select(
-        "rec_id", "pos", "i", "n", "start_s", "speaker", "speaker_raw", "hit_ords", "hit_labels", "stretch", "change", "i_a", "i_b", "i_far", "stretch_far", "next_i",
-        c("was.speaker").alias("prev_label"), c("next.speaker").alias("next_label"), (c("question") & c("same_next")).alias("asks"), found.alias("found"),
-    )
-
-
-def _cut(df: DataFrame, cls: str, a, b, at) -> DataFrame:
-    out = df.select("rec_id", F.lit(cls).alias("class"), F.greatest(a, F.lit(0)).cast("int").alias("a"), F.least(b, F.col("n") - 1).cast("int").alias("b"), at.cast("int").alias("at"), "first_i", "last_i", "at_i", "stretch_b")
-    return out.where(F.col("a") < F.col("b"))
-
-
-def dropped_raw(p: DataFrame, turns: DataFrame) -> DataFrame:
-    """Labels of raw turns that the rendered stream lost: contested runs, and runs of turns that hit no word."""
+    c = F.col
     labels = F.array_union(F.coalesce("hit_labels", F.array().cast("array<string>")), F.filter(F.array("speaker_raw"), lambda x: x.isNotNull()))
-    c = p.select("rec_id", "pos", "i", "n", "prev_label", "next_label", "i_a", "i_far", "stretch_far", F.explode(F.array_except(labels, F.array("speaker"))).alias("x"))
-    c = c.withColumn("run", F.col("pos") - F.row_number().over(Window.partitionBy("rec_id", "x").orderBy("pos")))
-    low, high = F.min(F.struct("pos", "prev_label", "i", "i_a")), F.max(F.struct("pos", "next_label", "i_far", "stretch_far"))
-    c = c.groupBy("rec_id", "x", "run").agg(low.alias("lo"), high.alias("hi"), F.max("n").alias("n"))
-    borders = F.coalesce(F.col("lo.prev_label") == F.col("x"), F.lit(False)) | F.coalesce(F.col("hi.next_label") == F.col("x"), F.lit(False))
-    a0, b0 = F.col("lo.pos"), F.col("hi.pos")
-    c = c.where(~(borders & (b0 - a0 + 1 <= NEAR)))
-    c = c.select("*", F.col("lo.i_a").alias("first_i"), F.col("hi.i_far").alias("last_i"), F.col("lo.i").alias("at_i"), F.col("hi.stretch_far").alias("stretch_b"))
-    contested = _cut(c, "dropped_raw_change", a0 - NEAR - 1, b0 + NEAR + 1, a0)
-
-    w = Window.partitionBy("rec_id").orderBy("ord")
-    t = turns.withColumn("new", (~F.col("speaker").eqNullSafe(F.lag("speaker").over(w)) | F.lag("ord").over(w).isNull()).cast("int"))
-    hit = p.select("rec_id", F.explode("hit_ords").alias("ord")).distinct().withColumn("hit", F.lit(1))
-    t = t.withColumn("trun", F.sum("new").over(w)).join(hit, ["rec_id", "ord"], "left")
-    runs = t.groupBy("rec_id", "trun").agg(F.min("speaker").alias("x"), F.min("start_s").alias("t0"), F.max("hit").alias("hit")).where("hit is null").drop("hit")
-    # The first position that starts at t0 or later: words and runs in one order of time, read backwards.
-    timed = p.where("start_s is not null").select("rec_id", F.col("start_s").alias("t0"), F.struct(F.col("pos").alias("g"), "i", "i_a", "i_b", "n").alias("w")).join(runs.select("rec_id").distinct(), "rec_id", "left_semi")
-    nothing = lambda df, *cols: df.select("*", *[F.lit(None).cast(k).alias(c) for c, k in cols])
-    both = mixed([nothing(timed, ("trun", "long"), ("x", "string")), nothing(runs, ("w", timed.schema["w"].dataType.simpleString()))], "rec_id")
-    back = Window.partitionBy("rec_id").orderBy(F.desc("t0"), F.col("w").isNull()).rowsBetween(Window.unboundedPreceding, 0)
-    at = both.withColumn("w0", F.min("w").over(back)).where(F.col("w").isNull() & (F.col("w0.g") > 0)).select("rec_id", "trun", "x", "w0.*")
-    around = at.select("rec_id", "trun", "x", F.explode(F.sequence(F.col("g") - NEAR, F.col("g") + NEAR - 1)).alias("pos"))
-    held = around.join(p.select("rec_id", "pos", F.col("speaker").alias("x")), ["rec_id", "pos", "x"], "left_semi").select("rec_id", "trun").distinct()
-    empty = at.join(held, ["rec_id", "trun"], "left_anti")
-    empty = empty.join(p.select("rec_id", (F.col("pos") - NEAR).alias("g"), F.col("stretch").alias("stretch_at")), ["rec_id", "g"], "left")
-    empty = empty.select("*", F.col("i_a").alias("first_i"), F.col("i_b").alias("last_i"), F.col("i").alias("at_i"), F.col("stretch_at").alias("stretch_b"))
-    return contested.unionByName(_cut(empty, "dropped_raw_change", F.col("g") - NEAR - 1, F.col("g") + NEAR, F.col("g")))
-
-
-def returns_behind(p: DataFrame, raw: DataFrame) -> DataFrame:
-    """The transition behind the first question at or behind the last word of a dropped label's window, in its stretch and near enough."""
-    span = 64
-    near = F.explode(F.array(F.floor(F.col("b") / span), F.floor(F.col("b") / span) + 1))
-    b = raw.select("rec_id", "b", "stretch_b").distinct().select("*", near.alias("bucket"))
-    q = p.where("asks").select(F.col("rec_id").alias("r"), F.floor(F.col("pos") / span).alias("k"), F.col("pos").alias("q"), "i", "next_i", "stretch")
-    x = b.join(q, (F.col("rec_id") == F.col("r")) & (F.col("bucket") == F.col("k")) & (F.col("stretch") == F.col("stretch_b")) & (F.col("q") >= F.col("b")) & (F.col("q") - F.col("b") < PAIR_WORDS))
-    x = x.groupBy("rec_id", "b", "stretch_b").agg(F.min(F.struct("q", "i", "next_i")).alias("m"))
-    a = F.col("m.q").cast("int")
-    return x.select("rec_id", F.lit("paired_return").alias("class"), a.alias("a"), (a + 1).alias("b"), (a + 1).alias("at"), F.col("m.i").alias("first_i"), F.col("m.next_i").alias("last_i"), F.col("m.next_i").alias("at_i"))
-
-
-def found_windows(p: DataFrame, turns: DataFrame, version: int = 1) -> DataFrame:
-    """All windows of a version, numbered by (a, b, class order, at): rec_id, id, class, family, a, b, at, first_i, last_i, at_i.
-
-    p: prepared() of that version, read from a table, as it is read several times. Empty streams give none.
-    """
-    raw = dropped_raw(p, turns)
-    out = p.select("rec_id", F.inline("found")).unionByName(raw.drop("stretch_b"))
-    if version == 2:
-        pair = F.col("class").isin("paired_return", "paired_start")
-        once = p.where(F.size("found") > 0).select("rec_id", F.inline("found"))
-        out = once.where(~pair).unionByName(raw.drop("stretch_b")).unionByName(once.where(pair).unionByName(returns_behind(p, raw)).distinct())
+    w = st.select("rec_id", "pos", "i", "start_s", "gap_next", "text", "speaker", "stretch", "boundary", "change", "hit_ords", F.array_except(labels, F.array("speaker")).alias("lost"), tk.cue_token(c("text")).alias("tok"))
+    marks = _marks(version) | {"ends": c("boundary").isNotNull(), "change": c("change")}
+    bits = sum((F.coalesce(marks[name], F.lit(False)).cast("int") * (1 << k) for k, name in enumerate(window_rules.BITS)), F.lit(0))
+    return _read(w.select("rec_id", "pos", "i", "start_s", "gap_next", "speaker", "stretch", "hit_ords", "lost", bits.alias("bits")), turns, version)
+
+
+def _read(w: DataFrame, turns: DataFrame, version: int) -> DataFrame:
+    """window_rules over whole recordings; a recording's turns come with its first word."""
+    fixed = {
+        "near": NEAR, "pair_words": PAIR_WORDS, "pause": PAUSE_S, "clause_pause": CLAUSE_PAUSE, "island_words": ISLAND_WORDS, "address_words": ADDRESS_WORDS, "back_words": BACK_WORDS,
+        "zero_gap": ZERO_GAP, "max_island": MAX_ISLAND, "bucket_s": BUCKET_S, "register_window": REGISTER_WINDOW, "register_min": REGISTER_MIN, "register_onset": REGISTER_ONSET,
+    }
+    classes, c, ready = ORDER[version], F.col, "speaker" in w.columns
+    i = w.schema["i"].dataType
+    w = w.join(_turns_by_recording(turns), "rec_id", "left").withColumn("turns", F.when(c("pos") == 0, c("turns")))
+    w = w.select("*", F.row_number().over(rec()).alias("k"), F.xxhash64("rec_id").alias("key"))
+    out = "rec_id string, class string, a int, b int, at int, " + ", ".join(f"{k} {i.simpleString()}" for k in ("first_i", "last_i", "at_i")) + ", n_words bigint, n_boundaries bigint"
+    i_type = to_arrow_type(i)
+
+    def read(batches):
+        names = pa.array(classes)
+        for table in whole_groups(batches, ["key"], GROUP_ROWS):
+            row, kind, values, first, n, changes = window_rules.windows(table, window_rules.columns_of(table) if ready else window_rules.labelled(table, fixed), version, classes, fixed)
+            rec_id = table["rec_id"].combine_chunks()
+            whole = len(first)
+            empty = lambda k, kind: pa.nulls(k, kind)
+            cols = [_one(rec_id.take(pa.array(np.concatenate([row, first])))), pa.concat_arrays([names.take(pa.array(kind)), empty(whole, pa.string())])]
+            for name, kind_ in (("a", pa.int32()), ("b", pa.int32()), ("at", pa.int32()), ("first_i", i_type), ("last_i", i_type), ("at_i", i_type)):
+                cols.append(pa.concat_arrays([pa.array(values[name]).cast(kind_), empty(whole, kind_)]))
+            for v in (n, changes):
+                cols.append(pa.concat_arrays([empty(len(row), pa.int64()), pa.array(v).cast(pa.int64())]))
+            yield pa.RecordBatch.from_arrays(cols, names=["rec_id", "class", "a", "b", "at", "first_i", "last_i", "at_i", "n_words", "n_boundaries"])
+
+    return w.mapInArrow(read, out)
+
+
+def _one(c) -> pa.Array:
+    """A column's rows in one array."""
+    return c if isinstance(c, pa.Array) else pa.concat_arrays(c.chunks)
+
+
+def found_windows(windows: DataFrame, version: int = 1) -> DataFrame:
+    """All windows of a version, numbered by (a, b, class order, at): rec_id, id, class, family, a, b, at, first_i, last_i, at_i. Empty streams give none."""
     rank = F.array_position(F.array(*[F.lit(c) for c in ORDER[version]]), F.col("class"))
-    out = out.withColumn("id", F.row_number().over(Window.partitionBy("rec_id").orderBy("a", "b", rank, "at")))
+    out = windows.where("class is not null").withColumn("id", F.row_number().over(Window.partitionBy("rec_id").orderBy("a", "b", rank, "at")))
     index = F.create_map(*[F.lit(x) for kv in FAMILY.items() for x in kv])
     return out.select("rec_id", F.concat(F.lit("C-"), F.lpad(F.col("id").cast("string"), 4, "0")).alias("id"), "class", F.element_at(index, F.col("class")).alias("family"), "a", "b", "at", "first_i", "last_i", "at_i")
 
 
 def candidates(st: DataFrame, turns: DataFrame, version: int = 1) -> DataFrame:
-    """found_windows() of a stream, whose preparation is written once."""
-    return found_windows(write_and_read(prepared(st, version), "prepared"), turns, version)
+    """found_windows() of a stream."""
+    return found_windows(windows(st, turns, version), version)
 
 
 def sites(found: DataFrame) -> DataFrame:
@@ -237,11 +151,10 @@ def sites(found: DataFrame) -> DataFrame:
     return f.groupBy("rec_id", "site").agg(F.min("a").alias("a"), F.max("b").alias("b"), F.count("*").alias("n_windows"), F.array_join(F.sort_array(F.collect_set("class")), ",").alias("classes"))
 
 
-def volume(found: DataFrame, st: DataFrame, durations: DataFrame) -> DataFrame:
-    """Counts per recording: words, windows, per hour, sites, covered words and their share."""
+def volume(found: DataFrame, n: DataFrame, durations: DataFrame) -> DataFrame:
+    """Counts per recording: words, windows, per hour, sites, covered words and their share. n: (rec_id, n_words, n_boundaries)."""
     s = sites(found).groupBy("rec_id").agg(F.count("*").alias("n_sites"), F.sum(F.col("b") - F.col("a") + 1).alias("covered"))
     c = found.groupBy("rec_id").agg(F.count("*").alias("n_candidates"))
-    n = st.groupBy("rec_id").agg(F.count("*").alias("n_words"), F.sum(F.col("change").cast("int")).alias("n_boundaries"))
     hours = F.col("duration_s") / 3600
     out = n.join(c, "rec_id", "left").join(s, "rec_id", "left").join(durations, "rec_id", "left").fillna(0, ["n_candidates", "n_sites", "covered"])
     return out.select("rec_id", "n_words", "n_boundaries", "n_candidates", "n_sites", "covered", F.floor(F.when(hours > 0, F.col("n_candidates") / hours) * 10 + 0.5).alias("per_hour_tenths"), F.floor(F.col("covered") / F.col("n_words") * 10000 + 0.5).alias("covered_share_e4"))

@@ -167,8 +167,9 @@ st as (select rec_id, site, min(a)::int as a, max(b)::int as b, count(*) as n_wi
 
 
 def _found(spark, d, version):
-    p = write_and_read(cd.prepared(the_stream(spark, d), version), "prepared")
-    return p, cd.found_windows(p, the_turns(spark, d), version)
+    """(rec_id, n_words, n_boundaries) and the windows, both of one table that is written once."""
+    w = write_and_read(cd.windows_of(the_words(spark, d), the_turns(spark, d), version), "windows")
+    return w.where("class is null").select("rec_id", "n_words", "n_boundaries"), cd.found_windows(w, version)
 
 
 @query("with " + _cand_sql(1) + "\n" + _NUMBERED)
@@ -203,8 +204,8 @@ from (select rec_id, count(*) as n_words, sum(change::int)::bigint as n_boundari
 left join (select rec_id, count(*) as k from ca group by rec_id) c on c.rec_id = n.rec_id left join (select rec_id, count(*) as k, sum(b - a + 1)::bigint as cov from st group by rec_id) s on s.rec_id = n.rec_id left join du on du.rec_id = n.rec_id""")
 def cand_volume(spark, d):
     """Counts, rates and coverage of the windows."""
-    s, c = _found(spark, d, 1)
-    return cd.volume(c, s, durations(spark, d))
+    n, c = _found(spark, d, 1)
+    return cd.volume(c, n, durations(spark, d))
 
 
 # -- disfluencies and the fluent view ------------------------------------------------------
