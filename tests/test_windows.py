@@ -9,7 +9,7 @@ from streamloom.operators import candidates as cd
 from streamloom.operators import stream as st
 from streamloom.plans import reference
 
-QUERIES = ["cand_sites", "cand_v2", "cand_volume"]
+QUERIES = ["cand_sites", "cand_v2", "cand_volume", "agg_site_lengths"]
 
 
 @pytest.mark.parametrize("name", QUERIES)
