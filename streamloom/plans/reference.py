@@ -367,11 +367,14 @@ mx as (select *, last_value(case when change then pos end ignore nulls) over (pa
 mi as (select mx.rec_id, mx.pos, mx.i, coalesce(ru.n_words, 0) as misattributed, ru.direction, least(mx.pos - bk, ah - mx.pos) as nearest_boundary from mx left join ru on ru.rec_id || '#' || ru.first_pos = mx.rec_id || '#' || mx.pos where mx.true_change and not mx.change)"""
 
 
+BLANK, UNNAMED = 11, 3
+
+
 def sheet_in_work(s: DataFrame) -> DataFrame:
     """Verdicts from the words' own speaker labels, every 11th boundary blank and every third real one without its speaker."""
     g = ev.gold(s, ev.identity(F.col("asr_speaker")))
-    done = F.col("bno") % 11 != 0
-    return g.withColumn("who", F.when(done & (F.col("bno") % 3 != 0), F.col("who"))).withColumn("verdict", F.when(done, F.col("verdict")))
+    done = F.col("bno") % BLANK != 0
+    return g.withColumn("who", F.when(done & (F.col("bno") % UNNAMED != 0), F.col("who"))).withColumn("verdict", F.when(done, F.col("verdict")))
 
 
 def _judged(spark, d):
@@ -486,9 +489,9 @@ sf as (select er.rec_id, er.kind, er.t, er.misattributed, er.high_harm, list_sor
 
 
 def _surfaced(spark, d):
-    s, labels, _, j = _judged(spark, d)
-    found = write_and_read(cd.candidates(s, the_turns(spark, d), 1), "candidates")
-    errs = write_and_read(ev.errors(j, labels), "errors")
+    """Windows, wrong transitions by sheet_in_work(), and these with the windows that hold them: all of one table that is written once."""
+    w = write_and_read(cd.windows_of(the_words(spark, d), the_turns(spark, d), 1, ev.identity(F.col("speaker")), BLANK, UNNAMED), "windows")
+    found, errs = cd.found_windows(w, 1), cd.wrong(w)
     return found, errs, ev.surfaced(errs, found)
 
 
@@ -524,7 +527,7 @@ select un.level, un.name, un.family, coalesce(windows, 0) as windows, cast(floor
 def eval_class_stats(spark, d):
     """Volume, coverage, rate and errors surfaced per kind, by class of windows and by group of classes."""
     found, errs, by = _surfaced(spark, d)
-    hours = durations(spark, d).join(the_words(spark, d).select("rec_id").distinct(), "rec_id", "left_semi")
+    hours = durations(spark, d).join(load(spark, d, "words").where("rec_id is not null and i is not null").select("rec_id").distinct(), "rec_id", "left_semi")
     return ev.class_stats(by, found, errs, hours, cd.ORDER[1], cd.FAMILY)
 
 
